@@ -204,7 +204,7 @@ FROM rank_orders
 """)
 
 _cte("upt", ("fact",), """
-SELECT parent_order_id, SUM(sales_qty) AS pieces FROM fact WHERE is_member_order GROUP BY parent_order_id
+SELECT parent_order_id, CAST(SUM(sales_qty) AS BIGINT) AS pieces FROM fact WHERE is_member_order GROUP BY parent_order_id
 """)
 
 # KPI branches: label, rows filter, launch column, joined column, launch compared
