@@ -49,11 +49,16 @@ class Dims:
     focus: DataFrame        # focus list (sku_id, tracking_end_date), broadcast when bounded
 
 
-def build_dims(inputs: Inputs, params: RunParams) -> Dims:
-    cap = params.max_broadcast_rows
-    member = inputs.member.select(
+def build_member(member: DataFrame) -> DataFrame:
+    """Member dimension keyed by the numeric member id."""
+    return member.select(
         R.numeric_id("member_detail_id").alias("member_key"), "member_detail_id",
         F.to_date("join_time").alias("join_date"), "eff_reg_channel")
+
+
+def build_dims(inputs: Inputs, params: RunParams) -> Dims:
+    cap = params.max_broadcast_rows
+    member = build_member(inputs.member)
     return Dims(
         product=broadcast_if_bounded(D.dim_product(inputs.product), cap),
         calendar=broadcast_if_bounded(D.calendar_days(inputs.calendar), cap),

@@ -207,6 +207,37 @@ _cte("upt", ("fact",), """
 SELECT parent_order_id, CAST(SUM(sales_qty) AS BIGINT) AS pieces FROM fact WHERE is_member_order GROUP BY parent_order_id
 """)
 
+_cte("admitted_lines", ("order_line",), f"""
+SELECT CASE WHEN source_channel IN ('DOUYIN', 'DOUYIN_B2B') THEN 'DOUYIN' ELSE source_channel END AS source_channel,
+       order_paid_time, CAST(order_paid_date AS DATE) AS order_paid_date,
+       CASE WHEN type_name IN ('CRM_memberid', 'DY_openid', 'TMALL_kyid')
+            THEN COALESCE(crm_member_detail_id, type_value) END AS member_id,
+       TRY_CAST(crm_member_detail_id AS BIGINT) AS crm_key, type_value,
+       parent_order_id, sku_id, city_cn, city_tier, sales_qty, if_eff_order_tag,
+       is_member_order, order_rrp_amt
+FROM order_line
+WHERE source_channel IN ('LCS', 'TMALL', 'DOUYIN', 'DOUYIN_B2B')
+  AND CAST(order_paid_date AS DATE) < {AS_OF}
+  AND ((source_channel = 'LCS' AND sales_type <> 3)
+       OR (source_channel IN ('TMALL', 'DOUYIN', 'DOUYIN_B2B') AND order_type = 'normal'))
+""")
+
+_cte("member_dim", ("member",), """
+SELECT TRY_CAST(member_detail_id AS BIGINT) AS member_key, member_detail_id,
+       CAST(join_time AS DATE) AS join_date, eff_reg_channel
+FROM member
+""")
+
+_cte("focus_periods", ("dim_product", "focus_sku"), """
+SELECT p.sku_id, p.bu_launch_date, p.lcs_launch_date, p.tm_launch_date, p.dy_launch_date,
+       f.tracking_end_date
+FROM dim_product p JOIN focus_sku f ON p.sku_id = f.sku_id
+""")
+
+_cte("rank_first", ("order_rank",), """
+SELECT slice, parent_order_id, member_id, rk = 1 AS is_first FROM order_rank
+""")
+
 # KPI branches: label, rows filter, launch column, joined column, launch compared
 KPI_BRANCHES = (
     ("LCS", "f.source_channel = 'LCS'", "lcs_launch_date", "join_date", "lcs_launch_date"),
