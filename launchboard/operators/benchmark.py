@@ -6,17 +6,15 @@ of *any* SKU paid inside the period, the share that were pure new (rk = 1,
 joined on or after the sold SKU's launch), existing 0-1 (rk = 1, joined
 before) and repurchasers (rk >= 2).
 
-Lines are first reduced to (branch, order, member, day) rows, with the
-earliest and latest launch date of the sold SKUs; the member join dates are
-joined at that order level, as are the rank flags of the order. The
+The order summary (one row per order, member and day, with the earliest and
+latest launch date of the sold SKUs) is fanned out to the branches; the
+member join dates and the rank flags are joined at that order level. The
 distinct counts over many overlapping periods come from
 ``range_count.range_distinct_counts``.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,38 +22,44 @@ from launchboard import config as C
 from launchboard.config import BenchmarkSpec, RunParams
 from launchboard.functions import rules as R
 from launchboard.operators.dims import focus_periods
-from launchboard.operators.fact import Dims, with_product
+from launchboard.operators.fact import Dims
 from launchboard.operators.joins import left_join_spread_nulls
 from launchboard.operators.range_count import range_distinct_counts
-from launchboard.operators.ranks import eligible_member_lines
 
 COUNTERS = ["elig", "pure_new", "existing", "repurchase"]
 BENCH_OUTPUT = ("source_channel", "launch_date", "tracking_end_date") + C.BENCHMARK_COLUMNS
 
 
+def _explode_specs(df: DataFrame, structs: list) -> DataFrame:
+    """One output row per spec whose struct is not NULL (no union of copies)."""
+    arr = F.filter(F.array(*structs), lambda v: v.isNotNull())
+    return df.withColumn("_spec", F.explode(arr))
+
+
 def benchmark_periods(dims: Dims, specs: tuple[BenchmarkSpec, ...]) -> DataFrame:
     fp = focus_periods(dims.product, dims.focus)
-    parts = [fp.select(F.lit(s.label).alias("source_channel"),
-                       F.col(s.period_start).alias("start"),
-                       F.col("tracking_end_date").alias("end")) for s in specs]
-    return reduce(DataFrame.unionByName, parts)
+    structs = [F.struct(F.lit(s.label).alias("source_channel"),
+                        F.col(s.period_start).alias("start")) for s in specs]
+    x = _explode_specs(fp, structs)
+    return x.select("_spec.source_channel", "_spec.start", F.col("tracking_end_date").alias("end"))
 
 
-def occurrences(lines: DataFrame, dims: Dims, rank_flags: DataFrame, params: RunParams,
+def occurrences(summary: DataFrame, dims: Dims, rank_flags: DataFrame, params: RunParams,
                 specs: tuple[BenchmarkSpec, ...]) -> DataFrame:
-    """(source_channel, member_id, day, elig, pure_new, existing, repurchase)."""
-    e = eligible_member_lines(lines).where(F.col("member_id").isNotNull())
-    e = with_product(e, dims)
-    parts = []
+    """(source_channel, member_id, day, elig, pure_new, existing, repurchase)
+    from the order summary."""
+    e = summary.where(F.col("has_elig") & F.col("member_id").isNotNull())
+    structs = []
     for s in specs:
-        x = e if s.rows is None else e.where(F.col("source_channel") == s.rows)
-        parts.append(x.select(F.lit(s.label).alias("branch"), F.lit(s.rank_slice).alias("slice"),
-                              "parent_order_id", "member_id", "crm_key",
-                              F.col("order_paid_date").alias("day"),
-                              F.col(s.launch_cmp).alias("launch_cmp")))
-    x = reduce(DataFrame.unionByName, parts)
+        st = F.struct(F.lit(s.label).alias("branch"), F.lit(s.rank_slice).alias("slice"),
+                      F.col(f"{s.launch_cmp}_min").alias("lmin"),
+                      F.col(f"{s.launch_cmp}_max").alias("lmax"))
+        structs.append(st if s.rows is None else F.when(F.col("source_channel") == s.rows, st))
+    x = _explode_specs(e, structs).select(
+        "_spec.branch", "_spec.slice", "parent_order_id", "member_id", "crm_key", "day",
+        "_spec.lmin", "_spec.lmax")
     x = x.groupBy("branch", "slice", "parent_order_id", "member_id", "crm_key", "day").agg(
-        F.min("launch_cmp").alias("_lmin"), F.max("launch_cmp").alias("_lmax"))
+        F.min("lmin").alias("_lmin"), F.max("lmax").alias("_lmax"))
     joins = dims.member.where(F.col("member_key").isNotNull()).groupBy("member_key").agg(
         F.min("join_date").alias("_jmin"), F.max("join_date").alias("_jmax"))
     x = left_join_spread_nulls(x, F.col("crm_key"), [(joins, "member_key")],
@@ -72,9 +76,9 @@ def occurrences(lines: DataFrame, dims: Dims, rank_flags: DataFrame, params: Run
                     repeat.alias("repurchase"))
 
 
-def benchmarks(lines: DataFrame, dims: Dims, rank_flags: DataFrame, params: RunParams,
+def benchmarks(summary: DataFrame, dims: Dims, rank_flags: DataFrame, params: RunParams,
                specs: tuple[BenchmarkSpec, ...] = C.BENCHMARK_SPECS) -> DataFrame:
-    occ = occurrences(lines, dims, rank_flags, params, specs)
+    occ = occurrences(summary, dims, rank_flags, params, specs)
     counts = range_distinct_counts(occ, benchmark_periods(dims, specs), ["source_channel"],
                                    "member_id", "day", COUNTERS)
     return counts.select(

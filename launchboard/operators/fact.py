@@ -19,7 +19,7 @@ from launchboard import config as C
 from launchboard.config import RunParams
 from launchboard.functions import rules as R
 from launchboard.operators import dims as D
-from launchboard.operators.joins import broadcast_if_bounded, left_join_spread_nulls
+from launchboard.operators.joins import broadcast_if, is_bounded, left_join_spread_nulls
 from launchboard.sources.tables import Inputs
 
 LINE_COLUMNS = (
@@ -47,6 +47,7 @@ class Dims:
     tmall: DataFrame        # (kyid, tmall_bind_date)
     douyin: DataFrame       # (openid, douyin_bind_date)
     focus: DataFrame        # focus list (sku_id, tracking_end_date), broadcast when bounded
+    small: dict             # name -> row count proven under params.max_broadcast_rows
 
 
 def build_member(member: DataFrame) -> DataFrame:
@@ -58,15 +59,20 @@ def build_member(member: DataFrame) -> DataFrame:
 
 def build_dims(inputs: Inputs, params: RunParams) -> Dims:
     cap = params.max_broadcast_rows
-    member = build_member(inputs.member)
+    small_dims = {
+        "product": D.dim_product(inputs.product),
+        "calendar": D.calendar_days(inputs.calendar),
+        "city": D.city_maturity(inputs.store, inputs.city_type),
+        "focus": inputs.focus_sku,
+    }
+    small = {k: is_bounded(v, cap) for k, v in small_dims.items()}
+    b = {k: broadcast_if(v, small[k]) for k, v in small_dims.items()}
     return Dims(
-        product=broadcast_if_bounded(D.dim_product(inputs.product), cap),
-        calendar=broadcast_if_bounded(D.calendar_days(inputs.calendar), cap),
-        city=broadcast_if_bounded(D.city_maturity(inputs.store, inputs.city_type), cap),
-        member=member,
+        product=b["product"], calendar=b["calendar"], city=b["city"],
+        member=build_member(inputs.member),
         tmall=D.tmall_bindings(inputs.shopper_binding),
         douyin=D.douyin_bindings(inputs.shopper_binding),
-        focus=broadcast_if_bounded(inputs.focus_sku, cap),
+        focus=b["focus"], small=small,
     )
 
 

@@ -9,14 +9,23 @@ _KEY = "__jk"
 _BUCKET = "__null_bucket"
 
 
+def is_bounded(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows (counts at most
+    max_rows + 1 rows; one small job on the dimension side only)."""
+    return max_rows > 0 and df.limit(max_rows + 1).count() <= max_rows
+
+
 def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` only when its row count is proven to be at most
     ``max_rows``; otherwise return it unchanged so the planner picks a
-    shuffle join. Counting runs one small job on the dimension side only."""
-    if max_rows <= 0:
-        return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    shuffle join."""
+    return F.broadcast(df) if is_bounded(df, max_rows) else df
+
+
+def broadcast_if(df: DataFrame, proven_small: bool) -> DataFrame:
+    """Broadcast a relation derived from one already proven small (an
+    aggregate or projection of it is at most as large)."""
+    return F.broadcast(df) if proven_small else df
 
 
 def left_join_spread_nulls(left: DataFrame, left_key: Column,

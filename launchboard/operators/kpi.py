@@ -17,8 +17,6 @@ One generic builder runs every branch of ``config.KPI_SPECS``. Plan:
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,7 +24,7 @@ from launchboard import config as C
 from launchboard.config import KpiSpec, RunParams
 from launchboard.functions import rules as R
 from launchboard.operators.fact import Dims, enrich, with_product
-from launchboard.operators.joins import broadcast_if_bounded
+from launchboard.operators.joins import broadcast_if
 
 WINDOW_KEYS = ("source_channel", "sku_id", "sku_name", "product_line", "launch_date",
                "tracking_end_date", "rsp", "price_band", "age_mark", "kids_vs_adult")
@@ -38,9 +36,9 @@ KPI_WEEK_OUTPUT = WEEK_KEYS + C.METRIC_COLUMNS
 
 def tracked_lines(lines: DataFrame, dims: Dims, params: RunParams) -> DataFrame:
     """Enriched lines of tracked SKUs inside their widest possible window."""
-    ends = broadcast_if_bounded(
+    ends = broadcast_if(
         dims.focus.groupBy("sku_id").agg(F.max("tracking_end_date").alias("_fend")),
-        params.max_broadcast_rows)
+        dims.small["focus"])
     x = with_product(lines, dims).join(ends, "sku_id")
     earliest = F.least("lcs_launch_date", "tm_launch_date", "dy_launch_date", "bu_launch_date")
     x = x.where((F.col("order_paid_date") <= F.col("_fend"))
@@ -48,18 +46,26 @@ def tracked_lines(lines: DataFrame, dims: Dims, params: RunParams) -> DataFrame:
     return enrich(x, dims, params, with_product_done=True)
 
 
+LINE_COLS = ["order_paid_date", "parent_order_id", "member_id", "sku_id", "sku_name",
+             "product_line", "rsp", "price_band", "age_mark", "kids_vs_adult", "fiscal_year",
+             "fiscal_week", "sales_qty", "if_eff_order_tag", "is_member_order", "order_rrp_amt"]
+
+
 def branch_rows(enriched: DataFrame, specs: tuple[KpiSpec, ...]) -> DataFrame:
-    cols = ["order_paid_date", "parent_order_id", "member_id", "sku_id", "sku_name",
-            "product_line", "rsp", "price_band", "age_mark", "kids_vs_adult", "fiscal_year",
-            "fiscal_week", "sales_qty", "if_eff_order_tag", "is_member_order", "order_rrp_amt"]
-    parts = []
+    """Each line once per branch it feeds (its channel's branch and OMNI),
+    from one pass (``explode``), from the branch's own launch day on."""
+    structs = []
     for s in specs:
-        x = enriched if s.rows is None else enriched.where(F.col("source_channel") == s.rows)
-        x = x.select(F.lit(s.label).alias("source_channel"), F.lit(s.rank_slice).alias("slice"),
-                     F.col(s.launch).alias("launch_date"), F.col(s.joined).alias("joined_date"),
-                     F.col(s.launch_cmp).alias("launch_cmp"), *cols)
-        parts.append(x.where(F.col("order_paid_date") >= F.col("launch_date")))
-    return reduce(DataFrame.unionByName, parts)
+        cond = F.col("order_paid_date") >= F.col(s.launch)
+        if s.rows is not None:
+            cond = cond & (F.col("source_channel") == s.rows)
+        structs.append(F.when(cond, F.struct(
+            F.lit(s.label).alias("source_channel"), F.lit(s.rank_slice).alias("slice"),
+            F.col(s.launch).alias("launch_date"), F.col(s.joined).alias("joined_date"),
+            F.col(s.launch_cmp).alias("launch_cmp"))))
+    arr = F.filter(F.array(*structs), lambda v: v.isNotNull())
+    x = enriched.select(*LINE_COLS, F.explode(arr).alias("_b"))
+    return x.select("_b.*", *LINE_COLS)
 
 
 def kpi_rows(lines: DataFrame, dims: Dims, rank_flags: DataFrame, pieces: DataFrame,

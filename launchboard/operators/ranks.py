@@ -20,7 +20,7 @@ Two forms:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from launchboard import config as C
@@ -31,18 +31,28 @@ def eligible_member_lines(lines: DataFrame) -> DataFrame:
     return lines.where(is_true("if_eff_order_tag") & is_true("is_member_order"))
 
 
-def rank_orders(lines: DataFrame, slices: tuple[str, ...] = C.RANK_SLICES) -> DataFrame:
+def rank_orders(rows: DataFrame, slices: tuple[str, ...] = C.RANK_SLICES,
+                time_col: str = "order_paid_time", eligible: Column | None = None) -> DataFrame:
     """(slice, parent_order_id, member_id, order_paid_time): one row per
-    order and member identity in each slice, paid time = earliest line."""
-    e = eligible_member_lines(lines)
+    order and member identity in each slice, paid time = earliest eligible
+    line. ``rows`` are order lines, or the order summary (``time_col`` =
+    elig_time, ``eligible`` = has_elig)."""
+    if eligible is None:
+        eligible = is_true("if_eff_order_tag") & is_true("is_member_order")
+    e = rows.where(eligible)
     slice_exprs = [F.col("source_channel")] if any(s != C.CHANNEL_OMNI for s in slices) else []
     if C.CHANNEL_OMNI in slices:
         slice_exprs.append(F.lit(C.CHANNEL_OMNI))
     x = e.select(F.explode(F.array(*slice_exprs)).alias("slice"),
-                 "parent_order_id", "member_id", "order_paid_time")
+                 "parent_order_id", "member_id", F.col(time_col).alias("_t"))
     x = x.where(F.col("slice").isin(*slices))
     return x.groupBy("slice", "parent_order_id", "member_id").agg(
-        F.min("order_paid_time").alias("order_paid_time"))
+        F.min("_t").alias("order_paid_time"))
+
+
+def rank_orders_from_summary(summary: DataFrame,
+                             slices: tuple[str, ...] = C.RANK_SLICES) -> DataFrame:
+    return rank_orders(summary, slices, time_col="elig_time", eligible=F.col("has_elig"))
 
 
 def order_rank(orders: DataFrame) -> DataFrame:

@@ -3,11 +3,11 @@ SKUs, channels and dates.
 
 The dashboard sums ``sales_qty`` over the *enriched* fact, so a line counts
 once per matching row of every left-joined dimension (fan-out). Instead of
-enriching every line, the multiplicity of a line is computed from per-key
-row counts: small dimensions (product, calendar, city) are broadcast and
-multiplied in map-side, then lines are summed to (order, member key, channel
-id) before the large member and binding counts are joined, so those joins
-move order-level rows, not lines.
+enriching every line, the multiplicity is applied from per-key row counts:
+the order summary already carries the member quantity times the fan-out of
+the broadcast dimensions; here it is summed to (order, member key, channel
+id) and multiplied by the row counts of the large member and binding
+tables, joined at that order level, not per line.
 """
 
 from __future__ import annotations
@@ -18,25 +18,8 @@ from pyspark.sql import functions as F
 from launchboard.config import RunParams
 from launchboard.functions.rules import is_true
 from launchboard.operators.fact import Dims
-from launchboard.operators.joins import broadcast_if_bounded, left_join_spread_nulls
-
-
-def key_counts(df: DataFrame, key: str, name: str) -> DataFrame:
-    return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(name))
-
-
-def line_multiplier(lines: DataFrame, dims: Dims, params: RunParams) -> DataFrame:
-    """Adds ``_mult_small``: fan-out of each line from the broadcast dims."""
-    cap = params.max_broadcast_rows
-    pn = broadcast_if_bounded(key_counts(dims.product, "sku_id", "_n_prod"), cap)
-    cn = broadcast_if_bounded(key_counts(dims.calendar, "date_id", "_n_cal"), cap)
-    yn = broadcast_if_bounded(key_counts(dims.city, "city_cn", "_n_city"), cap)
-    x = lines.join(pn, "sku_id", "left")
-    x = x.join(cn, x.order_paid_date == cn.date_id, "left").drop("date_id")
-    x = x.join(yn, "city_cn", "left")
-    mult = (F.coalesce("_n_prod", F.lit(1)) * F.coalesce("_n_cal", F.lit(1))
-            * F.coalesce("_n_city", F.lit(1)))
-    return x.withColumn("_mult_small", mult).drop("_n_prod", "_n_cal", "_n_city")
+from launchboard.operators.joins import left_join_spread_nulls
+from launchboard.operators.orders import key_counts
 
 
 def large_dim_multiplier(rows: DataFrame, dims: Dims, params: RunParams) -> DataFrame:
@@ -55,12 +38,11 @@ def large_dim_multiplier(rows: DataFrame, dims: Dims, params: RunParams) -> Data
     return x.withColumn("_mult_large", mult).drop("_n_mem", "_n_tm", "_n_dy")
 
 
-def order_pieces(lines: DataFrame, dims: Dims, params: RunParams) -> DataFrame:
-    """(parent_order_id, pieces) from admitted (not enriched) lines."""
-    m = lines.where(is_true("is_member_order"))
-    m = line_multiplier(m, dims, params)
+def order_pieces(summary: DataFrame, dims: Dims, params: RunParams) -> DataFrame:
+    """(parent_order_id, pieces) from the order summary."""
+    m = summary.where(F.col("has_member"))
     per_key = m.groupBy("parent_order_id", "crm_key", "type_value").agg(
-        F.sum(F.col("sales_qty").cast("bigint") * F.col("_mult_small")).alias("_q"))
+        F.sum("member_qty").alias("_q"))
     per_key = large_dim_multiplier(per_key, dims, params)
     return per_key.groupBy("parent_order_id").agg(
         F.sum(F.col("_q") * F.col("_mult_large")).alias("pieces"))

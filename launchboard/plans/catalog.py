@@ -38,6 +38,10 @@ def _rank_slice(label: str) -> Query:
     return q
 
 
+def _order_dedup(spark, sf_dir):
+    return _prepared(spark, sf_dir).rank_orders
+
+
 def _kpi(label: str) -> Query:
     return lambda spark, sf_dir: S.kpi_launch_window(_prepared(spark, sf_dir), (label,))
 
@@ -65,7 +69,7 @@ QUERIES: dict[str, Query] = {
                                                   _inputs(s, d).focus_sku),
     "fact_enriched": lambda s, d: FT.fact_enriched(_inputs(s, d), ANALYST_DEFAULTS),
     # lifetime ranking
-    "order_dedup": lambda s, d: RK.rank_orders(_lines(s, d)),
+    "order_dedup": _order_dedup,
     "order_rank": lambda s, d: RK.order_rank(RK.rank_orders(_lines(s, d))),
     "rank_lifetime_lcs": _rank_slice("LCS"),
     "rank_lifetime_tmall": _rank_slice("TMALL"),

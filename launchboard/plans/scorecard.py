@@ -1,11 +1,12 @@
 """Assembly of the two dashboard tables.
 
 ``prepare`` builds the shared relations once: admitted lines, dimensions,
-the order-level rank flags and order pieces. Both scorecards and the
-benchmarks read them; with ``materialize=True`` the two order-level
-relations are checkpointed to the shared checkpoint folder so that writing
-both tables does not recompute them (and lineage is cut, so a lost executor
-does not replay the fact scan).
+the order summary (one scan of the fact, reduced to order grain), and from
+it the rank flags and order pieces. KPIs scan the fact a second time for
+the tracked SKUs only. With ``materialize=True`` the order-level relations
+are checkpointed to the shared checkpoint folder: writing both tables then
+reads the fact twice in total, and a lost executor does not replay the
+fact scan (lineage is cut).
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from launchboard.operators import benchmark as B
 from launchboard.operators import kpi as K
 from launchboard.operators import ranks as RK
 from launchboard.operators.fact import Dims, admitted_lines, build_dims
+from launchboard.operators.orders import order_summary
 from launchboard.operators.upt import order_pieces
 from launchboard.plans.session import checkpoint_dir
 from launchboard.sources.tables import Inputs
@@ -31,6 +33,7 @@ class Prepared:
     params: RunParams
     dims: Dims
     lines: DataFrame
+    summary: DataFrame
     rank_orders: DataFrame
     rank_flags: DataFrame
     pieces: DataFrame
@@ -40,14 +43,17 @@ def prepare(inputs: Inputs, params: RunParams = C.ANALYST_DEFAULTS,
             materialize: bool = False) -> Prepared:
     dims = build_dims(inputs, params)
     lines = admitted_lines(inputs.order_line, params)
-    orders = RK.rank_orders(lines)
+    summary = order_summary(lines, dims, params)
+    if materialize:
+        checkpoint_dir(summary.sparkSession)
+        summary = summary.checkpoint(eager=True)
+    orders = RK.rank_orders_from_summary(summary)
     flags = RK.order_rank_flags(orders)
-    pieces = order_pieces(lines, dims, params)
+    pieces = order_pieces(summary, dims, params)
     if materialize:
-        checkpoint_dir(flags.sparkSession)
         flags = flags.checkpoint(eager=True)
         pieces = pieces.checkpoint(eager=True)
-    return Prepared(params, dims, lines, orders, flags, pieces)
+    return Prepared(params, dims, lines, summary, orders, flags, pieces)
 
 
 def _specs(params: RunParams, labels):
@@ -66,7 +72,7 @@ def kpi_launch_week(p: Prepared, labels: tuple[str, ...] | None = None) -> DataF
 
 def benchmark_all(p: Prepared, labels: tuple[str, ...] | None = None) -> DataFrame:
     specs = tuple(s for s in p.params.benchmark_specs if labels is None or s.label in labels)
-    return B.benchmarks(p.lines, p.dims, p.rank_flags, p.params, specs).select(*B.BENCH_OUTPUT)
+    return B.benchmarks(p.summary, p.dims, p.rank_flags, p.params, specs).select(*B.BENCH_OUTPUT)
 
 
 def scorecard_8w(p: Prepared) -> DataFrame:
