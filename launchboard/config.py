@@ -149,15 +149,12 @@ class RunParams:
                            (the dashboard uses the current date)
     max_broadcast_rows:    dimension sides at or under this row count are
                            broadcast; larger ones take a shuffle join
-    max_period_days:       size bound (rows) for broadcasting the day-exploded
-                           benchmark periods
     null_key_spread:       NULL join keys are spread over this many buckets
                            instead of landing in one shuffle partition
     """
 
     as_of: dt.date | None = None
     max_broadcast_rows: int = 2_000_000
-    max_period_day_rows: int = 5_000_000
     null_key_spread: int = 64
     kpi_specs: tuple[KpiSpec, ...] = field(default=KPI_SPECS)
     benchmark_specs: tuple[BenchmarkSpec, ...] = field(default=BENCHMARK_SPECS)

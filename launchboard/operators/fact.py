@@ -19,7 +19,7 @@ from launchboard import config as C
 from launchboard.config import RunParams
 from launchboard.functions import rules as R
 from launchboard.operators import dims as D
-from launchboard.operators.joins import broadcast_if, is_bounded, left_join_spread_nulls
+from launchboard.operators.joins import bounded_many, broadcast_if, left_join_spread_nulls
 from launchboard.sources.tables import Inputs
 
 LINE_COLUMNS = (
@@ -57,7 +57,11 @@ def build_member(member: DataFrame) -> DataFrame:
         F.to_date("join_time").alias("join_date"), "eff_reg_channel")
 
 
-def build_dims(inputs: Inputs, params: RunParams) -> Dims:
+def build_dims(inputs: Inputs, params: RunParams, materialize: bool = False) -> Dims:
+    """Dimensions of one run. Product, calendar, city and focus list are
+    size-checked together (one job); those proven small are broadcast, and
+    with ``materialize`` checkpointed once so that every later use reads a
+    tiny file instead of re-deriving them."""
     cap = params.max_broadcast_rows
     small_dims = {
         "product": D.dim_product(inputs.product),
@@ -65,7 +69,10 @@ def build_dims(inputs: Inputs, params: RunParams) -> Dims:
         "city": D.city_maturity(inputs.store, inputs.city_type),
         "focus": inputs.focus_sku,
     }
-    small = {k: is_bounded(v, cap) for k, v in small_dims.items()}
+    small = bounded_many(small_dims, cap)
+    if materialize:
+        small_dims = {k: (v.checkpoint(eager=True) if small[k] else v)
+                      for k, v in small_dims.items()}
     b = {k: broadcast_if(v, small[k]) for k, v in small_dims.items()}
     return Dims(
         product=b["product"], calendar=b["calendar"], city=b["city"],

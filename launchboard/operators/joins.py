@@ -15,6 +15,20 @@ def is_bounded(df: DataFrame, max_rows: int) -> bool:
     return max_rows > 0 and df.limit(max_rows + 1).count() <= max_rows
 
 
+def bounded_many(dfs: dict[str, DataFrame], max_rows: int) -> dict[str, bool]:
+    """``is_bounded`` for several relations in one job (each side is cut at
+    max_rows + 1 rows; one count row per relation reaches the driver)."""
+    if max_rows <= 0 or not dfs:
+        return {k: False for k in dfs}
+    parts = [df.limit(max_rows + 1).select(F.lit(k).alias("_rel")) for k, df in dfs.items()]
+    stacked = parts[0]
+    for p in parts[1:]:
+        stacked = stacked.unionByName(p)
+    counts = {r["_rel"]: r["n"] for r in stacked.groupBy("_rel").agg(
+        F.count(F.lit(1)).alias("n")).collect()}
+    return {k: counts.get(k, 0) <= max_rows for k in dfs}
+
+
 def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
     """Broadcast ``df`` only when its row count is proven to be at most
     ``max_rows``; otherwise return it unchanged so the planner picks a

@@ -34,8 +34,7 @@ from pyspark.sql import functions as F
 
 
 def range_distinct_counts(occurrences: DataFrame, periods: DataFrame, group_cols: list[str],
-                          entity: str, day: str, counters: list[str],
-                          max_start_day_rows: int | None = None) -> DataFrame:
+                          entity: str, day: str, counters: list[str]) -> DataFrame:
     """
     occurrences: group_cols + entity + day + one boolean column per counter
                  (the entity occurs for that counter on that day)
@@ -45,14 +44,11 @@ def range_distinct_counts(occurrences: DataFrame, periods: DataFrame, group_cols
                  start > end get 0
     """
     g = list(group_cols)
-    per_counter = []
-    for c in counters:
-        occ = (occurrences.where(F.col(c)).select(*g, entity, day).distinct()
-               .withColumn("_counter", F.lit(c)))
-        per_counter.append(occ)
-    occ = per_counter[0]
-    for o in per_counter[1:]:
-        occ = occ.unionByName(o)
+    # one row per (counter that holds, entity, day): one explode, one distinct
+    holds = F.filter(F.array(*[F.when(F.col(c), F.lit(c)) for c in counters]),
+                     lambda v: v.isNotNull())
+    occ = (occurrences.select(*g, entity, day, F.explode(holds).alias("_counter"))
+           .distinct())
     by_entity = Window.partitionBy(*g, "_counter", entity).orderBy(day)
     occ = occ.withColumn("_prev", F.lag(day).over(by_entity))
     hist = occ.groupBy(*g, F.col(day).alias("_day"), "_prev").agg(

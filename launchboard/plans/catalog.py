@@ -25,7 +25,7 @@ def _inputs(spark: SparkSession, sf_dir: str) -> Inputs:
 
 
 def _prepared(spark: SparkSession, sf_dir: str, params: RunParams = ANALYST_DEFAULTS):
-    return S.prepare(_inputs(spark, sf_dir), params)
+    return S.prepare(_inputs(spark, sf_dir), params, materialize=True)
 
 
 def _lines(spark, sf_dir):

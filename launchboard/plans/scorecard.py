@@ -41,11 +41,12 @@ class Prepared:
 
 def prepare(inputs: Inputs, params: RunParams = C.ANALYST_DEFAULTS,
             materialize: bool = False) -> Prepared:
-    dims = build_dims(inputs, params)
+    if materialize:
+        checkpoint_dir(inputs.order_line.sparkSession)
+    dims = build_dims(inputs, params, materialize=materialize)
     lines = admitted_lines(inputs.order_line, params)
     summary = order_summary(lines, dims, params)
     if materialize:
-        checkpoint_dir(summary.sparkSession)
         summary = summary.checkpoint(eager=True)
     orders = RK.rank_orders_from_summary(summary)
     flags = RK.order_rank_flags(orders)

