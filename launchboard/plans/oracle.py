@@ -181,7 +181,7 @@ LEFT JOIN dim_product p ON t.sku_id = p.sku_id
 LEFT JOIN cal_day c ON t.order_paid_date = c.date_id
 LEFT JOIN city_maturity cm ON t.city_cn = cm.city_cn
 WHERE t.source_channel IN ('LCS', 'TMALL', 'DOUYIN', 'DOUYIN_B2B')
-  AND CAST(t.order_paid_date AS DATE) < {AS_OF}
+  AND CAST(t.order_paid_date AS DATE) < __AS_OF__
   AND ((t.source_channel = 'LCS' AND t.sales_type <> 3)
        OR (t.source_channel IN ('TMALL', 'DOUYIN', 'DOUYIN_B2B') AND t.order_type = 'normal'))
 """)
@@ -217,7 +217,7 @@ SELECT CASE WHEN source_channel IN ('DOUYIN', 'DOUYIN_B2B') THEN 'DOUYIN' ELSE s
        is_member_order, order_rrp_amt
 FROM order_line
 WHERE source_channel IN ('LCS', 'TMALL', 'DOUYIN', 'DOUYIN_B2B')
-  AND CAST(order_paid_date AS DATE) < {AS_OF}
+  AND CAST(order_paid_date AS DATE) < __AS_OF__
   AND ((source_channel = 'LCS' AND sales_type <> 3)
        OR (source_channel IN ('TMALL', 'DOUYIN', 'DOUYIN_B2B') AND order_type = 'normal'))
 """)
@@ -328,11 +328,19 @@ GROUP BY p.branch, p.launch_date, p.tracking_end_date
 """
 
 
+INPUT_NAMES = ("order_line", "member", "shopper_binding", "product", "calendar", "store",
+               "city_type", "focus_sku")
+
+# When True, the eight inputs are taken as existing tables/views (hand-made
+# test inputs) instead of being derived from the driver's tables.
+INPUTS_AS_VIEWS = False
+
+
 def _with(deps: tuple[str, ...], extra: list[tuple[str, str]], body: str) -> str:
     order: list[str] = []
 
     def visit(n: str) -> None:
-        if n in order:
+        if n in order or (INPUTS_AS_VIEWS and n in INPUT_NAMES):
             return
         for d in _CTES[n][0]:
             visit(d)
@@ -342,7 +350,8 @@ def _with(deps: tuple[str, ...], extra: list[tuple[str, str]], body: str) -> str
         visit(d)
     parts = [f"{n} AS (\n{_CTES[n][1]}\n)" for n in order]
     parts += [f"{n} AS (\n{b.strip()}\n)" for n, b in extra]
-    return "WITH " + ",\n".join(parts) + "\n" + body.strip()
+    sql = body.strip() if not parts else "WITH " + ",\n".join(parts) + "\n" + body.strip()
+    return sql.replace("__AS_OF__", AS_OF)
 
 
 def select_from(cte: str, columns: str = "*", where: str = "") -> str:
