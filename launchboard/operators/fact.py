@@ -57,11 +57,11 @@ def build_member(member: DataFrame) -> DataFrame:
         F.to_date("join_time").alias("join_date"), "eff_reg_channel")
 
 
-def build_dims(inputs: Inputs, params: RunParams, materialize: bool = False) -> Dims:
+def build_dims(inputs: Inputs, params: RunParams, keep=None) -> Dims:
     """Dimensions of one run. Product, calendar, city and focus list are
     size-checked together (one job); those proven small are broadcast, and
-    with ``materialize`` checkpointed once so that every later use reads a
-    tiny file instead of re-deriving them."""
+    with ``keep`` (a materializer) written once so that every later use reads
+    a tiny file instead of re-deriving them."""
     cap = params.max_broadcast_rows
     small_dims = {
         "product": D.dim_product(inputs.product),
@@ -70,8 +70,8 @@ def build_dims(inputs: Inputs, params: RunParams, materialize: bool = False) ->
         "focus": inputs.focus_sku,
     }
     small = bounded_many(small_dims, cap)
-    if materialize:
-        small_dims = {k: (v.checkpoint(eager=True) if small[k] else v)
+    if keep is not None:
+        small_dims = {k: (keep(v, f"dim_{k}") if small[k] else v)
                       for k, v in small_dims.items()}
     b = {k: broadcast_if(v, small[k]) for k, v in small_dims.items()}
     return Dims(

@@ -3,14 +3,16 @@
 ``prepare`` builds the shared relations once: admitted lines, dimensions,
 the order summary (one scan of the fact, reduced to order grain), and from
 it the rank flags and order pieces. KPIs scan the fact a second time for
-the tracked SKUs only. With ``materialize=True`` the order-level relations
-are checkpointed to the shared checkpoint folder: writing both tables then
-reads the fact twice in total, and a lost executor does not replay the
-fact scan (lineage is cut).
+the tracked SKUs only. With ``materialize=True`` the small dimensions and
+the order-level relations are written once as Parquet into the shared
+checkpoint folder and read back: writing both tables then reads the fact
+twice in total, and a lost executor does not replay the fact scan (lineage
+is cut).
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -24,7 +26,7 @@ from launchboard.operators import ranks as RK
 from launchboard.operators.fact import Dims, admitted_lines, build_dims
 from launchboard.operators.orders import order_summary
 from launchboard.operators.upt import order_pieces
-from launchboard.plans.session import checkpoint_dir
+from launchboard.plans.session import materialize as materialize_df
 from launchboard.sources.tables import Inputs
 
 
@@ -41,19 +43,19 @@ class Prepared:
 
 def prepare(inputs: Inputs, params: RunParams = C.ANALYST_DEFAULTS,
             materialize: bool = False) -> Prepared:
-    if materialize:
-        checkpoint_dir(inputs.order_line.sparkSession)
-    dims = build_dims(inputs, params, materialize=materialize)
+    run_id = uuid.uuid4().hex
+    keep = (lambda df, name: materialize_df(df, name, run_id)) if materialize else None
+    dims = build_dims(inputs, params, keep=keep)
     lines = admitted_lines(inputs.order_line, params)
     summary = order_summary(lines, dims, params)
-    if materialize:
-        summary = summary.checkpoint(eager=True)
+    if keep:
+        summary = keep(summary, "order_summary")
     orders = RK.rank_orders_from_summary(summary)
     flags = RK.order_rank_flags(orders)
     pieces = order_pieces(summary, dims, params)
-    if materialize:
-        flags = flags.checkpoint(eager=True)
-        pieces = pieces.checkpoint(eager=True)
+    if keep:
+        flags = keep(flags, "rank_flags")
+        pieces = keep(pieces, "order_pieces")
     return Prepared(params, dims, lines, summary, orders, flags, pieces)
 
 

@@ -69,3 +69,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="launchboard-ckpt-", dir=os.environ.get("TMPDIR"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def materialize(df, name: str, run_id: str):
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it
+    back: one computation, lineage cut, and the result survives executor loss.
+    ``run_id`` keeps concurrent runs apart."""
+    base = checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/launchboard/{run_id}/{name}"
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

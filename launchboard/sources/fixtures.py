@@ -26,20 +26,10 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     key = (id(spark._jsparkSession), path)
     if key not in _READ_CACHE:
-        df = spark.read.parquet(path)
-        # The test files are single row groups, so each scans as one task.
-        # Spread such small inputs over the cores (tables with enough splits,
-        # as any production table, are left as they are).
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores and name in _SPREAD:
-            df = df.repartition(cores)
-        _READ_CACHE[key] = df
+        _READ_CACHE[key] = spark.read.parquet(path)
     return _READ_CACHE[key]
 
 
-_SPREAD = {"lineitem", "orders"}
-
-
 def _days_after(base: str, n: Column) -> Column:
     return F.date_add(F.lit(base).cast("date"), n.cast("int"))
 
