@@ -7,8 +7,9 @@ joined on or after the sold SKU's launch), existing 0-1 (rk = 1, joined
 before) and repurchasers (rk >= 2).
 
 The order summary (one row per order, member and day, with the earliest and
-latest launch date of the sold SKUs) is fanned out to the branches; the
-member join dates and the rank flags are joined at that order level. The
+latest launch date of the sold SKUs) gets the members' join dates, is fanned
+out to the branches, reduced per (order, member, day) and joined once with
+the order-level rank flags, all at order grain. The
 distinct counts over many overlapping periods come from
 ``range_count.range_distinct_counts``.
 """
@@ -22,6 +23,7 @@ from launchboard import config as C
 from launchboard.config import BenchmarkSpec, RunParams
 from launchboard.functions import rules as R
 from launchboard.operators.dims import focus_periods
+from launchboard.operators import ranks as RK
 from launchboard.operators.fact import Dims
 from launchboard.operators.joins import left_join_spread_nulls
 from launchboard.operators.range_count import range_distinct_counts
@@ -44,31 +46,35 @@ def benchmark_periods(dims: Dims, specs: tuple[BenchmarkSpec, ...]) -> DataFrame
     return x.select("_spec.source_channel", "_spec.start", F.col("tracking_end_date").alias("end"))
 
 
-def occurrences(summary: DataFrame, dims: Dims, rank_flags: DataFrame, params: RunParams,
+def occurrences(summary: DataFrame, dims: Dims, info: DataFrame, params: RunParams,
                 specs: tuple[BenchmarkSpec, ...]) -> DataFrame:
     """(source_channel, member_id, day, elig, pure_new, existing, repurchase)
-    from the order summary."""
+    from the order summary; ``info`` is ``ranks.order_info``."""
     e = summary.where(F.col("has_elig") & F.col("member_id").isNotNull())
+    joins = dims.member.where(F.col("member_key").isNotNull()).groupBy("member_key").agg(
+        F.min("join_date").alias("_jmin"), F.max("join_date").alias("_jmax"))
+    e = left_join_spread_nulls(e, F.col("crm_key"), [(joins, "member_key")],
+                               params.null_key_spread, ["parent_order_id", "member_id"])
     structs = []
     for s in specs:
+        # some sold SKU launched on/before (after) a member row's join date
         st = F.struct(F.lit(s.label).alias("branch"), F.lit(s.rank_slice).alias("slice"),
-                      F.col(f"{s.launch_cmp}_min").alias("lmin"),
-                      F.col(f"{s.launch_cmp}_max").alias("lmax"))
+                      R.is_true(F.col(f"{s.launch_cmp}_min") <= F.col("_jmax")).alias("le"),
+                      R.is_true(F.col(f"{s.launch_cmp}_max") > F.col("_jmin")).alias("gt"))
         structs.append(st if s.rows is None else F.when(F.col("source_channel") == s.rows, st))
-    x = _explode_specs(e, structs).select(
-        "_spec.branch", "_spec.slice", "parent_order_id", "member_id", "crm_key", "day",
-        "_spec.lmin", "_spec.lmax")
-    x = x.groupBy("branch", "slice", "parent_order_id", "member_id", "crm_key", "day").agg(
-        F.min("lmin").alias("_lmin"), F.max("lmax").alias("_lmax"))
-    joins = dims.member.where(F.col("member_key").isNotNull()).groupBy("member_key").agg(
-        F.min("join_date").alias("_jmin"), F.max("join_date").alias("_jmax"))
-    x = left_join_spread_nulls(x, F.col("crm_key"), [(joins, "member_key")],
-                               params.null_key_spread, ["parent_order_id", "member_id"])
-    x = x.groupBy("branch", "slice", "parent_order_id", "member_id", "day").agg(
-        F.max(R.is_true(F.col("_lmin") <= F.col("_jmax"))).alias("_le"),
-        F.max(R.is_true(F.col("_lmax") > F.col("_jmin"))).alias("_gt"))
-    x = x.join(rank_flags, ["slice", "parent_order_id"], "left")
-    first, repeat = R.is_true("any_first"), R.is_true("any_repeat")
+    x = _explode_specs(e, structs).select("_spec.*", "parent_order_id", "member_id", "day")
+    # partitioned by order once: the aggregation and the order join reuse it
+    x = x.repartition("parent_order_id").groupBy(
+        "parent_order_id", "branch", "slice", "member_id", "day").agg(
+        F.max("le").alias("_le"), F.max("gt").alias("_gt"))
+    x = x.join(info, "parent_order_id", "left")
+    first = repeat = None
+    for sl in {s.rank_slice for s in specs}:
+        _, f_col, r_col = RK.flag_columns(sl)
+        pick = F.col("slice") == sl
+        first = F.when(pick, F.col(f_col)) if first is None else first.when(pick, F.col(f_col))
+        repeat = F.when(pick, F.col(r_col)) if repeat is None else repeat.when(pick, F.col(r_col))
+    first, repeat = R.is_true(first), R.is_true(repeat)
     return x.select(F.col("branch").alias("source_channel"), "member_id", "day",
                     F.lit(True).alias("elig"),
                     (first & F.col("_le")).alias("pure_new"),
@@ -76,9 +82,9 @@ def occurrences(summary: DataFrame, dims: Dims, rank_flags: DataFrame, params: R
                     repeat.alias("repurchase"))
 
 
-def benchmarks(summary: DataFrame, dims: Dims, rank_flags: DataFrame, params: RunParams,
+def benchmarks(summary: DataFrame, dims: Dims, info: DataFrame, params: RunParams,
                specs: tuple[BenchmarkSpec, ...] = C.BENCHMARK_SPECS) -> DataFrame:
-    occ = occurrences(summary, dims, rank_flags, params, specs)
+    occ = occurrences(summary, dims, info, params, specs)
     counts = range_distinct_counts(occ, benchmark_periods(dims, specs), ["source_channel"],
                                    "member_id", "day", COUNTERS)
     return counts.select(

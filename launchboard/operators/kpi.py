@@ -7,7 +7,8 @@ One generic builder runs every branch of ``config.KPI_SPECS``. Plan:
    map-side before any shuffle).
 2. Each branch keeps its lines from its own launch day on and joins the
    focus list (SKU equal, paid date not after the tracking end).
-3. Rank flags and order pieces are joined by order (order-level relations).
+3. Rank flags (of every slice, side by side) and order pieces come from one
+   order-level relation, joined once on the order id.
 4. Distinct counts are taken in two levels instead of six COUNT(DISTINCT)
    expressions (which Spark would expand into seven copies of every row):
    members are reduced to (keys, member) with per-member flags, orders to
@@ -24,6 +25,7 @@ from launchboard import config as C
 from launchboard.config import KpiSpec, RunParams
 from launchboard.functions import rules as R
 from launchboard.operators.fact import Dims, enrich, with_product
+from launchboard.operators import ranks as RK
 from launchboard.operators.joins import broadcast_if
 
 WINDOW_KEYS = ("source_channel", "sku_id", "sku_name", "product_line", "launch_date",
@@ -48,35 +50,39 @@ def tracked_lines(lines: DataFrame, dims: Dims, params: RunParams) -> DataFrame:
 
 LINE_COLS = ["order_paid_date", "parent_order_id", "member_id", "sku_id", "sku_name",
              "product_line", "rsp", "price_band", "age_mark", "kids_vs_adult", "fiscal_year",
-             "fiscal_week", "sales_qty", "if_eff_order_tag", "is_member_order", "order_rrp_amt"]
+             "fiscal_week", "sales_qty", "if_eff_order_tag", "is_member_order", "order_rrp_amt",
+             "pieces"]
 
 
-def branch_rows(enriched: DataFrame, specs: tuple[KpiSpec, ...]) -> DataFrame:
+def branch_rows(rows: DataFrame, specs: tuple[KpiSpec, ...]) -> DataFrame:
     """Each line once per branch it feeds (its channel's branch and OMNI),
-    from one pass (``explode``), from the branch's own launch day on."""
+    from one pass (``explode``), from the branch's own launch day on. Each
+    branch takes the rank flags of its own slice from the order columns."""
     structs = []
     for s in specs:
         cond = F.col("order_paid_date") >= F.col(s.launch)
         if s.rows is not None:
             cond = cond & (F.col("source_channel") == s.rows)
+        n, first, repeat = RK.flag_columns(s.rank_slice)
         structs.append(F.when(cond, F.struct(
-            F.lit(s.label).alias("source_channel"), F.lit(s.rank_slice).alias("slice"),
+            F.lit(s.label).alias("source_channel"),
             F.col(s.launch).alias("launch_date"), F.col(s.joined).alias("joined_date"),
-            F.col(s.launch_cmp).alias("launch_cmp"))))
+            F.col(s.launch_cmp).alias("launch_cmp"), F.col(n).alias("n_rank"),
+            F.col(first).alias("any_first"), F.col(repeat).alias("any_repeat"))))
     arr = F.filter(F.array(*structs), lambda v: v.isNotNull())
-    x = enriched.select(*LINE_COLS, F.explode(arr).alias("_b"))
+    x = rows.select(*LINE_COLS, F.explode(arr).alias("_b"))
     return x.select("_b.*", *LINE_COLS)
 
 
-def kpi_rows(lines: DataFrame, dims: Dims, rank_flags: DataFrame, pieces: DataFrame,
-             params: RunParams, specs: tuple[KpiSpec, ...]) -> DataFrame:
-    """Line rows of all branches with tracking end, rank flags and pieces."""
-    b = branch_rows(tracked_lines(lines, dims, params), specs)
+def kpi_rows(lines: DataFrame, dims: Dims, info: DataFrame, params: RunParams,
+             specs: tuple[KpiSpec, ...]) -> DataFrame:
+    """Line rows of all branches with tracking end, rank flags and pieces.
+    ``info`` is ``ranks.order_info`` (one row per order): a single join."""
+    t = tracked_lines(lines, dims, params).join(info, "parent_order_id", "left")
+    b = branch_rows(t, specs)
     focus = dims.focus.select(F.col("sku_id").alias("_fsku"), "tracking_end_date")
-    b = b.join(focus, (F.col("sku_id") == F.col("_fsku"))
-               & (F.col("order_paid_date") <= F.col("tracking_end_date"))).drop("_fsku")
-    b = b.join(rank_flags, ["slice", "parent_order_id"], "left")
-    return b.join(pieces, "parent_order_id", "left")
+    return b.join(focus, (F.col("sku_id") == F.col("_fsku"))
+                  & (F.col("order_paid_date") <= F.col("tracking_end_date"))).drop("_fsku")
 
 
 def aggregate(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:

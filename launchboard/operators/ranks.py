@@ -105,3 +105,24 @@ def order_rank_flags(orders: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_rank"),
         F.max(F.col("is_first")).alias("any_first"),
         F.max(~F.col("is_first")).alias("any_repeat"))
+
+
+def flag_columns(slice_label: str) -> tuple[str, str, str]:
+    """Names of the per-slice columns of ``order_info``."""
+    return (f"n_rank_{slice_label}", f"any_first_{slice_label}", f"any_repeat_{slice_label}")
+
+
+def order_info(rank_flags: DataFrame, pieces: DataFrame,
+               slices: tuple[str, ...] = C.RANK_SLICES) -> DataFrame:
+    """One row per order: the rank flags of every slice side by side, and the
+    order pieces. Consumers join it once, on parent_order_id alone, and pick
+    the columns of their slice (instead of two joins on different keys)."""
+    aggs = []
+    for s in slices:
+        n, first, repeat = flag_columns(s)
+        in_slice = F.col("slice") == s
+        aggs += [F.max(F.when(in_slice, F.col("n_rank"))).alias(n),
+                 F.max(F.when(in_slice, F.col("any_first"))).alias(first),
+                 F.max(F.when(in_slice, F.col("any_repeat"))).alias(repeat)]
+    flags = rank_flags.groupBy("parent_order_id").agg(*aggs)
+    return flags.join(pieces, "parent_order_id", "full")

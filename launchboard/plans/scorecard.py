@@ -39,6 +39,7 @@ class Prepared:
     rank_orders: DataFrame
     rank_flags: DataFrame
     pieces: DataFrame
+    info: DataFrame
 
 
 def prepare(inputs: Inputs, params: RunParams = C.ANALYST_DEFAULTS,
@@ -53,10 +54,10 @@ def prepare(inputs: Inputs, params: RunParams = C.ANALYST_DEFAULTS,
     orders = RK.rank_orders_from_summary(summary)
     flags = RK.order_rank_flags(orders)
     pieces = order_pieces(summary, dims, params)
+    info = RK.order_info(flags, pieces)
     if keep:
-        flags = keep(flags, "rank_flags")
-        pieces = keep(pieces, "order_pieces")
-    return Prepared(params, dims, lines, summary, orders, flags, pieces)
+        info = keep(info, "order_info")
+    return Prepared(params, dims, lines, summary, orders, flags, pieces, info)
 
 
 def _specs(params: RunParams, labels):
@@ -64,18 +65,18 @@ def _specs(params: RunParams, labels):
 
 
 def kpi_launch_window(p: Prepared, labels: tuple[str, ...] | None = None) -> DataFrame:
-    rows = K.kpi_rows(p.lines, p.dims, p.rank_flags, p.pieces, p.params, _specs(p.params, labels))
+    rows = K.kpi_rows(p.lines, p.dims, p.info, p.params, _specs(p.params, labels))
     return K.aggregate(rows, K.WINDOW_KEYS).select(*K.KPI_OUTPUT)
 
 
 def kpi_launch_week(p: Prepared, labels: tuple[str, ...] | None = None) -> DataFrame:
-    rows = K.kpi_rows(p.lines, p.dims, p.rank_flags, p.pieces, p.params, _specs(p.params, labels))
+    rows = K.kpi_rows(p.lines, p.dims, p.info, p.params, _specs(p.params, labels))
     return K.aggregate(rows, K.WEEK_KEYS).select(*K.KPI_WEEK_OUTPUT)
 
 
 def benchmark_all(p: Prepared, labels: tuple[str, ...] | None = None) -> DataFrame:
     specs = tuple(s for s in p.params.benchmark_specs if labels is None or s.label in labels)
-    return B.benchmarks(p.summary, p.dims, p.rank_flags, p.params, specs).select(*B.BENCH_OUTPUT)
+    return B.benchmarks(p.summary, p.dims, p.info, p.params, specs).select(*B.BENCH_OUTPUT)
 
 
 def scorecard_8w(p: Prepared) -> DataFrame:
