@@ -133,14 +133,6 @@ BENCHMARK_SPECS: tuple[BenchmarkSpec, ...] = (
 RANK_SLICES = ("LCS", "TMALL", "DOUYIN", "OMNI")
 
 
-def kpi_spec(label: str) -> KpiSpec:
-    return next(s for s in KPI_SPECS if s.label == label)
-
-
-def benchmark_spec(label: str) -> BenchmarkSpec:
-    return next(s for s in BENCHMARK_SPECS if s.label == label)
-
-
 @dataclass(frozen=True)
 class RunParams:
     """Parameters of one scorecard run.

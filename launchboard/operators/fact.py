@@ -22,12 +22,6 @@ from launchboard.operators import dims as D
 from launchboard.operators.joins import bounded_many, broadcast_if, left_join_spread_nulls
 from launchboard.sources.tables import Inputs
 
-LINE_COLUMNS = (
-    "source_channel", "order_paid_time", "order_paid_date", "member_id", "crm_key",
-    "type_value", "parent_order_id", "sku_id", "city_cn", "city_tier", "sales_qty",
-    "if_eff_order_tag", "is_member_order", "order_rrp_amt",
-)
-
 FACT_COLUMNS = (
     "source_channel", "order_paid_time", "order_paid_date", "fiscal_year", "fiscal_month",
     "fiscal_week", "member_id", "member_detail_id", "join_date", "tmall_bind_date",

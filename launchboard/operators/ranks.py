@@ -27,10 +27,6 @@ from launchboard import config as C
 from launchboard.functions.rules import is_true
 
 
-def eligible_member_lines(lines: DataFrame) -> DataFrame:
-    return lines.where(is_true("if_eff_order_tag") & is_true("is_member_order"))
-
-
 def rank_orders(rows: DataFrame, slices: tuple[str, ...] = C.RANK_SLICES,
                 time_col: str = "order_paid_time", eligible: Column | None = None) -> DataFrame:
     """(slice, parent_order_id, member_id, order_paid_time): one row per

@@ -43,8 +43,10 @@ class Prepared:
 
 
 def prepare(inputs: Inputs, params: RunParams = C.ANALYST_DEFAULTS,
-            materialize: bool = False) -> Prepared:
-    run_id = uuid.uuid4().hex
+            materialize: bool = False, run_id: str | None = None) -> Prepared:
+    """``run_id`` names the scratch folder of the written relations (a fresh
+    one by default; a fixed one is overwritten by the next run)."""
+    run_id = run_id or uuid.uuid4().hex
     keep = (lambda df, name: materialize_df(df, name, run_id)) if materialize else None
     dims = build_dims(inputs, params, keep=keep)
     lines = admitted_lines(inputs.order_line, params)
