@@ -75,7 +75,12 @@ def materialize(df, name: str, run_id: str):
     """Write ``df`` as Parquet under the shared checkpoint folder and read it
     back: one computation, lineage cut, and the result survives executor loss.
     ``run_id`` keeps concurrent runs apart."""
-    base = checkpoint_dir(df.sparkSession).rstrip("/")
-    path = f"{base}/launchboard/{run_id}/{name}"
+    spark = df.sparkSession
+    # the shared root named by the cluster (not the per-application folder
+    # SparkContext creates under it), so a fixed run_id is reused across jobs
+    root = (spark.conf.get("spark.checkpoint.dir", None)
+            or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+            or checkpoint_dir(spark))
+    path = f"{root.rstrip('/')}/launchboard/{run_id}/{name}"
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
