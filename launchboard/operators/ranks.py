@@ -8,9 +8,9 @@ or tracking filter comes first).
 Two forms:
 
 * ``order_rank`` gives the exact row number. It never sorts all orders of a
-  member in one task: orders are counted per (slice, member, day) first, a
-  window over those day counts (at most one row per day per member) gives the
-  number of earlier orders, and the row number is taken within the day only.
+  member in one task: the orders are range-partitioned on the full sort key,
+  numbered within each partition, and shifted by the member's row count in
+  earlier partitions (see the function).
 * ``rank_classes`` gives what the scorecards consume: whether the order is
   the member's first (rk = 1) or a later one (rk >= 2). The first order of
   each member is a plain ``min`` aggregate (combined map-side, so a member
@@ -51,24 +51,43 @@ def rank_orders_from_summary(summary: DataFrame,
     return rank_orders(summary, slices, time_col="elig_time", eligible=F.col("has_elig"))
 
 
-def order_rank(orders: DataFrame) -> DataFrame:
+def order_rank(orders: DataFrame, partitions: int | None = None) -> DataFrame:
     """Exact ``rk`` = ROW_NUMBER() over (slice, member) by (paid time asc
-    nulls last, order id asc nulls last)."""
-    o = orders.withColumn("day", F.to_date("order_paid_time"))
-    per_day = o.groupBy("slice", "member_id", "day").agg(F.count(F.lit(1)).alias("n"))
-    earlier = (Window.partitionBy("slice", "member_id")
-               .orderBy(F.col("day").asc_nulls_last())
-               .rowsBetween(Window.unboundedPreceding, -1))
-    per_day = per_day.select(
-        F.col("slice").alias("_s"), F.col("member_id").alias("_m"), F.col("day").alias("_d"),
-        F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_before"))
-    j = o.join(per_day, (o.slice == per_day._s) & o.member_id.eqNullSafe(per_day._m)
-               & o.day.eqNullSafe(per_day._d))
-    within_day = (Window.partitionBy("slice", "member_id", "day")
-                  .orderBy(F.col("order_paid_time").asc_nulls_last(),
-                           F.col("parent_order_id").asc_nulls_last()))
+    nulls last, order id asc nulls last), without any task holding more than
+    one range partition of rows, however many orders one member has.
+
+    1. Range-partition on the full sort key (slice, member, time, order). The
+       key is unique, so sampling splits even a member with a third of all
+       orders across many partitions, each a contiguous key range.
+    2. Row number within (partition, slice, member): at most one partition's
+       rows per window.
+    3. A member continuing from earlier partitions is the first group of
+       every later partition it reaches, so at most one offset row exists per
+       partition: count the member's rows in earlier partitions (a window over
+       per-partition counts, one row per partition spanned) and broadcast the
+       offsets (bounded by the partition count).
+    """
+    spark = orders.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    t, o = F.col("order_paid_time"), F.col("parent_order_id")
+    key = [F.col("slice"), F.col("member_id").isNull(), F.col("member_id"),
+           t.isNull(), t, o.isNull(), o]
+    ranged = orders.repartitionByRange(n, *key).withColumn("_pid", F.spark_partition_id())
+    local = Window.partitionBy("_pid", "slice", "member_id").orderBy(*key)
+    ranked = ranged.withColumn("_local", F.row_number().over(local))
+    counts = ranged.groupBy("_pid", "slice", "member_id").agg(F.count(F.lit(1)).alias("_n"))
+    before = (Window.partitionBy("slice", "member_id").orderBy("_pid")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    offsets = (counts.withColumn("_offset", F.sum("_n").over(before))
+               .where(F.col("_offset") > 0)
+               .select(F.col("_pid").alias("_opid"), F.col("slice").alias("_os"),
+                       F.col("member_id").alias("_om"), "_offset"))
+    j = ranked.join(F.broadcast(offsets), (F.col("_pid") == F.col("_opid"))
+                    & (F.col("slice") == F.col("_os"))
+                    & F.col("member_id").eqNullSafe(F.col("_om")), "left")
     return j.select("slice", "parent_order_id", "member_id", "order_paid_time",
-                    (F.col("_before") + F.row_number().over(within_day)).cast("bigint").alias("rk"))
+                    (F.col("_local") + F.coalesce(F.col("_offset"), F.lit(0)))
+                    .cast("bigint").alias("rk"))
 
 
 def first_orders(orders: DataFrame) -> DataFrame:

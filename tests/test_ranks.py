@@ -41,3 +41,29 @@ def test_rank_has_no_gaps_on_testdata(spark, sf_dir):
             .agg({"rk": "max", "*": "count"})
             .where("`max(rk)` != `count(1)`").count())
     assert bad == 0
+
+
+def test_exact_rank_with_a_hot_member(spark):
+    """One member holds a third of all orders: its rows spread over many
+    range partitions and still get consecutive ranks."""
+    import random
+    rnd = random.Random(3)
+    rows = []
+    for o in range(3000):
+        m = "hot" if o % 3 == 0 else f"m{rnd.randint(0, 200)}"
+        t = None if rnd.random() < 0.02 else T(2020, 1, 1) + dt.timedelta(minutes=rnd.randint(0, 500))
+        rows.append(("OMNI", o, m, t))
+    df = spark.createDataFrame(rows, "slice string, parent_order_id bigint, member_id string, "
+                                     "order_paid_time timestamp_ntz")
+    got = {r.parent_order_id: r.rk for r in RK.order_rank(df, partitions=8).collect()}
+    expect = {}
+    by_member = {}
+    for r in rows:
+        by_member.setdefault(r[2], []).append(r)
+    for m, rs in by_member.items():
+        rs.sort(key=lambda r: (r[3] is None, r[3] or T(1, 1, 1), r[1]))
+        for i, r in enumerate(rs):
+            expect[r[1]] = i + 1
+    assert got == expect
+    pids = (RK.order_rank(df, partitions=8).where("member_id = 'hot'").count())
+    assert pids == 1000
