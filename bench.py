@@ -48,7 +48,9 @@ def main() -> None:
     # both dashboard tables in one job run, sharing the checkpointed order-level relations
     if not only:
         t0 = time.perf_counter()
-        p = S.prepare(catalog._inputs(spark, sf_dir), materialize=True)
+        run_id = "bench-refresh"
+        p = S.prepare(catalog._inputs(spark, sf_dir), materialize=True, run_id=run_id)
+        p = S.share_kpi_rows(p, run_id)
         run(S.scorecard_8w(p))
         run(S.scorecard_week(p))
         times["refresh_both_tables"] = round(time.perf_counter() - t0, 3)

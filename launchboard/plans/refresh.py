@@ -32,7 +32,8 @@ def run_refresh(spark: SparkSession, inputs: Inputs, params: RunParams, *,
     apply_recommended_conf(spark)
     checkpoint_dir(spark)
     # one scratch folder per job, overwritten by the next refresh
-    p = S.prepare(inputs, params, materialize=True, run_id="scorecard-refresh")
+    run_id = "scorecard-refresh"
+    p = S.share_kpi_rows(S.prepare(inputs, params, materialize=True, run_id=run_id), run_id)
     kw = "table" if to_tables else "path"
     write_full_refresh(S.scorecard_8w(p), C.SCORECARD_8W_COLUMNS, **{kw: out_8w})
     write_full_refresh(S.scorecard_week(p), C.SCORECARD_WEEK_COLUMNS, **{kw: out_week})

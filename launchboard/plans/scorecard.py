@@ -40,6 +40,7 @@ class Prepared:
     rank_flags: DataFrame
     pieces: DataFrame
     info: DataFrame
+    kpi_rows: DataFrame | None = None   # set by share_kpi_rows
 
 
 def prepare(inputs: Inputs, params: RunParams = C.ANALYST_DEFAULTS,
@@ -66,14 +67,25 @@ def _specs(params: RunParams, labels):
     return tuple(s for s in params.kpi_specs if labels is None or s.label in labels)
 
 
+def _kpi_rows(p: Prepared, labels) -> DataFrame:
+    if p.kpi_rows is not None and labels is None:
+        return p.kpi_rows
+    return K.kpi_rows(p.lines, p.dims, p.info, p.params, _specs(p.params, labels))
+
+
+def share_kpi_rows(p: Prepared, run_id: str) -> Prepared:
+    """Write the branch rows of the tracked SKUs once, so the window and the
+    week grain aggregate the same rows (one fact scan for both tables)."""
+    p.kpi_rows = materialize_df(_kpi_rows(p, None), "kpi_rows", run_id)
+    return p
+
+
 def kpi_launch_window(p: Prepared, labels: tuple[str, ...] | None = None) -> DataFrame:
-    rows = K.kpi_rows(p.lines, p.dims, p.info, p.params, _specs(p.params, labels))
-    return K.aggregate(rows, K.WINDOW_KEYS).select(*K.KPI_OUTPUT)
+    return K.aggregate(_kpi_rows(p, labels), K.WINDOW_KEYS).select(*K.KPI_OUTPUT)
 
 
 def kpi_launch_week(p: Prepared, labels: tuple[str, ...] | None = None) -> DataFrame:
-    rows = K.kpi_rows(p.lines, p.dims, p.info, p.params, _specs(p.params, labels))
-    return K.aggregate(rows, K.WEEK_KEYS).select(*K.KPI_WEEK_OUTPUT)
+    return K.aggregate(_kpi_rows(p, labels), K.WEEK_KEYS).select(*K.KPI_WEEK_OUTPUT)
 
 
 def benchmark_all(p: Prepared, labels: tuple[str, ...] | None = None) -> DataFrame:
