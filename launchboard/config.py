@@ -146,7 +146,7 @@ class RunParams:
     """
 
     as_of: dt.date | None = None
-    max_broadcast_rows: int = 2_000_000
+    max_broadcast_rows: int = 1_000_000
     null_key_spread: int = 64
     kpi_specs: tuple[KpiSpec, ...] = field(default=KPI_SPECS)
     benchmark_specs: tuple[BenchmarkSpec, ...] = field(default=BENCHMARK_SPECS)
