@@ -17,17 +17,18 @@ BASE_JOIN_DATE = "1995-06-01"
 BASE_LAUNCH_DATE = "1996-01-01"
 
 
-_READ_CACHE: dict[tuple[int, str], DataFrame] = {}
+_READ_CACHE: dict[str, tuple[SparkSession, DataFrame]] = {}
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet reader, memoised per session and path: the lazy plan is reused,
-    so file listing and schema inference run once per table."""
+    so file listing and schema inference run once per table. A different
+    session object reads again."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
-    if key not in _READ_CACHE:
-        _READ_CACHE[key] = spark.read.parquet(path)
-    return _READ_CACHE[key]
+    hit = _READ_CACHE.get(path)
+    if hit is None or hit[0] is not spark:
+        _READ_CACHE[path] = (spark, spark.read.parquet(path))
+    return _READ_CACHE[path][1]
 
 
 def _days_after(base: str, n: Column) -> Column:
