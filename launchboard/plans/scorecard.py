@@ -13,7 +13,8 @@ is cut).
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
+from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,17 +31,42 @@ from launchboard.plans.session import materialize as materialize_df
 from launchboard.sources.tables import Inputs
 
 
-@dataclass
 class Prepared:
-    params: RunParams
-    dims: Dims
-    lines: DataFrame
-    summary: DataFrame
-    rank_orders: DataFrame
-    rank_flags: DataFrame
-    pieces: DataFrame
-    info: DataFrame
-    kpi_rows: DataFrame | None = None   # set by share_kpi_rows
+    """Shared relations of one run, built on first use.
+
+    With ``materialize`` each shared relation (order summary, order info,
+    tracked-SKU rows) is written once under the checkpoint root when first
+    needed, so a query that needs only the summary does not pay for the rest.
+    """
+
+    def __init__(self, params: RunParams, dims: Dims, lines: DataFrame,
+                 keep: Callable[[DataFrame, str], DataFrame] | None):
+        self.params, self.dims, self.lines = params, dims, lines
+        self._keep = keep
+        self.kpi_rows: DataFrame | None = None     # set by share_kpi_rows
+
+    def _kept(self, df: DataFrame, name: str) -> DataFrame:
+        return self._keep(df, name) if self._keep else df
+
+    @cached_property
+    def summary(self) -> DataFrame:
+        return self._kept(order_summary(self.lines, self.dims, self.params), "order_summary")
+
+    @cached_property
+    def rank_orders(self) -> DataFrame:
+        return RK.rank_orders_from_summary(self.summary)
+
+    @cached_property
+    def rank_flags(self) -> DataFrame:
+        return RK.order_rank_flags(self.rank_orders)
+
+    @cached_property
+    def pieces(self) -> DataFrame:
+        return order_pieces(self.summary, self.dims, self.params)
+
+    @cached_property
+    def info(self) -> DataFrame:
+        return self._kept(RK.order_info(self.rank_flags, self.pieces), "order_info")
 
 
 def prepare(inputs: Inputs, params: RunParams = C.ANALYST_DEFAULTS,
@@ -50,17 +76,7 @@ def prepare(inputs: Inputs, params: RunParams = C.ANALYST_DEFAULTS,
     run_id = run_id or uuid.uuid4().hex
     keep = (lambda df, name: materialize_df(df, name, run_id)) if materialize else None
     dims = build_dims(inputs, params, keep=keep)
-    lines = admitted_lines(inputs.order_line, params)
-    summary = order_summary(lines, dims, params)
-    if keep:
-        summary = keep(summary, "order_summary")
-    orders = RK.rank_orders_from_summary(summary)
-    flags = RK.order_rank_flags(orders)
-    pieces = order_pieces(summary, dims, params)
-    info = RK.order_info(flags, pieces)
-    if keep:
-        info = keep(info, "order_info")
-    return Prepared(params, dims, lines, summary, orders, flags, pieces, info)
+    return Prepared(params, dims, admitted_lines(inputs.order_line, params), keep)
 
 
 def _specs(params: RunParams, labels):
