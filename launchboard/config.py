@@ -141,13 +141,17 @@ class RunParams:
                            (the dashboard uses the current date)
     max_broadcast_rows:    dimension sides at or under this row count are
                            broadcast; larger ones take a shuffle join
-    null_key_spread:       NULL join keys are spread over this many buckets
-                           instead of landing in one shuffle partition
+    null_key_spread:       NULL join keys (and hot keys) are spread over this
+                           many buckets instead of landing in one shuffle partition
+    hot_key_rows:          in the member / binding lookups, a key with more rows
+                           than this is split over the buckets (None: leave
+                           hot keys to AQE skew-join handling)
     """
 
     as_of: dt.date | None = None
     max_broadcast_rows: int = 1_000_000
     null_key_spread: int = 64
+    hot_key_rows: int | None = 5_000_000
     kpi_specs: tuple[KpiSpec, ...] = field(default=KPI_SPECS)
     benchmark_specs: tuple[BenchmarkSpec, ...] = field(default=BENCHMARK_SPECS)
 

@@ -54,7 +54,8 @@ def occurrences(summary: DataFrame, dims: Dims, info: DataFrame, params: RunPara
     joins = dims.member.where(F.col("member_key").isNotNull()).groupBy("member_key").agg(
         F.min("join_date").alias("_jmin"), F.max("join_date").alias("_jmax"))
     e = left_join_spread_nulls(e, F.col("crm_key"), [(joins, "member_key")],
-                               params.null_key_spread, ["parent_order_id", "member_id"])
+                               params.null_key_spread, ["parent_order_id", "member_id"],
+                               hot_key_rows=params.hot_key_rows)
     structs = []
     for s in specs:
         # some sold SKU launched on/before (after) a member row's join date

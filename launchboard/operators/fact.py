@@ -106,10 +106,12 @@ def enrich(lines: DataFrame, dims: Dims, params: RunParams,
     x = x.join(dims.city, "city_cn", "left")
     seed = ["parent_order_id", "sku_id"]
     x = left_join_spread_nulls(x, F.col("crm_key"), [(dims.member, "member_key")],
-                               params.null_key_spread, seed)
+                               params.null_key_spread, seed,
+                               hot_key_rows=params.hot_key_rows)
     x = left_join_spread_nulls(x, F.col("type_value"),
                                [(dims.tmall, "kyid"), (dims.douyin, "openid")],
-                               params.null_key_spread, seed)
+                               params.null_key_spread, seed,
+                               hot_key_rows=params.hot_key_rows)
     return x.select(
         "source_channel", "order_paid_time", "order_paid_date", "fiscal_year",
         "fiscal_month", "fiscal_week", "member_id", "member_detail_id", "join_date",

@@ -44,23 +44,55 @@ def broadcast_if(df: DataFrame, proven_small: bool) -> DataFrame:
 
 def left_join_spread_nulls(left: DataFrame, left_key: Column,
                            rights: list[tuple[DataFrame, str]], spread: int,
-                           seed_cols: list[str]) -> DataFrame:
+                           seed_cols: list[str], hot_key_rows: int | None = None,
+                           max_hot_keys: int = 100_000) -> DataFrame:
     """``left LEFT JOIN r1 ON key = r1.k1 LEFT JOIN r2 ON key = r2.k2 ...``
-    as shuffle joins whose left key is often NULL.
+    as shuffle joins whose left key is often NULL or, for a few keys, hot.
 
     A NULL key never matches, but hash partitioning would send every NULL-key
     row to one reducer. The left side carries a bucket number that is 0 for
-    real keys and 1..spread for NULL keys; the right sides are always bucket 0.
-    Matches are unchanged, NULL-key rows spread over ``spread`` partitions.
-    All right sides join on the same (key, bucket) pair, so the left side is
-    shuffled once for all of them.
+    ordinary keys and 1..spread for NULL keys; the right sides are bucket 0.
+    With ``hot_key_rows``, keys with more left rows than that are found with a
+    map-side-combined count (their number is size-checked before it is
+    broadcast); their left rows are spread over 1..spread too, and their right
+    rows are copied into every bucket, so each left row still meets every
+    partner once. Matches are unchanged. All right sides join on the same
+    (key, bucket) pair, so the left side is shuffled once for all of them.
     """
     seed = F.xxhash64(*[F.col(c) for c in seed_cols])
-    out = left.withColumn(_KEY, left_key).withColumn(
-        _BUCKET, F.when(F.col(_KEY).isNull(), F.pmod(seed, F.lit(spread)) + 1)
-        .otherwise(F.lit(0).cast("bigint")))
+    out = left.withColumn(_KEY, left_key)
+    hot = None
+    if hot_key_rows is not None:
+        counts = (out.where(F.col(_KEY).isNotNull()).groupBy(_KEY)
+                  .agg(F.count(F.lit(1)).alias("_rows"))
+                  .where(F.col("_rows") > hot_key_rows)
+                  .select(F.col(_KEY).alias("_hot_key"), F.lit(True).alias("_hot")))
+        if is_bounded(counts, max_hot_keys):
+            hot = F.broadcast(counts)
+            out = out.join(hot, out[_KEY] == hot["_hot_key"], "left").drop("_hot_key")
+    spread_it = F.col(_KEY).isNull()
+    if hot is not None:
+        spread_it = spread_it | F.coalesce(F.col("_hot"), F.lit(False))
+    bucket = F.when(spread_it, F.pmod(seed, F.lit(spread)) + 1).otherwise(F.lit(0).cast("bigint"))
+    # (key, bucket) travel as one struct column: a literal bucket on the right
+    # side must not be folded into a filter, or the shuffle would be keyed by
+    # the raw key again and every NULL would land in one partition
+    out = out.withColumn(_BUCKET, F.struct(F.col(_KEY).alias("k"), bucket.alias("b")))
+    if hot is not None:
+        out = out.drop("_hot")
     for i, (right, key_name) in enumerate(rights):
         rb = f"{_BUCKET}_{i}"
-        r = right.where(F.col(key_name).isNotNull()).withColumn(rb, F.lit(0).cast("bigint"))
-        out = out.join(r, (out[_KEY] == r[key_name]) & (out[_BUCKET] == r[rb]), "left").drop(rb)
+        r = right.where(F.col(key_name).isNotNull())
+        if hot is None:
+            r_bucket = F.lit(0).cast("bigint")
+        else:
+            r = r.join(hot, r[key_name] == hot["_hot_key"], "left").drop("_hot_key")
+            copies = F.when(F.coalesce(F.col("_hot"), F.lit(False)),
+                            F.sequence(F.lit(1).cast("bigint"), F.lit(spread).cast("bigint")))
+            r = r.withColumn("_b", F.explode(F.coalesce(copies, F.array(F.lit(0).cast("bigint")))))
+            r, r_bucket = r.drop("_hot"), F.col("_b")
+        r = r.withColumn(rb, F.struct(F.col(key_name).alias("k"), r_bucket.alias("b")))
+        if hot is not None:
+            r = r.drop("_b")
+        out = out.join(r, out[_BUCKET] == r[rb], "left").drop(rb)
     return out.drop(_KEY, _BUCKET)

@@ -28,11 +28,13 @@ def large_dim_multiplier(rows: DataFrame, dims: Dims, params: RunParams) -> Data
     seed = ["parent_order_id"]
     x = left_join_spread_nulls(rows, F.col("crm_key"),
                                [(key_counts(dims.member, "member_key", "_n_mem"), "member_key")],
-                               params.null_key_spread, seed).drop("member_key")
+                               params.null_key_spread, seed,
+                               hot_key_rows=params.hot_key_rows).drop("member_key")
     x = left_join_spread_nulls(x, F.col("type_value"),
                                [(key_counts(dims.tmall, "kyid", "_n_tm"), "kyid"),
                                 (key_counts(dims.douyin, "openid", "_n_dy"), "openid")],
-                               params.null_key_spread, seed).drop("kyid", "openid")
+                               params.null_key_spread, seed,
+                               hot_key_rows=params.hot_key_rows).drop("kyid", "openid")
     mult = (F.coalesce("_n_mem", F.lit(1)) * F.coalesce("_n_tm", F.lit(1))
             * F.coalesce("_n_dy", F.lit(1)))
     return x.withColumn("_mult_large", mult).drop("_n_mem", "_n_tm", "_n_dy")

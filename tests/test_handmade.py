@@ -11,7 +11,8 @@ from launchboard.plans import scorecard as S
 from tests.compare import diff
 from tests.handmade import duck_inputs, spark_inputs
 
-PARAMS = RunParams(as_of=dt.date(2020, 12, 31), max_broadcast_rows=1000, null_key_spread=4)
+PARAMS = RunParams(as_of=dt.date(2020, 12, 31), max_broadcast_rows=1000, null_key_spread=4,
+                   hot_key_rows=1)   # every repeated key takes the salted path
 
 
 @pytest.fixture(scope="module")

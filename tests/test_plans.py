@@ -41,6 +41,7 @@ def test_fact_filters_reach_the_scan(spark, sf_dir):
 
 def test_null_keys_are_spread(spark):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # measure the shuffle join
     try:
         left = spark.range(20000).select(
             F.col("id").alias("parent_order_id"), F.col("id").alias("sku_id"),
@@ -54,8 +55,35 @@ def test_null_keys_are_spread(spark):
         assert max(sizes) < 0.3 * 20000     # no partition holds the NULL-key rows
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
 def test_bounded_many(spark):
     got = bounded_many({"a": spark.range(5), "b": spark.range(50), "c": spark.range(0)}, 10)
     assert got == {"a": True, "b": False, "c": True}
+
+
+def test_hot_key_is_split_and_matches_are_unchanged(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # measure the shuffle join
+    try:
+        n = 30000
+        left = spark.range(n).select(
+            F.col("id").alias("parent_order_id"), F.col("id").alias("sku_id"),
+            F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 1000).alias("k"))
+        right = spark.range(1000).select(F.col("id").alias("rk"), (F.col("id") * 10).alias("v"))
+        right = right.unionByName(spark.range(1).select(F.lit(7).cast("bigint").alias("rk"),
+                                                        F.lit(-1).cast("bigint").alias("v")))
+        plain = left.join(right, left.k == right.rk, "left").select("parent_order_id", "v")
+        salted = left_join_spread_nulls(left, F.col("k"), [(right, "rk")], 16,
+                                        ["parent_order_id", "sku_id"], hot_key_rows=1000)
+        a = sorted(map(tuple, plain.collect()), key=lambda r: (r[0], r[1] is None, r[1] or 0))
+        b = sorted(map(tuple, salted.select("parent_order_id", "v").collect()),
+                   key=lambda r: (r[0], r[1] is None, r[1] or 0))
+        assert a == b
+        sizes = [r["c"] for r in salted.groupBy(F.spark_partition_id().alias("p"))
+                 .agg(F.count(F.lit(1)).alias("c")).collect()]
+        assert max(sizes) < 0.25 * len(a)   # the key holding a third is split
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
