@@ -143,9 +143,10 @@ class RunParams:
                            broadcast; larger ones take a shuffle join
     null_key_spread:       NULL join keys (and hot keys) are spread over this
                            many buckets instead of landing in one shuffle partition
-    hot_key_rows:          in the member / binding lookups, a key with more rows
-                           than this is split over the buckets (None: leave
-                           hot keys to AQE skew-join handling)
+    hot_key_rows:          in the order-level member / binding lookups (order
+                           pieces, benchmarks), a key with more rows than this
+                           is split over the buckets (None: leave hot keys to
+                           AQE skew-join handling, as for line-level joins)
     """
 
     as_of: dt.date | None = None

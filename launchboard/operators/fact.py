@@ -104,14 +104,14 @@ def enrich(lines: DataFrame, dims: Dims, params: RunParams,
     x = lines if with_product_done else with_product(lines, dims)
     x = x.join(dims.calendar, x.order_paid_date == dims.calendar.date_id, "left")
     x = x.join(dims.city, "city_cn", "left")
+    # line-level left side: NULL keys are spread here; a hot non-NULL key is
+    # split by AQE (detecting it would cost one more pass over the lines)
     seed = ["parent_order_id", "sku_id"]
     x = left_join_spread_nulls(x, F.col("crm_key"), [(dims.member, "member_key")],
-                               params.null_key_spread, seed,
-                               hot_key_rows=params.hot_key_rows)
+                               params.null_key_spread, seed)
     x = left_join_spread_nulls(x, F.col("type_value"),
                                [(dims.tmall, "kyid"), (dims.douyin, "openid")],
-                               params.null_key_spread, seed,
-                               hot_key_rows=params.hot_key_rows)
+                               params.null_key_spread, seed)
     return x.select(
         "source_channel", "order_paid_time", "order_paid_date", "fiscal_year",
         "fiscal_month", "fiscal_week", "member_id", "member_detail_id", "join_date",
