@@ -12,6 +12,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from launchboard.llm import quality_rules
+    docs = table(spark, sf_dir, "documents")
+    return quality_rules.quality_rules(docs, quality_rules.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from launchboard.llm.url_filter import Rule, filter_urls
+    rules = [Rule("net/", "block"), Rule("example.net/en/", "allow"),
+             Rule("example.com/de/", "block"), Rule("org/fr/", "allow")]
+    return filter_urls(table(spark, sf_dir, "pages"), rules)
+
+
+def op6_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from launchboard.llm import quality_model
+    docs = table(spark, sf_dir, "documents")
+    machine = quality_model.fit(docs, table(spark, sf_dir, "labels"))
+    return quality_model.score(docs, machine).select(
+        "doc_id", quality_model.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= quality_model.PREDICT_AT).cast("int").alias("predicted"))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     from launchboard.llm import packing
@@ -31,5 +53,6 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
-QUERIES = {f.__name__: f for f in (op7_best_fit_packing, op9_token_counts)}
+QUERIES = {f.__name__: f for f in (
+    op3_quality_rules, op5_url_filter, op6_quality_model, op7_best_fit_packing, op9_token_counts)}
 ORACLE: dict[str, str] = {}
