@@ -102,7 +102,7 @@ class Machine:
         return self.bias + line + 0.5 * ((sums ** 2).sum(1) - squares)
 
 
-def fit_machine(f: Features, y: np.ndarray, epochs: int = 12, rate: float = 0.1, batch: int = 100,
+def fit_machine(f: Features, y: np.ndarray, epochs: int = 20, rate: float = 0.2, batch: int = 100,
                 prior: float = 1e-4, seed: int = 1) -> Machine:
     random = np.random.default_rng(seed)
     size = BUCKETS + len(STATISTICS)
