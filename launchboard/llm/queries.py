@@ -18,6 +18,14 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(docs, quality_rules.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from launchboard.llm import repeats
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return repeats.remove_repeats(docs).select(
+        "doc_id", "repeats.n_words", "repeats.n_removed",
+        F.sha2(F.col("text"), 256).alias("kept_sha256"))
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from launchboard.llm.url_filter import Rule, filter_urls
     rules = [Rule("net/", "block"), Rule("example.net/en/", "allow"),
@@ -54,5 +62,5 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_quality_rules, op5_url_filter, op6_quality_model, op7_best_fit_packing, op9_token_counts)}
+    op3_quality_rules, op4_substring_dedup, op5_url_filter, op6_quality_model, op7_best_fit_packing, op9_token_counts)}
 ORACLE: dict[str, str] = {}
