@@ -12,6 +12,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from launchboard.llm import near_dup
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from launchboard.llm import quality_rules
     docs = table(spark, sf_dir, "documents")
@@ -62,5 +67,5 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_quality_rules, op4_substring_dedup, op5_url_filter, op6_quality_model, op7_best_fit_packing, op9_token_counts)}
+    op1_near_duplicates, op3_quality_rules, op4_substring_dedup, op5_url_filter, op6_quality_model, op7_best_fit_packing, op9_token_counts)}
 ORACLE: dict[str, str] = {}
