@@ -66,6 +66,16 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from launchboard.llm import kneser_ney
+    docs = table(spark, sf_dir, "documents")
+    model = kneser_ney.fit(docs.where(kneser_ney.part(F.col("doc_id")) != 0))
+    return kneser_ney.score(docs, model).select(
+        "doc_id", F.coalesce(kneser_ney.part(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"),
+        "n_tokens", "n_known", F.lit(model.n_tokens).cast("long").alias("train_tokens"),
+        "base_score", "score")
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_near_duplicates, op3_quality_rules, op4_substring_dedup, op5_url_filter, op6_quality_model, op7_best_fit_packing, op9_token_counts)}
+    op1_near_duplicates, op3_quality_rules, op4_substring_dedup, op5_url_filter, op6_quality_model, op7_best_fit_packing, op9_token_counts, op10_lm_scoring)}
 ORACLE: dict[str, str] = {}
