@@ -17,6 +17,11 @@ def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from launchboard.llm import decontaminate
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from launchboard.llm import quality_rules
     docs = table(spark, sf_dir, "documents")
@@ -55,6 +60,11 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from launchboard.llm import license_scan
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     from launchboard.llm import tokens
@@ -77,5 +87,13 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_near_duplicates, op3_quality_rules, op4_substring_dedup, op5_url_filter, op6_quality_model, op7_best_fit_packing, op9_token_counts, op10_lm_scoring)}
-ORACLE: dict[str, str] = {}
+    op1_near_duplicates, op2_decontamination, op3_quality_rules, op4_substring_dedup, op5_url_filter,
+    op6_quality_model, op7_best_fit_packing, op8_license_scan, op9_token_counts, op10_lm_scoring)}
+
+
+def _oracle() -> dict[str, str]:
+    from launchboard.llm import license_scan
+    return {"op8_license_scan": license_scan.oracle_sql()}
+
+
+ORACLE: dict[str, str] = _oracle()
