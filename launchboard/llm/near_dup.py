@@ -78,8 +78,13 @@ def set_digest(shingles: np.ndarray) -> tuple[int, int]:
     return int(first.view(np.int64)), int(second.view(np.int64))
 
 
+def text_hash() -> Column:
+    """Tells rows of one id apart that have different texts."""
+    return F.xxhash64("text")
+
+
 def sketches(docs: DataFrame, words: int, size: int = SKETCH) -> DataFrame:
-    """(doc_id, n_shingles, digest, digest2, sketch) per row."""
+    """(doc_id, text_hash, n_shingles, digest, digest2, sketch) per row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text"):
             sets = shingle_sets(block.column(1), words)
@@ -87,12 +92,12 @@ def sketches(docs: DataFrame, words: int, size: int = SKETCH) -> DataFrame:
             least = [s[:size] for s in sets]
             offsets = np.cumsum([0, *map(len, least)]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [block.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                [block.column(0), block.column(2), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array(digests[:, 0]), pa.array(digests[:, 1]),
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(least)))],
-                ["doc_id", "n_shingles", "digest", "digest2", "sketch"])
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        run, "doc_id long, n_shingles long, digest long, digest2 long, sketch array<long>")
+                ["doc_id", "text_hash", "n_shingles", "digest", "digest2", "sketch"])
+    return docs.select(F.col("doc_id").cast("long"), "text", text_hash().alias("text_hash")).mapInArrow(
+        run, "doc_id long, text_hash long, n_shingles long, digest long, digest2 long, sketch array<long>")
 
 
 def _index(classes: DataFrame, scratch: Scratch) -> DataFrame:
@@ -217,8 +222,8 @@ def _settle(passed: DataFrame, labels: DataFrame, texts: DataFrame, words: int,
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) per row: ``component_id`` is the least
-    id reachable over links of Jaccard similarity ``percent`` or more."""
+    """(doc_id, text_hash, n_shingles, component_id, kept) per row: ``component_id`` is
+    the least id reachable over links of Jaccard similarity ``percent`` or more."""
     scratch = Scratch(docs.sparkSession, "near-dup")
     rows = scratch.keep(sketches(docs, words), "sketches")
     # a class is named by its digest
@@ -235,8 +240,18 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     named = scratch.keep(named.join(least, "comp").select(
         F.col("node").alias("digest"), "digest2", "component_id"), "named")
     of_set = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return (rows.select("doc_id", "n_shingles", "digest", "digest2")
+    return (rows.select("doc_id", "text_hash", "n_shingles", "digest", "digest2")
             .join(named, ["digest", "digest2"], "left")
-            .select("doc_id", "n_shingles",
+            .select("doc_id", "text_hash", "n_shingles",
                     F.when(F.col("doc_id").isNotNull(), of_set).alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
+
+
+def drop_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` that are kept, all columns unchanged. Only the dropped
+    rows' ids and text hashes travel to the documents."""
+    found = near_duplicates(docs, words, percent).where("not kept").select(
+        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
+    found = found.hint("shuffle_hash")
+    same = (docs["doc_id"].cast("long") == found["__id"]) & (F.xxhash64(docs["text"]) == found["__hash"])
+    return docs.join(found, same, "left_anti")

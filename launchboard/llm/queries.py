@@ -14,7 +14,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     from launchboard.llm import near_dup
-    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85).drop("text_hash")
 
 
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,7 +32,7 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from launchboard.llm import repeats
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return repeats.remove_repeats(docs).select(
-        "doc_id", "repeats.n_words", "repeats.n_removed",
+        "doc_id", "__repeats.n_words", "__repeats.n_removed",
         F.sha2(F.col("text"), 256).alias("kept_sha256"))
 
 

@@ -228,8 +228,8 @@ def join_words(words: Words, keep: np.ndarray) -> pa.Array:
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """``docs`` with ``text`` replaced by its kept words, and a struct column
-    ``repeats`` (n_words, n_removed). Needs an integer ``doc_id``."""
+    """``docs`` with ``text`` replaced by its kept words, and a last column
+    ``__repeats`` (n_words, n_removed). Needs an integer ``doc_id``."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "repeats")
     slices = write_slices(docs, scratch)
@@ -265,5 +265,4 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, [*rows.schema.names, "__repeats"])
 
     schema.add("__repeats", T._parse_datatype_string("struct<n_words:long,n_removed:long>"))
-    out = joined.select("payload", "replies").mapInArrow(finish, schema)
-    return out.withColumnRenamed("__repeats", "repeats") if "repeats" not in docs.columns else out
+    return joined.select("payload", "replies").mapInArrow(finish, schema)
