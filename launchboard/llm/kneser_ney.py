@@ -2,8 +2,8 @@
 hash arrays, memory-mapped by the workers that score.
 
 Counting. Each block of training texts sends its distinct bigrams with their counts
-to shards of the bigrams' hash space, so a frequent bigram is one entry a block. A
-shard adds up, stores sorted hashes and counts as two plain files, and passes on
+to shards of the bigrams' hash space, so a frequent bigram is one entry a block; the
+hash space is worked in ``PASSES`` passes, which bounds the shuffle on disk. A shard adds up, stores sorted hashes and counts as two plain files, and passes on
 what words need: occurrences, continuations (distinct words before), and per
 context the total and how many followers were seen once, twice and more. Word
 shards add these up the same way. Only a handful of sums reach the driver.
@@ -50,6 +50,9 @@ START, END = U64(0x5BD1E9955BD1E995), U64(0x27D4EB2F165667C5)
 COUNT, CONT, TOTAL, ONCE, TWICE, MORE = range(6)
 HOLD_OUT = 10
 BASE_ADD = 0.1
+#: Passes over the texts, each counting its share of the hash space: a pass's
+#: shuffle is gone before the next one begins.
+PASSES = 2
 
 
 def pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -115,7 +118,7 @@ def map_array(uri: str, dtype, width: tuple[int, ...] = ()) -> np.ndarray:
 
 # counting ----------------------------------------------------------------------
 
-def _count_block(shards: int):
+def _count_block(shards: int, turn: int, passes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text"):
             a, b, _ = tokens(block.column(0))
@@ -123,12 +126,15 @@ def _count_block(shards: int):
             a, b, count = a[at], b[at], count.astype(np.uint32)
             out = []
             for shard, where in by_shard(key, shards):
+                if shard % passes != turn:
+                    continue
                 # equal contexts side by side compress well on the way
                 where = where[np.argsort(a[where], kind="stable")]
                 out.append((shard, a[where].tobytes(), b[where].tobytes(), count[where].tobytes()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(c), k) for c, k in zip(zip(*out), (pa.int32(), *[pa.binary()] * 3))],
-                ["shard", "a", "b", "count"])
+            if out:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(list(c), k) for c, k in zip(zip(*out), (pa.int32(), *[pa.binary()] * 3))],
+                    ["shard", "a", "b", "count"])
     return run
 
 
@@ -140,6 +146,17 @@ def _sums(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return keys[first], np.add.reduceat(values[order], first, axis=0)
 
 
+def pack_counts(stats: np.ndarray) -> bytes:
+    """Six columns, most of them small numbers and zeros."""
+    raw = np.ascontiguousarray(stats.T).tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpack_counts(value: bytes) -> np.ndarray:
+    size = int.from_bytes(value[:8], "little")
+    return unpack(pa.decompress(value[8:], size, codec="zstd", asbytes=True), np.int64).reshape(6, -1).T
+
+
 PAIR_OUT = "shard int, counts array<long>, word_shard int, words binary, stats binary"
 
 
@@ -154,17 +171,15 @@ def _store_pairs(path: str, word_shards: int):
         key, a, b, count = key[first], a[first], b[first], np.add.reduceat(count, first)
         write_array(f"{path}/pair-keys-{shard}", key)
         write_array(f"{path}/pair-counts-{shard}", np.minimum(count, 0xFFFFFFFF).astype(np.uint32))
-        stats = np.zeros((2 * len(key), 6), dtype=np.int64)
-        stats[:len(key), COUNT] = count
-        stats[:len(key), CONT] = 1
-        stats[len(key):, TOTAL] = count
-        for k, column in ((1, ONCE), (2, TWICE)):
-            stats[len(key):, column] = count == k
-        stats[len(key):, MORE] = count > 2
-        words, stats = _sums(np.concatenate([b, a]), stats)
+        words, number = np.unique(np.concatenate([b, a]), return_inverse=True)
+        after, before = number[:len(key)], number[len(key):]
+        add = lambda at, x=None: np.bincount(at, x, len(words)).astype(np.int64)
+        stats = np.stack([add(after, count), add(after), add(before, count), add(before, count == 1),
+                          add(before, count == 2), add(before, count > 2)], axis=1)
         out = [(shard, [int((count == k).sum()) for k in (1, 2, 3, 4)], None, None, None)]
         for part, where in by_shard(words, word_shards):
-            out.append((shard, None, part, words[where].tobytes(), stats[where].tobytes()))
+            out.append((shard, None, part, words[where].tobytes(),
+                        pack_counts(stats[where])))
         kinds = (pa.int32(), pa.list_(pa.int64()), pa.int32(), pa.binary(), pa.binary())
         return pa.table([pa.array(list(c), k) for c, k in zip(zip(*out), kinds)],
                         names=["shard", "counts", "word_shard", "words", "stats"])
@@ -177,7 +192,7 @@ WORD_OUT = "word_shard int, sums array<long>"
 def _store_words(path: str):
     def run(table: pa.Table) -> pa.Table:
         words = np.concatenate([unpack(x, np.uint64) for x in table["words"].to_pylist()])
-        stats = np.concatenate([unpack(x, np.int64).reshape(-1, 6) for x in table["stats"].to_pylist()])
+        stats = np.concatenate([unpack_counts(x) for x in table["stats"].to_pylist()])
         words, stats = _sums(words, stats)
         shard = table["word_shard"][0].as_py()
         write_array(f"{path}/word-keys-{shard}", words)
@@ -225,10 +240,13 @@ def fit(texts: DataFrame, scratch: Scratch | None = None) -> Model:
     pair_shards = max(1, -(-size // SHARD_BYTES))
     word_shards = max(1, -(-size // (4 * SHARD_BYTES)))
     path = f"{scratch.path}/model"
-    pairs = scratch.keep(
-        texts.mapInArrow(_count_block(pair_shards), "shard int, a binary, b binary, count binary")
-        .groupBy("shard").applyInArrow(_store_pairs(path, word_shards), PAIR_OUT), "pairs")
-    scratch.release()
+    pairs = None
+    for turn in range(PASSES):
+        part = scratch.keep(
+            texts.mapInArrow(_count_block(pair_shards, turn, PASSES), "shard int, a binary, b binary, count binary")
+            .groupBy("shard").applyInArrow(_store_pairs(path, word_shards), PAIR_OUT), f"pairs-{turn}")
+        scratch.release()
+        pairs = part if pairs is None else pairs.unionByName(part)
     words = scratch.keep(
         pairs.where("word_shard is not null").select("word_shard", "words", "stats")
         .groupBy("word_shard").applyInArrow(_store_words(path), WORD_OUT), "words")

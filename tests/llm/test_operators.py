@@ -108,7 +108,7 @@ def test_edit_distances_and_recall():
     items = [(i, rng.integers(1, 1 << 62, n).astype(np.uint64)) for i, n in enumerate((12, 20, 35, 50))]
     index = decontaminate.Index(items, decontaminate.EDIT_RATE)
     wanted = missed = 0
-    for row, trial in itertools.product(range(len(items)), range(25)):
+    for row, trial in itertools.product(range(len(items)), range(60)):
         n, k = int(index.sizes[row]), int(index.k[row])
         copy = decontaminate.edited(items[row][1], k, rng)
         if decontaminate.edit_distances(copy[None], items[row][1][None], n)[0] > k:
