@@ -5,7 +5,6 @@ Layout:
   functions/  column rules (launch dates, age parsing, price band, ids, ratios)
   operators/  dims, enriched fact, lifetime ranks, order pieces, KPI, benchmarks
   plans/      scorecard assembly, session settings, the query catalogue
-  streaming/  none: the workload is batch with full refresh
 """
 
 from launchboard.config import ANALYST_DEFAULTS, RunParams

@@ -139,20 +139,21 @@ class RunParams:
 
     as_of:                 orders paid on or after this day are left out
                            (the dashboard uses the current date)
-    max_broadcast_rows:    dimension sides at or under this row count are
+                           (None: today in the session's time zone; a refresh
+                           resolves it once for all its jobs)
+    max_broadcast_bytes:   dimension sides proven at most this large are
                            broadcast; larger ones take a shuffle join
     null_key_spread:       NULL join keys (and hot keys) are spread over this
                            many buckets instead of landing in one shuffle partition
-    hot_key_rows:          in the order-level member / binding lookups (order
-                           pieces, benchmarks), a key with more rows than this
-                           is split over the buckets (None: leave hot keys to
-                           AQE skew-join handling, as for line-level joins)
+    hot_share:             a member or channel id with more than this share of
+                           the rows is split over the buckets as well (at most
+                           1 / hot_share ids can be)
     """
 
     as_of: dt.date | None = None
-    max_broadcast_rows: int = 1_000_000
+    max_broadcast_bytes: int = 64 << 20
     null_key_spread: int = 64
-    hot_key_rows: int | None = 5_000_000
+    hot_share: float = 0.001
     kpi_specs: tuple[KpiSpec, ...] = field(default=KPI_SPECS)
     benchmark_specs: tuple[BenchmarkSpec, ...] = field(default=BENCHMARK_SPECS)
 

@@ -7,15 +7,17 @@ joined on or after the sold SKU's launch), existing 0-1 (rk = 1, joined
 before) and repurchasers (rk >= 2).
 
 The order summary (one row per order, member and day, with the earliest and
-latest launch date of the sold SKUs) gets the members' join dates, is fanned
-out to the branches, reduced per (order, member, day) and joined once with
-the order-level rank flags, all at order grain. The
+latest launch date of the sold SKUs) gets the members' join dates and the
+order-level rank flags, all at order grain, and is then fanned out to the
+branches and reduced to one row per member and day. The
 distinct counts over many overlapping periods come from
 ``range_count.range_distinct_counts``.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,47 +49,43 @@ def benchmark_periods(dims: Dims, specs: tuple[BenchmarkSpec, ...]) -> DataFrame
 
 
 def occurrences(summary: DataFrame, dims: Dims, info: DataFrame, params: RunParams,
-                specs: tuple[BenchmarkSpec, ...]) -> DataFrame:
-    """(source_channel, member_id, day, elig, pure_new, existing, repurchase)
-    from the order summary; ``info`` is ``ranks.order_info``."""
+                specs: tuple[BenchmarkSpec, ...], hot: dict[str, list[str]]) -> DataFrame:
+    """(source_channel, member_id, day, elig, pure_new, existing, repurchase), one
+    row per branch, member and day, from the order summary; ``info`` is
+    ``ranks.order_info``. Both joins run on summary rows, before the fan-out to
+    branches, and rows without an order id are spread in theirs."""
     e = summary.where(F.col("has_elig") & F.col("member_id").isNotNull())
     joins = dims.member.where(F.col("member_key").isNotNull()).groupBy("member_key").agg(
         F.min("join_date").alias("_jmin"), F.max("join_date").alias("_jmax"))
     e = left_join_spread_nulls(e, F.col("crm_key"), [(joins, "member_key")],
                                params.null_key_spread, ["parent_order_id", "member_id"],
-                               hot_key_rows=params.hot_key_rows)
+                               hot["crm_key"])
+    e = left_join_spread_nulls(e, F.col("parent_order_id"),
+                               [(info.withColumnRenamed("parent_order_id", "_oid"), "_oid")],
+                               params.null_key_spread, ["member_id", "day", "type_value"])
     structs = []
     for s in specs:
+        _, first, repeat = RK.flag_columns(s.rank_slice)
         # some sold SKU launched on/before (after) a member row's join date
-        st = F.struct(F.lit(s.label).alias("branch"), F.lit(s.rank_slice).alias("slice"),
-                      R.is_true(F.col(f"{s.launch_cmp}_min") <= F.col("_jmax")).alias("le"),
-                      R.is_true(F.col(f"{s.launch_cmp}_max") > F.col("_jmin")).alias("gt"))
+        le = R.is_true(F.col(f"{s.launch_cmp}_min") <= F.col("_jmax"))
+        gt = R.is_true(F.col(f"{s.launch_cmp}_max") > F.col("_jmin"))
+        st = F.struct(F.lit(s.label).alias("source_channel"),
+                      (R.is_true(first) & le).alias("pure_new"),
+                      (R.is_true(first) & gt).alias("existing"),
+                      R.is_true(repeat).alias("repurchase"))
         structs.append(st if s.rows is None else F.when(F.col("source_channel") == s.rows, st))
-    x = _explode_specs(e, structs).select("_spec.*", "parent_order_id", "member_id", "day")
-    # partitioned by order once: the aggregation and the order join reuse it
-    x = x.repartition("parent_order_id").groupBy(
-        "parent_order_id", "branch", "slice", "member_id", "day").agg(
-        F.max("le").alias("_le"), F.max("gt").alias("_gt"))
-    x = x.join(info, "parent_order_id", "left")
-    first = repeat = None
-    for sl in {s.rank_slice for s in specs}:
-        _, f_col, r_col = RK.flag_columns(sl)
-        pick = F.col("slice") == sl
-        first = F.when(pick, F.col(f_col)) if first is None else first.when(pick, F.col(f_col))
-        repeat = F.when(pick, F.col(r_col)) if repeat is None else repeat.when(pick, F.col(r_col))
-    first, repeat = R.is_true(first), R.is_true(repeat)
-    return x.select(F.col("branch").alias("source_channel"), "member_id", "day",
-                    F.lit(True).alias("elig"),
-                    (first & F.col("_le")).alias("pure_new"),
-                    (first & F.col("_gt")).alias("existing"),
-                    repeat.alias("repurchase"))
+    x = _explode_specs(e, structs).select("_spec.*", "member_id", "day")
+    return x.groupBy("source_channel", "member_id", "day").agg(
+        F.lit(True).alias("elig"), *[F.max(c).alias(c) for c in COUNTERS[1:]])
 
 
 def benchmarks(summary: DataFrame, dims: Dims, info: DataFrame, params: RunParams,
-               specs: tuple[BenchmarkSpec, ...] = C.BENCHMARK_SPECS) -> DataFrame:
-    occ = occurrences(summary, dims, info, params, specs)
+               specs: tuple[BenchmarkSpec, ...], hot: dict[str, list[str]]) -> DataFrame:
+    occ = occurrences(summary, dims, info, params, specs, hot)
+    # no order is paid on or after as_of, so no day from then on counts anything
+    last = params.as_of - dt.timedelta(days=1) if params.as_of else None
     counts = range_distinct_counts(occ, benchmark_periods(dims, specs), ["source_channel"],
-                                   "member_id", "day", COUNTERS)
+                                   "member_id", "day", COUNTERS, last)
     return counts.select(
         "source_channel", F.col("start").alias("launch_date"),
         F.col("end").alias("tracking_end_date"),

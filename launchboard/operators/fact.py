@@ -2,9 +2,9 @@
 
 ``admitted_lines`` applies the line rules and derives the ids; it only reads
 the fact, so Catalyst pushes its filters into the scan. ``enrich`` adds the
-six dimension joins: product, calendar and city are broadcast behind a row
-count check; member and platform bindings are shuffle joins (large tables)
-whose NULL keys are spread (see ``joins.left_join_spread_nulls``). Left joins
+six dimension joins: product, calendar and city are broadcast behind a size
+check; member and platform bindings are shuffle joins (large tables)
+whose NULL and hot keys are spread (see ``joins.left_join_spread_nulls``). Left joins
 keep the dashboard's fan-out: a dimension key present twice doubles the line.
 """
 
@@ -19,7 +19,8 @@ from launchboard import config as C
 from launchboard.config import RunParams
 from launchboard.functions import rules as R
 from launchboard.operators import dims as D
-from launchboard.operators.joins import bounded_many, broadcast_if, left_join_spread_nulls
+from launchboard.operators.joins import (
+    broadcast_if, hot_keys, left_join_spread_nulls, proven_small)
 from launchboard.sources.tables import Inputs
 
 FACT_COLUMNS = (
@@ -41,7 +42,7 @@ class Dims:
     tmall: DataFrame        # (kyid, tmall_bind_date)
     douyin: DataFrame       # (openid, douyin_bind_date)
     focus: DataFrame        # focus list (sku_id, tracking_end_date), broadcast when bounded
-    small: dict             # name -> row count proven under params.max_broadcast_rows
+    small: dict             # name -> size proven under params.max_broadcast_bytes
 
 
 def build_member(member: DataFrame) -> DataFrame:
@@ -54,19 +55,17 @@ def build_member(member: DataFrame) -> DataFrame:
 def build_dims(inputs: Inputs, params: RunParams, keep=None) -> Dims:
     """Dimensions of one run. Product, calendar, city and focus list are
     size-checked together (one job); those proven small are broadcast, and
-    with ``keep`` (a materializer) written once so that every later use reads
-    a tiny file instead of re-deriving them."""
-    cap = params.max_broadcast_rows
+    with ``keep`` (a materializer) all are written once so that every later use
+    reads the file instead of re-deriving them."""
     small_dims = {
         "product": D.dim_product(inputs.product),
         "calendar": D.calendar_days(inputs.calendar),
         "city": D.city_maturity(inputs.store, inputs.city_type),
         "focus": inputs.focus_sku,
     }
-    small = bounded_many(small_dims, cap)
+    small = proven_small(small_dims, params.max_broadcast_bytes)
     if keep is not None:
-        small_dims = {k: (keep(v, f"dim_{k}") if small[k] else v)
-                      for k, v in small_dims.items()}
+        small_dims = {k: keep(v, f"dim_{k}") for k, v in small_dims.items()}
     b = {k: broadcast_if(v, small[k]) for k, v in small_dims.items()}
     return Dims(
         product=b["product"], calendar=b["calendar"], city=b["city"],
@@ -98,20 +97,26 @@ def with_product(lines: DataFrame, dims: Dims) -> DataFrame:
     return lines.join(dims.product, "sku_id", "left")
 
 
-def enrich(lines: DataFrame, dims: Dims, params: RunParams,
+HOT_KEY_COLUMNS = {"crm_key": "crm_key", "type_value": "type_value"}
+
+
+def find_hot_keys(rows: DataFrame, params: RunParams) -> dict[str, list[str]]:
+    """Hot member keys and channel ids of lines or of the order summary."""
+    return hot_keys(rows, HOT_KEY_COLUMNS, params.hot_share)
+
+
+def enrich(lines: DataFrame, dims: Dims, params: RunParams, hot: dict[str, list[str]],
            with_product_done: bool = False) -> DataFrame:
-    """All dimension joins; returns FACT_COLUMNS."""
+    """All dimension joins; returns FACT_COLUMNS. ``hot``: see find_hot_keys."""
     x = lines if with_product_done else with_product(lines, dims)
     x = x.join(dims.calendar, x.order_paid_date == dims.calendar.date_id, "left")
     x = x.join(dims.city, "city_cn", "left")
-    # line-level left side: NULL keys are spread here; a hot non-NULL key is
-    # split by AQE (detecting it would cost one more pass over the lines)
     seed = ["parent_order_id", "sku_id"]
     x = left_join_spread_nulls(x, F.col("crm_key"), [(dims.member, "member_key")],
-                               params.null_key_spread, seed)
+                               params.null_key_spread, seed, hot["crm_key"])
     x = left_join_spread_nulls(x, F.col("type_value"),
                                [(dims.tmall, "kyid"), (dims.douyin, "openid")],
-                               params.null_key_spread, seed)
+                               params.null_key_spread, seed, hot["type_value"])
     return x.select(
         "source_channel", "order_paid_time", "order_paid_date", "fiscal_year",
         "fiscal_month", "fiscal_week", "member_id", "member_detail_id", "join_date",
@@ -127,4 +132,5 @@ def enrich(lines: DataFrame, dims: Dims, params: RunParams,
 
 def fact_enriched(inputs: Inputs, params: RunParams, dims: Dims | None = None) -> DataFrame:
     dims = dims or build_dims(inputs, params)
-    return enrich(admitted_lines(inputs.order_line, params), dims, params)
+    lines = admitted_lines(inputs.order_line, params)
+    return enrich(lines, dims, params, find_hot_keys(lines, params))

@@ -1,4 +1,4 @@
-"""Join helpers: size-checked broadcast and NULL-key spreading."""
+"""Join helpers: size-checked broadcast, NULL-key and hot-key spreading."""
 
 from __future__ import annotations
 
@@ -9,90 +9,84 @@ _KEY = "__jk"
 _BUCKET = "__null_bucket"
 
 
-def is_bounded(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (counts at most
-    max_rows + 1 rows; one small job on the dimension side only)."""
-    return max_rows > 0 and df.limit(max_rows + 1).count() <= max_rows
+def _row_bytes(df: DataFrame) -> Column:
+    """Estimated bytes of a row: 16 per value, and the length of texts."""
+    size = F.lit(16 * max(len(df.columns), 1))
+    for name, kind in df.dtypes:
+        if kind == "string":
+            size = size + F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0))
+    return size.cast("bigint")
 
 
-def bounded_many(dfs: dict[str, DataFrame], max_rows: int) -> dict[str, bool]:
-    """``is_bounded`` for several relations in one job (each side is cut at
-    max_rows + 1 rows; one count row per relation reaches the driver)."""
-    if max_rows <= 0 or not dfs:
-        return {k: False for k in dfs}
-    parts = [df.limit(max_rows + 1).select(F.lit(k).alias("_rel")) for k, df in dfs.items()]
+def proven_small(dfs: dict[str, DataFrame], max_bytes: int) -> dict[str, bool]:
+    """Whether each relation is at most ``max_bytes`` large, from one job of
+    partial sums (one row per relation reaches the driver)."""
+    if not dfs:
+        return {}
+    parts = [df.select(F.lit(k).alias("_rel"), _row_bytes(df).alias("_size")) for k, df in dfs.items()]
     stacked = parts[0]
     for p in parts[1:]:
         stacked = stacked.unionByName(p)
-    counts = {r["_rel"]: r["n"] for r in stacked.groupBy("_rel").agg(
-        F.count(F.lit(1)).alias("n")).collect()}
-    return {k: counts.get(k, 0) <= max_rows for k in dfs}
+    sizes = {r["_rel"]: r["s"] for r in stacked.groupBy("_rel").agg(F.sum("_size").alias("s")).collect()}
+    return {k: sizes.get(k, 0) <= max_bytes for k in dfs}
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when its row count is proven to be at most
-    ``max_rows``; otherwise return it unchanged so the planner picks a
-    shuffle join."""
-    return F.broadcast(df) if is_bounded(df, max_rows) else df
+def broadcast_if(df: DataFrame, proven: bool) -> DataFrame:
+    """Broadcast a relation proven small, or derived from one (an aggregate or
+    projection of it is at most as large)."""
+    return F.broadcast(df) if proven else df
 
 
-def broadcast_if(df: DataFrame, proven_small: bool) -> DataFrame:
-    """Broadcast a relation derived from one already proven small (an
-    aggregate or projection of it is at most as large)."""
-    return F.broadcast(df) if proven_small else df
+def hot_keys(rows: DataFrame, keys: dict[str, str], share: float) -> dict[str, list[str]]:
+    """For each named key column, the values that more than ``share`` of the rows
+    have. At most ``1 / share`` values can qualify, so the lists are bounded
+    whatever the data; they are counted with map-side combine in one pass."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.col(c).cast("string").alias("key"))
+                                for n, c in keys.items()])).alias("_p")
+    total = rows.count()
+    found = (rows.select(pairs).select("_p.*").where(F.col("key").isNotNull())
+             .groupBy("name", "key").agg(F.count(F.lit(1)).alias("n"))
+             .where(F.col("n") > share * total).select("name", "key").collect())
+    return {n: sorted(r["key"] for r in found if r["name"] == n) for n in keys}
 
 
 def left_join_spread_nulls(left: DataFrame, left_key: Column,
                            rights: list[tuple[DataFrame, str]], spread: int,
-                           seed_cols: list[str], hot_key_rows: int | None = None,
-                           max_hot_keys: int = 100_000) -> DataFrame:
+                           seed_cols: list[str], hot: list[str] | None = None) -> DataFrame:
     """``left LEFT JOIN r1 ON key = r1.k1 LEFT JOIN r2 ON key = r2.k2 ...``
     as shuffle joins whose left key is often NULL or, for a few keys, hot.
 
     A NULL key never matches, but hash partitioning would send every NULL-key
     row to one reducer. The left side carries a bucket number that is 0 for
-    ordinary keys and 1..spread for NULL keys; the right sides are bucket 0.
-    With ``hot_key_rows``, keys with more left rows than that are found with a
-    map-side-combined count (their number is size-checked before it is
-    broadcast); their left rows are spread over 1..spread too, and their right
-    rows are copied into every bucket, so each left row still meets every
-    partner once. Matches are unchanged. All right sides join on the same
-    (key, bucket) pair, so the left side is shuffled once for all of them.
+    ordinary keys and 1..spread for NULL and ``hot`` keys (see ``hot_keys``; a
+    short list, so it is part of the expression). The right sides are bucket
+    0, and their rows of hot keys are copied into every bucket, so each left
+    row still meets every partner once. All right sides join on the same
+    (key, bucket) pair, so the left side is shuffled once for all of them;
+    runtime skew handling cannot split such chained joins, the buckets do.
     """
+    hot = hot or []
     seed = F.xxhash64(*[F.col(c) for c in seed_cols])
     out = left.withColumn(_KEY, left_key)
-    hot = None
-    if hot_key_rows is not None:
-        counts = (out.where(F.col(_KEY).isNotNull()).groupBy(_KEY)
-                  .agg(F.count(F.lit(1)).alias("_rows"))
-                  .where(F.col("_rows") > hot_key_rows)
-                  .select(F.col(_KEY).alias("_hot_key"), F.lit(True).alias("_hot")))
-        if is_bounded(counts, max_hot_keys):
-            hot = F.broadcast(counts)
-            out = out.join(hot, out[_KEY] == hot["_hot_key"], "left").drop("_hot_key")
     spread_it = F.col(_KEY).isNull()
-    if hot is not None:
-        spread_it = spread_it | F.coalesce(F.col("_hot"), F.lit(False))
+    if hot:
+        spread_it = spread_it | F.col(_KEY).cast("string").isin(hot)
     bucket = F.when(spread_it, F.pmod(seed, F.lit(spread)) + 1).otherwise(F.lit(0).cast("bigint"))
     # (key, bucket) travel as one struct column: a literal bucket on the right
     # side must not be folded into a filter, or the shuffle would be keyed by
     # the raw key again and every NULL would land in one partition
     out = out.withColumn(_BUCKET, F.struct(F.col(_KEY).alias("k"), bucket.alias("b")))
-    if hot is not None:
-        out = out.drop("_hot")
     for i, (right, key_name) in enumerate(rights):
         rb = f"{_BUCKET}_{i}"
         r = right.where(F.col(key_name).isNotNull())
-        if hot is None:
-            r_bucket = F.lit(0).cast("bigint")
-        else:
-            r = r.join(hot, r[key_name] == hot["_hot_key"], "left").drop("_hot_key")
-            copies = F.when(F.coalesce(F.col("_hot"), F.lit(False)),
+        r_bucket = F.lit(0).cast("bigint")
+        if hot:
+            copies = F.when(F.col(key_name).cast("string").isin(hot),
                             F.sequence(F.lit(1).cast("bigint"), F.lit(spread).cast("bigint")))
             r = r.withColumn("_b", F.explode(F.coalesce(copies, F.array(F.lit(0).cast("bigint")))))
-            r, r_bucket = r.drop("_hot"), F.col("_b")
+            r_bucket = F.col("_b")
         r = r.withColumn(rb, F.struct(F.col(key_name).alias("k"), r_bucket.alias("b")))
-        if hot is not None:
+        if hot:
             r = r.drop("_b")
         out = out.join(r, out[_BUCKET] == r[rb], "left").drop(rb)
     return out.drop(_KEY, _BUCKET)

@@ -26,7 +26,7 @@ from launchboard.config import KpiSpec, RunParams
 from launchboard.functions import rules as R
 from launchboard.operators.fact import Dims, enrich, with_product
 from launchboard.operators import ranks as RK
-from launchboard.operators.joins import broadcast_if
+from launchboard.operators.joins import broadcast_if, left_join_spread_nulls
 
 WINDOW_KEYS = ("source_channel", "sku_id", "sku_name", "product_line", "launch_date",
                "tracking_end_date", "rsp", "price_band", "age_mark", "kids_vs_adult")
@@ -36,16 +36,34 @@ KPI_OUTPUT = WINDOW_KEYS + C.METRIC_COLUMNS
 KPI_WEEK_OUTPUT = WEEK_KEYS + C.METRIC_COLUMNS
 
 
-def tracked_lines(lines: DataFrame, dims: Dims, params: RunParams) -> DataFrame:
-    """Enriched lines of tracked SKUs inside their widest possible window."""
+def launch_of_any_channel():
+    return F.least("lcs_launch_date", "tm_launch_date", "dy_launch_date", "bu_launch_date")
+
+
+def tracking_bounds(dims: Dims):
+    """(first launch day, last tracking day) of all tracked SKUs, two values."""
+    r = dims.product.join(dims.focus, "sku_id").agg(
+        F.min(launch_of_any_channel()).alias("lo"), F.max("tracking_end_date").alias("hi")).first()
+    return r["lo"], r["hi"]
+
+
+def tracked_lines(lines: DataFrame, dims: Dims, params: RunParams,
+                  hot: dict[str, list[str]]) -> DataFrame:
+    """Enriched lines of tracked SKUs inside their widest possible window. The
+    days that any tracked SKU can need bound the scan as two literals, which
+    reach the reader and prune partitions."""
+    lo, hi = tracking_bounds(dims)
+    day = F.col("order_paid_date")
+    lines = lines.where(F.lit(False) if lo is None or hi is None else
+                        (day >= F.lit(lo)) & (day <= F.lit(hi)))
     ends = broadcast_if(
         dims.focus.groupBy("sku_id").agg(F.max("tracking_end_date").alias("_fend")),
         dims.small["focus"])
     x = with_product(lines, dims).join(ends, "sku_id")
-    earliest = F.least("lcs_launch_date", "tm_launch_date", "dy_launch_date", "bu_launch_date")
+    earliest = launch_of_any_channel()
     x = x.where((F.col("order_paid_date") <= F.col("_fend"))
                 & (F.col("order_paid_date") >= earliest)).drop("_fend")
-    return enrich(x, dims, params, with_product_done=True)
+    return enrich(x, dims, params, hot, with_product_done=True)
 
 
 LINE_COLS = ["order_paid_date", "parent_order_id", "member_id", "sku_id", "sku_name",
@@ -75,10 +93,14 @@ def branch_rows(rows: DataFrame, specs: tuple[KpiSpec, ...]) -> DataFrame:
 
 
 def kpi_rows(lines: DataFrame, dims: Dims, info: DataFrame, params: RunParams,
-             specs: tuple[KpiSpec, ...]) -> DataFrame:
+             specs: tuple[KpiSpec, ...], hot: dict[str, list[str]]) -> DataFrame:
     """Line rows of all branches with tracking end, rank flags and pieces.
-    ``info`` is ``ranks.order_info`` (one row per order): a single join."""
-    t = tracked_lines(lines, dims, params).join(info, "parent_order_id", "left")
+    ``info`` is ``ranks.order_info`` (one row per order): a single join, in
+    which lines without an order id are spread."""
+    t = left_join_spread_nulls(
+        tracked_lines(lines, dims, params, hot), F.col("parent_order_id"),
+        [(info.withColumnRenamed("parent_order_id", "_oid"), "_oid")], params.null_key_spread,
+        ["sku_id", "member_id", "order_paid_time", "order_rrp_amt"]).drop("_oid")
     b = branch_rows(t, specs)
     focus = dims.focus.select(F.col("sku_id").alias("_fsku"), "tracking_end_date")
     return b.join(focus, (F.col("sku_id") == F.col("_fsku"))

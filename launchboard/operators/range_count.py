@@ -29,35 +29,48 @@ row carries a 0/1 indicator per counter.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def range_distinct_counts(occurrences: DataFrame, periods: DataFrame, group_cols: list[str],
-                          entity: str, day: str, counters: list[str]) -> DataFrame:
+                          entity: str, day: str, counters: list[str],
+                          last_day: dt.date | None = None) -> DataFrame:
     """
     occurrences: group_cols + entity + day + one boolean column per counter
                  (the entity occurs for that counter on that day)
+    last_day:    no occurrence is later than this day (None: unknown)
     periods:     group_cols + ``start`` + ``end`` (dates; duplicates allowed)
     returns:     distinct (group_cols, start, end) of ``periods`` with one
                  bigint count per counter; periods with a NULL bound or
                  start > end get 0
     """
     g = list(group_cols)
-    # one row per (counter that holds, entity, day): one explode, one distinct
-    holds = F.filter(F.array(*[F.when(F.col(c), F.lit(c)) for c in counters]),
-                     lambda v: v.isNotNull())
-    occ = (occurrences.select(*g, entity, day, F.explode(holds).alias("_counter"))
-           .distinct())
-    by_entity = Window.partitionBy(*g, "_counter", entity).orderBy(day)
-    occ = occ.withColumn("_prev", F.lag(day).over(by_entity))
-    hist = occ.groupBy(*g, F.col(day).alias("_day"), "_prev").agg(
-        *[F.sum(F.when(F.col("_counter") == c, 1).otherwise(0)).cast("bigint").alias(c)
-          for c in counters])
+    # one row per entity and day, a flag per counter; each counter's previous day
+    # is the last earlier day that has its flag: one window for all of them
+    occ = occurrences.groupBy(*g, entity, day).agg(*[
+        F.max(F.coalesce(F.col(c), F.lit(False))).alias(c) for c in counters])
+    earlier = (Window.partitionBy(*g, entity).orderBy(day)
+               .rowsBetween(Window.unboundedPreceding, -1))
+    occ = occ.select(*g, F.col(day).alias("_day"), F.filter(F.array(*[
+        F.when(F.col(c), F.struct(F.lit(c).alias("counter"), F.last(
+            F.when(F.col(c), F.col(day)), ignorenulls=True).over(earlier).alias("prev")))
+        for c in counters]), lambda v: v.isNotNull()).alias("_held"))
+    hist = (occ.select(*g, "_day", F.explode("_held").alias("_h"))
+            .groupBy(*g, "_day", F.col("_h.prev").alias("_prev")).agg(
+        *[F.sum(F.when(F.col("_h.counter") == c, 1).otherwise(0)).cast("bigint").alias(c)
+          for c in counters]))
+
+    # days after the last possible occurrence change no count: a period that ends
+    # later is answered by its count on that day
+    def clip(end: Column) -> Column:
+        return end if last_day is None else F.least(end, F.lit(last_day))
 
     valid = periods.where(F.col("start").isNotNull() & F.col("end").isNotNull()
-                          & (F.col("start") <= F.col("end")))
-    starts = valid.groupBy(*g, "start").agg(F.max("end").alias("_max_end"))
+                          & (F.col("start") <= clip(F.col("end"))))
+    starts = valid.groupBy(*g, "start").agg(F.max(clip(F.col("end"))).alias("_max_end"))
     start_days = starts.select(*g, "start", F.explode(
         F.sequence(F.col("start"), F.col("_max_end"))).alias("_day"))
 
@@ -79,7 +92,7 @@ def range_distinct_counts(occurrences: DataFrame, periods: DataFrame, group_cols
 
     all_periods = periods.select(*g, "start", "end").distinct()
     cond = [all_periods[c].eqNullSafe(cum[c]) for c in g] + [
-        all_periods.start == cum.start, all_periods.end == cum._day]
+        all_periods.start == cum.start, clip(all_periods.end) == cum._day]
     j = all_periods.join(cum, cond, "left")
     return j.select(*[all_periods[c] for c in g], all_periods.start, all_periods.end,
                     *[F.coalesce(cum[c], F.lit(0)).cast("bigint").alias(c) for c in counters])

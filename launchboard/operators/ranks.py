@@ -20,11 +20,14 @@ Two forms:
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from launchboard import config as C
 from launchboard.functions.rules import is_true
+from launchboard.plans.session import materialize
 
 
 def rank_orders(rows: DataFrame, slices: tuple[str, ...] = C.RANK_SLICES,
@@ -51,7 +54,7 @@ def rank_orders_from_summary(summary: DataFrame,
     return rank_orders(summary, slices, time_col="elig_time", eligible=F.col("has_elig"))
 
 
-def order_rank(orders: DataFrame, partitions: int | None = None) -> DataFrame:
+def order_rank(orders: DataFrame, partitions: int | None = None, keep=None) -> DataFrame:
     """Exact ``rk`` = ROW_NUMBER() over (slice, member) by (paid time asc
     nulls last, order id asc nulls last), without any task holding more than
     one range partition of rows, however many orders one member has.
@@ -66,13 +69,20 @@ def order_rank(orders: DataFrame, partitions: int | None = None) -> DataFrame:
        partition: count the member's rows in earlier partitions (a window over
        per-partition counts, one row per partition spanned) and broadcast the
        offsets (bounded by the partition count).
+
+    Step 1 samples its bounds each time it runs, and steps 2 and 3 must see the
+    same partitions, so the partitioned rows are written once with their
+    partition number (``keep``: the materializer, by default a fresh scratch
+    folder under the shared checkpoint root) and both read them from there.
     """
     spark = orders.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     t, o = F.col("order_paid_time"), F.col("parent_order_id")
     key = [F.col("slice"), F.col("member_id").isNull(), F.col("member_id"),
            t.isNull(), t, o.isNull(), o]
-    ranged = orders.repartitionByRange(n, *key).withColumn("_pid", F.spark_partition_id())
+    keep = keep or (lambda df, name: materialize(df, name, uuid.uuid4().hex))
+    ranged = keep(orders.repartitionByRange(n, *key).withColumn("_pid", F.spark_partition_id()),
+                  "ranged_orders")
     local = Window.partitionBy("_pid", "slice", "member_id").orderBy(*key)
     ranked = ranged.withColumn("_local", F.row_number().over(local))
     counts = ranged.groupBy("_pid", "slice", "member_id").agg(F.count(F.lit(1)).alias("_n"))
@@ -103,11 +113,11 @@ def rank_classes(orders: DataFrame) -> DataFrame:
     """Rank relation reduced to rk = 1 / rk >= 2:
     (slice, parent_order_id, member_id, is_first)."""
     f = first_orders(orders).select(F.col("slice").alias("_fs"), F.col("member_id").alias("_fm"),
-                                    "first_order_id")
+                                    "first_order_id", F.lit(True).alias("_first"))
     j = orders.join(f, (F.col("slice") == F.col("_fs")) & F.col("member_id").eqNullSafe(F.col("_fm"))
-                    & (F.col("parent_order_id") == F.col("first_order_id")), "left")
+                    & F.col("parent_order_id").eqNullSafe(F.col("first_order_id")), "left")
     return j.select("slice", "parent_order_id", "member_id",
-                    F.col("first_order_id").isNotNull().alias("is_first"))
+                    F.col("_first").isNotNull().alias("is_first"))
 
 
 def order_rank_flags(orders: DataFrame) -> DataFrame:

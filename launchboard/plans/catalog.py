@@ -3,17 +3,20 @@ whole test tables, each with its DuckDB oracle SQL."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from launchboard import config as C
 from launchboard.config import ANALYST_DEFAULTS, RunParams
 from launchboard.operators import dims as D
 from launchboard.operators import fact as FT
 from launchboard.operators import ranks as RK
 from launchboard.plans import oracle as O
 from launchboard.plans import scorecard as S
-from launchboard.plans.session import apply_recommended_conf
+from launchboard.plans.session import apply_recommended_conf, scratch_root
+from launchboard.sources.sink import write_full_refresh
 from launchboard.sources.tables import Inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +58,30 @@ def _member_dim(spark, sf_dir):
     return FT.build_member(m)
 
 
+def _sink_full_refresh(spark, sf_dir):
+    """The 8-week table written twice to one folder and read back."""
+    path = f"{scratch_root(spark)}/{uuid.uuid4().hex}/scorecard_8w"
+    p = _prepared(spark, sf_dir)
+    for _ in range(2):
+        write_full_refresh(S.scorecard_8w(p), C.SCORECARD_8W_COLUMNS, path=path)
+    return spark.read.parquet(path)
+
+
+def _sink_positional_insert(spark, sf_dir):
+    """The weekly table refreshed twice by position into an existing table whose
+    own column names differ."""
+    name = f"launchboard_sink_{uuid.uuid4().hex}"
+    path = f"{scratch_root(spark)}/{name}"
+    df = S.scorecard_week(_prepared(spark, sf_dir))
+    columns = ", ".join(f"c{i} {df.schema[c].dataType.simpleString()}"
+                        for i, c in enumerate(C.SCORECARD_WEEK_COLUMNS))
+    spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet LOCATION '{path}'")
+    for _ in range(2):
+        write_full_refresh(df, C.SCORECARD_WEEK_COLUMNS, table=name)
+    back = spark.table(name).toDF(*C.SCORECARD_WEEK_COLUMNS)
+    return back
+
+
 QUERIES: dict[str, Query] = {
     # sources, filters, distincts
     "calendar_day": lambda s, d: D.calendar_days(_inputs(s, d).calendar),
@@ -94,6 +121,9 @@ QUERIES: dict[str, Query] = {
     # the two dashboard tables
     "scorecard_8w": lambda s, d: S.scorecard_8w(_prepared(s, d)),
     "scorecard_week": lambda s, d: S.scorecard_week(_prepared(s, d)),
+    # sinks
+    "sink_full_refresh": _sink_full_refresh,
+    "sink_positional_insert": _sink_positional_insert,
 }
 
 _RANK_COLS = "slice, parent_order_id, member_id, order_paid_time, rk"
@@ -129,6 +159,8 @@ ORACLE: dict[str, str] = {
     "benchmark_douyin": O.benchmark_sql(("DOUYIN",)),
     "scorecard_8w": O.scorecard_8w_sql(),
     "scorecard_week": O.scorecard_week_sql(),
+    "sink_full_refresh": O.scorecard_8w_sql(),
+    "sink_positional_insert": O.scorecard_week_sql(),
 }
 
 assert set(QUERIES) == set(ORACLE)

@@ -25,7 +25,7 @@ SELECT CASE o.o_orderpriority WHEN '1-URGENT' THEN 'LCS' WHEN '2-HIGH' THEN 'TMA
             ELSE 'OTHER' END AS source_channel,
        o.o_orderdate AS order_paid_time,
        CAST(o.o_orderdate AS DATE) AS order_paid_date,
-       o.o_orderkey AS parent_order_id,
+       CASE WHEN o.o_orderkey % 89 <> 0 THEN 'O-' || CAST(o.o_orderkey AS VARCHAR) END AS parent_order_id,
        l.l_partkey AS sku_id,
        CAST(l.l_linenumber % 4 AS INT) AS sales_type,
        CASE WHEN o.o_orderstatus = 'P' AND o.o_orderkey % 2 = 0 THEN 'presale' ELSE 'normal' END AS order_type,
@@ -34,10 +34,12 @@ SELECT CASE o.o_orderpriority WHEN '1-URGENT' THEN 'LCS' WHEN '2-HIGH' THEN 'TMA
        CASE WHEN o.o_orderpriority = '2-HIGH' THEN 'k'
             WHEN o.o_orderpriority IN ('3-MEDIUM', '4-NOT SPECIFIED') THEN 'd' ELSE 'm' END
          || CAST(o.o_custkey AS VARCHAR) AS type_value,
-       CASE WHEN o.o_custkey % 3 = 0 THEN NULL ELSE CAST(o.o_custkey AS VARCHAR) END AS crm_member_detail_id,
+       CASE WHEN o.o_custkey % 3 = 0 THEN NULL
+            WHEN o.o_orderkey % 23 = 0 AND l.l_linenumber = 2 THEN CAST(o.o_custkey + 1 AS VARCHAR)
+            ELSE CAST(o.o_custkey AS VARCHAR) END AS crm_member_detail_id,
        CAST(CASE WHEN l.l_returnflag = 'R' THEN -l.l_quantity ELSE l.l_quantity END AS INT) AS sales_qty,
        NOT (o.o_orderpriority = '1-URGENT' AND l.l_returnflag = 'R') AS if_eff_order_tag,
-       CASE WHEN o.o_custkey % 41 = 0 THEN NULL ELSE o.o_custkey % 7 <> 0 END AS is_member_order,
+       CASE WHEN o.o_custkey % 41 = 0 THEN NULL ELSE o.o_custkey % 7 <> 0 OR o.o_custkey % 35 = 0 END AS is_member_order,
        CAST(l.l_extendedprice AS DECIMAL(18,2)) AS order_rrp_amt,
        'NATION_' || CAST(o.o_custkey % 25 AS VARCHAR) AS city_cn,
        CASE WHEN o.o_custkey % 10 = 0 THEN NULL ELSE 'T' || CAST(o.o_custkey % 4 AS VARCHAR) END AS city_tier
@@ -46,7 +48,8 @@ FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
 
 _cte("member", (), """
 SELECT CAST(c_custkey AS VARCHAR) AS member_detail_id,
-       DATE '1995-06-01' + CAST(c_custkey * 37 % 1500 AS INT) AS join_time,
+       CAST(DATE '1995-06-01' + CAST(c_custkey * 37 % 1500 AS INT) AS TIMESTAMP)
+         + to_hours(CAST(c_custkey % 24 AS INT)) AS join_time,
        c_mktsegment AS eff_reg_channel
 FROM customer WHERE c_custkey % 13 <> 0
 """)
@@ -55,9 +58,11 @@ _cte("shopper_binding", (), """
 SELECT CASE WHEN k = 1 THEN 'd' ELSE 'k' END || CAST(c_custkey AS VARCHAR) AS platform_id_value,
        CASE WHEN k = 1 THEN 'openId' ELSE 'kyid' END AS platform_id_type,
        CASE WHEN k = 1 OR k = 3 THEN 'douyin' ELSE 'taobao' END AS platformid,
-       DATE '1995-06-01' + CAST(c_custkey * 53 % 1500 + k * 30 AS INT) AS first_bind_time
-FROM customer CROSS JOIN (VALUES (0), (1), (2), (3)) v(k)
+       CAST(DATE '1995-06-01' + CAST(c_custkey * 53 % 1500 + CASE WHEN k < 4 THEN k * 30 ELSE 0 END AS INT)
+            AS TIMESTAMP) + to_hours(CASE WHEN k < 4 THEN 9 ELSE 18 END) AS first_bind_time
+FROM customer CROSS JOIN (VALUES (0), (1), (2), (3), (4)) v(k)
 WHERE k < 2 OR (k = 2 AND c_custkey % 11 = 0) OR (k = 3 AND c_custkey % 17 = 0)
+   OR (k = 4 AND c_custkey % 19 = 0)
 """)
 
 _cte("product", (), """

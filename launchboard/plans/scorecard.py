@@ -24,7 +24,7 @@ from launchboard.config import RunParams
 from launchboard.operators import benchmark as B
 from launchboard.operators import kpi as K
 from launchboard.operators import ranks as RK
-from launchboard.operators.fact import Dims, admitted_lines, build_dims
+from launchboard.operators.fact import Dims, admitted_lines, build_dims, find_hot_keys
 from launchboard.operators.orders import order_summary
 from launchboard.operators.upt import order_pieces
 from launchboard.plans.session import materialize as materialize_df
@@ -52,6 +52,11 @@ class Prepared:
     def summary(self) -> DataFrame:
         return self._kept(order_summary(self.lines, self.dims, self.params), "order_summary")
 
+    @cached_property
+    def hot(self) -> dict[str, list[str]]:
+        """Hot member keys and channel ids, found once, in the order summary."""
+        return find_hot_keys(self.summary, self.params)
+
     @cached_property
     def rank_orders(self) -> DataFrame:
         return RK.rank_orders_from_summary(self.summary)
@@ -62,7 +67,7 @@ class Prepared:
 
     @cached_property
     def pieces(self) -> DataFrame:
-        return order_pieces(self.summary, self.dims, self.params)
+        return order_pieces(self.summary, self.dims, self.params, self.hot)
 
     @cached_property
     def info(self) -> DataFrame:
@@ -86,13 +91,17 @@ def _specs(params: RunParams, labels):
 def _kpi_rows(p: Prepared, labels) -> DataFrame:
     if p.kpi_rows is not None and labels is None:
         return p.kpi_rows
-    return K.kpi_rows(p.lines, p.dims, p.info, p.params, _specs(p.params, labels))
+    rows = K.kpi_rows(p.lines, p.dims, p.info, p.params, _specs(p.params, labels), p.hot)
+    # members and orders are both reduced from these rows: written, they are built once
+    return p._kept(rows, f"kpi_rows_{'_'.join(labels or ('all',))}")
 
 
 def share_kpi_rows(p: Prepared, run_id: str) -> Prepared:
     """Write the branch rows of the tracked SKUs once, so the window and the
     week grain aggregate the same rows (one fact scan for both tables)."""
-    p.kpi_rows = materialize_df(_kpi_rows(p, None), "kpi_rows", run_id)
+    p.kpi_rows = _kpi_rows(p, None)
+    if not p._keep:
+        p.kpi_rows = materialize_df(p.kpi_rows, "kpi_rows", run_id)
     return p
 
 
@@ -106,7 +115,7 @@ def kpi_launch_week(p: Prepared, labels: tuple[str, ...] | None = None) -> DataF
 
 def benchmark_all(p: Prepared, labels: tuple[str, ...] | None = None) -> DataFrame:
     specs = tuple(s for s in p.params.benchmark_specs if labels is None or s.label in labels)
-    return B.benchmarks(p.summary, p.dims, p.info, p.params, specs).select(*B.BENCH_OUTPUT)
+    return B.benchmarks(p.summary, p.dims, p.info, p.params, specs, p.hot).select(*B.BENCH_OUTPUT)
 
 
 def scorecard_8w(p: Prepared) -> DataFrame:

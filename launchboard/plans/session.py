@@ -40,12 +40,11 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def apply_recommended_conf(spark: SparkSession) -> None:
-    """Set the runtime SQL settings on an existing session (keeps user values
-    for keys the user set explicitly)."""
+    """Set the runtime SQL settings on an existing session; settings that the
+    user gave, at start or since, keep their values."""
+    given = {r["key"] for r in spark.sql("SET").collect()}
     for k, v in RECOMMENDED_CONF.items():
-        if spark.conf.get(k, None) in (None, ""):
-            spark.conf.set(k, v)
-        elif k.startswith("spark.sql.adaptive") and k.endswith("enabled"):
+        if k not in given and k != "spark.sql.session.timeZone":
             spark.conf.set(k, v)
 
 
@@ -71,16 +70,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def scratch_root(spark: SparkSession) -> str:
+    """Folder of the engine's written relations, under the shared root named by
+    the cluster."""
+    root = (spark.conf.get("spark.checkpoint.dir", None)
+            or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+            or checkpoint_dir(spark))
+    return f"{root.rstrip('/')}/launchboard"
+
+
 def materialize(df, name: str, run_id: str):
     """Write ``df`` as Parquet under the shared checkpoint folder and read it
     back: one computation, lineage cut, and the result survives executor loss.
     ``run_id`` keeps concurrent runs apart."""
-    spark = df.sparkSession
-    # the shared root named by the cluster (not the per-application folder
-    # SparkContext creates under it), so a fixed run_id is reused across jobs
-    root = (spark.conf.get("spark.checkpoint.dir", None)
-            or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-            or checkpoint_dir(spark))
-    path = f"{root.rstrip('/')}/launchboard/{run_id}/{name}"
+    path = f"{scratch_root(df.sparkSession)}/{run_id}/{name}"
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def drop_run(spark: SparkSession, run_id: str) -> None:
+    """Remove what a finished run has written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/{run_id}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -35,6 +35,10 @@ def _days_after(base: str, n: Column) -> Column:
     return F.date_add(F.lit(base).cast("date"), n.cast("int"))
 
 
+def _time_of(day: Column, hour: Column) -> Column:
+    return F.timestamp_add("HOUR", hour.cast("int"), day.cast("timestamp_ntz"))
+
+
 def _s(c: Column) -> Column:
     return c.cast("string")
 
@@ -52,7 +56,8 @@ def order_line(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise("OTHER").alias("source_channel"),
         F.col("o_orderdate").cast("timestamp_ntz").alias("order_paid_time"),
         F.col("o_orderdate").cast("date").alias("order_paid_date"),
-        F.col("o_orderkey").cast("bigint").alias("parent_order_id"),
+        F.when(F.col("o_orderkey") % 89 != 0, F.concat(F.lit("O-"), _s(F.col("o_orderkey"))))
+         .alias("parent_order_id"),
         F.col("l_partkey").cast("bigint").alias("sku_id"),
         (F.col("l_linenumber") % 4).cast("int").alias("sales_type"),
         F.when((F.col("o_orderstatus") == "P") & (F.col("o_orderkey") % 2 == 0), "presale")
@@ -62,12 +67,16 @@ def order_line(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.when(prio == "2-HIGH", "k")
                   .when(prio.isin("3-MEDIUM", "4-NOT SPECIFIED"), "d").otherwise("m"),
                  _s(cust)).alias("type_value"),
-        F.when(cust % 3 == 0, F.lit(None).cast("string")).otherwise(_s(cust))
-         .alias("crm_member_detail_id"),
+        # now and then one line of an order carries another member's id
+        F.when(cust % 3 == 0, F.lit(None).cast("string"))
+         .when((F.col("o_orderkey") % 23 == 0) & (F.col("l_linenumber") == 2), _s(cust + 1))
+         .otherwise(_s(cust)).alias("crm_member_detail_id"),
         F.when(ret == "R", -F.col("l_quantity")).otherwise(F.col("l_quantity"))
          .cast("int").alias("sales_qty"),
         (~((prio == "1-URGENT") & (ret == "R"))).alias("if_eff_order_tag"),
-        F.when(cust % 41 == 0, F.lit(None).cast("boolean")).otherwise(cust % 7 != 0)
+        # some guests are flagged as members: eligible lines without a member id
+        F.when(cust % 41 == 0, F.lit(None).cast("boolean"))
+         .otherwise((cust % 7 != 0) | (cust % 35 == 0))
          .alias("is_member_order"),
         F.col("l_extendedprice").cast("decimal(18,2)").alias("order_rrp_amt"),
         F.concat(F.lit("NATION_"), _s(cust % 25)).alias("city_cn"),
@@ -81,22 +90,25 @@ def member(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     return c.where(k % 13 != 0).select(
         _s(k).alias("member_detail_id"),
-        _days_after(BASE_JOIN_DATE, k * 37 % 1500).alias("join_time"),
+        _time_of(_days_after(BASE_JOIN_DATE, k * 37 % 1500), k % 24).alias("join_time"),
         F.col("c_mktsegment").alias("eff_reg_channel"),
     )
 
 
 def shopper_binding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # k=0 tmall, k=1 douyin, k=2 a second tmall bind time, k=3 wrong platform
+    # k=0 tmall, k=1 douyin, k=2 a second tmall bind time, k=3 wrong platform,
+    # k=4 a later tmall bind time of the first day
     c = _read(spark, sf_dir, "customer").select("c_custkey")
-    x = c.withColumn("k", F.explode(F.array(*[F.lit(i) for i in range(4)])))
+    x = c.withColumn("k", F.explode(F.array(*[F.lit(i) for i in range(5)])))
     key, kk = F.col("c_custkey"), F.col("k")
-    x = x.where((kk < 2) | ((kk == 2) & (key % 11 == 0)) | ((kk == 3) & (key % 17 == 0)))
+    x = x.where((kk < 2) | ((kk == 2) & (key % 11 == 0)) | ((kk == 3) & (key % 17 == 0))
+                | ((kk == 4) & (key % 19 == 0)))
     return x.select(
         F.concat(F.when(kk == 1, "d").otherwise("k"), _s(key)).alias("platform_id_value"),
         F.when(kk == 1, "openId").otherwise("kyid").alias("platform_id_type"),
         F.when(kk.isin(1, 3), "douyin").otherwise("taobao").alias("platformid"),
-        _days_after(BASE_JOIN_DATE, key * 53 % 1500 + kk * 30).alias("first_bind_time"),
+        _time_of(_days_after(BASE_JOIN_DATE, key * 53 % 1500 + F.when(kk < 4, kk * 30).otherwise(0)),
+                 F.when(kk < 4, 9).otherwise(18)).alias("first_bind_time"),
     )
 
 

@@ -1,9 +1,12 @@
 """Full-refresh sinks of the dashboard tables.
 
-The dashboard empties its table and inserts the new result by column
-position. Here the result is projected to the table's column order and the
-table (or folder) is replaced in one overwrite, so re-running gives the
-same rows and readers never see a half-empty table between two statements.
+The dashboard empties its table and inserts the new result by column position.
+Here the result is projected to the table's column order and written in one
+overwrite, so re-running gives the same rows. A table that exists keeps its
+definition and takes the rows by position; one that does not is created. A
+folder is replaced by Spark's overwrite, which removes the old files before the
+new ones are committed: readers of a folder should wait for its ``_SUCCESS``
+file, readers of a transactional table format see old or new rows only.
 """
 
 from __future__ import annotations
@@ -16,6 +19,9 @@ def write_full_refresh(df: DataFrame, columns: tuple[str, ...], *, path: str | N
     if (path is None) == (table is None):
         raise ValueError("give exactly one of path or table")
     out = df.select(*columns)
+    if table is not None and df.sparkSession.catalog.tableExists(table):
+        out.write.insertInto(table, overwrite=True)
+        return
     w = out.write.mode("overwrite").format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)

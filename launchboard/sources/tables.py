@@ -34,12 +34,12 @@ SCHEMAS: dict[str, dict[str, str]] = {
         "city_cn": "string",
         "city_tier": "string",
     },
-    "member": {"member_detail_id": "string", "join_time": "date", "eff_reg_channel": "string"},
+    "member": {"member_detail_id": "string", "join_time": "timestamp_ntz", "eff_reg_channel": "string"},
     "shopper_binding": {
         "platform_id_value": "string",
         "platform_id_type": "string",
         "platformid": "string",
-        "first_bind_time": "date",
+        "first_bind_time": "timestamp_ntz",
     },
     "product": {
         "sku_id": "bigint",
@@ -67,10 +67,15 @@ SCHEMAS: dict[str, dict[str, str]] = {
 
 NAMES = tuple(SCHEMAS)
 
+# ids are only compared, grouped and ordered: they keep the type they are stored
+# in (numbers or text), and the type above is that of the hand-made test rows
+OWN_TYPE = ("parent_order_id", "sku_id")
+
 
 def conform(df: DataFrame, name: str) -> DataFrame:
-    """Select the declared columns with their declared types."""
-    return df.select(*[F.col(c).cast(t).alias(c) for c, t in SCHEMAS[name].items()])
+    """Select the declared columns with their declared types (ids: their own)."""
+    return df.select(*[F.col(c) if c in OWN_TYPE else F.col(c).cast(t).alias(c)
+                       for c, t in SCHEMAS[name].items()])
 
 
 @dataclass(frozen=True)

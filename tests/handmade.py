@@ -82,17 +82,18 @@ ROWS = {
               crm="12", city="C2"),
     ],
     "member": [
-        ("1", D(2019, 1, 1), "A"), ("2", D(2020, 3, 1), "A"), ("3", D(2020, 2, 1), "A"),
-        ("4", D(2020, 2, 15), "B"), ("5", D(2019, 5, 5), "B"), ("7", D(2020, 3, 1), "B"),
-        ("12", D(2020, 1, 1), "B"), ("12", D(2020, 4, 1), "B"),   # duplicate member row
-        ("abc", D(2020, 1, 1), "X"),
+        ("1", TS(2019, 1, 1, 9), "A"), ("2", TS(2020, 3, 1, 9), "A"), ("3", TS(2020, 2, 1, 9), "A"),
+        ("4", TS(2020, 2, 15, 9), "B"), ("5", TS(2019, 5, 5, 9), "B"), ("7", TS(2020, 3, 1, 9), "B"),
+        ("12", TS(2020, 1, 1, 9), "B"), ("12", TS(2020, 4, 1, 9), "B"),   # duplicate member row
+        ("abc", TS(2020, 1, 1, 9), "X"),
     ],
     "shopper_binding": [
-        ("k9", "kyid", "taobao", D(2020, 3, 1)), ("k9", "kyid", "taobao", D(2019, 3, 1)),
-        ("k9", "kyid", "taobao", D(2019, 3, 1)),                  # exact duplicate
-        ("k10", "kyid", "taobao", D(2019, 1, 1)),
-        ("k10", "kyid", "douyin", D(2021, 1, 1)),                 # wrong platform
-        ("d11", "openId", "douyin", D(2020, 3, 2)), ("d12", "openId", "douyin", D(2019, 2, 2)),
+        ("k9", "kyid", "taobao", TS(2020, 3, 1, 9)), ("k9", "kyid", "taobao", TS(2019, 3, 1, 9)),
+        ("k9", "kyid", "taobao", TS(2019, 3, 1, 9)),                  # exact duplicate
+        ("k10", "kyid", "taobao", TS(2019, 1, 1, 9)),
+        ("k10", "kyid", "douyin", TS(2021, 1, 1, 9)),                 # wrong platform
+        ("d11", "openId", "douyin", TS(2020, 3, 2, 9)), ("d12", "openId", "douyin", TS(2019, 2, 2, 9)),
+        ("d12", "openId", "douyin", TS(2019, 2, 2, 18)),          # twice on one day
     ],
     "product": [
         (10, "sku ten", D(2020, 3, 1), D(2020, 2, 28), D(2020, 3, 2), D(2020, 3, 5), None,

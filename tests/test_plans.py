@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from launchboard.config import ANALYST_DEFAULTS
 from launchboard.operators.fact import admitted_lines
-from launchboard.operators.joins import bounded_many, left_join_spread_nulls
+from launchboard.operators.joins import hot_keys, left_join_spread_nulls, proven_small
 from launchboard.plans import catalog
 from launchboard.sources.tables import NAMES, Inputs
 
@@ -58,8 +58,10 @@ def test_null_keys_are_spread(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_bounded_many(spark):
-    got = bounded_many({"a": spark.range(5), "b": spark.range(50), "c": spark.range(0)}, 10)
+def test_proven_small_counts_bytes(spark):
+    text = spark.range(5).select(F.repeat(F.lit("x"), 100).alias("t"))
+    assert proven_small({"t": text}, 500) == {"t": False}
+    got = proven_small({"a": spark.range(5), "b": spark.range(50), "c": spark.range(0)}, 160)
     assert got == {"a": True, "b": False, "c": True}
 
 
@@ -76,7 +78,8 @@ def test_hot_key_is_split_and_matches_are_unchanged(spark):
                                                         F.lit(-1).cast("bigint").alias("v")))
         plain = left.join(right, left.k == right.rk, "left").select("parent_order_id", "v")
         salted = left_join_spread_nulls(left, F.col("k"), [(right, "rk")], 16,
-                                        ["parent_order_id", "sku_id"], hot_key_rows=1000)
+                                        ["parent_order_id", "sku_id"],
+                                        hot_keys(left, {"k": "k"}, 0.05)["k"])
         a = sorted(map(tuple, plain.collect()), key=lambda r: (r[0], r[1] is None, r[1] or 0))
         b = sorted(map(tuple, salted.select("parent_order_id", "v").collect()),
                    key=lambda r: (r[0], r[1] is None, r[1] or 0))
