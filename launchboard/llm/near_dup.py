@@ -18,8 +18,7 @@ check. Each list is worked in rounds: in a round a few members, chosen by hash,
 hubs and meet the members that come after them; what they link is contracted, lists
 inside one component end, and the next round takes ``GROWTH`` times as many hubs. Each
 pair of a list thus meets once or is settled by connection: no pairs of a group are emitted
-at large, and no link between components is lost. Of the pairs of a class that pass
-the estimate one is checked first and the others only if still unconnected.
+at large, and no link between components is lost.
 
 A pair at the threshold is missed with a probability below 1e-7 (its sketches
 would have to share less than ``OVERLAP``, or its estimate fall 6 standard
@@ -51,7 +50,7 @@ SKETCH = 48
 OVERLAP = 0.25
 SIGMAS = 6.0
 #: Hubs of a list in the first round, and their growth from round to round.
-HUBS, GROWTH = 2.0, 8.0
+HUBS, GROWTH = 2.0, 16.0
 
 
 def shingle_sets(texts: pa.Array, words: int) -> list[np.ndarray]:
@@ -187,9 +186,14 @@ def link_classes(docs: DataFrame, classes: DataFrame, words: int, percent: int,
         passed = (pairs.join(sketch.toDF("a", "sketch_a", "n_a"), "a")
                   .join(sketch.toDF("b", "sketch_b", "n_b"), "b")
                   .withColumn("estimate", _estimate(*map(F.col, ("sketch_a", "sketch_b", "n_a", "n_b"))))
-                  .where(F.col("estimate") >= least).select("a", "b", "estimate"))
+                  .where(F.col("estimate") >= least).select("a", "b"))
         passed = scratch.keep(passed, f"passed-{step}")
-        labels = _settle(passed, labels, texts, words, percent, scratch, f"{step}")
+        linked = (passed.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
+                  .select("a", "b", "text_a", "text_b")
+                  .mapInArrow(_verify(words, percent), "a long, b long"))
+        edges = (linked.join(labels.toDF("a", "comp_a"), "a").join(labels.toDF("b", "comp_b"), "b")
+                 .select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")))
+        labels = contract(labels, edges, scratch, f"contract-{step}")
         # lists go on with their members behind the hubs, while these can meet another component
         left = rows.where(place >= upto).select("value", "node", "n", "df").join(labels, "node")
         open_lists = rows.select("value", "node").join(labels, "node").groupBy("value").agg(
@@ -200,27 +204,6 @@ def link_classes(docs: DataFrame, classes: DataFrame, words: int, percent: int,
     return labels
 
 
-def _settle(passed: DataFrame, labels: DataFrame, texts: DataFrame, words: int, percent: int,
-            scratch: Scratch, name: str) -> DataFrame:
-    """Check pairs that may link components and contract, until none are left."""
-    step = 0
-    while not passed.isEmpty():
-        best = passed.groupBy("a").agg(F.max_by("b", F.struct("estimate", "b")).alias("b"))
-        checked = scratch.keep(
-            best.join(texts.toDF("a", "text_a"), "a").join(texts.toDF("b", "text_b"), "b")
-            .select("a", "b", "text_a", "text_b")
-            .mapInArrow(_verify(words, percent), "a long, b long"), f"checked-{name}-{step}")
-        edges = (checked.join(labels.toDF("a", "comp_a"), "a").join(labels.toDF("b", "comp_b"), "b")
-                 .select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")))
-        labels = contract(labels, edges, scratch, f"contract-{name}-{step}")
-        rest = (passed.join(best, ["a", "b"], "left_anti")
-                .join(labels.toDF("a", "comp_a"), "a").join(labels.toDF("b", "comp_b"), "b")
-                .where("comp_a <> comp_b").select("a", "b", "estimate"))
-        passed = scratch.keep(rest, f"rest-{name}-{step}")
-        step += 1
-    return labels
-
-
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, text_hash, n_shingles, component_id, kept) per row: ``component_id`` is
     the least id reachable over links of Jaccard similarity ``percent`` or more."""
