@@ -66,7 +66,7 @@ def range_distinct_counts(occurrences: DataFrame, periods: DataFrame, group_cols
     # days after the last possible occurrence change no count: a period that ends
     # later is answered by its count on that day
     def clip(end: Column) -> Column:
-        return end if last_day is None else F.least(end, F.lit(last_day))
+        return end if last_day is None else F.when(end > F.lit(last_day), F.lit(last_day)).otherwise(end)
 
     valid = periods.where(F.col("start").isNotNull() & F.col("end").isNotNull()
                           & (F.col("start") <= clip(F.col("end"))))
