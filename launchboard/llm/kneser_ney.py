@@ -3,10 +3,11 @@ hash arrays, memory-mapped by the workers that score.
 
 Counting. Each block of training texts sends its distinct bigrams with their counts
 to shards of the bigrams' hash space, so a frequent bigram is one entry a block; the
-hash space is worked in ``PASSES`` passes, which bounds the shuffle on disk. A shard adds up, stores sorted hashes and counts as two plain files, and passes on
-what words need: occurrences, continuations (distinct words before), and per
-context the total and how many followers were seen once, twice and more. Word
-shards add these up the same way. Only a handful of sums reach the driver.
+hash space is worked in ``PASSES`` passes, which bounds the shuffle on disk. A shard
+adds up, stores sorted hashes and counts as two plain files, and passes on what words
+need: occurrences, continuations (distinct words before), and per context the total
+and how many followers were seen once, twice and more. Word shards add these up the
+same way. Only a handful of sums reach the driver.
 
 Scoring. A worker maps the files and looks up a block's distinct bigrams and words
 by binary search; pages are read as needed and shared, memory stays bounded by a

@@ -7,9 +7,9 @@ letters and digits become one space) and compared as sets of word bigrams:
 
 A template of t bigrams can reach the limit d only with lines of t * d / (2 - d) to
 t * (2 - d) / d bigrams. These size bounds prune lines and, per line, templates;
-lines that share no bigram with any template drop out next. The templates are a
-fixed, small list that becomes part of the expression: there is no join, no shuffle
-and no Python.
+a matching line also holds one of ``telling_parts``, so lines without any of these go
+before anything is built. The templates are a fixed, small list that becomes part of
+the expression: there is no join, no shuffle and no Python.
 
 Defined cases: null and empty texts have no line that matches; a line of one word
 has no bigram and matches nothing; repeated lines and rows are each reported; a null
@@ -18,7 +18,9 @@ id is reported as null; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+import functools
 import math
+import operator
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -64,6 +66,18 @@ def size_bounds(n: int, dice: float) -> tuple[int, int]:
     return math.ceil(n * dice / (2 - dice) - 1e-9), math.floor(n * (2 - dice) / dice + 1e-9)
 
 
+def telling_parts(grams: list[str], dice: float) -> set[str]:
+    """Parts of which a line that reaches ``dice`` has at least one. It shares c or
+    more of the template's bigrams, so it has one of any (all - c + 1) of them:
+    those with the longest words are taken, and of each its longer word, or the
+    bigram itself where both words are short."""
+    least, _ = size_bounds(len(grams), dice)
+    common = math.ceil(dice * (least + len(grams)) / 2 - 1e-9)
+    longer = lambda g: max(g.split(" "), key=lambda w: (len(w), w))
+    chosen = sorted(grams, key=lambda g: (-len(longer(g)), g))[:len(grams) - common + 1]
+    return {longer(g) if len(longer(g)) >= 5 else g for g in chosen}
+
+
 def line_words(line: Column) -> Column:
     """Words of a line; empty for a line without letters or digits."""
     clean = F.trim(F.regexp_replace(F.lower(line), "[^a-z0-9]+", " "))
@@ -89,7 +103,11 @@ def scan_licenses(docs: DataFrame, templates: dict[str, tuple[str, ...]] | None
     lines = docs.select("doc_id", F.posexplode(F.split(F.col("text"), "\n")).alias("line", "__text"))
     # a line of w words has at most w - 1 distinct bigrams, and at least 1 of them
     # is in a template; short lines go before anything is built
-    sized = (lines.where(F.length("__text") >= 3 * least)
+    small = F.lower("__text")
+    telling = sorted(set().union(*(telling_parts(grams, min_dice) for _, grams in known)))
+    named = functools.reduce(operator.or_, [
+        small.rlike(t.replace(" ", "[^a-z0-9]+")) if " " in t else small.contains(t) for t in telling])
+    sized = (lines.where((F.length("__text") >= 3 * least) & named)
              .withColumn("__words", line_words(F.col("__text")))
              .where(F.size("__words") > least)
              .withColumn("__grams", bigrams(F.col("__words")))
