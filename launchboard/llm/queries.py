@@ -91,9 +91,58 @@ QUERIES = {f.__name__: f for f in (
     op6_quality_model, op7_best_fit_packing, op8_license_scan, op9_token_counts, op10_lm_scoring)}
 
 
+OP1_SQL = """
+with recursive words as (
+  select doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w
+  from documents),
+shingles as (
+  select distinct doc_id, array_to_string(w[i:i + 2], ' ') as s
+  from (select doc_id, w, unnest(range(1, greatest(len(w) - 1, 2))) as i from words where len(w) > 0)),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+common as (
+  select a.doc_id as a, b.doc_id as b, count(*) as n
+  from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by all),
+links as (
+  select a, b from common c join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+  where 100 * c.n >= 85 * (x.n + y.n - c.n)),
+both_ways as (select a, b from links union all select b, a from links),
+reach(doc_id, other) as (
+  select doc_id, doc_id from documents
+  union
+  select r.doc_id, l.b from reach r join both_ways l on l.a = r.other)
+select d.doc_id, coalesce(any_value(z.n), 0) as n_shingles, min(r.other) as component_id,
+       d.doc_id = min(r.other) as kept
+from documents d join reach r using (doc_id) left join sizes z using (doc_id)
+group by d.doc_id"""
+
+OP4_SQL = """
+with words as (
+  select row_number() over () as r, doc_id, list_filter(string_split_regex(
+    coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as w
+  from documents),
+windows as (
+  select r, doc_id, i, array_to_string(w[i:i + 12], ' ') as k
+  from (select r, doc_id, w, unnest(range(1, len(w) - 11)) as i from words)),
+first_docs as (select k, min(doc_id) as first_doc from windows group by k),
+gone as (
+  select distinct r, i + o as p
+  from windows join first_docs using (k), range(13) t(o) where first_doc < doc_id),
+tokens as (select r, unnest(w) as word, generate_subscripts(w, 1) as p from words),
+kept as (
+  select t.r, count(g.p) as n_removed,
+         string_agg(t.word, ' ' order by t.p) filter (where g.p is null) as text
+  from tokens t left join gone g on g.r = t.r and g.p = t.p group by t.r)
+select doc_id, len(w) as n_words, coalesce(n_removed, 0) as n_removed,
+       sha256(coalesce(text, '')) as kept_sha256
+from words left join kept using (r)"""
+
+
 def _oracle() -> dict[str, str]:
     from launchboard.llm import license_scan
-    return {"op8_license_scan": license_scan.oracle_sql()}
+    return {"op1_near_duplicates": OP1_SQL, "op4_substring_dedup": OP4_SQL,
+            "op8_license_scan": license_scan.oracle_sql()}
 
 
 ORACLE: dict[str, str] = _oracle()
