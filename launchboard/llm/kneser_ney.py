@@ -53,7 +53,7 @@ HOLD_OUT = 10
 BASE_ADD = 0.1
 #: Passes over the texts, each counting its share of the hash space: a pass's
 #: shuffle is gone before the next one begins.
-PASSES = 2
+PASSES = 4
 
 
 def pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -254,6 +254,9 @@ def fit(texts: DataFrame, scratch: Scratch | None = None) -> Model:
     sums = lambda column, n: [F.sum(F.col(column)[k]).alias(f"s{k}") for k in range(n)]
     counts = [x or 0 for x in pairs.agg(*sums("counts", 4)).first()]
     n_tokens, n_types, n_pairs, *conts = [x or 0 for x in words.agg(*sums("sums", 7)).first()]
+    for turn in range(PASSES):
+        scratch.drop(f"pairs-{turn}")
+    scratch.release()
     cont_d = discounts(conts)
     seen = np.array([conts[0], conts[1], n_types - conts[0] - conts[1]])
     return Model(path, pair_shards, word_shards,

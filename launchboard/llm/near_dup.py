@@ -5,24 +5,23 @@ keeps the ``SKETCH`` least. Equal sets form one class, which takes part once, so
 exact copies cost a partial aggregation however many there are. Then
 
 1. inverted lists of retained values generate overlaps: a list holds the classes
-   that retain a value. Two similar sketches share at least ``OVERLAP`` of their
-   values, so each class enters only the lists of its rarest values, as many as
-   make a shared one certain (the prefix principle). Values of passages that many
-   documents share are common and drop out without a cap;
+   that retain a value. Pairs that pass step 2 share a known part of their sketches,
+   so each class enters only the lists of its rarest values, as many as make a
+   shared one certain (the prefix principle). Values of passages that many documents
+   share are common and drop out without a cap;
 2. the union sketch, the least ``SKETCH`` values of both, estimates the Jaccard
-   similarity; pairs far below the threshold go;
+   similarity; pairs ``SIGMAS`` standard deviations below the threshold go;
 3. the exact similarity of the full sets decides.
 
 Only components are wanted, so a pair whose ends are already connected needs no
 check. Each list is worked in rounds: in a round a few members, chosen by hash, are
 hubs and meet the members that come after them; what they link is contracted, lists
 inside one component end, and the next round takes ``GROWTH`` times as many hubs. Each
-pair of a list thus meets once or is settled by connection: no pairs of a group are emitted
-at large, and no link between components is lost.
+pair of a list thus meets once or is settled by connection, and no link between
+components is lost. Members of a list that are similar, but not enough to be linked,
+do meet each other: such groups cost the square of their size.
 
-A pair at the threshold is missed with a probability below 1e-7 (its sketches
-would have to share less than ``OVERLAP``, or its estimate fall 6 standard
-deviations below the threshold).
+A pair at the threshold is missed with a probability below 1e-7.
 
 Defined cases: null and empty texts have no shingles and link with nothing; texts
 with fewer words are one shingle; a row of null id is kept and links nothing (its
@@ -46,8 +45,6 @@ from launchboard.llm.store import Scratch
 from launchboard.llm.words import U64, Words, blocks, mix, window_hashes
 
 SKETCH = 48
-#: Share of the smaller sketch that two similar sketches have in common.
-OVERLAP = 0.25
 SIGMAS = 6.0
 #: Hubs of a list in the first round, and their growth from round to round.
 HUBS, GROWTH = 2.0, 16.0
@@ -99,7 +96,12 @@ def sketches(docs: DataFrame, words: int, size: int = SKETCH) -> DataFrame:
         run, "doc_id long, text_hash long, n_shingles long, digest long, digest2 long, sketch array<long>")
 
 
-def _index(classes: DataFrame, scratch: Scratch) -> DataFrame:
+def least_estimate(percent: int) -> float:
+    share = percent / 100
+    return share - SIGMAS * math.sqrt(share * (1 - share) / SKETCH)
+
+
+def _index(classes: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """Members of the lists: (value, df, node, n) with df members to a list."""
     kept = classes.select("node", "n", F.size("sketch").alias("k"), F.explode("sketch").alias("value"))
     common = kept.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
@@ -107,7 +109,7 @@ def _index(classes: DataFrame, scratch: Scratch) -> DataFrame:
     # rare values first; values of one class alone come before all that are listed
     rank = F.row_number().over(Window.partitionBy("node").orderBy("df", "value"))
     alone = F.col("k") - F.count(F.lit(1)).over(Window.partitionBy("node"))
-    prefix = F.col("k") - F.ceil(F.col("k") * OVERLAP) + 1
+    prefix = F.col("k") - F.ceil(F.col("k") * least_estimate(percent)) + 1
     listed = (rows.withColumn("__at", rank + alone).where(F.col("__at") <= prefix)
               .select("value", "node", "n"))
     listed = scratch.keep(listed, "index")
@@ -155,9 +157,8 @@ def _texts(docs: DataFrame, classes: DataFrame, members: DataFrame, words: int)
 def link_classes(docs: DataFrame, classes: DataFrame, words: int, percent: int,
                  scratch: Scratch) -> DataFrame:
     """(node, comp) of the classes that are in a list."""
-    share = percent / 100
-    least = share - SIGMAS * math.sqrt(share * (1 - share) / SKETCH)
-    members = scratch.keep(_index(classes, scratch), "members-0")
+    least = least_estimate(percent)
+    members = scratch.keep(_index(classes, percent, scratch), "members-0")
     texts = _texts(docs, classes, members, words)
     # rows that repeat id and text: one is enough
     texts = texts.dropDuplicates(["node"])
