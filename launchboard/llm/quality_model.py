@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from launchboard.llm.quality_rules import BYTE_CLASS
+from launchboard.llm.quality_rules import BLOCK, BYTE_CLASS
 from launchboard.llm.words import U64, Words, blocks
 
 BUCKETS = 1 << 16
@@ -141,7 +141,7 @@ def _inputs(docs: DataFrame) -> DataFrame:
 
 
 def _sample_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for block in blocks(batches, "text"):
+    for block in blocks(batches, "text", BLOCK):
         f = featurise(block.column(1), block.column(2).to_numpy(zero_copy_only=False))
         parts = [(f.column[a:b].astype(np.int32).tobytes(), f.value[a:b].tobytes())
                  for a, b in zip(f.first, f.first[1:])]
@@ -175,7 +175,7 @@ def score(docs: DataFrame, machine: Machine | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", BLOCK):
             if model is None:
                 result = np.full(block.num_rows, 0.5)
             else:

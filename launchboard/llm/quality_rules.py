@@ -32,6 +32,8 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 REPEAT_WINDOW = 8
 CONTENT_SHARE = 0.5
+#: Bytes of text measured at once: some ten arrays have an element per byte.
+BLOCK = 1 << 20
 TRAIN_DOCS = 800
 TRAIN_LINES = 60
 
@@ -237,7 +239,7 @@ def fit_field(texts: list[np.ndarray], labels: list[int], rounds: int = 100, rat
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for block in blocks(batches, "text"):
+    for block in blocks(batches, "text", BLOCK):
         lines = measure(block.column(0))
         first, last = (np.searchsorted(lines.text, np.arange(block.num_rows), side=s)
                        for s in ("left", "right"))
@@ -284,7 +286,7 @@ def judge(column: pa.Array, field: Field) -> dict[str, np.ndarray]:
 def quality_rules(docs: DataFrame, field: Field) -> DataFrame:
     """Statistics, content words and verdict per row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", BLOCK):
             found = judge(block.column(1), field)
             yield pa.RecordBatch.from_arrays([block.column(0), *map(pa.array, found.values())],
                                              ["doc_id", *found])
@@ -295,7 +297,7 @@ def quality_rules(docs: DataFrame, field: Field) -> DataFrame:
 def keep_clean(docs: DataFrame, field: Field) -> DataFrame:
     """The rows of ``docs`` that pass, all columns unchanged."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", BLOCK):
             text = block.column(block.schema.get_field_index("text"))
             yield block.filter(pa.array(judge(text, field)["kept"]))
     return docs.mapInArrow(run, docs.schema)
