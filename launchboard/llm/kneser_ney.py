@@ -332,7 +332,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         mapped = Mapped.of(m)
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", 1 << 20):
             a, b, first = tokens(block.column(1))
             logs, count = mapped.log_probabilities(a, b)
             base = np.log10((count + BASE_ADD) / (m.n_tokens + BASE_ADD * (m.n_types + 1)))

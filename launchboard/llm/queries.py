@@ -78,9 +78,11 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     from launchboard.llm import kneser_ney
+    from launchboard.llm.store import Scratch
     docs = table(spark, sf_dir, "documents")
-    model = kneser_ney.fit(docs.where(kneser_ney.part(F.col("doc_id")) != 0))
-    return kneser_ney.score(docs, model).select(
+    scratch = Scratch(spark, "lm-scoring")
+    model = kneser_ney.fit(docs.where(kneser_ney.part(F.col("doc_id")) != 0), scratch)
+    return scratch.keep(kneser_ney.score(docs, model), "scores").select(
         "doc_id", F.coalesce(kneser_ney.part(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"),
         "n_tokens", "n_known", F.lit(model.n_tokens).cast("long").alias("train_tokens"),
         "base_score", "score")

@@ -16,6 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from launchboard.plans.session import checkpoint_dir
 
 
+_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+ARROW_BATCH_BYTES = str(8 << 20)
+
+
 def shared_root(spark: SparkSession) -> str:
     root = (spark.conf.get("spark.checkpoint.dir", None)
             or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
@@ -31,9 +35,15 @@ class Scratch:
         self.path = f"{shared_root(spark)}/llm/{name}-{uuid.uuid4().hex[:12]}"
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
-        """Write ``df`` once and return the written table."""
+        """Write ``df`` once and return the written table. Arrow batches are kept
+        small meanwhile: a task holds one in the JVM and one in Python."""
         path = f"{self.path}/{name}"
-        df.write.parquet(path)
+        before = self.spark.conf.get(_BATCH)
+        self.spark.conf.set(_BATCH, ARROW_BATCH_BYTES)
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(_BATCH, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str = "") -> None:
