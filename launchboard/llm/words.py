@@ -14,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 BLOCK_BYTES = 4 << 20
+HASH_WORDS = 1 << 16
 
 U64 = np.uint64
 _BASE = U64(0x9E3779B97F4A7C15)  # odd, so powers never vanish
@@ -98,14 +99,18 @@ class Words:
         return np.repeat(self.first[1:], self.counts) - np.arange(len(self))
 
     def hashes(self) -> np.ndarray:
-        if not len(self):
-            return np.zeros(0, dtype=U64)
-        size = self.ends - self.starts
-        first = np.cumsum(size) - size
-        at = np.arange(size.sum()) - np.repeat(first, size)
-        code = _BYTE_CODE[self.data[~self.space]]
-        code *= _power_table(int(size.max()))[at]
-        return mix(np.add.reduceat(code, first) ^ size.astype(U64))
+        out = np.empty(len(self), dtype=U64)
+        # in chunks, as every byte takes several numbers meanwhile
+        for lo in range(0, len(self), HASH_WORDS):
+            starts, ends = self.starts[lo:lo + HASH_WORDS], self.ends[lo:lo + HASH_WORDS]
+            size = ends - starts
+            first = np.cumsum(size) - size
+            at = np.arange(size.sum()) - np.repeat(first, size)
+            span = slice(starts[0], ends[-1])
+            code = _BYTE_CODE[self.data[span][~self.space[span]]]
+            code *= _power_table(int(size.max()))[at]
+            out[lo:lo + HASH_WORDS] = mix(np.add.reduceat(code, first) ^ size.astype(U64))
+        return out
 
 
 def window_hashes(words: np.ndarray, size: int, seed: int = 0) -> np.ndarray:
