@@ -9,8 +9,12 @@ the words; step j writes the word under it and moves on or stays by a random bit
 few places, so keys of ``BITS`` sampled places of the embedding collide often. Walk
 and sample are repeated with fresh randomness until windows at the largest allowed
 distance collide at least once with probability ``RECALL``; how many repetitions
-that takes is measured on edited copies of the items themselves. Windows that
-collide with an item are then compared by exact edit distance.
+that takes grows steeply with the length, so items of similar length form a class,
+and each class is measured on edited copies of its own items. Windows that collide
+with an item are then compared by exact edit distance. A class that does not reach
+``RECALL`` within ``MAX_REPETITIONS`` and ``MAX_STEPS`` (long items) uses no walk: each
+of its windows is compared exactly with every item whose seed it holds, which misses
+nothing.
 
 Only windows that can be near an item are embedded: an item of n words with at most
 k edits keeps a run of floor((n - k) / (k + 1)) words unedited, so such a window has
@@ -44,9 +48,14 @@ EDIT_RATE = 0.2
 BITS = 3
 RECALL = 0.99
 MAX_REPETITIONS = 512
+#: Steps of all walks of a window: beyond, comparing the seeded items is cheaper.
+MAX_STEPS = 1 << 14
 BLOCK_ITEM_BYTES = 4 << 20
-#: Windows that are embedded together.
+#: Windows that are embedded or compared together, and words of all of them.
 BATCH = 1 << 15
+BATCH_WORDS = 1 << 21
+#: Longest over shortest item of a class.
+CLASS_RATIO = 1.25
 
 OUT = "item_id long, start long, n_words long, distance long"
 
@@ -59,6 +68,15 @@ def seed_length(n: int, k: int) -> int:
     return max(1, (n - k) // (k + 1))
 
 
+def length_class(sizes: np.ndarray) -> np.ndarray:
+    return np.floor(np.log(np.maximum(sizes, 1)) / np.log(CLASS_RATIO) + 1e-9).astype(np.int64)
+
+
+def spans(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """first[0], first[0] + 1, ... (count[0] numbers), first[1], ..."""
+    return np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
+
+
 @dataclass
 class Repetition:
     """One walk and one sample: ``seed`` draws the walk's bits; ``places`` are
@@ -104,6 +122,27 @@ def edit_distances(left: np.ndarray, right: np.ndarray, size: int) -> np.ndarray
     return row[:, -1]
 
 
+def distances_within(left: np.ndarray, right: np.ndarray, size: int, k: int) -> np.ndarray:
+    """``edit_distances``, but k + 1 for all pairs beyond k; pairs whose rows exceed k
+    go on the way."""
+    out = np.full(len(left), k + 1, dtype=np.int64)
+    alive, j = np.arange(len(left)), np.arange(size + 1)
+    row = np.broadcast_to(j, (len(left), size + 1)).astype(np.int32)
+    for i in range(size):
+        if i % 8 == 7:
+            near = row.min(axis=1) <= k
+            if not near.all():
+                alive, row, left, right = alive[near], row[near], left[near], right[near]
+            if not len(alive):
+                return out
+        new = np.empty_like(row)
+        new[:, 0] = i + 1
+        new[:, 1:] = np.minimum(row[:, :-1] + (right != left[:, i:i + 1]), row[:, 1:] + 1)
+        row = np.minimum.accumulate(new - j, axis=1).astype(np.int32) + j.astype(np.int32)
+    out[alive] = np.minimum(row[:, -1], k + 1)
+    return out
+
+
 def edited(words: np.ndarray, k: int, random: np.random.Generator) -> np.ndarray:
     """``words`` with k random edits, cut or filled to its own length again."""
     out = list(words)
@@ -122,20 +161,19 @@ def edited(words: np.ndarray, k: int, random: np.random.Generator) -> np.ndarray
 
 @dataclass
 class Index:
-    """A block of items in memory: seeds, and keys of every repetition."""
+    """A block of items in memory: seeds, and keys of every repetition of each class
+    of lengths."""
 
     items: list[tuple[int, np.ndarray]]
     rate: float
-    repetitions: list[Repetition] = field(default_factory=list)
+    #: by class; None where the class is compared exactly
+    repetitions: dict[int, list[Repetition] | None] = field(default_factory=dict)
 
     def __post_init__(self):
         self.items = [(i, w) for i, w in self.items if len(w)]
         self.sizes = np.array([len(w) for _, w in self.items], dtype=np.int64)
         self.k = np.array([allowed(n, self.rate) for n in self.sizes], dtype=np.int64)
-        width = int(self.sizes.max()) if len(self.items) else 0
-        self.words = np.zeros((len(self.items), width), dtype=U64)
-        for row, (_, w) in enumerate(self.items):
-            self.words[row, :len(w)] = w
+        self.kind = length_class(self.sizes)
         # seeds by length: hash, item, place in the item
         self.seeds: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         lengths = np.array([seed_length(n, k) for n, k in zip(self.sizes, self.k)], dtype=np.int64)
@@ -149,106 +187,159 @@ class Index:
             hashes, item, place = map(np.concatenate, (hashes, item, place))
             order = np.argsort(hashes, kind="stable")
             self.seeds[q] = hashes[order], item[order], place[order]
-        if not self.repetitions and len(self.items):
-            self.repetitions = self.calibrate()
-        self.keys = []
-        for r in self.repetitions:
-            key = embed_keys(self.words, self.sizes, r)
-            order = np.argsort(key, kind="stable")
-            self.keys.append((key[order], order))
-
-    def calibrate(self, samples: int = 64, seed: int = 11) -> list[Repetition]:
-        """Double the repetitions until edited copies at the largest distance are
-        found with the wanted probability."""
-        random = np.random.default_rng(seed)
-        rows = random.integers(len(self.items), size=samples)
-        copies = np.zeros((samples, self.words.shape[1]), dtype=U64)
+        self.keys: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        for kind in sorted(set(self.kind.tolist())):
+            if kind not in self.repetitions:
+                self.repetitions[kind] = self.calibrate(kind)
+            rows = np.flatnonzero(self.kind == kind)
+            self.keys[kind] = []
+            for r in self.repetitions[kind] or []:
+                key = embed_keys(self.padded(rows), self.sizes[rows], r)
+                order = np.argsort(key, kind="stable")
+                self.keys[kind].append((key[order], rows[order]))
+
+    def padded(self, rows: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(rows), int(self.sizes[rows].max()) if len(rows) else 0), dtype=U64)
         for at, row in enumerate(rows):
-            n = self.sizes[row]
-            copies[at, :n] = edited(self.words[row, :n], int(self.k[row]), random)
-        edited_within = np.zeros(samples, dtype=bool)
+            out[at, :self.sizes[row]] = self.items[row][1]
+        return out
+
+    def calibrate(self, kind: int, samples: int = 64, seed: int = 11) -> list[Repetition] | None:
+        """Add repetitions until edited copies of the class's items at the largest
+        distance are found with the wanted probability; None if they never are."""
+        random = np.random.default_rng([seed, kind])
+        rows = random.choice(np.flatnonzero(self.kind == kind), size=samples)
+        words, sizes = self.padded(rows), self.sizes[rows]
+        copies = np.zeros_like(words)
         for at, row in enumerate(rows):
-            n = int(self.sizes[row])
-            d = edit_distances(copies[at:at + 1, :n], self.words[row:row + 1, :n], n)[0]
-            edited_within[at] = d <= self.k[row]
+            n, k = int(sizes[at]), int(self.k[row])
+            # edits that shift words out of the copy cost more than one: fewer then
+            for edits in range(k, -1, -1):
+                copies[at, :n] = edited(words[at, :n], edits, random)
+                if distances_within(copies[at:at + 1, :n], words[at:at + 1, :n], n, k)[0] <= k:
+                    break
         found: list[Repetition] = []
         rates = np.zeros(samples)
-        while True:
+        while len(found) < min(MAX_REPETITIONS, MAX_STEPS // (2 * int(sizes.min()))):
             r = Repetition(int(random.integers(1 << 40)), random.random(BITS))
             found.append(r)
-            rates += embed_keys(copies, self.sizes[rows], r) == embed_keys(
-                self.words[rows], self.sizes[rows], r)
+            rates += embed_keys(copies, sizes, r) == embed_keys(words, sizes, r)
             n = len(found)
             # a sample's chance of a collision in n repetitions, from its observed rate
-            missed = (1 - rates / n)[edited_within] ** n
-            if n >= MAX_REPETITIONS or n >= 16 and (not len(missed) or (1 - missed).mean() >= RECALL):
+            if n >= 16 and (1 - (1 - rates / n) ** n).mean() >= RECALL:
                 return found
+        return None
 
-    def starts(self, hashes: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(start, words) of the windows around every seed; ``room``: words to the
+    def seeded(self, hashes: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(start, item row) of the windows around every seed; ``room``: words to the
         text's end."""
-        pairs = []
+        pairs = [np.zeros((0, 2), np.int64)]
         for q, (known, item, place) in self.seeds.items():
             at = np.flatnonzero(room >= q)
             h = window_hashes(hashes, q)[at]
             lo, hi = np.searchsorted(known, h, "left"), np.searchsorted(known, h, "right")
-            n = hi - lo
-            hit = np.repeat(at, n)
-            entry = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            row, begin = item[entry], hit - place[entry]
-            pair = np.unique(np.stack([begin, row], 1), axis=0) if len(hit) else np.zeros((0, 2), np.int64)
+            entry = spans(lo, hi - lo)
+            row = item[entry]
+            pair = np.unique(np.stack([np.repeat(at, hi - lo) - place[entry], row], 1), axis=0)
             begin, row = pair[:, 0], pair[:, 1]
             span = 2 * self.k[row] + 1
-            size = np.repeat(self.sizes[row], span)
-            start = np.repeat(begin - self.k[row], span) + np.arange(span.sum()) - np.repeat(
-                np.cumsum(span) - span, span)
-            pairs.append(np.stack([start, size], 1))
-        found = np.concatenate(pairs) if pairs else np.zeros((0, 2), np.int64)
-        start, size = found[:, 0], found[:, 1]
-        good = (start >= 0) & (start < len(room))
-        start, size = start[good], size[good]
-        # a window lies inside one text
-        good = room[start] >= size
-        found = np.unique(np.stack([start[good], size[good]], 1), axis=0)
+            start, row = spans(begin - self.k[row], span), np.repeat(row, span)
+            good = (start >= 0) & (start < len(room))
+            start, row = start[good], row[good]
+            # a window lies inside one text
+            good = room[start] >= self.sizes[row]
+            pairs.append(np.unique(np.stack([start[good], row[good]], 1), axis=0))
+        found = np.concatenate(pairs)
         return found[:, 0], found[:, 1]
 
-    def match(self, hashes: np.ndarray, start: np.ndarray, size: np.ndarray) -> list[np.ndarray]:
-        """Columns (window number, item row, distance) of all leaks."""
-        out = []
-        for lo in range(0, len(start), BATCH):
-            s, n = start[lo:lo + BATCH], size[lo:lo + BATCH]
-            width = int(n.max())
-            at = np.minimum(s[:, None] + np.arange(width), len(hashes) - 1)
-            words = np.where(np.arange(width) < n[:, None], hashes[at], U64(0))
-            # equal windows are compared once
-            words, number = np.unique(words, axis=0, return_inverse=True)
-            number = number.ravel()
-            sizes = np.zeros(len(words), dtype=np.int64)
-            sizes[number] = n
+    def starts(self, hashes: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(start, words) of the windows around every seed."""
+        start, row = self.seeded(hashes, room)
+        found = np.unique(np.stack([start, self.sizes[row]], 1), axis=0)
+        return found[:, 0], found[:, 1]
+
+    def leaks(self, hashes: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, item row, distance) of all leaks."""
+        start, row = self.seeded(hashes, room)
+        exact = np.isin(self.kind[row], [c for c, r in self.repetitions.items() if r is None])
+        out = [self.compare(hashes, start[exact], row[exact])]
+        size = self.sizes[row[~exact]]
+        window = np.unique(np.stack([start[~exact], size], 1), axis=0)
+        number, item, distance = self.match(hashes, window[:, 0], window[:, 1])
+        out.append(np.stack([window[number, 0], item, distance]))
+        return tuple(np.concatenate(out, axis=1))
+
+    def compare(self, hashes: np.ndarray, start: np.ndarray, row: np.ndarray) -> np.ndarray:
+        """Rows start, item row, distance of the pairs that are leaks, each compared."""
+        out = [np.zeros((3, 0), np.int64)]
+        for n in np.unique(self.sizes[row]).tolist():
+            of = np.flatnonzero(self.sizes[row] == n)
+            k = allowed(n, self.rate)
+            # equal windows are compared with an item once
+            window = window_hashes(hashes, n)[start[of]]
+            _, first, number = np.unique(mix(window + mix(row[of].astype(U64))),
+                                         return_index=True, return_inverse=True)
+            distance = np.empty(len(first), dtype=np.int64)
+            step = max(1, min(BATCH, BATCH_WORDS // n))
+            for lo in range(0, len(first), step):
+                part = of[first[lo:lo + step]]
+                distance[lo:lo + step] = distances_within(
+                    hashes[start[part][:, None] + np.arange(n)], self.padded(row[part]), n, k)
+            distance = distance[number.ravel()]
+            good = distance <= k
+            out.append(np.stack([start[of][good], row[of][good], distance[good]]))
+        return np.concatenate(out, axis=1)
+
+    def match(self, hashes: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Rows window number, item row, distance of all leaks."""
+        out = [np.zeros((3, 0), np.int64)]
+        kinds = length_class(size)
+        for kind, repetitions in self.repetitions.items():
+            of = np.flatnonzero(kinds == kind)
+            width = int(size[of].max()) if len(of) else 1
+            step = max(1, min(BATCH, BATCH_WORDS // width))
+            for lo in range(0, len(of), step):
+                part = of[lo:lo + step]
+                found = self.match_class(hashes, start[part], size[part], kind, repetitions)
+                found[0] = part[found[0]]
+                out.append(found)
+        return np.concatenate(out, axis=1)
+
+    def match_class(self, hashes: np.ndarray, s: np.ndarray, n: np.ndarray, kind: int,
+                    repetitions: list[Repetition] | None) -> np.ndarray:
+        width = int(n.max())
+        at = np.minimum(s[:, None] + np.arange(width), len(hashes) - 1)
+        words = np.where(np.arange(width) < n[:, None], hashes[at], U64(0))
+        # equal windows are compared once
+        words, number = np.unique(words, axis=0, return_inverse=True)
+        number = number.ravel()
+        sizes = np.zeros(len(words), dtype=np.int64)
+        sizes[number] = n
+        if repetitions is None:  # no seed is known here: all items of the class
+            rows = np.flatnonzero(self.kind == kind)
+            pair = (np.arange(len(words))[:, None] * len(self.items) + rows).ravel()
+        else:
             candidates = []
-            for r, (known, order) in zip(self.repetitions, self.keys):
+            for r, (known, row) in zip(repetitions, self.keys[kind]):
                 key = embed_keys(words, sizes, r)
                 a, b = np.searchsorted(known, key, "left"), np.searchsorted(known, key, "right")
-                c = b - a
-                entry = np.repeat(a, c) + np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
-                candidates.append(np.repeat(np.arange(len(words)), c) * len(self.items) + order[entry])
+                candidates.append(np.repeat(np.arange(len(words)), b - a) * len(self.items) + row[spans(a, b - a)])
             pair = np.unique(np.concatenate(candidates))
-            window, item = pair // len(self.items), pair % len(self.items)
-            good = sizes[window] == self.sizes[item]
-            window, item = window[good], item[good]
-            distance = np.zeros(len(window), dtype=np.int64)
-            for m in np.unique(self.sizes[item]):
-                rows = np.flatnonzero(self.sizes[item] == m)
-                distance[rows] = edit_distances(words[window[rows], :m], self.words[item[rows], :m], int(m))
-            good = distance <= self.k[item]
-            window, item, distance = window[good], item[good], distance[good]
-            # back to all windows with these words
-            by = np.argsort(number, kind="stable")
-            first = np.searchsorted(number[by], np.arange(len(words) + 1))
-            c = np.diff(first)[window]
-            entry = np.repeat(first[window], c) + np.arange(c.sum()) - np.repeat(np.cumsum(c) - c, c)
-            out.append(np.stack([lo + by[entry], np.repeat(item, c), np.repeat(distance, c)]))
-        return np.concatenate(out, axis=1) if out else np.zeros((3, 0), np.int64)
+        window, item = pair // len(self.items), pair % len(self.items)
+        good = sizes[window] == self.sizes[item]
+        window, item = window[good], item[good]
+        distance = np.zeros(len(window), dtype=np.int64)
+        for m in np.unique(self.sizes[item]):
+            rows = np.flatnonzero(self.sizes[item] == m)
+            distance[rows] = distances_within(words[window[rows], :m], self.padded(item[rows]),
+                                              int(m), allowed(int(m), self.rate))
+        good = distance <= self.k[item]
+        window, item, distance = window[good], item[good], distance[good]
+        # back to all windows with these words
+        by = np.argsort(number, kind="stable")
+        first = np.searchsorted(number[by], np.arange(len(words) + 1))
+        c = np.diff(first)[window]
+        return np.stack([by[spans(first[window], c)], np.repeat(item, c), np.repeat(distance, c)])
 
 
 def leaks_of(texts: pa.Array, index: Index) -> list[tuple[int, int, int, int, int]]:
@@ -258,13 +349,9 @@ def leaks_of(texts: pa.Array, index: Index) -> list[tuple[int, int, int, int, in
     if not len(w) or not index.items:
         return []
     hashes, text = w.hashes(), w.text_of_word()
-    start, size = index.starts(hashes, w.room())
-    if not len(start):
-        return []
-    window, item, distance = index.match(hashes, start, size)
+    start, item, distance = index.leaks(hashes, w.room())
     best: dict = {}
-    for x, i, d in zip(window.tolist(), item.tolist(), distance.tolist()):
-        at = int(start[x])
+    for at, i, d in zip(start.tolist(), item.tolist(), distance.tolist()):
         key, found = (int(text[at]), i), (d, at)
         if key not in best or found < best[key]:
             best[key] = found

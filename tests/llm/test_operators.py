@@ -121,6 +121,34 @@ def test_edit_distances_and_recall():
     assert wanted > 50 and missed <= 0.03 * wanted
 
 
+def test_recall_of_each_length():
+    """Many short items and a few long ones in one index: each length is found."""
+    rng = random.Random(8)
+    word = lambda: f"w{rng.randrange(10 ** 9)}"
+    sizes = [rng.randint(12, 40) for _ in range(600)] + [80, 200, 300, 400]
+    items = [[word() for _ in range(n)] for n in sizes]
+    w = Words(pa.array([" ".join(x) for x in items]))
+    h = w.hashes()
+    index = decontaminate.Index([(i, h[a:b]) for i, (a, b) in enumerate(zip(w.first, w.first[1:]))],
+                                decontaminate.EDIT_RATE)
+    texts, wanted = [], []
+    for row in range(600, len(items)):
+        for _ in range(25):
+            copy, k = list(items[row]), decontaminate.allowed(sizes[row])
+            for _ in range(k // 4):  # a word goes and one comes: two edits, same length
+                del copy[rng.randrange(len(copy))]
+                copy.insert(rng.randrange(len(copy) + 1), word())
+            for at in rng.sample(range(len(copy)), k - 2 * (k // 4)):
+                copy[at] = word()
+            texts.append(" ".join([word() for _ in range(9)] + copy + [word() for _ in range(9)]))
+            wanted.append((len(texts) - 1, row))
+    found = {(t, i) for t, i, *_ in decontaminate.leaks_of(pa.array(texts), index)}
+    for row in range(600, len(items)):
+        of = [x for x in wanted if x[1] == row]
+        assert len(found & set(of)) >= 0.95 * len(of), sizes[row]
+    assert found <= set(wanted)
+
+
 def test_quality_rules(odd, rows):
     found = quality_rules.quality_rules(odd, quality_rules.DEFAULT)
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
