@@ -3,6 +3,7 @@
 import hashlib
 import itertools
 import random
+import textwrap
 import zlib
 
 import numpy as np
@@ -349,6 +350,26 @@ def test_license_scan(spark, odd, sf_dir):
     assert {"Apache-2.0", "proprietary", "MIT"} <= {r[2] for r in expected}
 
 
+def test_license_scan_of_wrapped_and_embedded_notices(spark):
+    def wrapped(text, width, mark):
+        return "\n".join(f"{mark} {x}" for x in textwrap.wrap(text, width))
+    mit, gpl = license_scan.PASSAGES["MIT"][0], license_scan.PASSAGES["GPL-3.0"][0]
+    bsd, apache = license_scan.PASSAGES["BSD-3-Clause"][1], license_scan.PASSAGES["Apache-2.0"][1]
+    nc = license_scan.TEMPLATES["CC-BY-NC-4.0"][1]
+    rows = [(1, "some code\n" + wrapped(mit, 40, "//") + "\nmore code"), (2, wrapped(gpl, 30, " *")),
+            (3, "a\nb\n" + wrapped(bsd, 35, "#")), (4, "intro " * 30 + "\n\n" + wrapped(apache, 30, "--")),
+            (5, "Copyright 2020 Foo. All rights reserved."), (6, " ".join(f"word{i}" for i in range(80)) + " " + nc + " Thank you."),
+            (7, "All rights\nof others are reserved."), (8, "x\nAll rights reserved.\ny"), (9, None),
+            (10, "All\nrights\nreserved here, and all rights reserved there")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [(r["doc_id"], r["line"], r["license"], round(r["dice"], 6))
+             for r in license_scan.scan_licenses(docs).collect()]
+    assert sorted(found) == [
+        (1, 1, "MIT", 1.0), (2, 0, "GPL-3.0", 1.0), (3, 2, "BSD-3-Clause", 1.0), (4, 2, "Apache-2.0", 1.0),
+        (5, 0, "proprietary", 1.0), (6, 0, "CC-BY-NC-4.0", 1.0), (8, 1, "proprietary", 1.0),
+        (10, 0, "proprietary", 1.0), (10, 2, "proprietary", 1.0)]
+
+
 def test_kneser_ney(odd, rows):
     train = odd.where("doc_id % 3 = 0")
     model = kneser_ney.fit(train)
