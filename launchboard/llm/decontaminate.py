@@ -25,7 +25,8 @@ Documents are read once per block of items, never shuffled. Items are taken in
 blocks of at most ``BLOCK_ITEM_BYTES`` of text, and a block travels as a broadcast
 of that size.
 
-Defined cases: items without a word (or null) match nothing; null and empty texts
+Defined cases: items without a word, or of null text, match nothing; items whose id is
+null or no long take part and are reported with a null item id (once for equal texts); null and empty texts
 leak nothing; repeated rows are each reported; a null id is reported as null; items
 of equal text are each reported; empty tables give no rows; other columns are
 ignored (``drop_leaking`` passes them on).
@@ -361,13 +362,12 @@ def leaks_of(texts: pa.Array, index: Index) -> list[tuple[int, int, int, int, in
 
 def item_blocks(items: DataFrame, rate: float = EDIT_RATE) -> Iterator[Index]:
     """Items in blocks of bounded size: the block of an item follows from its id."""
-    rows = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where(
-        "item_id is not null and length(text) > 0")
+    rows = items.select(F.col("item_id").try_cast("long").alias("item_id"), "text").where("length(text) > 0")
     size = rows.agg(F.sum(F.octet_length("text").cast("long") + 64)).first()[0] or 0
     n = -(-2 * size // BLOCK_ITEM_BYTES)
     for k in range(n):
         part = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k) if n > 1 else rows
-        found = sorted(part.distinct().collect())
+        found = sorted(part.distinct().collect(), key=lambda r: (r["item_id"] is None, r["item_id"] or 0, r["text"]))
         w = Words(pc.utf8_lower(pa.array([r["text"] for r in found], pa.string())))
         hashes = w.hashes()
         yield Index([(r["item_id"], hashes[a:b]) for r, a, b in zip(found, w.first, w.first[1:])], rate)

@@ -150,6 +150,18 @@ def test_recall_of_each_length():
     assert found <= set(wanted)
 
 
+def test_items_of_null_id_leak_too(spark):
+    rng = random.Random(6)
+    texts = [sentence(rng, 60) for _ in range(4)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = [(None, " ".join(texts[0].split()[5:25])), ("q-17", " ".join(texts[1].split()[7:30])),
+             ("12", " ".join(texts[2].split()[:20])), (None, None)]
+    table = spark.createDataFrame(items, "item_id string, text string")
+    assert got(decontaminate.find_leaks(docs, table), "doc_id", "item_id", "start", "n_words", "distance") == [
+        (0, None, 5, 20, 0), (1, None, 7, 23, 0), (2, 12, 0, 20, 0)]
+    assert [r["doc_id"] for r in decontaminate.drop_leaking(docs, table).collect()] == [3]
+
+
 def test_quality_rules(odd, rows):
     found = quality_rules.quality_rules(odd, quality_rules.DEFAULT)
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
