@@ -219,8 +219,8 @@ def windows(text: Column, lines: list[tuple[str, list[str]]], known: list[tuple[
             return F.struct(dice(part, t).alias("dice"), (b["at"] - a["at"]).alias("size"),
                             t["license"].alias("license"), a["at"].alias("start"), b["at"].alias("end"))
         return let(F.filter(places, lambda p: F.array_contains(t["grams"], p["gram"])), lambda own: F.flatten(
-            F.transform(own, lambda a: let(
-                F.filter(own, lambda b: b["at"].between(a["at"], a["at"] + t["most"] - 1)),
+            F.transform(own, lambda a, i: let(
+                F.filter(F.slice(own, i + 1, t["most"]), lambda b: b["at"] < a["at"] + t["most"]),
                 lambda ends: F.filter(
                     F.transform(F.when(F.size(ends) >= t["common"], F.filter(
                         ends, lambda b: b["at"] >= a["at"] + t["least"] - 1)).otherwise(F.slice(ends, 1, 0)),
