@@ -88,9 +88,15 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_score", "score")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from launchboard.llm import spelling
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_near_duplicates, op2_decontamination, op3_quality_rules, op4_substring_dedup, op5_url_filter,
-    op6_quality_model, op7_best_fit_packing, op8_license_scan, op9_token_counts, op10_lm_scoring)}
+    op6_quality_model, op7_best_fit_packing, op8_license_scan, op9_token_counts, op10_lm_scoring,
+    op11_spelling_variants)}
 
 
 OP1_SQL = """

@@ -74,7 +74,7 @@ class Words:
         data = data[offsets[0]:offsets[-1]]
         self.offsets = offsets - offsets[0]
         self.data = _LOWER[data] if lower else data
-        self.space = _SPACE[data]
+        self.space = self.separators(data)
         n, edges = len(data), self.offsets
         before = np.ones(n, dtype=bool)
         before[1:] = self.space[:-1]
@@ -88,6 +88,11 @@ class Words:
         self.first = np.searchsorted(self.starts, edges)
         self.counts = np.diff(self.first)
 
+    @staticmethod
+    def separators(data: np.ndarray) -> np.ndarray:
+        """Which bytes are no part of a word."""
+        return _SPACE[data]
+
     def __len__(self) -> int:
         return len(self.starts)
 
