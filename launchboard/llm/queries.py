@@ -93,10 +93,16 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(table(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from launchboard.llm import collocations
+    return collocations.top_collocations(table(spark, sf_dir, "documents")).select(
+        "lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_near_duplicates, op2_decontamination, op3_quality_rules, op4_substring_dedup, op5_url_filter,
     op6_quality_model, op7_best_fit_packing, op8_license_scan, op9_token_counts, op10_lm_scoring,
-    op11_spelling_variants)}
+    op11_spelling_variants, op12_collocations)}
 
 
 OP1_SQL = """
@@ -146,10 +152,45 @@ select doc_id, len(w) as n_words, coalesce(n_removed, 0) as n_removed,
        sha256(coalesce(text, '')) as kept_sha256
 from words left join kept using (r)"""
 
+OP12_SQL = """
+with pieces as (
+  select lang, row_number() over () as p, w from (
+    select lang, list_filter(string_split_regex(piece, '[\\x20\\x09]+'), lambda x: x <> '') as w from (
+      select coalesce(lang, 'und') as lang, unnest(string_split_regex(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\\x0A-\\x0D]')) as piece
+      from documents where text is not null))
+  where len(w) > 0),
+grams as (
+  select lang, k, array_to_string(w[i:i + k - 1], ' ') as s
+  from (select lang, w, k, unnest(range(1, len(w) - k + 2)) as i from pieces, range(1, 5) t(k))),
+counts as (select lang, k, s, count(*) as f from grams group by all),
+totals as (select lang, sum(f) as n from counts where k = 1 group by lang),
+frequent as (select lang, k, s, f, string_split(s, ' ') as w from counts where f >= 30),
+cuts as (
+  select c.lang, c.k, c.s, c.f as a, c.w, t.j, x.f as l, y.f as r,
+         ((2000000::hugeint * c.f) // (x.f + y.f))::bigint as score
+  from frequent c join range(1, 4) t(j) on t.j < c.k
+  join frequent x on x.lang = c.lang and x.s = array_to_string(c.w[1:t.j], ' ')
+  join frequent y on y.lang = c.lang and y.s = array_to_string(c.w[t.j + 1:], ' ')
+  where c.k > 1),
+lowest as (select * from cuts qualify row_number() over (partition by lang, s order by score, j) = 1),
+inside as (
+  select distinct b.lang, array_to_string(b.w[i:i + m - 1], ' ') as s, b.f
+  from (select lang, w, k, f, m, unnest(range(1, k - m + 2)) as i
+        from frequent, range(2, 4) t(m) where m < k) b),
+dropped as (
+  select distinct c.lang, c.s from lowest c join inside b on b.lang = c.lang and b.s = c.s
+  where 100 * b.f >= 80 * c.a),
+ranked as (
+  select lang, row_number() over (partition by lang order by score desc, a desc, s) as rank, s as phrase, a, l, r, score
+  from lowest anti join dropped using (lang, s))
+select lang, rank, phrase, a, l, r, n::bigint as n, score from ranked join totals using (lang) where rank <= 2000"""
+
 
 def _oracle() -> dict[str, str]:
     from launchboard.llm import license_scan
-    return {"op1_near_duplicates": OP1_SQL, "op4_substring_dedup": OP4_SQL,
+    return {"op1_near_duplicates": OP1_SQL, "op4_substring_dedup": OP4_SQL, "op12_collocations": OP12_SQL,
             "op8_license_scan": license_scan.oracle_sql()}
 
 
