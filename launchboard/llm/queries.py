@@ -99,10 +99,20 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
         "lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from launchboard.llm import suffixes
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffixes.remove_repeated_bytes(docs).select(
+        "doc_id", "__suffixes.n_bytes", "__suffixes.n_removed",
+        F.size("__suffixes.spans").cast("long").alias("n_spans"),
+        F.sha2("__suffixes.kept", 256).alias("kept_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_near_duplicates, op2_decontamination, op3_quality_rules, op4_substring_dedup, op5_url_filter,
     op6_quality_model, op7_best_fit_packing, op8_license_scan, op9_token_counts, op10_lm_scoring,
-    op11_spelling_variants, op12_collocations)}
+    op11_spelling_variants, op12_collocations,
+    op13_suffix_dedup)}
 
 
 OP1_SQL = """
@@ -161,9 +171,15 @@ with pieces as (
         '[.,;:!?\\x0A-\\x0D]')) as piece
       from documents where text is not null))
   where len(w) > 0),
+tokens as (select lang, p, unnest(w) as x, generate_subscripts(w, 1) as i from pieces),
+runs as (
+  select lang, x, lead(x, 1) over v as x2, lead(x, 2) over v as x3, lead(x, 3) over v as x4
+  from tokens window v as (partition by p order by i)),
 grams as (
-  select lang, k, array_to_string(w[i:i + k - 1], ' ') as s
-  from (select lang, w, k, unnest(range(1, len(w) - k + 2)) as i from pieces, range(1, 5) t(k))),
+  select lang, 1 as k, x as s from runs
+  union all select lang, 2, x || ' ' || x2 from runs where x2 is not null
+  union all select lang, 3, x || ' ' || x2 || ' ' || x3 from runs where x3 is not null
+  union all select lang, 4, x || ' ' || x2 || ' ' || x3 || ' ' || x4 from runs where x4 is not null),
 counts as (select lang, k, s, count(*) as f from grams group by all),
 totals as (select lang, sum(f) as n from counts where k = 1 group by lang),
 frequent as (select lang, k, s, f, string_split(s, ' ') as w from counts where f >= 30),
@@ -187,10 +203,33 @@ ranked as (
   from lowest anti join dropped using (lang, s))
 select lang, rank, phrase, a, l, r, n::bigint as n, score from ranked join totals using (lang) where rank <= 2000"""
 
+OP13_SQL = """
+with docs as (select row_number() over () as r, doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+bytes as (select r, h, unnest(range(0, (length(h) // 2)::bigint)) as i from docs),
+windows as (
+  select r, i, md5(substring(h, (2 * i + 1)::bigint, 400)) as k from bytes where 2 * i + 400 <= length(h)),
+repeated as (select k from windows group by k having count(*) > 1),
+starts as (select r, i, lag(i) over (partition by r order by i) as before
+           from windows semi join repeated using (k)),
+runs as (
+  select r, i, sum(case when before is null or before < i - 200 then 1 else 0 end) over (
+    partition by r order by i rows unbounded preceding) as run from starts),
+spans as (select r, run, min(i) as a, max(i) + 200 as b from runs group by r, run),
+around as (select r, a, b, lag(b, 1, 0) over (partition by r order by a) as kept_from from spans),
+parts as (
+  select r, sum(b - a) as n_removed, count(*) as n_spans, max(b) as last_b,
+         list({'f': kept_from, 't': a} order by a) as kept from around group by r)
+select doc_id, (length(h) // 2)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed,
+       coalesce(n_spans, 0)::bigint as n_spans,
+       sha256(unhex(case when last_b is null then h else array_to_string(list_transform(
+         kept, lambda x: substring(h, (2 * x.f + 1)::bigint, (2 * (x.t - x.f))::bigint)), '')
+         || substring(h, (2 * last_b + 1)::bigint) end)) as kept_sha256
+from docs left join parts using (r)"""
+
 
 def _oracle() -> dict[str, str]:
     from launchboard.llm import license_scan
-    return {"op1_near_duplicates": OP1_SQL, "op4_substring_dedup": OP4_SQL, "op12_collocations": OP12_SQL,
+    return {"op1_near_duplicates": OP1_SQL, "op4_substring_dedup": OP4_SQL, "op12_collocations": OP12_SQL, "op13_suffix_dedup": OP13_SQL,
             "op8_license_scan": license_scan.oracle_sql()}
 
 
