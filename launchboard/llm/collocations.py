@@ -53,7 +53,7 @@ REPLACES = 80
 TOP = 2000
 UNKNOWN = "und"
 #: Text of an indexed shard, and of a hash shard's values.
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
 HASH_SHARD_BYTES = 8 << 20
 
 _PIECE = np.zeros(256, dtype=bool)
@@ -87,7 +87,8 @@ class _Shard:
 
     def __init__(self, number: int):
         self.number, self.size = number, 0
-        self.numbers: dict[tuple[str, bytes], int] = {}
+        self.numbers: dict[str, dict[bytes, int]] = {}  # of each language's words
+        self.count = 0
         self.parts: list[np.ndarray] = []
 
     def add(self, block: pa.RecordBatch) -> None:
@@ -100,9 +101,11 @@ class _Shard:
         langs, words = lang.dictionary.to_pylist(), coded.dictionary.to_pylist()
         key = np.asarray(lang.indices).astype(np.int64)[pieces.text_of_word()] * len(words) + np.asarray(coded.indices)
         kinds, of = np.unique(key, return_inverse=True)
-        known = self.numbers
-        local = np.array([known.setdefault((langs[k // len(words)], words[k % len(words)]), len(known) + 1)
-                          for k in kinds.tolist()], dtype=np.int32)
+        local = np.empty(len(kinds), dtype=np.int32)
+        for k, key in enumerate(kinds.tolist()):
+            known = self.numbers.setdefault(langs[key // len(words)], {})
+            local[k] = number = known.setdefault(words[key % len(words)], self.count + 1)
+            self.count = max(self.count, number)
         sequence = np.zeros(len(of) + int(pieces.opens.sum()), dtype=np.int32)
         sequence[np.arange(len(of)) + np.cumsum(pieces.opens)] = local[of]
         self.parts.append(sequence)
@@ -115,15 +118,16 @@ class _Shard:
         body = pa.compress(sequence.tobytes(), codec="zstd", asbytes=True)
         yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(
             [self.number, self.size, len(sequence).to_bytes(8, "little") + body, None, None, None, None], kinds)], names)
-        count = np.bincount(sequence, minlength=len(self.numbers) + 1)[1:]
-        words = list(self.numbers)
-        for lo in range(0, len(words), 100_000):
-            part = words[lo:lo + 100_000]
-            n = len(part)
-            yield pa.RecordBatch.from_arrays([
-                pa.array([self.number] * n, kinds[0]), pa.nulls(n, kinds[1]), pa.nulls(n, kinds[2]),
-                pa.array(np.arange(lo + 1, lo + n + 1, dtype=np.int32)), pa.array([x for x, _ in part], kinds[4]),
-                pa.array([w for _, w in part], pa.binary()).cast(pa.string()), pa.array(count[lo:lo + n])], names)
+        count = np.bincount(sequence, minlength=self.count + 1)
+        for lang, known in self.numbers.items():
+            local, words = np.fromiter(known.values(), np.int32, len(known)), list(known)
+            for lo in range(0, len(words), 50_000):
+                part = slice(lo, lo + 50_000)
+                n = len(words[part])
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([self.number] * n, kinds[0]), pa.nulls(n, kinds[1]), pa.nulls(n, kinds[2]),
+                    pa.array(local[part]), pa.array([lang] * n, kinds[4]),
+                    pa.array(words[part], pa.binary()).cast(pa.string()), pa.array(count[local[part]])], names)
 
 
 def _sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -31,8 +31,8 @@ def transform(text: np.ndarray) -> np.ndarray:
     while span < DEPTH:
         key = rank * (int(rank.max()) + 1) + np.roll(rank, -span)
         order = np.argsort(key, kind="stable")
-        new = np.r_[False, key[order][1:] != key[order][:-1]]
-        rank[order] = np.cumsum(new)
+        key = key[order]
+        rank[order] = np.cumsum(np.r_[False, key[1:] != key[:-1]])
         span *= 2
     return text[order - 1]
 
@@ -97,7 +97,8 @@ class FMIndex:
         of = np.repeat(np.arange(len(low)), patterns.size)
         key = of * (int(bwt.max(initial=0)) + 1) + bwt[rows]
         order = np.argsort(key, kind="stable")
-        cut = np.flatnonzero(np.r_[True, key[order][1:] != key[order][:-1]][:len(order)])
+        key = key[order]
+        cut = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][:len(order)])
         size = np.diff(np.r_[cut, len(order)])
         head = order[cut]
         source = of[head]
