@@ -15,15 +15,17 @@ texts' starts). Nothing is sorted as a whole:
    and only their ends are left: windows that stretches do not wholly cover are open.
 3. Wanted ranks. An open window reaches samples of shared rank in under v bytes, or it
    is no copy. A rank that an open window reaches anywhere is wanted.
-4. Suffixes. Suffixes that reach a sample of wanted rank, open or not, go to its bucket.
-   Two suffixes there are told apart by the bytes before the sample, by its rank, which
-   resolves the long tie, and by the bytes that follow up to the window's end. Equal
-   windows meet: of the pair's d the cover has both samples, and these have one rank.
-   Where a rank is shared at like offsets only, the first sample reached is enough.
+   With it goes how many bytes before the sample such windows start.
+4. Suffixes. Suffixes that reach a sample of wanted rank from as far before it, open or
+   not, are compared over the whole window. All others are told apart by ranks alone.
+   Equal windows both take part: of the pair's d the cover has both samples, these have
+   one rank, and it is wanted if either window is open. Where a rank is shared at like
+   offsets only, the first sample reached is enough.
 
 A slice sends each distinct value once however often it holds it, and gets a byte or a
 bit back; a task holds one bucket of a bounded part of the hash space. Ranks are compared
-by 32 bits in their bucket, as a filter; stretches and suffixes by 96 bits of hash.
+by 32 bits in their bucket, as a filter; stretches and suffixes by 64 bits of a second
+hash in the bucket that the first one gives.
 
 Defined cases: null and empty texts have no bytes; ids do not matter (rows of one id, or
 of none, are texts like others); rows that repeat remove each other's bytes; texts
@@ -33,6 +35,7 @@ shorter than the window stay; an empty table gives no rows; other columns pass t
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from launchboard.llm.slices import by_shard, open_slice, shards_for, write_slices
+from launchboard.llm.slices import open_slice, shards_for, write_slices
 from launchboard.llm.store import Scratch
 from launchboard.llm.words import U64, mix
 
@@ -57,8 +60,6 @@ COVERS = {
 }
 
 RANKS, STRETCHES, WANTED, SUFFIXES = 1, 2, 3, 4
-#: Samples whose suffixes are hashed at a time.
-CHUNK = 4096
 #: Answers to a sample: its rank is its own, shared at its offset, or at other offsets too.
 OWN, ALIGNED, SHIFTED = 0, 1, 2
 
@@ -109,10 +110,15 @@ class SliceSuffixes:
         self.data, self.offsets = data[offsets[0]:offsets[-1]], offsets - offsets[0]
         self.window, (self.period, self.cover) = window, cover_for(window)
         self.depth, self.stretch = window - self.period + 1, window + self.period
-        self.hash = [SubstringHashes(self.data, b) for b in _BASES]
+        self.first_hash = SubstringHashes(self.data, _BASES[0])
         self._sample()
+        self.ranks = Distinct((self.first_hash.of(self.samples, self.depth) & ~U64(15)) | self.offset.astype(U64))
         self.covered = np.zeros(len(self.data), dtype=bool)
 
+    @cached_property
+    def second_hash(self) -> SubstringHashes:
+        return SubstringHashes(self.data, _BASES[1])
+
     def _sample(self) -> None:
         """Samples: their positions and offsets of D, and their texts' bounds."""
         start, end = self.offsets[:-1], self.offsets[1:]
@@ -127,32 +133,20 @@ class SliceSuffixes:
         self.begin, self.end = start[text], end[text]
         self.samples = self.begin + place[good]
 
-    # level 1
-
-    def ranks(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct (hash, offset of D) of the samples, each sample's number among them,
-        and their marks: the offset, and whether the slice has several."""
-        value = self.hash[0].of(self.samples, self.depth)
-        _, first, number, count = np.unique(mix(value + self.offset.astype(U64)), return_index=True,
-                                            return_inverse=True, return_counts=True)
-        self.number = number
-        return value[first], (self.offset[first] * 2 + (count > 1)).astype(np.uint8)
+    def rank_marks(self) -> np.ndarray:
+        """Offset of each distinct rank, and whether the slice has it several times there."""
+        return (self.offset[self.ranks.first] * 2 + self.ranks.several).astype(np.uint8)
 
-    def learn_ranks(self, answer: np.ndarray) -> None:
-        self.kind = answer[self.number] if len(answer) else np.zeros(0, np.uint8)
+    def learn_ranks(self, kinds: np.ndarray) -> None:
+        """``kinds``: the answer to each distinct rank."""
+        self.kinds, self.kind = kinds, kinds[self.ranks.number]
 
-    # level 2
-
-    def stretches(self) -> np.ndarray:
-        """Positions of the samples whose stretches are compared."""
+    def stretches(self) -> tuple[np.ndarray, Distinct]:
+        """Samples whose stretches are compared."""
         aligned = (self.kind == ALIGNED) & (self.offset == 0)
         some = (aligned | (self.kind == SHIFTED)) & (self.samples + self.stretch <= self.end)
-        return self.samples[some]
-
-    def stretch_values(self, at: np.ndarray) -> Distinct:
-        found = Distinct()
-        found.add(*(h.of(at, self.stretch) for h in self.hash))
-        return found
+        at = self.samples[some]
+        return at, Distinct(self.first_hash.of(at, self.stretch))
 
     def cover_runs(self, start: np.ndarray, length: int) -> None:
         change = np.zeros(len(self.data) + 1, dtype=np.int32)
@@ -160,8 +154,6 @@ class SliceSuffixes:
         np.add.at(change, start + length, -1)
         self.covered |= np.cumsum(change, dtype=np.int32)[:-1] > 0
 
-    # level 3
-
     def _reaching(self) -> tuple[np.ndarray, np.ndarray]:
         """First and last position of the suffixes that reach each sample: those in under
         a period, or, where the first sample is enough, those behind the sample before."""
@@ -169,107 +161,94 @@ class SliceSuffixes:
         lo = np.where(self.kind == ALIGNED, before + 1, self.samples - self.period + 1)
         return np.maximum(lo, self.begin), np.minimum(self.samples, self.end - self.window)
 
-    def wanted(self) -> np.ndarray:
-        """For each distinct rank, whether an open window of the slice reaches it."""
+    def wanted(self) -> tuple[np.ndarray, np.ndarray]:
+        """For each distinct rank, the least and the greatest distance from which an open
+        window of the slice reaches it; (255, 0) for none."""
         bare = np.cumsum(np.r_[np.int32(0), ~self.covered], dtype=np.int32)
-        n = max(len(self.data) - self.window + 1, 0)
-        opened = np.cumsum(np.r_[np.int32(0), bare[self.window:] > bare[:n]], dtype=np.int32) if n else bare[:1]
+        opened = np.flatnonzero(bare[self.window:] > bare[:max(len(bare) - self.window, 0)])
         lo, hi = self._reaching()
-        reached = (lo <= hi) & (self.kind != OWN)
-        lo, hi = np.where(reached, lo, 0), np.where(reached, hi, -1)
-        found = np.zeros(int(self.number.max(initial=-1)) + 1, dtype=np.uint8)
-        found[self.number[opened[hi + 1] > opened[lo]]] = 1
-        return found
-
-    def learn_wanted(self, answer: np.ndarray) -> None:
-        self.want = (answer[self.number] > 0) & (self.kind != OWN) if len(answer) else np.zeros(0, bool)
-
-    # level 4
-
-    def suffixes(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(positions, two hashes) of the suffixes to compare, some at a time: hashes of the
-        bytes before the sample, of its rank and of the bytes after it."""
+        some = np.flatnonzero((lo <= hi) & (self.kind != OWN))
+        first, last = np.searchsorted(opened, lo[some]), np.searchsorted(opened, hi[some], side="right") - 1
+        some, first, last = (x[first <= last] for x in (some, first, last))
+        least = np.full(len(self.ranks), 255, dtype=np.uint8)
+        most = np.zeros(len(self.ranks), dtype=np.uint8)
+        np.minimum.at(least, self.ranks.number[some], (self.samples[some] - opened[last]).astype(np.uint8))
+        np.maximum.at(most, self.ranks.number[some], (self.samples[some] - opened[first]).astype(np.uint8))
+        return least, most
+
+    def suffixes(self, least: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, Distinct]:
+        """Suffixes to compare, given the distances from which each distinct rank is wanted."""
         lo, hi = self._reaching()
-        chosen = np.flatnonzero(self.want & (lo <= hi))
-        for c in range(0, len(chosen), CHUNK):
-            some = chosen[c:c + CHUNK]
-            size = hi[some] - lo[some] + 1
-            sample = np.repeat(self.samples[some], size)
-            at = np.arange(len(sample)) + np.repeat(lo[some] - (np.cumsum(size) - size), size)
-            out = []
-            for h in self.hash:
-                before = mix(h.of(at, sample - at) + (sample - at).astype(U64))
-                rank = np.repeat(h.of(self.samples[some], self.depth), size)
-                after = h.of(sample + self.depth, at + self.window - sample - self.depth)
-                out.append(mix(before + mix(rank) * U64(3) + after * U64(5)))
-            yield at, *out
-
-    def suffix_values(self) -> Distinct:
-        found = Distinct()
-        for _, low, high in self.suffixes():
-            found.add(low, high)
-        return found
+        number = self.ranks.number
+        lo = np.maximum(lo, self.samples - most[number])
+        hi = np.minimum(hi, self.samples - least[number])
+        some = (lo <= hi) & (self.kind != OWN)
+        change = np.zeros(len(self.data) + 1, dtype=np.int32)
+        np.add.at(change, lo[some], 1)
+        np.add.at(change, hi[some] + 1, -1)
+        at = np.flatnonzero(np.cumsum(change, dtype=np.int32)[:-1])
+        return at, Distinct(self.first_hash.of(at, self.window))
 
 
 class Distinct:
-    """Distinct values of 96 bits (low, and the upper half of high), gathered in parts."""
-
-    def __init__(self):
-        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-
-    @staticmethod
-    def _key(low: np.ndarray, high: np.ndarray) -> np.ndarray:
-        return low ^ ((high >> U64(32)) * U64(0x9E3779B97F4A7C15))
-
-    def add(self, low: np.ndarray, high: np.ndarray) -> None:
-        _, first, count = np.unique(self._key(low, high), return_index=True, return_counts=True)
-        self.parts.append((low[first], high[first], count))
+    """Distinct ones of some 64-bit values, in order. Shards are ranges of the values."""
+
+    def __init__(self, values: np.ndarray):
+        order = np.argsort(values, kind="stable")
+        ordered = values[order]
+        new = np.r_[True, ordered[1:] != ordered[:-1]][:len(order)]
+        self.values, self.first = ordered[new], order[new]
+        #: which distinct value each value is
+        self.number = np.empty(len(order), dtype=np.int64)
+        self.number[order] = np.cumsum(new) - 1
+        head = np.flatnonzero(new)
+        self.several = np.diff(np.r_[head, len(order)]) > 1
 
-    def all(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The values in the order of their keys, and marks of those that came several times."""
-        low, high, count = (np.concatenate(x) for x in zip(*self.parts)) if self.parts else (
-            np.zeros(0, U64), np.zeros(0, U64), np.zeros(0, np.int64))
-        self.keys, first, number = np.unique(self._key(low, high), return_index=True, return_inverse=True)
-        total = np.bincount(number, count, len(first))
-        return low[first], (high[first] >> U64(32)).astype(np.uint32), (total > 1).astype(np.uint8)
+    def __len__(self) -> int:
+        return len(self.values)
 
-    def place(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-        """Where values that were added stand in ``all()``."""
-        return np.searchsorted(self.keys, self._key(low, high))
+    def shards(self, shards: int, chosen: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
+        """(shard, which distinct values) of all or of the chosen ones."""
+        which = np.arange(len(self)) if chosen is None else chosen
+        shard = ((self.values[which] >> U64(32)) * U64(shards) >> U64(32)).astype(np.int64)
+        ids, first = np.unique(shard, return_index=True)
+        for k, lo, hi in zip(ids.tolist(), first, [*first[1:], len(which)]):
+            yield k, which[lo:hi]
 
 
-def _known(state: SliceSuffixes, replies: list[dict], shards: int, upto: int) -> None:
-    """Bring a slice to the state before a level."""
+def _state(row: dict, window: int, shards: int, level: int) -> tuple[SliceSuffixes, tuple]:
+    """A slice as it is before a level, and what the level compares: ``suffixes()`` and such."""
+    state = SliceSuffixes(open_slice(row["payload"]), window)
     bodies: dict[int, dict[int, bytes]] = {}
-    for r in replies or []:
+    for r in row["replies"] or []:
         bodies.setdefault(r["level"], {})[r["shard"]] = r["body"]
 
-    def answers(level: int, values: np.ndarray, bits: bool = True) -> np.ndarray:
-        out = np.zeros(len(values), dtype=np.uint8)
-        for shard, at in by_shard(values, shards):
-            body = np.frombuffer(bodies[level][shard], np.uint8)
-            out[at] = np.unpackbits(body, count=len(at)) if bits else body
+    def answers(at_level: int, asked: Distinct, chosen: np.ndarray | None = None) -> np.ndarray:
+        out = np.zeros((len(asked), 2 if at_level == WANTED else 1), dtype=np.uint8)
+        for shard, at in asked.shards(shards, chosen):
+            body = np.frombuffer(bodies[at_level][shard], np.uint8)
+            out[at] = (np.unpackbits(body, count=len(at)) if at_level in (STRETCHES, SUFFIXES) else body).reshape(len(at), -1)
         return out
 
-    rank, _ = state.ranks()
-    kind = answers(RANKS, rank, bits=False)
-    state.learn_ranks(kind)
-    if upto > STRETCHES:
-        at = state.stretches()
-        found = state.stretch_values(at)
-        good = answers(STRETCHES, found.all()[0]) > 0
-        state.cover_runs(at[good[found.place(*(h.of(at, state.stretch) for h in state.hash))]] if len(at) else at,
-                         state.stretch)
-    if upto > WANTED:
-        shared = np.flatnonzero(kind != OWN)
-        want = np.zeros(len(rank), dtype=np.uint8)
-        want[shared] = answers(WANTED, rank[shared])
-        state.learn_wanted(want)
-    if upto > SUFFIXES:
-        found = state.suffix_values()
-        good = answers(SUFFIXES, found.all()[0]) > 0
-        for at, low, high in state.suffixes():
-            state.cover_runs(np.unique(at[good[found.place(low, high)]]), state.window)
+    if level == RANKS:
+        return state, ()
+    state.learn_ranks(answers(RANKS, state.ranks)[:, 0])
+    found = state.stretches()
+    if level == STRETCHES:
+        return state, found
+    at, asked = found
+    state.cover_runs(at[answers(STRETCHES, asked)[asked.number, 0] > 0], state.stretch)
+    shared = np.flatnonzero(state.kinds != OWN)
+    if level == WANTED:
+        return state, (shared,)
+    least, most = np.full(len(state.ranks), 255, np.uint8), np.zeros(len(state.ranks), np.uint8)
+    least[shared], most[shared] = answers(WANTED, state.ranks, shared)[shared].T
+    found = state.suffixes(least, most)
+    if level == SUFFIXES:
+        return state, found
+    at, asked = found
+    state.cover_runs(at[answers(SUFFIXES, asked)[asked.number, 0] > 0], state.window)
+    return state, ()
 
 
 def _requests(level: int, shards: int, window: int):
@@ -277,23 +256,18 @@ def _requests(level: int, shards: int, window: int):
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                state, high = SliceSuffixes(open_slice(row["payload"]), window), None
-                if level == RANKS:
-                    low, marks = state.ranks()
+                state, found = _state(row, window, shards, level)
+                if level in (RANKS, WANTED):
+                    asked, chosen = state.ranks, found[0] if found else None
+                    values = (asked.values >> U64(4)).astype(np.uint32)
+                    marks = state.rank_marks() if level == RANKS else np.stack(state.wanted(), 1)
                 else:
-                    _known(state, row["replies"], shards, level)
-                if level == WANTED:
-                    rank, _ = state.ranks()
-                    shared = np.unique(state.number[state.kind != OWN])
-                    low, marks = rank[shared], state.wanted()[shared]
-                elif level != RANKS:
-                    found = state.stretch_values(state.stretches()) if level == STRETCHES else state.suffix_values()
-                    low, high, marks = found.all()
-                out = []
-                for shard, at in by_shard(low, shards):
-                    hashes = ((low[at] >> U64(32)).astype(np.uint32).tobytes() if high is None
-                              else low[at].tobytes() + high[at].tobytes())
-                    out.append((shard, row["slice"], hashes, marks[at].tobytes()))
+                    (at, asked), chosen = found, None
+                    values = state.second_hash.of(at[asked.first], state.stretch if level == STRETCHES else window)
+                    marks = asked.several
+                out = [(shard, row["slice"], values[at].tobytes(),
+                        (np.packbits(marks[at]) if marks.dtype == bool else marks[at]).tobytes())
+                       for shard, at in asked.shards(shards, chosen)]
                 if out:
                     kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary())
                     yield pa.RecordBatch.from_arrays(
@@ -303,30 +277,31 @@ def _requests(level: int, shards: int, window: int):
 
 def _bucket(level: int):
     """Sort one bucket and answer the slices that have suffixes in it."""
+    kind = np.uint32 if level in (RANKS, WANTED) else np.uint64
+
     def run(table: pa.Table) -> pa.Table:
-        bodies, marks = table["hashes"].to_pylist(), table["marks"].to_pylist()
-        sizes = [len(m) for m in marks]
-        cuts = np.cumsum([0, *sizes])
-        mark = np.frombuffer(b"".join(marks), np.uint8)
-        if level in (RANKS, WANTED):
-            value = np.frombuffer(b"".join(bodies), np.uint32)
-            order = np.argsort(value, kind="stable")
-            new = np.r_[True, value[order][1:] != value[order][:-1]]
-        else:
-            low = np.frombuffer(b"".join(b[:8 * n] for b, n in zip(bodies, sizes)), np.uint64)
-            high = np.frombuffer(b"".join(b[8 * n:] for b, n in zip(bodies, sizes)), np.uint32)
-            order = np.lexsort((high, low))
-            new = np.r_[True, (low[order][1:] != low[order][:-1]) | (high[order][1:] != high[order][:-1])]
+        values = [np.frombuffer(x, kind) for x in table["hashes"].to_pylist()]
+        marks = [np.frombuffer(x, np.uint8) for x in table["marks"].to_pylist()]
+        value, cuts = np.concatenate(values), np.cumsum([0, *map(len, values)])
+        order = np.argsort(value, kind="stable")
+        ordered = value[order]
+        new = np.r_[True, ordered[1:] != ordered[:-1]]
         head = np.flatnonzero(new)
-        kind = np.maximum.reduceat(mark[order] & 1, head)
-        if level != WANTED:
-            kind[np.diff(np.r_[head, len(order)]) > 1] = 1
+        several = np.diff(np.r_[head, len(order)]) > 1
         if level == RANKS:
-            offset = mark[order] >> 1
-            kind[np.minimum.reduceat(offset, head) < np.maximum.reduceat(offset, head)] = SHIFTED
-        answer = np.empty(len(order), dtype=np.uint8)
-        answer[order] = kind[np.cumsum(new) - 1]
-        parts = [answer[a:b] if level == RANKS else np.packbits(answer[a:b]) for a, b in zip(cuts, cuts[1:])]
+            mark = np.concatenate(marks)[order]
+            found = np.where(several | (np.maximum.reduceat(mark & 1, head) > 0), ALIGNED, OWN)
+            found[np.minimum.reduceat(mark >> 1, head) < np.maximum.reduceat(mark >> 1, head)] = SHIFTED
+        elif level == WANTED:
+            mark = np.concatenate(marks).reshape(-1, 2)[order]
+            found = np.stack([np.minimum.reduceat(mark[:, 0], head), np.maximum.reduceat(mark[:, 1], head)], 1)
+        else:
+            mark = np.concatenate([np.unpackbits(m, count=len(v)) for m, v in zip(marks, values)])[order]
+            found = several | (np.maximum.reduceat(mark, head) > 0)
+        answer = np.empty((len(order), *found.shape[1:]), dtype=found.dtype)
+        answer[order] = found[np.cumsum(new) - 1]
+        parts = [np.packbits(answer[a:b]) if found.dtype == bool else answer[a:b].astype(np.uint8)
+                 for a, b in zip(cuts, cuts[1:])]
         return pa.table({"slice": table["slice"], "level": pa.array([level] * len(parts), pa.int32()),
                          "shard": table["shard"], "body": pa.array([p.tobytes() for p in parts], pa.binary())})
     return run
@@ -375,8 +350,7 @@ def remove_repeated_bytes(docs: DataFrame, window: int = WINDOW) -> DataFrame:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
                 rows = open_slice(row["payload"])
-                state = SliceSuffixes(rows, window)
-                _known(state, row["replies"], shards, SUFFIXES + 1)
+                state, _ = _state(row, window, shards, SUFFIXES + 1)
                 kept, spans = _kept(state)
                 size = np.diff(state.offsets)
                 removed = size - pc.binary_length(kept).to_numpy(zero_copy_only=False)
