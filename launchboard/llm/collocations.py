@@ -55,6 +55,7 @@ UNKNOWN = "und"
 #: Text of an indexed shard, and of a hash shard's values.
 SHARD_BYTES = 8 << 20
 HASH_SHARD_BYTES = 8 << 20
+BLOCK_BYTES = 2 << 20
 
 _PIECE = np.zeros(256, dtype=bool)
 _PIECE[[ord(c) for c in ".,;:!?"] + [10, 11, 12, 13]] = True
@@ -133,7 +134,7 @@ class _Shard:
 def _sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     number = TaskContext.get().partitionId() << 32
     shard = _Shard(number)
-    for block in blocks(batches, "text"):
+    for block in blocks(batches, "text", BLOCK_BYTES):
         shard.add(block)
         if shard.size >= SHARD_BYTES:
             yield from shard.rows()
@@ -187,7 +188,7 @@ class Level:
         """The next length: extensions that got a number."""
         new, left, right = self.extend()
         for shard, at in by_shard(_name(left, right), shards):
-            new.number[at] = np.frombuffer(answers[shard], np.int64)
+            new.number[at] = _read(answers[shard], len(at))
         self.patterns = new.take(np.flatnonzero(new.number >= 0))
         self.length += 1
 
@@ -196,6 +197,19 @@ def _name(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mix(mix(left.astype(U64)) + right.astype(U64))
 
 
+def _write(number: np.ndarray) -> bytes:
+    """Numbers, -1 for most: a bit each, then the others."""
+    some = number >= 0
+    return np.packbits(some).tobytes() + number[some].tobytes()
+
+
+def _read(body: bytes, n: int) -> np.ndarray:
+    cut = -(-n // 8)
+    out = np.full(n, -1, dtype=np.int64)
+    out[np.unpackbits(np.frombuffer(body[:cut], np.uint8), count=n) > 0] = np.frombuffer(body[cut:], np.int64)
+    return out
+
+
 def _ask(level: int, shards: int):
     """Each extension once: its parts' numbers and its count."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,7 +231,7 @@ def _ask(level: int, shards: int):
     return run
 
 
-def _answer(level: int, min_count: int):
+def _answer(level: int, shards: int, min_count: int):
     """Sums of one hash shard: numbers of frequent patterns, for each shard that asked in
     the order of its question, and the patterns themselves."""
     def run(table: pa.Table) -> pa.Table:
@@ -230,7 +244,8 @@ def _answer(level: int, min_count: int):
         head = order[new]
         total = np.add.reduceat(count[order], np.flatnonzero(new))
         good = total >= min_count
-        number = np.where(good, (part << 32) + np.cumsum(good), -1)
+        # numbers stay small, so that they pack well
+        number = np.where(good, (np.cumsum(good) - 1) * shards + part, -1)
         answer = np.empty(len(left), dtype=np.int64)
         answer[order] = number[np.cumsum(new) - 1]
         cuts = np.cumsum([0, *map(len, lefts)])
@@ -239,7 +254,7 @@ def _answer(level: int, min_count: int):
             "shard": pa.concat_arrays([table["shard"].combine_chunks(), pa.nulls(kept, pa.int64())]),
             "level": pa.array([level] * (asked + kept), pa.int32()),
             "hash_shard": pa.array([part] * (asked + kept), pa.int32()),
-            "body": pa.array([answer[a:b].tobytes() for a, b in zip(cuts, cuts[1:])] + [None] * kept, pa.binary()),
+            "body": pa.array([_write(answer[a:b]) for a, b in zip(cuts, cuts[1:])] + [None] * kept, pa.binary()),
             **{c: pa.concat_arrays([pa.nulls(asked, pa.int64()), pa.array(v[good])])
                for c, v in (("number", number), ("left", left[head]), ("right", right[head]), ("a", total))}})
     return run
@@ -262,14 +277,19 @@ def frequent_phrases(docs: DataFrame, scratch: Scratch, min_count: int = MIN_COU
     entries = written.where("payload is null").select("shard", "local", "lang", "word", "n")
     counted = scratch.keep(entries.groupBy("lang", "word").agg(F.sum("n").alias("a")), "words")
     totals = counted.groupBy("lang").agg(F.sum("a").alias("n"))
+    scratch.release()
+    # once written, ids by partition and row are fixed; mixed they are small and pack well
     words = scratch.keep(counted.where(F.col("a") >= min_count).withColumn(
-        "number", F.monotonically_increasing_id()), "frequent-words")
+        "id", F.monotonically_increasing_id()), "frequent-words")
+    parts = (words.agg(F.max(F.shiftright("id", 33))).first()[0] or 0) + 1
+    words = words.withColumn("number", F.col("id").bitwiseAND((1 << 33) - 1) * parts + F.shiftright("id", 33))
     size = sequences.agg(F.sum("n_bytes")).first()[0] or 0
     shards = max(1, -(-size // HASH_SHARD_BYTES))
     of_shard = entries.join(words.select("lang", "word", "number"), ["lang", "word"]).groupBy("shard").agg(
         F.collect_list(F.struct("local", "number")).alias("known"))
     indexes = scratch.keep(sequences.join(of_shard, "shard").select("shard", "payload", "known").mapInArrow(
         _build, "shard long, payload binary, numbers binary"), "indexes")
+    scratch.drop("sequences")
     scratch.release()
     found = [words.select("number", "lang", F.array("word").alias("words"), "a",
                           *(F.array().cast("array<long>").alias(c) for c in ("prefixes", "suffixes")))]
@@ -279,7 +299,7 @@ def frequent_phrases(docs: DataFrame, scratch: Scratch, min_count: int = MIN_COU
         questions = asked.mapInArrow(
             _ask(level, shards), "hash_shard int, shard long, lefts binary, rights binary, counts binary")
         answers = scratch.keep(questions.repartition(shards, "hash_shard").groupBy("hash_shard").applyInArrow(
-            _answer(level, min_count), ANSWER), f"answers-{level}")
+            _answer(level, shards, min_count), ANSWER), f"answers-{level}")
         of_level = answers.where("body is not null").select("shard", "level", "hash_shard", "body")
         replies = of_level if replies is None else replies.unionByName(of_level)
         per_shard = replies.groupBy("shard").agg(
