@@ -143,16 +143,17 @@ class RunParams:
                            resolves it once for all its jobs)
     max_broadcast_bytes:   dimension sides proven at most this large are
                            broadcast; larger ones take a shuffle join
-    null_key_spread:       NULL join keys (and hot keys) are spread over this
-                           many buckets instead of landing in one shuffle partition
+    null_bypass_share:     lines without a join key go round its shuffle (and the
+                           lines are read in two branches) from this share on; below
+                           it they are spread over the partitions
     hot_share:             a member or channel id with more than this share of
-                           the rows is split over the buckets as well (at most
+                           the rows is split over partitions by its share (at most
                            1 / hot_share ids can be)
     """
 
     as_of: dt.date | None = None
     max_broadcast_bytes: int = 64 << 20
-    null_key_spread: int = 64
+    null_bypass_share: float = 0.25
     hot_share: float = 0.001
     kpi_specs: tuple[KpiSpec, ...] = field(default=KPI_SPECS)
     benchmark_specs: tuple[BenchmarkSpec, ...] = field(default=BENCHMARK_SPECS)

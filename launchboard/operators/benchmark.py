@@ -27,7 +27,7 @@ from launchboard.functions import rules as R
 from launchboard.operators.dims import focus_periods
 from launchboard.operators import ranks as RK
 from launchboard.operators.fact import Dims
-from launchboard.operators.joins import left_join_spread_nulls
+from launchboard.operators.joins import Skew, left_join_skewed
 from launchboard.operators.range_count import range_distinct_counts
 
 COUNTERS = ["elig", "pure_new", "existing", "repurchase"]
@@ -49,7 +49,7 @@ def benchmark_periods(dims: Dims, specs: tuple[BenchmarkSpec, ...]) -> DataFrame
 
 
 def occurrences(summary: DataFrame, dims: Dims, info: DataFrame, params: RunParams,
-                specs: tuple[BenchmarkSpec, ...], hot: dict[str, list[str]]) -> DataFrame:
+                specs: tuple[BenchmarkSpec, ...], skew: dict[str, Skew]) -> DataFrame:
     """(source_channel, member_id, day, elig, pure_new, existing, repurchase), one
     row per branch, member and day, from the order summary; ``info`` is
     ``ranks.order_info``. Both joins run on summary rows, before the fan-out to
@@ -57,12 +57,11 @@ def occurrences(summary: DataFrame, dims: Dims, info: DataFrame, params: RunPara
     e = summary.where(F.col("has_elig") & F.col("member_id").isNotNull())
     joins = dims.member.where(F.col("member_key").isNotNull()).groupBy("member_key").agg(
         F.min("join_date").alias("_jmin"), F.max("join_date").alias("_jmax"))
-    e = left_join_spread_nulls(e, F.col("crm_key"), [(joins, "member_key")],
-                               params.null_key_spread, ["parent_order_id", "member_id"],
-                               hot["crm_key"])
-    e = left_join_spread_nulls(e, F.col("parent_order_id"),
-                               [(info.withColumnRenamed("parent_order_id", "_oid"), "_oid")],
-                               params.null_key_spread, ["member_id", "day", "type_value"])
+    e = left_join_skewed(e, F.col("crm_key"), [(joins, "member_key")],
+                         ["parent_order_id", "member_id"], skew["crm_key"])
+    e = left_join_skewed(e, F.col("parent_order_id"),
+                         [(info.withColumnRenamed("parent_order_id", "_oid"), "_oid")],
+                         ["member_id", "day", "type_value"], skew["parent_order_id"])
     structs = []
     for s in specs:
         _, first, repeat = RK.flag_columns(s.rank_slice)
@@ -80,8 +79,8 @@ def occurrences(summary: DataFrame, dims: Dims, info: DataFrame, params: RunPara
 
 
 def benchmarks(summary: DataFrame, dims: Dims, info: DataFrame, params: RunParams,
-               specs: tuple[BenchmarkSpec, ...], hot: dict[str, list[str]]) -> DataFrame:
-    occ = occurrences(summary, dims, info, params, specs, hot)
+               specs: tuple[BenchmarkSpec, ...], skew: dict[str, Skew]) -> DataFrame:
+    occ = occurrences(summary, dims, info, params, specs, skew)
     # no order is paid on or after as_of, so no day from then on counts anything
     last = params.as_of - dt.timedelta(days=1) if params.as_of else None
     counts = range_distinct_counts(occ, benchmark_periods(dims, specs), ["source_channel"],

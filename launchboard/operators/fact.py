@@ -4,7 +4,8 @@
 the fact, so Catalyst pushes its filters into the scan. ``enrich`` adds the
 six dimension joins: product, calendar and city are broadcast behind a size
 check; member and platform bindings are shuffle joins (large tables)
-whose NULL and hot keys are spread (see ``joins.left_join_spread_nulls``). Left joins
+whose NULL keys go round the shuffle and whose hot keys are spread by their share (see
+``joins.left_join_skewed``). Left joins
 keep the dashboard's fan-out: a dimension key present twice doubles the line.
 """
 
@@ -20,7 +21,7 @@ from launchboard.config import RunParams
 from launchboard.functions import rules as R
 from launchboard.operators import dims as D
 from launchboard.operators.joins import (
-    broadcast_if, hot_keys, left_join_spread_nulls, proven_small)
+    Skew, broadcast_if, find_skew, left_join_skewed, proven_small)
 from launchboard.sources.tables import Inputs
 
 FACT_COLUMNS = (
@@ -97,26 +98,25 @@ def with_product(lines: DataFrame, dims: Dims) -> DataFrame:
     return lines.join(dims.product, "sku_id", "left")
 
 
-HOT_KEY_COLUMNS = {"crm_key": "crm_key", "type_value": "type_value"}
+SKEW_COLUMNS = {"crm_key": "crm_key", "type_value": "type_value"}
 
 
-def find_hot_keys(rows: DataFrame, params: RunParams) -> dict[str, list[str]]:
-    """Hot member keys and channel ids of lines or of the order summary."""
-    return hot_keys(rows, HOT_KEY_COLUMNS, params.hot_share)
+def key_skew(rows: DataFrame, params: RunParams) -> dict[str, Skew]:
+    """Hot and missing member keys and channel ids of lines or of the order summary."""
+    return find_skew(rows, SKEW_COLUMNS, params.hot_share)
 
 
-def enrich(lines: DataFrame, dims: Dims, params: RunParams, hot: dict[str, list[str]],
+def enrich(lines: DataFrame, dims: Dims, params: RunParams, skew: dict[str, Skew],
            with_product_done: bool = False) -> DataFrame:
-    """All dimension joins; returns FACT_COLUMNS. ``hot``: see find_hot_keys."""
+    """All dimension joins; returns FACT_COLUMNS. ``skew``: see key_skew."""
     x = lines if with_product_done else with_product(lines, dims)
     x = x.join(dims.calendar, x.order_paid_date == dims.calendar.date_id, "left")
     x = x.join(dims.city, "city_cn", "left")
     seed = ["parent_order_id", "sku_id"]
-    x = left_join_spread_nulls(x, F.col("crm_key"), [(dims.member, "member_key")],
-                               params.null_key_spread, seed, hot["crm_key"])
-    x = left_join_spread_nulls(x, F.col("type_value"),
-                               [(dims.tmall, "kyid"), (dims.douyin, "openid")],
-                               params.null_key_spread, seed, hot["type_value"])
+    x = left_join_skewed(x, F.col("crm_key"), [(dims.member, "member_key")],
+                         seed, skew["crm_key"], params.null_bypass_share)
+    x = left_join_skewed(x, F.col("type_value"), [(dims.tmall, "kyid"), (dims.douyin, "openid")],
+                         seed, skew["type_value"], params.null_bypass_share)
     return x.select(
         "source_channel", "order_paid_time", "order_paid_date", "fiscal_year",
         "fiscal_month", "fiscal_week", "member_id", "member_detail_id", "join_date",
@@ -133,4 +133,4 @@ def enrich(lines: DataFrame, dims: Dims, params: RunParams, hot: dict[str, list[
 def fact_enriched(inputs: Inputs, params: RunParams, dims: Dims | None = None) -> DataFrame:
     dims = dims or build_dims(inputs, params)
     lines = admitted_lines(inputs.order_line, params)
-    return enrich(lines, dims, params, find_hot_keys(lines, params))
+    return enrich(lines, dims, params, key_skew(lines, params))

@@ -26,7 +26,7 @@ from launchboard.config import KpiSpec, RunParams
 from launchboard.functions import rules as R
 from launchboard.operators.fact import Dims, enrich, with_product
 from launchboard.operators import ranks as RK
-from launchboard.operators.joins import broadcast_if, left_join_spread_nulls
+from launchboard.operators.joins import Skew, broadcast_if, left_join_skewed
 
 WINDOW_KEYS = ("source_channel", "sku_id", "sku_name", "product_line", "launch_date",
                "tracking_end_date", "rsp", "price_band", "age_mark", "kids_vs_adult")
@@ -48,7 +48,7 @@ def tracking_bounds(dims: Dims):
 
 
 def tracked_lines(lines: DataFrame, dims: Dims, params: RunParams,
-                  hot: dict[str, list[str]]) -> DataFrame:
+                  skew: dict[str, Skew]) -> DataFrame:
     """Enriched lines of tracked SKUs inside their widest possible window. The
     days that any tracked SKU can need bound the scan as two literals, which
     reach the reader and prune partitions."""
@@ -63,7 +63,7 @@ def tracked_lines(lines: DataFrame, dims: Dims, params: RunParams,
     earliest = launch_of_any_channel()
     x = x.where((F.col("order_paid_date") <= F.col("_fend"))
                 & (F.col("order_paid_date") >= earliest)).drop("_fend")
-    return enrich(x, dims, params, hot, with_product_done=True)
+    return enrich(x, dims, params, skew, with_product_done=True)
 
 
 LINE_COLS = ["order_paid_date", "parent_order_id", "member_id", "sku_id", "sku_name",
@@ -93,14 +93,14 @@ def branch_rows(rows: DataFrame, specs: tuple[KpiSpec, ...]) -> DataFrame:
 
 
 def kpi_rows(lines: DataFrame, dims: Dims, info: DataFrame, params: RunParams,
-             specs: tuple[KpiSpec, ...], hot: dict[str, list[str]]) -> DataFrame:
+             specs: tuple[KpiSpec, ...], skew: dict[str, Skew]) -> DataFrame:
     """Line rows of all branches with tracking end, rank flags and pieces.
     ``info`` is ``ranks.order_info`` (one row per order): a single join, in
     which lines without an order id are spread."""
-    t = left_join_spread_nulls(
-        tracked_lines(lines, dims, params, hot), F.col("parent_order_id"),
-        [(info.withColumnRenamed("parent_order_id", "_oid"), "_oid")], params.null_key_spread,
-        ["sku_id", "member_id", "order_paid_time", "order_rrp_amt"]).drop("_oid")
+    t = left_join_skewed(
+        tracked_lines(lines, dims, params, skew), F.col("parent_order_id"),
+        [(info.withColumnRenamed("parent_order_id", "_oid"), "_oid")],
+        ["sku_id", "member_id", "order_paid_time", "order_rrp_amt"], skew["parent_order_id"]).drop("_oid")
     b = branch_rows(t, specs)
     focus = dims.focus.select(F.col("sku_id").alias("_fsku"), "tracking_end_date")
     return b.join(focus, (F.col("sku_id") == F.col("_fsku"))

@@ -18,34 +18,34 @@ from pyspark.sql import functions as F
 from launchboard.config import RunParams
 from launchboard.functions.rules import is_true
 from launchboard.operators.fact import Dims
-from launchboard.operators.joins import left_join_spread_nulls
+from launchboard.operators.joins import Skew, left_join_skewed
 from launchboard.operators.orders import key_counts
 
 
 def large_dim_multiplier(rows: DataFrame, dims: Dims, params: RunParams,
-                         hot: dict[str, list[str]]) -> DataFrame:
+                         skew: dict[str, Skew]) -> DataFrame:
     """Adds ``_mult_large``: fan-out from the member and binding joins, for
     rows carrying ``crm_key`` and ``type_value`` (order-level rows)."""
     seed = ["parent_order_id"]
-    x = left_join_spread_nulls(rows, F.col("crm_key"),
-                               [(key_counts(dims.member, "member_key", "_n_mem"), "member_key")],
-                               params.null_key_spread, seed, hot["crm_key"]).drop("member_key")
-    x = left_join_spread_nulls(x, F.col("type_value"),
-                               [(key_counts(dims.tmall, "kyid", "_n_tm"), "kyid"),
-                                (key_counts(dims.douyin, "openid", "_n_dy"), "openid")],
-                               params.null_key_spread, seed, hot["type_value"]).drop("kyid", "openid")
+    x = left_join_skewed(rows, F.col("crm_key"),
+                         [(key_counts(dims.member, "member_key", "_n_mem"), "member_key")],
+                         seed, skew["crm_key"]).drop("member_key")
+    x = left_join_skewed(x, F.col("type_value"),
+                         [(key_counts(dims.tmall, "kyid", "_n_tm"), "kyid"),
+                          (key_counts(dims.douyin, "openid", "_n_dy"), "openid")],
+                         seed, skew["type_value"]).drop("kyid", "openid")
     mult = (F.coalesce("_n_mem", F.lit(1)) * F.coalesce("_n_tm", F.lit(1))
             * F.coalesce("_n_dy", F.lit(1)))
     return x.withColumn("_mult_large", mult).drop("_n_mem", "_n_tm", "_n_dy")
 
 
 def order_pieces(summary: DataFrame, dims: Dims, params: RunParams,
-                 hot: dict[str, list[str]]) -> DataFrame:
+                 skew: dict[str, Skew]) -> DataFrame:
     """(parent_order_id, pieces) from the order summary."""
     m = summary.where(F.col("has_member"))
     per_key = m.groupBy("parent_order_id", "crm_key", "type_value").agg(
         F.sum("member_qty").alias("_q"))
-    per_key = large_dim_multiplier(per_key, dims, params, hot)
+    per_key = large_dim_multiplier(per_key, dims, params, skew)
     return per_key.groupBy("parent_order_id").agg(
         F.sum(F.col("_q") * F.col("_mult_large")).alias("pieces"))
 

@@ -24,7 +24,8 @@ from launchboard.config import RunParams
 from launchboard.operators import benchmark as B
 from launchboard.operators import kpi as K
 from launchboard.operators import ranks as RK
-from launchboard.operators.fact import Dims, admitted_lines, build_dims, find_hot_keys
+from launchboard.operators.fact import Dims, admitted_lines, build_dims, key_skew
+from launchboard.operators.joins import Skew, null_share
 from launchboard.operators.orders import order_summary
 from launchboard.operators.upt import order_pieces
 from launchboard.plans.session import materialize as materialize_df
@@ -53,9 +54,11 @@ class Prepared:
         return self._kept(order_summary(self.lines, self.dims, self.params), "order_summary")
 
     @cached_property
-    def hot(self) -> dict[str, list[str]]:
-        """Hot member keys and channel ids, found once, in the order summary."""
-        return find_hot_keys(self.summary, self.params)
+    def skew(self) -> dict[str, Skew]:
+        """Hot and missing member keys, channel ids and order ids, found once, in the
+        order summary."""
+        no_order = null_share(self.summary, "parent_order_id")
+        return key_skew(self.summary, self.params) | {"parent_order_id": Skew(no_order)}
 
     @cached_property
     def rank_orders(self) -> DataFrame:
@@ -67,7 +70,7 @@ class Prepared:
 
     @cached_property
     def pieces(self) -> DataFrame:
-        return order_pieces(self.summary, self.dims, self.params, self.hot)
+        return order_pieces(self.summary, self.dims, self.params, self.skew)
 
     @cached_property
     def info(self) -> DataFrame:
@@ -91,7 +94,7 @@ def _specs(params: RunParams, labels):
 def _kpi_rows(p: Prepared, labels) -> DataFrame:
     if p.kpi_rows is not None and labels is None:
         return p.kpi_rows
-    rows = K.kpi_rows(p.lines, p.dims, p.info, p.params, _specs(p.params, labels), p.hot)
+    rows = K.kpi_rows(p.lines, p.dims, p.info, p.params, _specs(p.params, labels), p.skew)
     # members and orders are both reduced from these rows: written, they are built once
     return p._kept(rows, f"kpi_rows_{'_'.join(labels or ('all',))}")
 
@@ -115,7 +118,7 @@ def kpi_launch_week(p: Prepared, labels: tuple[str, ...] | None = None) -> DataF
 
 def benchmark_all(p: Prepared, labels: tuple[str, ...] | None = None) -> DataFrame:
     specs = tuple(s for s in p.params.benchmark_specs if labels is None or s.label in labels)
-    return B.benchmarks(p.summary, p.dims, p.info, p.params, specs, p.hot).select(*B.BENCH_OUTPUT)
+    return B.benchmarks(p.summary, p.dims, p.info, p.params, specs, p.skew).select(*B.BENCH_OUTPUT)
 
 
 def scorecard_8w(p: Prepared) -> DataFrame:

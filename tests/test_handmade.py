@@ -11,7 +11,7 @@ from launchboard.plans import scorecard as S
 from tests.compare import diff
 from tests.handmade import duck_inputs, spark_inputs
 
-PARAMS = RunParams(as_of=dt.date(2020, 12, 31), null_key_spread=4, hot_share=1e-9)   # every key takes the salted path
+PARAMS = RunParams(as_of=dt.date(2020, 12, 31), hot_share=1e-9)   # every key takes the salted path
 
 
 @pytest.fixture(scope="module")

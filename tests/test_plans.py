@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from launchboard.config import ANALYST_DEFAULTS
 from launchboard.operators.fact import admitted_lines
-from launchboard.operators.joins import hot_keys, left_join_spread_nulls, proven_small
+from launchboard.operators.joins import Skew, find_skew, left_join_skewed, proven_small
 from launchboard.plans import catalog
 from launchboard.sources.tables import NAMES, Inputs
 
@@ -47,8 +47,7 @@ def test_null_keys_are_spread(spark):
             F.col("id").alias("parent_order_id"), F.col("id").alias("sku_id"),
             F.when(F.col("id") % 10 == 0, F.col("id")).alias("k"))   # 90% NULL keys
         right = spark.range(0, 20000, 10).select(F.col("id").alias("rk"), F.lit(1).alias("v"))
-        out = left_join_spread_nulls(left, F.col("k"), [(right, "rk")], 16,
-                                     ["parent_order_id", "sku_id"])
+        out = left_join_skewed(left, F.col("k"), [(right, "rk")], ["parent_order_id", "sku_id"], Skew(0.9))
         assert out.where("v = 1").count() == 2000 and out.count() == 20000
         sizes = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("p"))
                  .agg(F.count(F.lit(1)).alias("n")).collect()]
@@ -77,9 +76,8 @@ def test_hot_key_is_split_and_matches_are_unchanged(spark):
         right = right.unionByName(spark.range(1).select(F.lit(7).cast("bigint").alias("rk"),
                                                         F.lit(-1).cast("bigint").alias("v")))
         plain = left.join(right, left.k == right.rk, "left").select("parent_order_id", "v")
-        salted = left_join_spread_nulls(left, F.col("k"), [(right, "rk")], 16,
-                                        ["parent_order_id", "sku_id"],
-                                        hot_keys(left, {"k": "k"}, 0.05)["k"])
+        salted = left_join_skewed(left, F.col("k"), [(right, "rk")], ["parent_order_id", "sku_id"],
+                                  find_skew(left, {"k": "k"}, 0.05)["k"])
         a = sorted(map(tuple, plain.collect()), key=lambda r: (r[0], r[1] is None, r[1] or 0))
         b = sorted(map(tuple, salted.select("parent_order_id", "v").collect()),
                    key=lambda r: (r[0], r[1] is None, r[1] or 0))

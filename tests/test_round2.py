@@ -14,7 +14,7 @@ from launchboard import config as C
 from launchboard.config import ANALYST_DEFAULTS, RunParams
 from launchboard.operators import kpi as K
 from launchboard.operators import ranks as RK
-from launchboard.operators.joins import hot_keys, left_join_spread_nulls
+from launchboard.operators.joins import Skew, find_skew, left_join_skewed
 from launchboard.operators.range_count import range_distinct_counts, range_distinct_counts_naive
 from launchboard.plans import catalog
 from launchboard.plans import oracle as O
@@ -73,7 +73,7 @@ def plan_of(df) -> str:
 def test_kpi_scan_is_bounded_by_tracking_days(spark, stored):
     spark.conf.set("spark.sql.maxMetadataStringLength", "4000")
     p = S.prepare(Inputs.from_parquet(spark, stored), ANALYST_DEFAULTS)
-    plan = plan_of(K.tracked_lines(p.lines, p.dims, p.params, {"crm_key": [], "type_value": []}))
+    plan = plan_of(K.tracked_lines(p.lines, p.dims, p.params, {"crm_key": Skew(), "type_value": Skew()}))
     lo, hi = K.tracking_bounds(p.dims)
     pushed = next(x for x in re.findall(r"PushedFilters: \[(.*?)\], ReadSchema", plan) if "order_paid_date" in x)
     assert f"GreaterThanOrEqual(order_paid_date,{lo})" in pushed
@@ -99,9 +99,9 @@ def test_hot_key_of_chained_joins_is_split(spark):
                                             F.lit(i).alias(f"v{i}"))
                    .unionByName(spark.range(1).select(F.lit("hot").alias(f"r{i}"), F.lit(9).alias(f"v{i}"))), f"r{i}")
                   for i in (0, 1)]
-        hot = hot_keys(left, {"k": "k"}, 0.01)["k"]
-        assert hot == ["hot"]
-        out = left_join_spread_nulls(left, F.col("k"), rights, 64, ["id"], hot)
+        skew = find_skew(left, {"k": "k"}, 0.01)["k"]
+        assert skew == Skew(0, {"hot": 0.5})
+        out = left_join_skewed(left, F.col("k"), rights, ["id"], skew)
         sizes = [r["c"] for r in out.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("c")).collect()]
         assert sum(sizes) == n and max(sizes) < 0.3 * n
         assert out.where("k = 'hot' and v0 = 9 and v1 = 9").count() == n // 2
@@ -112,8 +112,8 @@ def test_hot_key_of_chained_joins_is_split(spark):
 
 def test_hot_key_lists_are_bounded(spark):
     rows = spark.range(10_000).select((F.col("id") % 500).alias("k"))
-    assert hot_keys(rows, {"k": "k"}, 0.01) == {"k": []}
-    assert len(hot_keys(rows, {"k": "k"}, 0.001)["k"]) == 500
+    assert find_skew(rows, {"k": "k"}, 0.01) == {"k": Skew()}
+    assert len(find_skew(rows, {"k": "k"}, 0.001)["k"].hot) == 500
 
 
 def test_far_future_period_ends_cost_nothing(spark):
@@ -136,7 +136,7 @@ def test_results_without_any_broadcast(spark):
     O.INPUTS_AS_VIEWS, O.AS_OF = True, "DATE '2020-12-31'"
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        params = RunParams(as_of=dt.date(2020, 12, 31), max_broadcast_bytes=0, null_key_spread=4)
+        params = RunParams(as_of=dt.date(2020, 12, 31), max_broadcast_bytes=0)
         p = S.prepare(spark_inputs(spark), params, materialize=True)
         assert not any(p.dims.small.values())
         assert diff(S.scorecard_8w(p), duck_inputs(), O.scorecard_8w_sql()) is None
@@ -151,7 +151,7 @@ def test_two_refreshes_share_a_root_and_clean_up(spark, monkeypatch):
     real = refresh.S.prepare
     monkeypatch.setattr(refresh.S, "prepare", lambda *a, **k: seen.append(k["run_id"]) or real(*a, **k))
     inputs = spark_inputs(spark)
-    params = RunParams(as_of=dt.date(2020, 12, 31), null_key_spread=4)
+    params = RunParams(as_of=dt.date(2020, 12, 31))
     base = tempfile.mkdtemp(prefix="lb-two-")
     for k in (0, 1):
         refresh.run_refresh(spark, inputs, params, out_8w=f"{base}/8w-{k}", out_week=f"{base}/w-{k}", to_tables=False)
