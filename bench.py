@@ -50,7 +50,7 @@ def main() -> None:
         t0 = time.perf_counter()
         run_id = "bench-refresh"
         p = S.prepare(catalog._inputs(spark, sf_dir), materialize=True, run_id=run_id)
-        p = S.share_kpi_rows(p, run_id)
+        p = S.share_kpi_state(p, run_id)
         run(S.scorecard_8w(p))
         run(S.scorecard_week(p))
         times["refresh_both_tables"] = round(time.perf_counter() - t0, 3)

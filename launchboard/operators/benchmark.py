@@ -52,7 +52,7 @@ def occurrences(summary: DataFrame, dims: Dims, info: DataFrame, params: RunPara
                 specs: tuple[BenchmarkSpec, ...], skew: dict[str, Skew]) -> DataFrame:
     """(source_channel, member_id, day, elig, pure_new, existing, repurchase), one
     row per branch, member and day, from the order summary; ``info`` is
-    ``ranks.order_info``. Both joins run on summary rows, before the fan-out to
+    ``ranks.order_flags``. Both joins run on summary rows, before the fan-out to
     branches, and rows without an order id are spread in theirs."""
     e = summary.where(F.col("has_elig") & F.col("member_id").isNotNull())
     joins = dims.member.where(F.col("member_key").isNotNull()).groupBy("member_key").agg(

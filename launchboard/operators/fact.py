@@ -93,6 +93,16 @@ def admitted_lines(order_line: DataFrame, params: RunParams) -> DataFrame:
     )
 
 
+def launch_of_any_channel():
+    return F.least("lcs_launch_date", "tm_launch_date", "dy_launch_date", "bu_launch_date")
+
+
+def tracking_ends(dims: Dims) -> DataFrame:
+    """(sku_id, _fend): the last tracking day of each tracked SKU."""
+    return broadcast_if(dims.focus.groupBy("sku_id").agg(F.max("tracking_end_date").alias("_fend")),
+                        dims.small["focus"])
+
+
 def with_product(lines: DataFrame, dims: Dims) -> DataFrame:
     """Left join of the (broadcast) product dimension."""
     return lines.join(dims.product, "sku_id", "left")

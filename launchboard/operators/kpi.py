@@ -9,11 +9,11 @@ One generic builder runs every branch of ``config.KPI_SPECS``. Plan:
    focus list (SKU equal, paid date not after the tracking end).
 3. Rank flags (of every slice, side by side) and order pieces come from one
    order-level relation, joined once on the order id.
-4. Distinct counts are taken in two levels instead of six COUNT(DISTINCT)
-   expressions (which Spark would expand into seven copies of every row):
-   members are reduced to (keys, member) with per-member flags, orders to
-   (keys, order) with sums and the multi-unit flag; both level-one results
-   are stacked and summed once per group.
+4. Distinct counts are taken in levels instead of six COUNT(DISTINCT)
+   expressions (which Spark would expand into seven copies of every row): lines are
+   reduced once, to one row per (week keys, member) with the member's flags and one per
+   (week keys, order) with sums and the multi-unit flag (``state``). The week grain sums
+   these rows; the window grain merges each member's and order's weeks first.
 """
 
 from __future__ import annotations
@@ -24,9 +24,10 @@ from pyspark.sql import functions as F
 from launchboard import config as C
 from launchboard.config import KpiSpec, RunParams
 from launchboard.functions import rules as R
-from launchboard.operators.fact import Dims, enrich, with_product
+from launchboard.operators.fact import (
+    Dims, enrich, launch_of_any_channel, tracking_ends, with_product)
 from launchboard.operators import ranks as RK
-from launchboard.operators.joins import Skew, broadcast_if, left_join_skewed
+from launchboard.operators.joins import Skew, left_join_skewed
 
 WINDOW_KEYS = ("source_channel", "sku_id", "sku_name", "product_line", "launch_date",
                "tracking_end_date", "rsp", "price_band", "age_mark", "kids_vs_adult")
@@ -36,10 +37,6 @@ KPI_OUTPUT = WINDOW_KEYS + C.METRIC_COLUMNS
 KPI_WEEK_OUTPUT = WEEK_KEYS + C.METRIC_COLUMNS
 
 
-def launch_of_any_channel():
-    return F.least("lcs_launch_date", "tm_launch_date", "dy_launch_date", "bu_launch_date")
-
-
 def tracking_bounds(dims: Dims):
     """(first launch day, last tracking day) of all tracked SKUs, two values."""
     r = dims.product.join(dims.focus, "sku_id").agg(
@@ -56,10 +53,7 @@ def tracked_lines(lines: DataFrame, dims: Dims, params: RunParams,
     day = F.col("order_paid_date")
     lines = lines.where(F.lit(False) if lo is None or hi is None else
                         (day >= F.lit(lo)) & (day <= F.lit(hi)))
-    ends = broadcast_if(
-        dims.focus.groupBy("sku_id").agg(F.max("tracking_end_date").alias("_fend")),
-        dims.small["focus"])
-    x = with_product(lines, dims).join(ends, "sku_id")
+    x = with_product(lines, dims).join(tracking_ends(dims), "sku_id")
     earliest = launch_of_any_channel()
     x = x.where((F.col("order_paid_date") <= F.col("_fend"))
                 & (F.col("order_paid_date") >= earliest)).drop("_fend")
@@ -107,47 +101,63 @@ def kpi_rows(lines: DataFrame, dims: Dims, info: DataFrame, params: RunParams,
                   & (F.col("order_paid_date") <= F.col("tracking_end_date"))).drop("_fsku")
 
 
-def aggregate(rows: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    keys = list(keys)
+SUMS = ("_units", "_pos", "_neg", "_mpos", "_mneg")
+FLAGS = ("_multi", "_pn", "_ex", "_rp")
+
+
+def state(rows: DataFrame) -> DataFrame:
+    """What both grains are computed from: one row per week keys and member (kind m) or
+    order (kind o), with an order's sums and multi-unit flag and a member's three flags.
+    Every line feeds one row of each kind; they share one exchange of the lines."""
     weight = F.coalesce(F.col("n_rank"), F.lit(1)).cast("bigint")
     qty, amt = F.col("sales_qty"), F.col("order_rrp_amt")
     member_line = R.is_true("is_member_order")
     elig = member_line & R.is_true("if_eff_order_tag") & F.col("member_id").isNotNull()
-
-    # level one: members
-    m = rows.where(elig).groupBy(*keys, "member_id").agg(
-        F.max(R.is_true("any_first") & (F.col("launch_cmp") <= F.col("joined_date"))
-              ).alias("_pn"),
-        F.max(R.is_true("any_first") & (F.col("launch_cmp") > F.col("joined_date"))
-              ).alias("_ex"),
-        F.max(R.is_true("any_repeat")).alias("_rp"))
-    m = m.select(*keys, F.lit(1).alias("_shopper"), *[
-        F.coalesce(F.col(c), F.lit(False)).cast("int").alias(c) for c in ("_pn", "_ex", "_rp")])
-
-    # level one: orders (sums carry the fan-out weight of the rank join)
-    def pos(cond):
-        return F.sum(F.when(cond & (qty > 0), amt * weight).otherwise(F.lit(0)))
-
-    def neg(cond):
-        return F.sum(F.when(cond & (qty < 0), F.abs(amt) * weight).otherwise(F.lit(0)))
-
-    o = rows.groupBy(*keys, "parent_order_id").agg(
-        F.sum(qty.cast("bigint") * weight).alias("_units"),
-        pos(F.lit(True)).alias("_pos"), neg(F.lit(True)).alias("_neg"),
-        pos(member_line).alias("_mpos"), neg(member_line).alias("_mneg"),
-        F.max(F.col("pieces") >= 2).alias("_multi"))
-    o = o.select(*keys, "_units", "_pos", "_neg", "_mpos", "_mneg",
-                 F.col("parent_order_id").isNotNull().cast("int").alias("_order"),
-                 (F.col("parent_order_id").isNotNull() & R.is_true("_multi")).cast("int")
-                 .alias("_multi"))
-
-    both = o.unionByName(m, allowMissingColumns=True)
-    g = both.groupBy(*keys).agg(
-        F.sum("_units").alias("_units"), F.sum("_pos").alias("_pos"), F.sum("_neg").alias("_neg"),
-        F.sum("_mpos").alias("_mpos"), F.sum("_mneg").alias("_mneg"),
-        F.sum("_order").alias("_orders"), F.sum("_multi").alias("_multi"),
-        F.sum("_shopper").alias("_shoppers"), F.sum("_pn").alias("_pn"),
-        F.sum("_ex").alias("_ex"), F.sum("_rp").alias("_rp"))
+    of_order = F.struct(F.lit("o").alias("kind"), F.col("parent_order_id").cast("string").alias("id"))
+    of_member = F.when(elig, F.struct(F.lit("m").alias("kind"), F.col("member_id").cast("string").alias("id")))
+    first, repeat = R.is_true("any_first"), R.is_true("any_repeat")
+    line = rows.select(
+        *WEEK_KEYS, F.explode(F.array_compact(F.array(of_order, of_member))).alias("_of"),
+        qty.alias("_qty"), amt.alias("_amt"), weight.alias("_w"), member_line.alias("_member"),
+        (F.col("pieces") >= 2).alias("_many"), (first & (F.col("launch_cmp") <= F.col("joined_date"))).alias("_is_pn"),
+        (first & (F.col("launch_cmp") > F.col("joined_date"))).alias("_is_ex"), repeat.alias("_is_rp"))
+    order = F.col("_of.kind") == "o"
+
+    # sums carry the fan-out weight of the rank join
+    def total(cond, value):
+        return F.sum(F.when(order, F.when(cond, value * F.col("_w")).otherwise(F.lit(0))))
+
+    def flag(kind, name):
+        return F.coalesce(F.max((F.col("_of.kind") == kind) & F.col(name)), F.lit(False))
+
+    sold, returned = F.col("_qty") > 0, F.col("_qty") < 0
+    return line.groupBy(*WEEK_KEYS, F.col("_of.kind").alias("kind"), F.col("_of.id").alias("id")).agg(
+        F.sum(F.when(order, F.col("_qty").cast("bigint") * F.col("_w"))).alias("_units"),
+        total(sold, F.col("_amt")).alias("_pos"), total(returned, F.abs("_amt")).alias("_neg"),
+        total(F.col("_member") & sold, F.col("_amt")).alias("_mpos"),
+        total(F.col("_member") & returned, F.abs("_amt")).alias("_mneg"),
+        flag("o", "_many").alias("_multi"), flag("m", "_is_pn").alias("_pn"),
+        flag("m", "_is_ex").alias("_ex"), flag("m", "_is_rp").alias("_rp"))
+
+
+def aggregate(states: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """KPIs of the window or the week grain from ``state``. Members and orders of several
+    weeks are reduced to one row of the window first: distinct counts do not add up."""
+    keys = list(keys)
+    if "fiscal_week" not in keys:
+        states = states.groupBy(*keys, "kind", "id").agg(
+            *[F.sum(c).alias(c) for c in SUMS], *[F.max(c).alias(c) for c in FLAGS])
+    order = (F.col("kind") == "o") & F.col("id").isNotNull()
+    member = F.col("kind") == "m"
+
+    def count(cond):
+        return F.sum(F.when(cond, 1).otherwise(0))
+
+    g = states.groupBy(*keys).agg(
+        *[F.sum(c).alias(c) for c in SUMS],
+        count(order).alias("_orders"), count(order & F.col("_multi")).alias("_multi"),
+        count(member).alias("_shoppers"),
+        *[count(member & F.col(c)).alias(c) for c in ("_pn", "_ex", "_rp")])
     # groups come only from rows, so every group has an order-level row
 
     shoppers = F.coalesce(F.col("_shoppers"), F.lit(0))

@@ -17,6 +17,8 @@ Columns:
   <launch>_min / <launch>_max  earliest / latest launch date of the sold
                SKUs on effective member lines, for each launch column the
                benchmark specs compare
+  tracked      the group has a line of a tracked SKU inside its widest window: only
+               orders with one feed the KPIs
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 
 from launchboard.config import RunParams
 from launchboard.functions.rules import is_true
-from launchboard.operators.fact import Dims
+from launchboard.operators.fact import Dims, launch_of_any_channel, tracking_ends
 from launchboard.operators.joins import broadcast_if
 
 GROUP = ["parent_order_id", "source_channel", "member_id", "crm_key", "type_value", "day"]
@@ -40,14 +42,28 @@ def key_counts(df: DataFrame, key: str, name: str) -> DataFrame:
     return df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(name))
 
 
+def tracked_orders(summary: DataFrame) -> DataFrame:
+    """(parent_order_id) of the orders with a tracked line; lines without an order id
+    join nothing."""
+    return summary.where(F.col("tracked") & F.col("parent_order_id").isNotNull()).select(
+        "parent_order_id").distinct()
+
+
+def of_orders(rows: DataFrame, orders: DataFrame, proven: bool) -> DataFrame:
+    """Rows of some orders alone: a semi join, without a shuffle of the rows where the
+    order ids are few enough to broadcast (else Spark adds a Bloom filter of its own)."""
+    return rows.join(broadcast_if(orders, proven), "parent_order_id", "left_semi")
+
+
 def order_summary(lines: DataFrame, dims: Dims, params: RunParams) -> DataFrame:
     launches = launch_columns(params)
+    ends = tracking_ends(dims).withColumnRenamed("sku_id", "_fsku")
     # product rows are joined as they are: a SKU listed twice doubles its
     # lines here exactly as in the enriched fact
-    prod = dims.product.select("sku_id", *launches)
+    prod = dims.product.select("sku_id", *launches, launch_of_any_channel().alias("_opens"))
     cn = broadcast_if(key_counts(dims.calendar, "date_id", "_n_cal"), dims.small["calendar"])
     yn = broadcast_if(key_counts(dims.city, "city_cn", "_n_city"), dims.small["city"])
-    x = lines.join(prod, "sku_id", "left")
+    x = lines.join(prod, "sku_id", "left").join(ends, F.col("sku_id") == F.col("_fsku"), "left")
     x = x.join(cn, x.order_paid_date == cn.date_id, "left").drop("date_id")
     x = x.join(yn, "city_cn", "left")
     mult = F.coalesce("_n_cal", F.lit(1)) * F.coalesce("_n_city", F.lit(1))
@@ -58,6 +74,7 @@ def order_summary(lines: DataFrame, dims: Dims, params: RunParams) -> DataFrame:
         F.min(F.when(elig, F.col("order_paid_time"))).alias("elig_time"),
         F.max(elig).alias("has_elig"),
         F.max(member_line).alias("has_member"),
+        F.max(is_true(F.col("day").between(F.col("_opens"), F.col("_fend")))).alias("tracked"),
         F.sum(F.when(member_line, F.col("sales_qty").cast("bigint") * mult)).alias("member_qty"),
     ]
     for c in launches:

@@ -21,9 +21,16 @@ Two forms:
 from __future__ import annotations
 
 import uuid
-
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+from functools import partial
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from launchboard import config as C
 from launchboard.functions.rules import is_true
@@ -54,45 +61,98 @@ def rank_orders_from_summary(summary: DataFrame,
     return rank_orders(summary, slices, time_col="elig_time", eligible=F.col("has_elig"))
 
 
+#: Orders of a range partition, from which on there are more partitions.
+ORDERS_A_PARTITION = 2_000_000
+
+
+def _run_numbers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of one sorted partition with their number in their run of (slice, member), the
+    partition's number, and which rows are its first and its last."""
+    pid = TaskContext.get().partitionId()
+    held, last_key, count = None, None, 0
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        names = batch.schema.names
+        slices, members = (batch.column(names.index(c)) for c in ("slice", "member_id"))
+        key = [pc.fill_null(c.dictionary_encode().indices, -1).to_numpy() for c in (slices, members)]
+        new = np.ones(n, dtype=bool)
+        new[1:] = (key[0][1:] != key[0][:-1]) | (key[1][1:] != key[1][:-1])
+        at = np.arange(n)
+        local = at - np.maximum.accumulate(np.where(new, at, 0)) + 1
+        if (slices[0].as_py(), members[0].as_py()) == last_key:  # the run goes on
+            first_run = np.cumsum(new) == 1
+            local[first_run] += count
+        if held is not None:
+            yield held
+        first = np.zeros(n, dtype=bool)
+        first[0] = held is None
+        held = pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array(local, pa.int64()), pa.array([pid] * n, pa.int32()),
+             pa.array(first), pa.array([False] * n)], [*names, "_local", "_pid", "_first", "_last"])
+        last_key, count = (slices[n - 1].as_py(), members[n - 1].as_py()), int(local[-1])
+    if held is not None:
+        yield held.set_column(held.schema.names.index("_last"), "_last",
+                              pa.array([False] * (held.num_rows - 1) + [True]))
+
+
+def _run_offsets(edges: list[Row]) -> list[tuple]:
+    """(partition, slice, member, rows of the run in earlier partitions) for each partition
+    whose first run goes on from an earlier one; ``edges``: first and last rows of all."""
+    found, tail, before = [], None, 0
+    by_pid: dict[int, list[Row]] = {}
+    for r in edges:
+        by_pid.setdefault(r["_pid"], []).append(r)
+    for pid in sorted(by_pid):
+        first = next(r for r in by_pid[pid] if r["_first"])
+        last = next(r for r in by_pid[pid] if r["_last"])
+        head, end = ((r["slice"], r["member_id"]) for r in (first, last))
+        carried = before if head == tail else 0
+        if carried:
+            found.append((pid, *head, carried))
+        tail, before = end, last["_local"] + (carried if head == end else 0)
+    return found
+
+
 def order_rank(orders: DataFrame, partitions: int | None = None, keep=None) -> DataFrame:
     """Exact ``rk`` = ROW_NUMBER() over (slice, member) by (paid time asc
     nulls last, order id asc nulls last), without any task holding more than
     one range partition of rows, however many orders one member has.
 
-    1. Range-partition on the full sort key (slice, member, time, order). The
-       key is unique, so sampling splits even a member with a third of all
-       orders across many partitions, each a contiguous key range.
-    2. Row number within (partition, slice, member): at most one partition's
-       rows per window.
-    3. A member continuing from earlier partitions is the first group of
-       every later partition it reaches, so at most one offset row exists per
-       partition: count the member's rows in earlier partitions (a window over
-       per-partition counts, one row per partition spanned) and broadcast the
-       offsets (bounded by the partition count).
-
-    Step 1 samples its bounds each time it runs, and steps 2 and 3 must see the
-    same partitions, so the partitioned rows are written once with their
-    partition number (``keep``: the materializer, by default a fresh scratch
-    folder under the shared checkpoint root) and both read them from there.
+    1. The orders are written once: their number, from which that of the range
+       partitions follows, and the sampled bounds then cost no second aggregation.
+    2. Range-partition on the full sort key (slice, member, time, order), the only
+       exchange of the orders. The key is unique, so sampling splits even a member with a
+       third of all orders across many partitions, each a contiguous key range.
+    3. Each partition is sorted, and its rows are numbered within their run of (slice,
+       member) as they pass by: no exchange. They are written with their numbers, as
+       sampling gives other bounds when it runs again.
+    4. A run that continues from earlier partitions is the first of every later partition
+       it reaches. The first and last rows of the partitions (two rows each) tell how many
+       rows it has before: at most one offset a partition, broadcast.
+
+    ``keep``: the materializer (by default a fresh scratch folder under the shared
+    checkpoint root).
     """
     spark = orders.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keep = keep or partial(materialize, run_id=uuid.uuid4().hex)
+    orders = keep(orders, "orders_to_rank")
+    n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                          -(-orders.count() // ORDERS_A_PARTITION))
     t, o = F.col("order_paid_time"), F.col("parent_order_id")
     key = [F.col("slice"), F.col("member_id").isNull(), F.col("member_id"),
            t.isNull(), t, o.isNull(), o]
-    keep = keep or (lambda df, name: materialize(df, name, uuid.uuid4().hex))
-    ranged = keep(orders.repartitionByRange(n, *key).withColumn("_pid", F.spark_partition_id()),
-                  "ranged_orders")
-    local = Window.partitionBy("_pid", "slice", "member_id").orderBy(*key)
-    ranked = ranged.withColumn("_local", F.row_number().over(local))
-    counts = ranged.groupBy("_pid", "slice", "member_id").agg(F.count(F.lit(1)).alias("_n"))
-    before = (Window.partitionBy("slice", "member_id").orderBy("_pid")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = (counts.withColumn("_offset", F.sum("_n").over(before))
-               .where(F.col("_offset") > 0)
-               .select(F.col("_pid").alias("_opid"), F.col("slice").alias("_os"),
-                       F.col("member_id").alias("_om"), "_offset"))
-    j = ranked.join(F.broadcast(offsets), (F.col("_pid") == F.col("_opid"))
+    schema = T.StructType([*orders.schema.fields]).add("_local", "long").add("_pid", "integer").add(
+        "_first", "boolean").add("_last", "boolean")
+    ranged = keep(orders.repartitionByRange(n, *key).sortWithinPartitions(*key).mapInArrow(
+        _run_numbers, schema), "ranged_orders")
+    edges = ranged.where("_first OR _last").select("_pid", "slice", "member_id", "_local", "_first", "_last")
+    offsets = spark.createDataFrame(
+        _run_offsets(edges.collect()),
+        T.StructType([T.StructField("_opid", T.IntegerType()), T.StructField("_os", orders.schema["slice"].dataType),
+                      T.StructField("_om", orders.schema["member_id"].dataType), T.StructField("_offset", T.LongType())]))
+    j = ranged.join(F.broadcast(offsets), (F.col("_pid") == F.col("_opid"))
                     & (F.col("slice") == F.col("_os"))
                     & F.col("member_id").eqNullSafe(F.col("_om")), "left")
     return j.select("slice", "parent_order_id", "member_id", "order_paid_time",
@@ -133,15 +193,13 @@ def order_rank_flags(orders: DataFrame) -> DataFrame:
 
 
 def flag_columns(slice_label: str) -> tuple[str, str, str]:
-    """Names of the per-slice columns of ``order_info``."""
+    """Names of the per-slice columns of ``order_flags``."""
     return (f"n_rank_{slice_label}", f"any_first_{slice_label}", f"any_repeat_{slice_label}")
 
 
-def order_info(rank_flags: DataFrame, pieces: DataFrame,
-               slices: tuple[str, ...] = C.RANK_SLICES) -> DataFrame:
-    """One row per order: the rank flags of every slice side by side, and the
-    order pieces. Consumers join it once, on parent_order_id alone, and pick
-    the columns of their slice (instead of two joins on different keys)."""
+def order_flags(rank_flags: DataFrame, slices: tuple[str, ...] = C.RANK_SLICES) -> DataFrame:
+    """One row per order: the rank flags of every slice side by side. Consumers join it
+    once, on parent_order_id alone, and pick the columns of their slice."""
     aggs = []
     for s in slices:
         n, first, repeat = flag_columns(s)
@@ -149,5 +207,9 @@ def order_info(rank_flags: DataFrame, pieces: DataFrame,
         aggs += [F.max(F.when(in_slice, F.col("n_rank"))).alias(n),
                  F.max(F.when(in_slice, F.col("any_first"))).alias(first),
                  F.max(F.when(in_slice, F.col("any_repeat"))).alias(repeat)]
-    flags = rank_flags.groupBy("parent_order_id").agg(*aggs)
-    return flags.join(pieces, "parent_order_id", "full")
+    return rank_flags.groupBy("parent_order_id").agg(*aggs)
+
+
+def order_info(tracked: DataFrame, flags: DataFrame, pieces: DataFrame) -> DataFrame:
+    """``order_flags`` and pieces of the tracked orders (parent_order_id, distinct)."""
+    return tracked.join(flags, "parent_order_id", "left").join(pieces, "parent_order_id", "left")

@@ -15,8 +15,8 @@ from launchboard.operators import fact as FT
 from launchboard.operators import ranks as RK
 from launchboard.plans import oracle as O
 from launchboard.plans import scorecard as S
-from launchboard.plans.session import apply_recommended_conf, scratch_root
-from launchboard.sources.sink import write_full_refresh
+from launchboard.plans.session import apply_recommended_conf, drop_at_exit, scratch_root
+from launchboard.sources.sink import read_refreshed, table_details, write_full_refresh
 from launchboard.sources.tables import Inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,10 +61,11 @@ def _member_dim(spark, sf_dir):
 def _sink_full_refresh(spark, sf_dir):
     """The 8-week table written twice to one folder and read back."""
     path = f"{scratch_root(spark)}/{uuid.uuid4().hex}/scorecard_8w"
+    drop_at_exit(path)
     p = _prepared(spark, sf_dir)
     for _ in range(2):
         write_full_refresh(S.scorecard_8w(p), C.SCORECARD_8W_COLUMNS, path=path)
-    return spark.read.parquet(path)
+    return read_refreshed(spark, path)
 
 
 def _sink_positional_insert(spark, sf_dir):
@@ -72,14 +73,19 @@ def _sink_positional_insert(spark, sf_dir):
     own column names differ."""
     name = f"launchboard_sink_{uuid.uuid4().hex}"
     path = f"{scratch_root(spark)}/{name}"
+    drop_at_exit(path)
     df = S.scorecard_week(_prepared(spark, sf_dir))
     columns = ", ".join(f"c{i} {df.schema[c].dataType.simpleString()}"
                         for i, c in enumerate(C.SCORECARD_WEEK_COLUMNS))
     spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet LOCATION '{path}'")
-    for _ in range(2):
-        write_full_refresh(df, C.SCORECARD_WEEK_COLUMNS, table=name)
-    back = spark.table(name).toDF(*C.SCORECARD_WEEK_COLUMNS)
-    return back
+    try:
+        for _ in range(2):
+            write_full_refresh(df, C.SCORECARD_WEEK_COLUMNS, table=name)
+        # the table's files outlive its entry in the catalog
+        files = spark.read.schema(spark.table(name).schema).parquet(table_details(spark, name)[1])
+        return files.toDF(*C.SCORECARD_WEEK_COLUMNS)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
 
 
 QUERIES: dict[str, Query] = {

@@ -47,7 +47,7 @@ def run_refresh(spark: SparkSession, inputs: Inputs, params: RunParams, *,
     # a folder of its own: refreshes on one checkpoint root do not meet
     run_id = f"refresh-{uuid.uuid4().hex}"
     try:
-        p = S.share_kpi_rows(S.prepare(inputs, params, materialize=True, run_id=run_id), run_id)
+        p = S.share_kpi_state(S.prepare(inputs, params, materialize=True, run_id=run_id), run_id)
         kw = "table" if to_tables else "path"
         write_full_refresh(S.scorecard_8w(p), C.SCORECARD_8W_COLUMNS, **{kw: out_8w})
         write_full_refresh(S.scorecard_week(p), C.SCORECARD_WEEK_COLUMNS, **{kw: out_week})

@@ -2,7 +2,7 @@
 
 ``prepare`` builds the shared relations once: admitted lines, dimensions,
 the order summary (one scan of the fact, reduced to order grain), and from
-it the rank flags and order pieces. KPIs scan the fact a second time for
+it the rank flags of all orders and the pieces of those with tracked lines. KPIs scan the fact a second time for
 the tracked SKUs only. With ``materialize=True`` the small dimensions and
 the order-level relations are written once as Parquet into the shared
 checkpoint folder and read back: writing both tables then reads the fact
@@ -25,8 +25,8 @@ from launchboard.operators import benchmark as B
 from launchboard.operators import kpi as K
 from launchboard.operators import ranks as RK
 from launchboard.operators.fact import Dims, admitted_lines, build_dims, key_skew
-from launchboard.operators.joins import Skew, null_share
-from launchboard.operators.orders import order_summary
+from launchboard.operators.joins import Skew, null_share, proven_small
+from launchboard.operators.orders import of_orders, order_summary, tracked_orders
 from launchboard.operators.upt import order_pieces
 from launchboard.plans.session import materialize as materialize_df
 from launchboard.sources.tables import Inputs
@@ -44,7 +44,7 @@ class Prepared:
                  keep: Callable[[DataFrame, str], DataFrame] | None):
         self.params, self.dims, self.lines = params, dims, lines
         self._keep = keep
-        self.kpi_rows: DataFrame | None = None     # set by share_kpi_rows
+        self.kpi_state: DataFrame | None = None     # set by share_kpi_state
 
     def _kept(self, df: DataFrame, name: str) -> DataFrame:
         return self._keep(df, name) if self._keep else df
@@ -68,13 +68,28 @@ class Prepared:
     def rank_flags(self) -> DataFrame:
         return RK.order_rank_flags(self.rank_orders)
 
+    @cached_property
+    def flags(self) -> DataFrame:
+        """Rank flags of all orders: benchmarks count them all."""
+        return self._kept(RK.order_flags(self.rank_flags), "order_flags")
+
     @cached_property
     def pieces(self) -> DataFrame:
+        """Pieces of all orders."""
         return order_pieces(self.summary, self.dims, self.params, self.skew)
 
+    @cached_property
+    def tracked(self) -> DataFrame:
+        return self._kept(tracked_orders(self.summary), "tracked_orders")
+
     @cached_property
     def info(self) -> DataFrame:
-        return self._kept(RK.order_info(self.rank_flags, self.pieces), "order_info")
+        """Flags and pieces of the orders with a tracked line, for the KPIs: the others
+        are left out before the joins."""
+        small = proven_small({"tracked": self.tracked}, self.params.max_broadcast_bytes)["tracked"]
+        summary, flags = (of_orders(x, self.tracked, small) for x in (self.summary, self.flags))
+        pieces = order_pieces(summary, self.dims, self.params, self.skew)
+        return self._kept(RK.order_info(self.tracked, flags, pieces), "order_info")
 
 
 def prepare(inputs: Inputs, params: RunParams = C.ANALYST_DEFAULTS,
@@ -91,34 +106,33 @@ def _specs(params: RunParams, labels):
     return tuple(s for s in params.kpi_specs if labels is None or s.label in labels)
 
 
-def _kpi_rows(p: Prepared, labels) -> DataFrame:
-    if p.kpi_rows is not None and labels is None:
-        return p.kpi_rows
+def _kpi_state(p: Prepared, labels) -> DataFrame:
+    if p.kpi_state is not None and labels is None:
+        return p.kpi_state
     rows = K.kpi_rows(p.lines, p.dims, p.info, p.params, _specs(p.params, labels), p.skew)
-    # members and orders are both reduced from these rows: written, they are built once
-    return p._kept(rows, f"kpi_rows_{'_'.join(labels or ('all',))}")
+    return p._kept(K.state(rows), f"kpi_state_{'_'.join(labels or ('all',))}")
 
 
-def share_kpi_rows(p: Prepared, run_id: str) -> Prepared:
-    """Write the branch rows of the tracked SKUs once, so the window and the
-    week grain aggregate the same rows (one fact scan for both tables)."""
-    p.kpi_rows = _kpi_rows(p, None)
+def share_kpi_state(p: Prepared, run_id: str) -> Prepared:
+    """Reduce the tracked SKUs' lines once, so that the window and the week grain are
+    merged from the same rows (one fact scan and one exchange of lines for both tables)."""
+    p.kpi_state = _kpi_state(p, None)
     if not p._keep:
-        p.kpi_rows = materialize_df(p.kpi_rows, "kpi_rows", run_id)
+        p.kpi_state = materialize_df(p.kpi_state, "kpi_state", run_id)
     return p
 
 
 def kpi_launch_window(p: Prepared, labels: tuple[str, ...] | None = None) -> DataFrame:
-    return K.aggregate(_kpi_rows(p, labels), K.WINDOW_KEYS).select(*K.KPI_OUTPUT)
+    return K.aggregate(_kpi_state(p, labels), K.WINDOW_KEYS).select(*K.KPI_OUTPUT)
 
 
 def kpi_launch_week(p: Prepared, labels: tuple[str, ...] | None = None) -> DataFrame:
-    return K.aggregate(_kpi_rows(p, labels), K.WEEK_KEYS).select(*K.KPI_WEEK_OUTPUT)
+    return K.aggregate(_kpi_state(p, labels), K.WEEK_KEYS).select(*K.KPI_WEEK_OUTPUT)
 
 
 def benchmark_all(p: Prepared, labels: tuple[str, ...] | None = None) -> DataFrame:
     specs = tuple(s for s in p.params.benchmark_specs if labels is None or s.label in labels)
-    return B.benchmarks(p.summary, p.dims, p.info, p.params, specs, p.skew).select(*B.BENCH_OUTPUT)
+    return B.benchmarks(p.summary, p.dims, p.flags, p.params, specs, p.skew).select(*B.BENCH_OUTPUT)
 
 
 def scorecard_8w(p: Prepared) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
 
@@ -79,16 +81,40 @@ def scratch_root(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/launchboard"
 
 
+_written: set[str] = set()
+
+
+@atexit.register
+def _drop_written() -> None:
+    """Results of queries are read from what their runs have written, so it stays until
+    the program ends."""
+    spark = SparkSession.getActiveSession()
+    with contextlib.suppress(Exception):  # the session may be gone
+        for path in list(_written) if spark else ():
+            _delete(spark, path)
+
+
+def drop_at_exit(path: str) -> None:
+    _written.add(path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+    _written.discard(path)
+
+
 def materialize(df, name: str, run_id: str):
     """Write ``df`` as Parquet under the shared checkpoint folder and read it
     back: one computation, lineage cut, and the result survives executor loss.
     ``run_id`` keeps concurrent runs apart."""
-    path = f"{scratch_root(df.sparkSession)}/{run_id}/{name}"
+    root = f"{scratch_root(df.sparkSession)}/{run_id}"
+    drop_at_exit(root)
+    path = f"{root}/{name}"
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
 def drop_run(spark: SparkSession, run_id: str) -> None:
     """Remove what a finished run has written."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/{run_id}")
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, f"{scratch_root(spark)}/{run_id}")

@@ -21,7 +21,7 @@ from launchboard.plans import oracle as O
 from launchboard.plans import refresh
 from launchboard.plans import scorecard as S
 from launchboard.plans.session import RECOMMENDED_CONF, apply_recommended_conf, scratch_root
-from launchboard.sources.sink import write_full_refresh
+from launchboard.sources.sink import read_refreshed, write_full_refresh
 from launchboard.sources.tables import NAMES, Inputs
 from tests.compare import diff
 from tests.handmade import duck_inputs, spark_inputs
@@ -83,7 +83,7 @@ def test_kpi_scan_is_bounded_by_tracking_days(spark, stored):
 def test_kpi_query_reads_its_rows_once(spark, stored):
     p = S.prepare(Inputs.from_parquet(spark, stored), ANALYST_DEFAULTS, materialize=True)
     plan = plan_of(S.kpi_launch_window(p))
-    assert stored["order_line"] not in plan and "kpi_rows_all" in plan
+    assert stored["order_line"] not in plan and "kpi_state_all" in plan
 
 
 def test_hot_key_of_chained_joins_is_split(spark):
@@ -158,7 +158,7 @@ def test_two_refreshes_share_a_root_and_clean_up(spark, monkeypatch):
     assert len(set(seen)) == 2
     root = scratch_root(spark).removeprefix("file:")
     assert not any(os.path.exists(f"{root}/{run}") for run in seen)
-    a, b = (sorted(map(repr, spark.read.parquet(f"{base}/8w-{k}").collect())) for k in (0, 1))
+    a, b = (sorted(map(repr, read_refreshed(spark, f"{base}/8w-{k}").collect())) for k in (0, 1))
     assert a == b and a
 
 

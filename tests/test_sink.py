@@ -4,7 +4,7 @@ import tempfile
 
 from launchboard import config as C
 from launchboard.plans import scorecard as S
-from launchboard.sources.sink import write_full_refresh
+from launchboard.sources.sink import read_refreshed, write_full_refresh
 from launchboard.sources.tables import Inputs
 
 
@@ -13,9 +13,9 @@ def test_idempotent_refresh(spark, sf_dir):
     p = S.prepare(Inputs.from_testdata(spark, sf_dir))
     df = S.scorecard_week(p)
     write_full_refresh(df, C.SCORECARD_WEEK_COLUMNS, path=out)
-    first = sorted(map(tuple, spark.read.parquet(out).collect()))
+    first = sorted(map(tuple, read_refreshed(spark, out).collect()))
     write_full_refresh(df, C.SCORECARD_WEEK_COLUMNS, path=out)
-    back = spark.read.parquet(out)
+    back = read_refreshed(spark, out)
     assert tuple(back.columns) == C.SCORECARD_WEEK_COLUMNS
     assert sorted(map(tuple, back.collect())) == first
 
@@ -30,8 +30,8 @@ def test_refresh_job_writes_both_tables(spark, sf_dir, con):
     base = tempfile.mkdtemp(prefix="lb-refresh-")
     run_refresh(spark, Inputs.from_testdata(spark, sf_dir), ANALYST_DEFAULTS,
                 out_8w=base + "/8w", out_week=base + "/week", to_tables=False)
-    w8 = spark.read.parquet(base + "/8w")
-    wk = spark.read.parquet(base + "/week")
+    w8 = read_refreshed(spark, base + "/8w")
+    wk = read_refreshed(spark, base + "/week")
     assert tuple(w8.columns) == C.SCORECARD_8W_COLUMNS
     assert diff(w8, con, catalog.ORACLE["scorecard_8w"]) is None
     assert diff(wk, con, catalog.ORACLE["scorecard_week"]) is None
