@@ -53,7 +53,7 @@ REPLACES = 80
 TOP = 2000
 UNKNOWN = "und"
 #: Text of an indexed shard, and of a hash shard's values.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 5 << 20
 HASH_SHARD_BYTES = 8 << 20
 BLOCK_BYTES = 2 << 20
 
