@@ -8,7 +8,12 @@ exact copies cost a partial aggregation however many there are. Then
    that retain a value. Pairs that pass step 2 share a known part of their sketches,
    so each class enters only the lists of its rarest values, as many as make a
    shared one certain (the prefix principle). Values of passages that many documents
-   share are common and drop out without a cap;
+   share are common and drop out without a cap. This is done twice: with the sketches of
+   all classes, which leaves classes that have a candidate at all, and for those with the
+   ``SECOND`` least values, which for most are all they have. There the places of a shared
+   value among both classes' values, rarest first, bound what they can have in common
+   from it on: the near copies of one source that are too far from each other differ in
+   their rarest values, and do not meet;
 2. the union sketch, the least ``SKETCH`` values of both, estimates the Jaccard
    similarity; pairs ``SIGMAS`` standard deviations below the threshold go;
 3. the exact similarity of the full sets decides.
@@ -19,7 +24,7 @@ hubs and meet the members that come after them; what they link is contracted, li
 inside one component end, and the next round takes ``GROWTH`` times as many hubs. Each
 pair of a list thus meets once or is settled by connection, and no link between
 components is lost. Members of a list that are similar, but not enough to be linked,
-do meet each other: such groups cost the square of their size.
+do meet each other where the second lists have them.
 
 A pair at the threshold is missed with a probability below 1e-7.
 
@@ -37,15 +42,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from launchboard.llm.components import contract
+from launchboard.llm.slices import by_shard
 from launchboard.llm.store import Scratch
-from launchboard.llm.words import U64, Words, blocks, mix, window_hashes
+from launchboard.llm.words import U64, Words, blocks, mix, unpack, window_hashes
 
 SKETCH = 48
+SECOND = 2048
 SIGMAS = 6.0
+#: Values of the second sketches to a hash shard, and the largest count that is told apart.
+SHARD_VALUES = 1 << 20
+MOST = (1 << 16) - 1
 #: Hubs of a list in the first round, and their growth from round to round.
 HUBS, GROWTH = 2.0, 16.0
 
@@ -96,13 +107,113 @@ def sketches(docs: DataFrame, words: int, size: int = SKETCH) -> DataFrame:
         run, "doc_id long, text_hash long, n_shingles long, digest long, digest2 long, sketch array<long>")
 
 
-def least_estimate(percent: int) -> float:
+def least_estimate(percent: int, size: int = SKETCH) -> float:
     share = percent / 100
-    return share - SIGMAS * math.sqrt(share * (1 - share) / SKETCH)
+    return share - SIGMAS * math.sqrt(share * (1 - share) / size)
+
+
+def listed_values(n: np.ndarray, percent: int) -> np.ndarray:
+    """How many of its rarest retained values list a class of n shingles in the second
+    lists. If it and all it can be linked with have ``SECOND`` at most, sets are whole and
+    the share of common values is exact."""
+    kept = np.minimum(n, SECOND)
+    exact = -(-kept * percent // 100)
+    rough = np.ceil(kept * least_estimate(percent, SECOND)).astype(np.int64)
+    return kept - np.where(n * 100 <= SECOND * percent, exact, rough) + 1
+
+
+def can_be_linked(percent: int) -> Column:
+    """Whether a member and a hub of a list have enough values from the shared one on; known
+    where all values of both, and of all they can be linked with, are retained. Values
+    before the first one that a pair shares are not common, so no link fails there."""
+    whole = F.greatest("n", "hub_n") * 100 <= SECOND * percent
+    rest = F.least(F.col("n") - F.col("place"), F.col("hub_n") - F.col("hub_place"))
+    return ~whole | (rest * (100 + percent) >= percent * (F.col("n") + F.col("hub_n")))
+
+
+def _second_sketches(texts: DataFrame, words: int, scratch: Scratch) -> DataFrame:
+    """Blocks of classes with their ``SECOND`` least values, as packed arrays."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        for block in blocks(batches, "text"):
+            sets = shingle_sets(block.column(1), words)
+            least = np.concatenate([s[:SECOND] for s in sets])
+            yield pa.RecordBatch.from_arrays([
+                pa.array([number], pa.int64()), pa.array([len(least)], pa.int64()),
+                *(pa.array([x.astype(np.int64).tobytes()], pa.binary()) for x in (
+                    block.column(0).to_numpy(zero_copy_only=False), np.array([len(s) for s in sets]), least))],
+                ["block", "n_values", "nodes", "sizes", "least"])
+            number += 1
+    return scratch.keep(texts.select("node", "text").mapInArrow(
+        run, "block long, n_values long, nodes binary, sizes binary, least binary"), "second")
+
+
+def _block_values(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values of a block, each value's number among them, and how often each is there."""
+    return np.unique(unpack(row["least"], np.uint64), return_inverse=True, return_counts=True)
+
+
+def _second_index(texts: DataFrame, words: int, percent: int, scratch: Scratch) -> DataFrame:
+    """Members of the second lists. How many classes retain a value is counted in hash
+    shards: a block sends each value once, and gets its number back."""
+    sketches = _second_sketches(texts, words, scratch)
+    total = sketches.agg(F.sum("n_values")).first()[0] or 0
+    shards = max(1, -(-total // SHARD_VALUES))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                values, _, count = _block_values(row)
+                for shard, at in by_shard(values, shards):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([shard], pa.int32()), pa.array([row["block"]], pa.int64()),
+                         pa.array([(values[at] >> U64(32)).astype(np.uint32).tobytes()], pa.binary()),
+                         pa.array([count[at].astype(np.uint32).tobytes()], pa.binary())],
+                        ["shard", "block", "hashes", "counts"])
+
+    def answer(table: pa.Table) -> pa.Table:
+        hashes = [unpack(x, np.uint32) for x in table["hashes"].to_pylist()]
+        counts = np.concatenate([unpack(x, np.uint32) for x in table["counts"].to_pylist()])
+        _, number = np.unique(np.concatenate(hashes), return_inverse=True)
+        df = np.minimum(np.bincount(number, counts)[number], MOST).astype(np.uint16)
+        cuts = np.cumsum([0, *map(len, hashes)])
+        return pa.table({"block": table["block"], "shard": table["shard"],
+                         "df": pa.array([df[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())})
+
+    def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                values, number, _ = _block_values(row)
+                bodies = {r["shard"]: r["df"] for r in row["replies"]}
+                df = np.empty(len(values), dtype=np.int64)
+                for shard, at in by_shard(values, shards):
+                    df[at] = unpack(bodies[shard], np.uint16)
+                nodes, n = unpack(row["nodes"], np.int64), unpack(row["sizes"], np.int64)
+                kept = np.minimum(n, SECOND)
+                of = np.repeat(np.arange(len(nodes)), kept)
+                # each class's values by rarity, and then by value
+                order = np.lexsort((number, df[number], of))
+                place = np.arange(len(order)) - np.repeat(np.cumsum(kept) - kept, kept)
+                some_at = np.flatnonzero((place < listed_values(n, percent)[of]) & (df[number[order]] > 1))
+                some = order[some_at]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(values[number[some]].view(np.int64)), pa.array(nodes[of[some]]), pa.array(n[of[some]]),
+                     pa.array(place[some_at])], ["value", "node", "n", "place"])
+
+    answers = scratch.keep(sketches.select("block", "least").mapInArrow(
+        ask, "shard int, block long, hashes binary, counts binary").repartition(shards, "shard").groupBy(
+        "shard").applyInArrow(answer, "block long, shard int, df binary"), "second-counts")
+    replies = answers.groupBy("block").agg(F.collect_list(F.struct("shard", "df")).alias("replies"))
+    listed = scratch.keep(sketches.join(replies, "block").select("nodes", "sizes", "least", "replies").mapInArrow(
+        members, "value long, node long, n long, place long"), "second-index")
+    df = listed.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
+    return listed.join(df, "value")
 
 
 def _index(classes: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
-    """Members of the lists: (value, df, node, n) with df members to a list."""
+    """Members of the first lists: (value, df, node, n) with df members to a list."""
     kept = classes.select("node", "n", F.size("sketch").alias("k"), F.explode("sketch").alias("value"))
     common = kept.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     rows = kept.join(common, "value")
@@ -139,8 +250,8 @@ def _verify(words: int, percent: int):
 
 
 def _texts(docs: DataFrame, classes: DataFrame, members: DataFrame, words: int) -> DataFrame:
-    """(node, text): one text for each class that is in a list."""
-    wanted = classes.join(members.select("node").distinct(), "node", "left_semi").select(
+    """(node, text): one text for each class among ``members``."""
+    wanted = classes.join(members, "node", "left_semi").select(
         "node", F.col("first_doc").alias("__doc"))
     found = docs.select(F.col("doc_id").cast("long").alias("__id"), "text").join(
         wanted.hint("shuffle_hash"), F.col("__id") == F.col("__doc")).select("node", "text")
@@ -158,14 +269,18 @@ def link_classes(docs: DataFrame, classes: DataFrame, words: int, percent: int,
                  scratch: Scratch) -> DataFrame:
     """(node, comp) of the classes that are in a list."""
     least = least_estimate(percent)
-    members = scratch.keep(_index(classes, percent, scratch), "members-0")
-    texts = _texts(docs, classes, members, words)
+    first = scratch.keep(_index(classes, percent, scratch).select("node").distinct(), "first")
+    texts = _texts(docs, classes, first, words)
     # rows that repeat id and text: one is enough
     texts = texts.dropDuplicates(["node"])
     texts_path = f"{scratch.path}/texts"
     texts.write.option("compression", "zstd").parquet(texts_path)
     texts = scratch.spark.read.schema("node long, text string").parquet(texts_path)
     scratch.release()
+    members = scratch.keep(_second_index(texts, words, percent, scratch), "members-0")
+    for done_with in ("second", "second-counts", "second-index", "index"):
+        scratch.drop(done_with)
+    scratch.release()
     labels = scratch.keep(members.select("node").distinct().withColumn("comp", F.col("node")), "labels")
     chance = (F.xxhash64("node").bitwiseAND((1 << 40) - 1) / float(1 << 40)).alias("chance")
     done, step = 0.0, 0
@@ -173,16 +288,17 @@ def link_classes(docs: DataFrame, classes: DataFrame, words: int, percent: int,
     while not members.isEmpty():
         # hubs of the round: members whose place in their list, by hash, is in [done, upto)
         upto = HUBS * GROWTH ** step
-        rows = members.select("value", "node", "n", "comp", chance, "df") if step else (
-            members.withColumn("comp", F.col("node")).select("value", "node", "n", "comp", chance, "df"))
+        rows = members if step else members.withColumn("comp", F.col("node"))
+        rows = rows.select("value", "node", "n", "place", "comp", chance, "df")
         place = F.col("chance") * F.col("df")
         rows = rows.where(place >= done)
         hubs = rows.where(place < upto).select(
-            "value", *(F.col(c).alias(f"hub_{c}") for c in ("node", "n", "comp", "chance")))
+            "value", *(F.col(c).alias(f"hub_{c}") for c in ("node", "n", "place", "comp", "chance")))
         pairs = (rows.join(hubs, "value")
                  .where((F.col("comp") != F.col("hub_comp"))
                         & (F.struct("chance", "node") > F.struct("hub_chance", "hub_node"))
-                        & (100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n")))
+                        & (100 * F.least("n", "hub_n") >= percent * F.greatest("n", "hub_n"))
+                        & can_be_linked(percent))
                  .select(F.col("node").alias("a"), F.col("hub_node").alias("b")).distinct())
         passed = (pairs.join(sketch.toDF("a", "sketch_a", "n_a"), "a")
                   .join(sketch.toDF("b", "sketch_b", "n_b"), "b")
@@ -196,7 +312,7 @@ def link_classes(docs: DataFrame, classes: DataFrame, words: int, percent: int,
                  .select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")))
         labels = contract(labels, edges, scratch, f"contract-{step}")
         # lists go on with their members behind the hubs, while these can meet another component
-        left = rows.where(place >= upto).select("value", "node", "n", "df").join(labels, "node")
+        left = rows.where(place >= upto).select("value", "node", "n", "place", "df").join(labels, "node")
         open_lists = rows.select("value", "node").join(labels, "node").groupBy("value").agg(
             F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("value")
         members = scratch.keep(left.join(open_lists, "value"), f"members-{step + 1}")
