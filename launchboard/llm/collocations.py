@@ -220,13 +220,12 @@ def _ask(level: int, shards: int):
                 for length in range(2, level):
                     state.go_on({r["hash_shard"]: r["body"] for r in replies if r["level"] == length}, shards)
                 new, left, right = state.extend()
-                out = [(k, left[at].tobytes(), right[at].tobytes(), new.size[at].astype(np.uint32).tobytes())
-                       for k, at in by_shard(_name(left, right), shards)]
-                if out:
-                    number = batch.column(0)[i].as_py()
+                # one message at a time: together they are many megabytes in the executor
+                for k, at in by_shard(_name(left, right), shards):
+                    parts = left[at], right[at], new.size[at].astype(np.uint32)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([x[0] for x in out], pa.int32()), pa.array([number] * len(out), pa.int64()),
-                         *(pa.array([x[k] for x in out], pa.binary()) for k in (1, 2, 3))],
+                        [pa.array([k], pa.int32()), batch.column(0).slice(i, 1),
+                         *(pa.array([x.tobytes()], pa.binary()) for x in parts)],
                         ["hash_shard", "shard", "lefts", "rights", "counts"])
     return run
 
@@ -287,7 +286,7 @@ def frequent_phrases(docs: DataFrame, scratch: Scratch, min_count: int = MIN_COU
     shards = max(1, -(-size // HASH_SHARD_BYTES))
     of_shard = entries.join(words.select("lang", "word", "number"), ["lang", "word"]).groupBy("shard").agg(
         F.collect_list(F.struct("local", "number")).alias("known"))
-    indexes = scratch.keep(sequences.join(of_shard, "shard").select("shard", "payload", "known").mapInArrow(
+    indexes = scratch.keep(sequences.join(of_shard.hint("shuffle_hash"), "shard").select("shard", "payload", "known").mapInArrow(
         _build, "shard long, payload binary, numbers binary"), "indexes")
     scratch.drop("sequences")
     scratch.release()
@@ -305,7 +304,7 @@ def frequent_phrases(docs: DataFrame, scratch: Scratch, min_count: int = MIN_COU
         per_shard = replies.groupBy("shard").agg(
             F.collect_list(F.struct("level", "hash_shard", "body")).alias("replies"))
         # shards without an extension have nothing more to say
-        asked = indexes.join(per_shard, "shard").select("shard", "payload", "numbers", "replies")
+        asked = indexes.join(per_shard.hint("shuffle_hash"), "shard").select("shard", "payload", "numbers", "replies")
         grams = answers.where("number is not null").select("number", "left", "right", "a")
         found.append(scratch.keep(_linked(grams, found[-1]), f"phrases-{level}"))
         scratch.release()
