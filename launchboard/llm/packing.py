@@ -22,30 +22,62 @@ import os
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from launchboard.llm.store import Scratch
-from launchboard.llm.words import blocks
+from launchboard.llm.words import Words, blocks
 
 SEQUENCE_TOKENS = 4096
 END_ID = 1
 
-#: Entries of a worker's table of encoded words; a full table starts anew.
-WORD_CACHE = 500_000
+#: Entries of a worker's table of encoded units; a full table starts anew.
+UNIT_CACHE = 2_000_000
 
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[65:91] = _LETTER[97:123] = True
+_MARK = np.zeros(256, dtype=bool)
+_MARK[[ord(c) for c in ".,;:!?"]] = True
+
+
+class Units(Words):
+    """Words, cut once more where a letter is followed by a punctuation mark."""
+
+    def __init__(self, column: pa.Array, lower: bool):
+        super().__init__(column, lower=lower)
+        at = np.flatnonzero(_LETTER[self.data[:-1]] & _MARK[self.data[1:]]) + 1
+        for name in ("starts", "ends"):
+            marked = np.zeros(len(self.data) + 1, dtype=bool)
+            marked[getattr(self, name)] = True
+            marked[at] = True
+            setattr(self, name, np.flatnonzero(marked))
+        self.first = np.searchsorted(self.starts, self.offsets)
+        self.counts = np.diff(self.first)
+
+
+def _texts(units: Words, which: np.ndarray) -> list[str]:
+    data = units.data.tobytes()
+    return [data[s:e].decode() for s, e in zip(units.starts[which].tolist(), units.ends[which].tolist())]
+
+
+def _ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """first[0], first[0] + 1, ... for each range in turn."""
+    return np.arange(size.sum()) + np.repeat(first - (np.cumsum(size) - size), size)
 
 
 class WordEncoder:
-    """Token ids of UTF-8 texts, as little-endian 32-bit bytes; lives in a worker.
+    """Token ids of a block of texts; lives in a worker.
 
     For tokenizers that drop white space, a text's ids are those of its words in a
-    row, so each distinct word is encoded once and kept in a bounded table. Texts
-    with the markup of special tokens go to the library whole.
+    row, and for those that keep letters and punctuation apart, those of its units, so
+    each distinct unit is encoded once and kept, by its 64-bit hash, in a bounded table.
+    Texts with the markup of special tokens go to the library whole.
     """
 
     _by_path: dict = {}
@@ -56,10 +88,12 @@ class WordEncoder:
         self.model = Tokenizer.from_file(path)
         self.model.no_truncation()
         self.model.no_padding()
-        self.ids: dict[bytes, bytes] = {}
-        a, b, spaced = self._raw([b"a", b"b.", b" a \n\tb.  "])
-        self.by_word = a + b == spaced
-        letters = [bytes([c]) for c in range(65, 91)]
+        self._forget()
+        raw = lambda text: self._raw([text])[0]
+        self.by_word = raw("a") + raw("b.") == raw(" a \n\tb.  ")
+        cuts = (("ab", ",."), ("Ab", ".b"), ("x", "!"), ("a", ";'s"), ("b", "?1"), ("c", ":-"))
+        self.units = Units if all(raw(a) + raw(b) == raw(a + b) for a, b in cuts) else Words
+        letters = [chr(c) for c in range(65, 91)]
         self.lower = self._raw(letters) == self._raw([x.lower() for x in letters])
 
     @classmethod
@@ -68,26 +102,52 @@ class WordEncoder:
             cls._by_path[path] = cls(path)
         return cls._by_path[path]
 
-    def _raw(self, texts: list[bytes]) -> list[bytes]:
-        return [np.asarray(x.ids, dtype="<u4").tobytes() for x in self.model.encode_batch_fast(
-            [t.decode() for t in texts], add_special_tokens=False)]
-
-    def encode(self, texts: list[bytes | None]) -> list[bytes]:
-        out = [b""] * len(texts)
-        whole = [i for i, t in enumerate(texts) if t and (not self.by_word or b"<|" in t)]
-        for i, ids in zip(whole, self._raw([texts[i] for i in whole]) if whole else []):
-            out[i] = ids
-        skip, known = set(whole), self.ids
-        split = {i: (t.lower() if self.lower else t).split()
-                 for i, t in enumerate(texts) if t and i not in skip}
-        if len(known) > WORD_CACHE:
-            known.clear()
-        distinct = set().union(*split.values())
-        if missing := [w for w in distinct if w not in known]:
-            known.update(zip(missing, self._raw(missing)))
-        for i, words in split.items():
-            out[i] = b"".join(map(known.__getitem__, words))
-        return out
+    def _forget(self) -> None:
+        self.keys = np.zeros(0, dtype=np.uint64)  # in order, with each one's place in ``flat``
+        self.start, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, dtype="<u4")
+
+    def _raw(self, texts: list[str]) -> list[list[int]]:
+        return [x.ids for x in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, keys: np.ndarray, texts: list[str]) -> None:
+        """Encode units that the table lacks; ``keys`` in order."""
+        ids = self._raw(texts)
+        size = np.array([len(x) for x in ids], dtype=np.int64)
+        start = len(self.flat) + np.cumsum(size) - size
+        self.flat = np.concatenate([self.flat, np.fromiter(chain.from_iterable(ids), "<u4", int(size.sum()))])
+        at = np.searchsorted(self.keys, keys)
+        self.start, self.size = np.insert(self.start, at, start), np.insert(self.size, at, size)
+        self.keys = np.insert(self.keys, at, keys)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, number of ids of each)."""
+        texts = pc.fill_null(texts, "")
+        whole = pc.match_substring(texts, "<|") if self.by_word else pc.greater_equal(pc.binary_length(texts), 0)
+        units = self.units(pc.if_else(whole, "", texts), self.lower)
+        hashes, first, number = np.unique(units.hashes(), return_index=True, return_inverse=True)
+        if len(self.keys) > UNIT_CACHE:
+            self._forget()
+        at = np.searchsorted(self.keys, hashes)
+        new = np.ones(len(hashes), dtype=bool)
+        inside = at < len(self.keys)
+        new[inside] = self.keys[at[inside]] != hashes[inside]
+        if new.any():
+            self._learn(hashes[new], _texts(units, first[new]))
+            at = np.searchsorted(self.keys, hashes)
+        size = self.size[at][number]
+        ids = self.flat[_ranges(self.start[at][number], size)]
+        ends = np.r_[0, np.cumsum(size)][units.first]
+        counts = np.diff(ends)
+        some = np.flatnonzero(whole.to_numpy(zero_copy_only=False))
+        if len(some):
+            raw = self._raw([texts[i].as_py() for i in some.tolist()])
+            parts = np.split(ids, ends[1:-1])
+            for i, found in zip(some.tolist(), raw):
+                parts[i] = np.array(found, dtype="<u4")
+                counts[i] = len(found)
+            ids = np.concatenate(parts)
+        return ids, counts
 
 
 PIECE_SCHEMA = ("doc_id long, piece int, start long, length long, ids_crc32 long, "
@@ -95,22 +155,25 @@ PIECE_SCHEMA = ("doc_id long, piece int, start long, length long, ids_crc32 long
 
 
 def _cut(path: str, sequence: int, end_id: int, with_ids: bool):
-    end = np.asarray([end_id], dtype="<u4").tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder.of(path)
         for block in blocks(batches, "text"):
-            rows: list[tuple] = []
-            texts = block.column(1).cast(pa.binary()).to_pylist()
-            for doc, ids in zip(block.column(0).to_pylist(), encoder.encode(texts)):
-                ids += end
-                for k, at in enumerate(range(0, len(ids), 4 * sequence)):
-                    part = ids[at:at + 4 * sequence]
-                    rows.append((doc, k, at // 4, len(part) // 4, zlib.crc32(part),
-                                 part if with_ids else None))
-            types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(col), type=t) for col, t in zip(zip(*rows), types)],
+            ids, counts = encoder.encode(block.column(1))
+            first = np.cumsum(counts + 1) - counts - 1
+            closed = np.full(len(ids) + len(counts), end_id, dtype="<u4")
+            closed[_ranges(first, counts)] = ids
+            # pieces of each text, and of each its number and bounds
+            many = -(-(counts + 1) // sequence)
+            text = np.repeat(np.arange(len(counts)), many)
+            piece = _ranges(np.zeros(len(counts), np.int64), many)
+            start = piece * sequence
+            length = np.minimum(counts[text] + 1 - start, sequence)
+            raw, at = memoryview(closed.tobytes()), 4 * (first[text] + start)
+            parts = [raw[a:a + 4 * n] for a, n in zip(at.tolist(), length.tolist())]
+            yield pa.RecordBatch.from_arrays([
+                block.column(0).take(pa.array(text)), pa.array(piece, pa.int32()), pa.array(start), pa.array(length),
+                pa.array([zlib.crc32(x) for x in parts], pa.int64()),
+                pa.array([x.tobytes() if with_ids else None for x in parts], pa.binary())],
                 ["doc_id", "piece", "start", "length", "ids_crc32", "ids"])
     return run
 
