@@ -9,8 +9,7 @@ before) and repurchasers (rk >= 2).
 The order summary (one row per order, member and day, with the earliest and
 latest launch date of the sold SKUs) gets the members' join dates and the
 order-level rank flags, all at order grain, and is then fanned out to the
-branches and reduced to one row per member and day. The
-distinct counts over many overlapping periods come from
+branches. The distinct counts over many overlapping periods come from
 ``range_count.range_distinct_counts``.
 """
 
@@ -50,8 +49,8 @@ def benchmark_periods(dims: Dims, specs: tuple[BenchmarkSpec, ...]) -> DataFrame
 
 def occurrences(summary: DataFrame, dims: Dims, info: DataFrame, params: RunParams,
                 specs: tuple[BenchmarkSpec, ...], skew: dict[str, Skew]) -> DataFrame:
-    """(source_channel, member_id, day, elig, pure_new, existing, repurchase), one
-    row per branch, member and day, from the order summary; ``info`` is
+    """(source_channel, member_id, day, elig, pure_new, existing, repurchase), a row
+    per branch and row of the order summary; ``info`` is
     ``ranks.order_flags``. Both joins run on summary rows, before the fan-out to
     branches, and rows without an order id are spread in theirs."""
     e = summary.where(F.col("has_elig") & F.col("member_id").isNotNull())
@@ -73,9 +72,7 @@ def occurrences(summary: DataFrame, dims: Dims, info: DataFrame, params: RunPara
                       (R.is_true(first) & gt).alias("existing"),
                       R.is_true(repeat).alias("repurchase"))
         structs.append(st if s.rows is None else F.when(F.col("source_channel") == s.rows, st))
-    x = _explode_specs(e, structs).select("_spec.*", "member_id", "day")
-    return x.groupBy("source_channel", "member_id", "day").agg(
-        F.lit(True).alias("elig"), *[F.max(c).alias(c) for c in COUNTERS[1:]])
+    return _explode_specs(e, structs).select("_spec.*", "member_id", "day", F.lit(True).alias("elig"))
 
 
 def benchmarks(summary: DataFrame, dims: Dims, info: DataFrame, params: RunParams,

@@ -8,8 +8,10 @@ every period with every occurrence and shuffles all pairs.
 
 Exact rewrite, built from windows, aggregations and one equi-join:
 
-* For each entity the occurrence days are sorted and ``prev`` is the
-  previous occurrence day (NULL for the first). An entity is present in
+* For each entity and counter the occurrence days are a bitmap: 64 days to a number,
+  or-ed together in a map-side-combined aggregation, so an entity with any number of
+  occurrences is a few numbers, and nothing is sorted. The set bits are its days in
+  order; ``prev`` is the day before (NULL for the first). An entity is present in
   [s, e] exactly when some occurrence d has s <= d <= e and prev < s (its
   first occurrence in the range), and that occurrence is unique. So the
   distinct count is a plain count of occurrences with prev < s <= d <= e.
@@ -24,7 +26,7 @@ Exact rewrite, built from windows, aggregations and one equi-join:
   equi-join on (start, day = end).
 
 Several counters (e.g. four member classes) share one pass: each occurrence
-row carries a 0/1 indicator per counter.
+row carries a flag per counter.
 """
 
 from __future__ import annotations
@@ -34,6 +36,37 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+EPOCH = dt.date(1970, 1, 1)
+
+
+def _day_bitmaps(occurrences: DataFrame, g: list[str], entity: str, day: str, counters: list[str]) -> DataFrame:
+    """One row per entity: ``_chunks``, the numbers of 64 days each that have occurrences,
+    with a bitmap per counter."""
+    days = F.datediff(F.col(day), F.lit(EPOCH))
+    bit = F.expr("shiftleft(1L, pmod(_n, 64))")
+    chunks = (occurrences.withColumn("_n", days)
+              .groupBy(*g, entity, F.floor(F.col("_n") / 64).cast("int").alias("_chunk"))
+              .agg(*[F.coalesce(F.bit_or(F.when(F.col(c), bit)), F.lit(0)).alias(c) for c in counters]))
+    return chunks.groupBy(*g, entity).agg(
+        F.collect_list(F.struct("_chunk", *counters)).alias("_chunks"))
+
+
+def _day_pairs(bitmaps: DataFrame, g: list[str], counters: list[str]) -> DataFrame:
+    """(g, _counter, _day, _prev): each day of each entity's counters with the day before."""
+    days = bitmaps.select(*g, *[F.expr(
+        "flatten(transform(array_sort(_chunks), k -> transform("
+        f"filter(sequence(0, 63), b -> (shiftright(k.`{c}`, b) & 1) = 1), b -> k._chunk * 64 + b)))").alias(c)
+        for c in counters])
+
+    def of_counter(c: str) -> Column:
+        return F.transform(F.col(c), lambda d, i: F.struct(
+            F.lit(c).alias("counter"), d.alias("day"), F.when(i > 0, F.get(F.col(c), i - 1)).alias("prev")))
+
+    pairs = F.concat(*map(of_counter, counters))
+    return days.select(*g, F.explode(pairs).alias("_p")).select(
+        *g, F.col("_p.counter").alias("_counter"), *[
+            F.date_add(F.lit(EPOCH), F.col(f"_p.{c}")).alias(f"_{c}") for c in ("day", "prev")])
+
 
 def range_distinct_counts(occurrences: DataFrame, periods: DataFrame, group_cols: list[str],
                           entity: str, day: str, counters: list[str],
@@ -48,20 +81,9 @@ def range_distinct_counts(occurrences: DataFrame, periods: DataFrame, group_cols
                  start > end get 0
     """
     g = list(group_cols)
-    # one row per entity and day, a flag per counter; each counter's previous day
-    # is the last earlier day that has its flag: one window for all of them
-    occ = occurrences.groupBy(*g, entity, day).agg(*[
-        F.max(F.coalesce(F.col(c), F.lit(False))).alias(c) for c in counters])
-    earlier = (Window.partitionBy(*g, entity).orderBy(day)
-               .rowsBetween(Window.unboundedPreceding, -1))
-    occ = occ.select(*g, F.col(day).alias("_day"), F.filter(F.array(*[
-        F.when(F.col(c), F.struct(F.lit(c).alias("counter"), F.last(
-            F.when(F.col(c), F.col(day)), ignorenulls=True).over(earlier).alias("prev")))
-        for c in counters]), lambda v: v.isNotNull()).alias("_held"))
-    hist = (occ.select(*g, "_day", F.explode("_held").alias("_h"))
-            .groupBy(*g, "_day", F.col("_h.prev").alias("_prev")).agg(
-        *[F.sum(F.when(F.col("_h.counter") == c, 1).otherwise(0)).cast("bigint").alias(c)
-          for c in counters]))
+    hist = (_day_pairs(_day_bitmaps(occurrences, g, entity, day, counters), g, counters)
+            .groupBy(*g, "_day", "_prev").agg(
+        *[F.sum(F.when(F.col("_counter") == c, 1).otherwise(0)).cast("bigint").alias(c) for c in counters]))
 
     # days after the last possible occurrence change no count: a period that ends
     # later is answered by its count on that day
