@@ -5,11 +5,13 @@ finds the best label sequence of a document under a linear-chain conditional
 random field. A document stays if its base statistics pass and the words in
 content lines are at least ``CONTENT_SHARE`` of its words.
 
-The field's weights are fitted by maximum conditional likelihood on a bounded
-sample of labelled documents (``TRAIN_DOCS`` documents of at most ``TRAIN_LINES``
-lines, by least hash of id): lines of documents of quality 1 count as content,
-those of quality 0 as boilerplate. Without labels of both kinds the fixed
-``DEFAULT`` weights hold. Everything else covers all rows and whole texts.
+The field's weights are fitted on a bounded sample of labelled documents
+(``TRAIN_DOCS`` documents of at most ``TRAIN_LINES`` lines, by least hash of id). Only
+documents have labels; those of their lines are found by expectation-maximisation, with
+the document's label as evidence for each line, so a good text may have boilerplate lines
+and a bad one content. Of several labels of one id the least counts. Without labels of
+both kinds the fixed ``DEFAULT`` weights hold. Everything else covers all rows and whole
+texts.
 
 Defined cases: null and empty texts have no words and fail the base rules; a row
 with a null id is judged like any other; repeated rows are judged each; an empty
@@ -36,6 +38,9 @@ CONTENT_SHARE = 0.5
 BLOCK = 1 << 20
 TRAIN_DOCS = 800
 TRAIN_LINES = 60
+#: What a document's label says for or against content in a line, as a log odds.
+EVIDENCE = 2.0
+TRANSITION_PRIOR = 0.3
 
 STATS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 OUT = f"{STATS}, n_content_words long, base_failed boolean, kept boolean"
@@ -189,12 +194,39 @@ def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
     return top + np.log(np.exp(x - np.expand_dims(top, axis)).sum(axis=axis))
 
 
-def fit_field(texts: list[np.ndarray], labels: list[int], rounds: int = 100, rate: float = 0.3,
-              prior: float = 0.02) -> Field:
-    """Maximum conditional likelihood by Adam, from forward-backward marginals.
-
-    ``texts``: features of each text's lines; ``labels``: the label of all lines of
-    the text. ``prior``: strength of the Gaussian prior.
+def _marginals(x: np.ndarray, mask: np.ndarray, weights: np.ndarray, trans: np.ndarray,
+               evidence: np.ndarray | float = 0.0) -> tuple[np.ndarray, np.ndarray]:
+    """Probability of content for each line (text, step), and expected transitions, by
+    forward and backward sums. ``evidence`` speaks for content in each line of a text."""
+    n, steps = mask.shape
+    e = np.zeros((n, steps, 2))
+    e[:, :, 1] = x @ weights + np.reshape(evidence, (-1, 1))
+    alpha, beta = np.zeros((n, steps, 2)), np.zeros((n, steps, 2))
+    alpha[:, 0] = e[:, 0]
+    for t in range(1, steps):
+        new = _logsum(alpha[:, t - 1, :, None] + trans, 1) + e[:, t]
+        alpha[:, t] = np.where(mask[:, t, None], new, alpha[:, t - 1])
+    norm = _logsum(alpha[:, -1], 1)
+    pair = np.zeros((2, 2))
+    for t in range(steps - 2, -1, -1):
+        onward = e[:, t + 1] + beta[:, t + 1]
+        live = mask[:, t + 1]
+        beta[:, t] = np.where(live[:, None], _logsum(trans + onward[:, None, :], 2), 0)
+        joint = alpha[:, t, :, None] + trans + onward[:, None, :] - norm[:, None, None]
+        pair += np.exp(joint[live]).sum(0)
+    return np.exp(alpha[:, :, 1] + beta[:, :, 1] - norm[:, None]) * mask, pair
+
+
+def fit_field(texts: list[np.ndarray], labels: list[int], passes: int = 5, rounds: int = 25, rate: float = 0.1,
+              prior: float = 0.02, evidence: float = EVIDENCE) -> Field:
+    """Expectation-maximisation over the labels of lines, of which only the document's
+    label is known: it is evidence for each of its lines, not their label. Each pass takes
+    the lines' probabilities and transitions under the field and that evidence, and fits
+    the field to them by Adam; it starts from ``DEFAULT``.
+
+    ``texts``: features of each text's lines; ``labels``: the texts' labels. ``prior``:
+    strength of the Gaussian prior about ``DEFAULT``; that of the transitions is stronger,
+    as labels of whole documents don't tell where lines change.
     """
     order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
     count = np.array([len(texts[i]) for i in order])
@@ -204,38 +236,20 @@ def fit_field(texts: list[np.ndarray], labels: list[int], rounds: int = 100, rat
         x[r, :count[r]] = texts[i]
     y = np.array([labels[i] for i in order])
     mask = np.arange(steps) < count[:, None]
-    weights, trans = np.zeros(len(FEATURES)), np.zeros((2, 2))
-    total = mask.sum()
-    kept = (np.zeros(len(FEATURES) + 4), np.zeros(len(FEATURES) + 4))
-    seen_trans = np.zeros((2, 2))
-    for label in (0, 1):
-        seen_trans[label, label] = (count[y == label] - 1).sum()
-    for r in range(1, rounds + 1):
-        e = np.zeros((n, steps, 2))
-        e[:, :, 1] = x @ weights
-        alpha, beta = np.zeros((n, steps, 2)), np.zeros((n, steps, 2))
-        alpha[:, 0] = e[:, 0]
-        for t in range(1, steps):
-            new = _logsum(alpha[:, t - 1, :, None] + trans, 1) + e[:, t]
-            alpha[:, t] = np.where(mask[:, t, None], new, alpha[:, t - 1])
-        norm = _logsum(alpha[:, -1], 1)
-        pair = np.zeros((2, 2))
-        for t in range(steps - 2, -1, -1):
-            onward = e[:, t + 1] + beta[:, t + 1]
-            live = mask[:, t + 1]
-            beta[:, t] = np.where(live[:, None], _logsum(trans + onward[:, None, :], 2), 0)
-            joint = alpha[:, t, :, None] + trans + onward[:, None, :] - norm[:, None, None]
-            pair += np.exp(joint[live]).sum(0)
-        marginal = np.exp(alpha[:, :, 1] + beta[:, :, 1] - norm[:, None]) * mask
-        grad = np.r_[np.einsum("ntf,nt->f", x, y[:, None] * mask - marginal),
-                     (seen_trans - pair).ravel()] / total
-        grad -= prior * np.r_[weights, trans.ravel()] / len(order)
-        kept[0][:] = 0.9 * kept[0] + 0.1 * grad
-        kept[1][:] = 0.99 * kept[1] + 0.01 * grad ** 2
-        move = rate * kept[0] / (1 - 0.9 ** r) / (np.sqrt(kept[1] / (1 - 0.99 ** r)) + 1e-8)
-        weights = weights + move[:-4]
-        trans = trans + move[-4:].reshape(2, 2)
-    return Field(weights, trans)
+    start = np.r_[DEFAULT.weights, DEFAULT.transitions.ravel()]
+    both, total, size = start.copy(), mask.sum(), len(FEATURES)
+    hold = np.r_[np.full(size, prior / n), np.full(4, TRANSITION_PRIOR)]
+    for _ in range(passes):
+        wanted, pairs = _marginals(x, mask, both[:size], both[size:].reshape(2, 2), evidence * (2 * y - 1))
+        kept = (np.zeros(len(both)), np.zeros(len(both)))
+        for r in range(1, rounds + 1):
+            marginal, pair = _marginals(x, mask, both[:size], both[size:].reshape(2, 2))
+            grad = np.r_[np.einsum("ntf,nt->f", x, wanted - marginal), (pairs - pair).ravel()] / total
+            grad -= hold * (both - start)
+            kept[0][:] = 0.9 * kept[0] + 0.1 * grad
+            kept[1][:] = 0.99 * kept[1] + 0.01 * grad ** 2
+            both = both + rate * kept[0] / (1 - 0.9 ** r) / (np.sqrt(kept[1] / (1 - 0.99 ** r)) + 1e-8)
+    return Field(both[:size], both[size:].reshape(2, 2))
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,7 +267,8 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> Field:
     """Fit on the ``train_docs`` labelled documents of least hash, half of each label."""
     marked = (labels.select(F.col("doc_id").alias("__id"), F.col("quality").cast("int").alias("quality"))
-              .where("quality in (0, 1) and __id is not null").dropDuplicates(["__id"])
+              .where("quality in (0, 1) and __id is not null")
+              .groupBy("__id").agg(F.min("quality").alias("quality"))
               .withColumn("__h", F.xxhash64("__id")))
     sample = None
     for label in (0, 1):

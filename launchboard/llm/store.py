@@ -13,7 +13,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from launchboard.plans.session import checkpoint_dir
+from launchboard.plans.session import checkpoint_dir, drop_at_exit
 
 
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -33,6 +33,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.path = f"{shared_root(spark)}/llm/{name}-{uuid.uuid4().hex[:12]}"
+        drop_at_exit(self.path)  # results are read from it until then
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` once and return the written table. Arrow batches are kept

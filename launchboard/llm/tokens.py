@@ -35,6 +35,9 @@ from launchboard.llm.words import blocks
 #: Entries of a worker's table of encoded pieces; a full table starts anew.
 PIECE_CACHE = 500_000
 
+#: A text with more rows than this part of a partition's share has its count copied.
+FRACTIONS = 4
+
 CACHE_SCHEMA = "text_sha256 string, tokenizer_sha256 string, n_tokens long"
 
 _PIECES = re.compile(r"[\t-\r ]*[^\t-\r ]+|[\t-\r ]+$")
@@ -109,10 +112,18 @@ def read_cache(spark: SparkSession, cache_path: str) -> DataFrame:
     """The stored counts; an absent table counts as empty."""
     path = spark._jvm.org.apache.hadoop.fs.Path(cache_path)
     if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return spark.read.schema(CACHE_SCHEMA).parquet(cache_path)
+        return spark.read.schema(CACHE_SCHEMA).parquet(cache_path).select("text_sha256", "tokenizer_sha256", "n_tokens")
     return spark.createDataFrame([], CACHE_SCHEMA)
 
 
+def hot_texts(texts: DataFrame, rows: int) -> DataFrame:
+    """(text_sha256, __copies) of the texts that more rows have than a fraction of a shuffle
+    partition's share: at most ``FRACTIONS`` of them a partition, so they are broadcast."""
+    share = max(1, rows // (FRACTIONS * int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    return F.broadcast(texts.where(F.col("__rows") > share).select(
+        "text_sha256", F.ceil(F.col("__rows") / share).cast("long").alias("__copies")))
+
+
 def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """(id, n_bytes, n_tokens) per row of ``docs``; appends new counts to ``cache_path``.
@@ -120,7 +131,9 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str, id_col:
     Digests are computed and written first. One row of each digest that the cache
     lacks is chosen, by least id, and only these rows' texts move on to be encoded;
     the join that picks them is keyed by digest and id, so a text with countless
-    copies is spread over all tasks.
+    copies is spread over all tasks. Counts come back to the rows by digest; those of texts
+    with many rows are copied, and each row joins one of the copies. The cache is
+    partitioned by the tokenizer's digest: counts of other versions are not read.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "token-counts")
@@ -131,7 +144,9 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str, id_col:
     digests = scratch.keep(rows.select(
         "__id", "text_sha256", F.octet_length("__text").cast("long").alias("n_bytes")), "digests")
     known = read_cache(spark, cache_path).where(F.col("tokenizer_sha256") == version)
-    chosen = (digests.groupBy("text_sha256").agg(F.min("__id").alias("__chosen"))
+    texts = scratch.keep(digests.groupBy("text_sha256").agg(
+        F.min("__id").alias("__chosen"), F.count(F.lit(1)).alias("__rows")), "texts")
+    chosen = (texts.select("text_sha256", "__chosen")
               .join(known.select("text_sha256"), "text_sha256", "left_anti")
               .withColumnRenamed("text_sha256", "__sha").hint("shuffle_hash"))
     misses = rows.join(chosen, (F.col("text_sha256") == F.col("__sha"))
@@ -140,8 +155,13 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str, id_col:
                .mapInArrow(_encode(tokenizer_path), "text_sha256 string, n_tokens long")
                .groupBy("text_sha256").agg(F.max("n_tokens").alias("n_tokens")))
     (counted.select("text_sha256", F.lit(version).alias("tokenizer_sha256"), "n_tokens")
-     .write.mode("append").parquet(cache_path))
+     .write.mode("append").partitionBy("tokenizer_sha256").parquet(cache_path))
     stored = (read_cache(spark, cache_path).where(F.col("tokenizer_sha256") == version)
               .groupBy("text_sha256").agg(F.max("n_tokens").alias("n_tokens")))
-    return (digests.join(stored, "text_sha256", "left")
+    hot = hot_texts(texts, digests.count())
+    spread = digests.join(hot, "text_sha256", "left").withColumn(
+        "__copy", F.pmod(F.monotonically_increasing_id(), F.coalesce("__copies", F.lit(1))))
+    copied = stored.join(hot, "text_sha256", "left").withColumn(
+        "__copy", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("__copies", F.lit(1)) - 1)))
+    return (spread.join(copied.select("text_sha256", "__copy", "n_tokens"), ["text_sha256", "__copy"], "left")
             .select(F.col("__id").alias(id_col), "n_bytes", "n_tokens"))
