@@ -1,7 +1,8 @@
 """Benchmark decontamination: CGK embedding, bit-sampling LSH, exact edit check.
 
-A leak is a window of a document, as long as a benchmark item in words, within edit
-distance ``floor(EDIT_RATE * words)`` of the item (words lower-cased, in words).
+A leak is a window of a document, of any length, within edit distance
+``floor(EDIT_RATE * words)`` of a benchmark item (words lower-cased, in words). So it has
+up to that many words more or fewer than the item, and may be all of a short text.
 
 The CGK random walk turns edit distance into Hamming distance: a pointer goes along
 the words; step j writes the word under it and moves on or stays by a random bit of
@@ -10,8 +11,10 @@ few places, so keys of ``BITS`` sampled places of the embedding collide often. W
 and sample are repeated with fresh randomness until windows at the largest allowed
 distance collide at least once with probability ``RECALL``; how many repetitions
 that takes grows steeply with the length, so items of similar length form a class,
-and each class is measured on edited copies of its own items. Windows that collide
-with an item are then compared by exact edit distance. A class that does not reach
+and each class is measured on copies of its own items with as many random edits as are
+allowed, followed by other words, as in a text. Embedded are the item's number of words
+from a start on; what collides with an item is then compared by exact edit distance, with
+the end that suits best. A class that does not reach
 ``RECALL`` within ``MAX_REPETITIONS`` and ``MAX_STEPS`` (long items) uses no walk: each
 of its windows is compared exactly with every item whose seed it holds, which misses
 nothing.
@@ -110,42 +113,37 @@ def embed_keys(words: np.ndarray, sizes: np.ndarray, r: Repetition) -> np.ndarra
     return key
 
 
-def edit_distances(left: np.ndarray, right: np.ndarray, size: int) -> np.ndarray:
-    """Word edit distance of row pairs of ``size`` words each."""
-    n, j = len(left), np.arange(size + 1)
-    row = np.broadcast_to(j, (n, size + 1)).astype(np.int64)
-    for i in range(size):
-        new = np.empty_like(row)
-        new[:, 0] = i + 1
-        new[:, 1:] = np.minimum(row[:, :-1] + (right != left[:, i:i + 1]), row[:, 1:] + 1)
-        # insertions: the least of all earlier cells plus their distance
-        row = np.minimum.accumulate(new - j, axis=1) + j
-    return row[:, -1]
-
-
-def distances_within(left: np.ndarray, right: np.ndarray, size: int, k: int) -> np.ndarray:
-    """``edit_distances``, but k + 1 for all pairs beyond k; pairs whose rows exceed k
-    go on the way."""
-    out = np.full(len(left), k + 1, dtype=np.int64)
-    alive, j = np.arange(len(left)), np.arange(size + 1)
-    row = np.broadcast_to(j, (len(left), size + 1)).astype(np.int32)
+def distances_within(items: np.ndarray, windows: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Word edit distance of each item to the best beginning of its window, and the
+    beginning's length (of equal ones the nearest to the item's); k + 1 where it exceeds k.
+    Windows are padded with 0, which is no word: to use it never pays. Pairs whose rows
+    exceed k go on the way."""
+    (n, size), width = items.shape, windows.shape[1]
+    out, length = np.full(n, k + 1, dtype=np.int64), np.zeros(n, dtype=np.int64)
+    alive, j = np.arange(n), np.arange(width + 1, dtype=np.int32)
+    row = np.broadcast_to(j, (n, width + 1))
     for i in range(size):
         if i % 8 == 7:
             near = row.min(axis=1) <= k
             if not near.all():
-                alive, row, left, right = alive[near], row[near], left[near], right[near]
+                alive, row, items, windows = alive[near], row[near], items[near], windows[near]
             if not len(alive):
-                return out
-        new = np.empty_like(row)
+                return out, length
+        new = np.empty(row.shape, dtype=np.int32)
         new[:, 0] = i + 1
-        new[:, 1:] = np.minimum(row[:, :-1] + (right != left[:, i:i + 1]), row[:, 1:] + 1)
-        row = np.minimum.accumulate(new - j, axis=1).astype(np.int32) + j.astype(np.int32)
-    out[alive] = np.minimum(row[:, -1], k + 1)
-    return out
+        new[:, 1:] = np.minimum(row[:, :-1] + (windows != items[:, i:i + 1]), row[:, 1:] + 1)
+        # insertions: the least of all earlier cells plus their distance
+        row = np.minimum.accumulate(new - j, axis=1) + j
+    away = np.abs(j - size)
+    best = (row.astype(np.int64) * (2 * width + 3) + 2 * away + (j > size)).argmin(axis=1)
+    out[alive] = np.minimum(row[np.arange(len(row)), best], k + 1)
+    length[alive] = best
+    return out, length
 
 
 def edited(words: np.ndarray, k: int, random: np.random.Generator) -> np.ndarray:
-    """``words`` with k random edits, cut or filled to its own length again."""
+    """The first words, as many as there are, of a text that begins with ``words`` after k
+    random edits."""
     out = list(words)
     for _ in range(k):
         kind, at = random.integers(3), int(random.integers(max(len(out), 1)))
@@ -206,19 +204,15 @@ class Index:
         return out
 
     def calibrate(self, kind: int, samples: int = 64, seed: int = 11) -> list[Repetition] | None:
-        """Add repetitions until edited copies of the class's items at the largest
-        distance are found with the wanted probability; None if they never are."""
+        """Add repetitions until copies of the class's items with the largest number of
+        edits are found with the wanted probability; None if they never are."""
         random = np.random.default_rng([seed, kind])
         rows = random.choice(np.flatnonzero(self.kind == kind), size=samples)
         words, sizes = self.padded(rows), self.sizes[rows]
         copies = np.zeros_like(words)
         for at, row in enumerate(rows):
-            n, k = int(sizes[at]), int(self.k[row])
-            # edits that shift words out of the copy cost more than one: fewer then
-            for edits in range(k, -1, -1):
-                copies[at, :n] = edited(words[at, :n], edits, random)
-                if distances_within(copies[at:at + 1, :n], words[at:at + 1, :n], n, k)[0] <= k:
-                    break
+            n = int(sizes[at])
+            copies[at, :n] = edited(words[at, :n], int(self.k[row]), random)
         found: list[Repetition] = []
         rates = np.zeros(samples)
         while len(found) < min(MAX_REPETITIONS, MAX_STEPS // (2 * int(sizes.min()))):
@@ -247,8 +241,8 @@ class Index:
             start, row = spans(begin - self.k[row], span), np.repeat(row, span)
             good = (start >= 0) & (start < len(room))
             start, row = start[good], row[good]
-            # a window lies inside one text
-            good = room[start] >= self.sizes[row]
+            # a window lies inside one text, and has no more than k words too few
+            good = room[start] >= np.maximum(self.sizes[row] - self.k[row], 1)
             pairs.append(np.unique(np.stack([start[good], row[good]], 1), axis=0))
         found = np.concatenate(pairs)
         return found[:, 0], found[:, 1]
@@ -259,41 +253,49 @@ class Index:
         found = np.unique(np.stack([start, self.sizes[row]], 1), axis=0)
         return found[:, 0], found[:, 1]
 
-    def leaks(self, hashes: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(start, item row, distance) of all leaks."""
+    def leaks(self, hashes: np.ndarray, room: np.ndarray) -> np.ndarray:
+        """Rows start, item row, distance, words of all leaks."""
         start, row = self.seeded(hashes, room)
         exact = np.isin(self.kind[row], [c for c, r in self.repetitions.items() if r is None])
-        out = [self.compare(hashes, start[exact], row[exact])]
+        out = [self.compare(hashes, room, start[exact], row[exact])]
         size = self.sizes[row[~exact]]
         window = np.unique(np.stack([start[~exact], size], 1), axis=0)
-        number, item, distance = self.match(hashes, window[:, 0], window[:, 1])
-        out.append(np.stack([window[number, 0], item, distance]))
-        return tuple(np.concatenate(out, axis=1))
+        number, *rest = self.match(hashes, room, window[:, 0], window[:, 1])
+        out.append(np.stack([window[number, 0], *rest]))
+        return np.concatenate(out, axis=1)
 
-    def compare(self, hashes: np.ndarray, start: np.ndarray, row: np.ndarray) -> np.ndarray:
-        """Rows start, item row, distance of the pairs that are leaks, each compared."""
-        out = [np.zeros((3, 0), np.int64)]
+    def windows(self, hashes: np.ndarray, room: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Words from each start on, as many as a leak of an item of ``size`` words can have,
+        padded with 0 from the text's end on."""
+        most = np.minimum(size + (self.rate * size).astype(np.int64), room[start])
+        place = np.arange(int(most.max()) if len(most) else 0)
+        words = hashes[np.minimum(start[:, None] + place, len(hashes) - 1)]
+        return np.where(place < most[:, None], words, U64(0))
+
+    def compare(self, hashes: np.ndarray, room: np.ndarray, start: np.ndarray, row: np.ndarray) -> np.ndarray:
+        """Rows start, item row, distance, words of the pairs that are leaks, each compared."""
+        out = [np.zeros((4, 0), np.int64)]
         for n in np.unique(self.sizes[row]).tolist():
             of = np.flatnonzero(self.sizes[row] == n)
             k = allowed(n, self.rate)
             # equal windows are compared with an item once
-            window = window_hashes(hashes, n)[start[of]]
+            window = window_hashes(hashes, n + k)[start[of]] ^ mix(np.minimum(room[start[of]], n + k).astype(U64))
             _, first, number = np.unique(mix(window + mix(row[of].astype(U64))),
                                          return_index=True, return_inverse=True)
-            distance = np.empty(len(first), dtype=np.int64)
+            found = np.empty((2, len(first)), dtype=np.int64)
             step = max(1, min(BATCH, BATCH_WORDS // n))
             for lo in range(0, len(first), step):
                 part = of[first[lo:lo + step]]
-                distance[lo:lo + step] = distances_within(
-                    hashes[start[part][:, None] + np.arange(n)], self.padded(row[part]), n, k)
-            distance = distance[number.ravel()]
+                found[:, lo:lo + step] = distances_within(self.padded(row[part]), self.windows(
+                    hashes, room, start[part], np.full(len(part), n)), k)
+            distance, length = found[:, number.ravel()]
             good = distance <= k
-            out.append(np.stack([start[of][good], row[of][good], distance[good]]))
+            out.append(np.stack([start[of][good], row[of][good], distance[good], length[good]]))
         return np.concatenate(out, axis=1)
 
-    def match(self, hashes: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-        """Rows window number, item row, distance of all leaks."""
-        out = [np.zeros((3, 0), np.int64)]
+    def match(self, hashes: np.ndarray, room: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Rows window number, item row, distance, words of all leaks."""
+        out = [np.zeros((4, 0), np.int64)]
         kinds = length_class(size)
         for kind, repetitions in self.repetitions.items():
             of = np.flatnonzero(kinds == kind)
@@ -301,46 +303,46 @@ class Index:
             step = max(1, min(BATCH, BATCH_WORDS // width))
             for lo in range(0, len(of), step):
                 part = of[lo:lo + step]
-                found = self.match_class(hashes, start[part], size[part], kind, repetitions)
+                found = self.match_class(hashes, room, start[part], size[part], kind, repetitions)
                 found[0] = part[found[0]]
                 out.append(found)
         return np.concatenate(out, axis=1)
 
-    def match_class(self, hashes: np.ndarray, s: np.ndarray, n: np.ndarray, kind: int,
+    def match_class(self, hashes: np.ndarray, room: np.ndarray, s: np.ndarray, n: np.ndarray, kind: int,
                     repetitions: list[Repetition] | None) -> np.ndarray:
-        width = int(n.max())
-        at = np.minimum(s[:, None] + np.arange(width), len(hashes) - 1)
-        words = np.where(np.arange(width) < n[:, None], hashes[at], U64(0))
-        # equal windows are compared once
-        words, number = np.unique(words, axis=0, return_inverse=True)
-        number = number.ravel()
-        sizes = np.zeros(len(words), dtype=np.int64)
-        sizes[number] = n
+        # equal windows of items of one size are compared once
+        both = np.concatenate([n[:, None].astype(U64), self.windows(hashes, room, s, n)], axis=1)
+        both, number = np.unique(both, axis=0, return_inverse=True)
+        number, sizes, words = number.ravel(), both[:, 0].astype(np.int64), both[:, 1:]
+        # embedded are as many words as the item has
+        head = np.zeros((len(words), max(int(n.max()), words.shape[1])), dtype=U64)
+        head[:, :words.shape[1]] = words
+        head = np.where(np.arange(head.shape[1]) < sizes[:, None], head, U64(0))
         if repetitions is None:  # no seed is known here: all items of the class
             rows = np.flatnonzero(self.kind == kind)
             pair = (np.arange(len(words))[:, None] * len(self.items) + rows).ravel()
         else:
             candidates = []
             for r, (known, row) in zip(repetitions, self.keys[kind]):
-                key = embed_keys(words, sizes, r)
+                key = embed_keys(head, sizes, r)
                 a, b = np.searchsorted(known, key, "left"), np.searchsorted(known, key, "right")
                 candidates.append(np.repeat(np.arange(len(words)), b - a) * len(self.items) + row[spans(a, b - a)])
             pair = np.unique(np.concatenate(candidates))
         window, item = pair // len(self.items), pair % len(self.items)
         good = sizes[window] == self.sizes[item]
         window, item = window[good], item[good]
-        distance = np.zeros(len(window), dtype=np.int64)
+        distance, length = np.zeros((2, len(window)), dtype=np.int64)
         for m in np.unique(self.sizes[item]):
-            rows = np.flatnonzero(self.sizes[item] == m)
-            distance[rows] = distances_within(words[window[rows], :m], self.padded(item[rows]),
-                                              int(m), allowed(int(m), self.rate))
+            rows, k = np.flatnonzero(self.sizes[item] == m), allowed(int(m), self.rate)
+            distance[rows], length[rows] = distances_within(
+                self.padded(item[rows]), words[window[rows], :m + k], k)
         good = distance <= self.k[item]
-        window, item, distance = window[good], item[good], distance[good]
+        window, item, distance, length = window[good], item[good], distance[good], length[good]
         # back to all windows with these words
         by = np.argsort(number, kind="stable")
         first = np.searchsorted(number[by], np.arange(len(words) + 1))
         c = np.diff(first)[window]
-        return np.stack([by[spans(first[window], c)], np.repeat(item, c), np.repeat(distance, c)])
+        return np.stack([by[spans(first[window], c)], *(np.repeat(x, c) for x in (item, distance, length))])
 
 
 def leaks_of(texts: pa.Array, index: Index) -> list[tuple[int, int, int, int, int]]:
@@ -350,14 +352,13 @@ def leaks_of(texts: pa.Array, index: Index) -> list[tuple[int, int, int, int, in
     if not len(w) or not index.items:
         return []
     hashes, text = w.hashes(), w.text_of_word()
-    start, item, distance = index.leaks(hashes, w.room())
     best: dict = {}
-    for at, i, d in zip(start.tolist(), item.tolist(), distance.tolist()):
-        key, found = (int(text[at]), i), (d, at)
+    for at, i, d, n in index.leaks(hashes, w.room()).T.tolist():
+        key, found = (int(text[at]), i), (d, at, n)
         if key not in best or found < best[key]:
             best[key] = found
-    return [(t, index.items[i][0], at - int(w.first[t]), int(index.sizes[i]), d)
-            for (t, i), (d, at) in sorted(best.items())]
+    return [(t, index.items[i][0], at - int(w.first[t]), n, d)
+            for (t, i), (d, at, n) in sorted(best.items())]
 
 
 def item_blocks(items: DataFrame, rate: float = EDIT_RATE) -> Iterator[Index]:

@@ -74,14 +74,19 @@ def statistics(text):
     return (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), duplicate, len(covered))
 
 
-def edit_distance(a, b):
+def edit_rows(a, b):
+    """Edit distances of ``a`` to all beginnings of ``b``."""
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
         new = [i]
         for j, y in enumerate(b, 1):
             new.append(min(row[j - 1] + (x != y), row[j] + 1, new[-1] + 1))
         row = new
-    return row[-1]
+    return row
+
+
+def edit_distance(a, b):
+    return edit_rows(a, b)[-1]
 
 
 def leaks(docs, items, rate):
@@ -90,8 +95,9 @@ def leaks(docs, items, rate):
         w = words((t or "").lower())
         for i, x in items:
             v = words((x or "").lower())
-            found = [(edit_distance(w[s:s + len(v)], v), s) for s in range(len(w) - len(v) + 1)] if v else []
-            if found and min(found)[0] <= int(rate * len(v)):
+            k = int(rate * len(v))
+            found = [(min(edit_rows(v, w[s:s + len(v) + k])), s) for s in range(len(w))] if v else []
+            if found and min(found)[0] <= k:
                 out[d, i] = min(found)
     return out
 

@@ -100,26 +100,59 @@ def test_decontamination(spark, odd, rows):
     assert decontaminate.find_leaks(odd, table.limit(0)).count() == 0
 
 
-def test_edit_distances_and_recall():
+def test_distances_to_the_best_beginning():
     rng = np.random.default_rng(3)
-    for n in (1, 5, 17):
-        a, b = (rng.integers(1, 4, (40, n)).astype(np.uint64) for _ in range(2))
-        assert decontaminate.edit_distances(a, b, n).tolist() == [
-            brute.edit_distance(x, y) for x, y in zip(a.tolist(), b.tolist())]
-    items = [(i, rng.integers(1, 1 << 62, n).astype(np.uint64)) for i, n in enumerate((12, 20, 35, 50))]
-    index = decontaminate.Index(items, decontaminate.EDIT_RATE)
-    wanted = missed = 0
-    for row, trial in itertools.product(range(len(items)), range(60)):
-        n, k = int(index.sizes[row]), int(index.k[row])
-        copy = decontaminate.edited(items[row][1], k, rng)
-        if decontaminate.edit_distances(copy[None], items[row][1][None], n)[0] > k:
-            continue
-        text = np.concatenate([rng.integers(1, 1 << 62, 30).astype(np.uint64), copy,
-                               rng.integers(1, 1 << 62, 30).astype(np.uint64)])
-        start, size = index.starts(text, np.arange(len(text), 0, -1))
-        wanted += 1
-        missed += row not in index.match(text, start, size)[1]
-    assert wanted > 50 and missed <= 0.03 * wanted
+    for n, width in ((1, 1), (5, 7), (17, 14), (17, 20)):
+        a, b = rng.integers(1, 4, (40, n)).astype(np.uint64), rng.integers(1, 4, (40, width)).astype(np.uint64)
+        for k in (3, 99):
+            distance, length = decontaminate.distances_within(a, b, k)
+            rows = [brute.edit_rows(x, y) for x, y in zip(a.tolist(), b.tolist())]
+            assert distance.tolist() == [min(min(r), k + 1) for r in rows]
+            assert all(r[m] == d for r, m, d in zip(rows, length.tolist(), distance.tolist()) if d <= k)
+
+
+@pytest.mark.parametrize("alone", [False, True])
+@pytest.mark.parametrize("share", [0.5, 1.0])
+def test_recall_of_unclipped_edits(share, alone):
+    """Items of 15 to 400 words after half and all of the allowed edits, of any kind, inside
+    a text or as all of it."""
+    rng = random.Random(int(10 * share) + alone)
+    word = lambda: f"w{rng.randrange(10 ** 9)}"
+    sizes = [15, 24, 40, 59, 100, 150, 400]
+    items = [[word() for _ in range(n)] for n in sizes for _ in range(8)]
+    w = Words(pa.array([" ".join(x) for x in items]))
+    h = w.hashes()
+    index = decontaminate.Index([(i, h[a:b]) for i, (a, b) in enumerate(zip(w.first, w.first[1:]))],
+                                decontaminate.EDIT_RATE)
+    texts, wanted = [], []
+    for row, item in enumerate(items):
+        for _ in range(8):
+            copy = list(item)
+            for _ in range(int(share * decontaminate.allowed(len(item)))):
+                kind, at = rng.randrange(3), rng.randrange(len(copy))
+                if kind == 0:
+                    copy[at] = word()
+                elif kind == 1:
+                    copy.insert(at, word())
+                else:
+                    del copy[at]
+            around = [[word() for _ in range(0 if alone else 30)] for _ in range(2)]
+            texts.append(" ".join(around[0] + copy + around[1]))
+            wanted.append((len(texts) - 1, row))
+    found = {(t, i) for t, i, *_ in decontaminate.leaks_of(pa.array(texts), index)}
+    assert found <= set(wanted)
+    for n in sizes:
+        of = [x for x in wanted if len(items[x[1]]) == n]
+        assert len(found & set(of)) >= 0.9 * len(of), n
+    # a word left out, and nothing else
+    short = pa.array([" ".join(x[:7] + x[8:]) for x in items])
+    assert len(decontaminate.leaks_of(short, index)) == len(items)
+
+
+def test_leaks_in_no_documents(spark, none):
+    table = spark.createDataFrame([(1, "some words of an item that is long enough")], "item_id long, text string")
+    found = decontaminate.find_leaks(none, table)
+    assert found.columns == ["doc_id", "item_id", "start", "n_words", "distance"] and found.count() == 0
 
 
 def test_recall_of_each_length():
