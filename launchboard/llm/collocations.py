@@ -6,9 +6,10 @@ into words at spaces and tabs. Everything is counted per language (null: ``und``
 word of two languages is two words.
 
 1. Each shard, some ``SHARD_BYTES`` of text, becomes a sequence of word numbers with
-   separators between pieces, written once. Word counts of all shards are summed; only
-   words of ``min_count`` occurrences get a global number, as no frequent phrase has
-   others. The rest separate as well.
+   separators between pieces, written once. Word counts of all shards are summed by hash
+   first, which leaves out nearly all rare words; those that remain are summed as they are,
+   and words of ``min_count`` occurrences get a global number. No frequent phrase has
+   others: the rest separate as well.
 2. A bidirectional FM-index (see ``fm_index``) of each sequence is written. From the
    words on, patterns are extended by one word, to the right and to the left in turn,
    up to ``DEPTH`` words.
@@ -33,6 +34,7 @@ rows; other columns are ignored.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -111,24 +113,95 @@ class _Shard:
         sequence[np.arange(len(of)) + np.cumsum(pieces.opens)] = local[of]
         self.parts.append(sequence)
 
-    def rows(self) -> Iterator[pa.RecordBatch]:
-        """The sequence, and its words in batches."""
-        sequence = np.concatenate(self.parts) if self.parts else np.zeros(0, np.int32)
-        names = ["shard", "n_bytes", "payload", "local", "lang", "word", "n"]
-        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.string(), pa.string(), pa.int64()]
-        body = pa.compress(sequence.tobytes(), codec="zstd", asbytes=True)
-        yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(
-            [self.number, self.size, len(sequence).to_bytes(8, "little") + body, None, None, None, None], kinds)], names)
-        count = np.bincount(sequence, minlength=self.count + 1)
+    def row(self) -> pa.RecordBatch:
+        """The sequence, and its words in the order of their numbers."""
+        langs, words = [""] * self.count, [b""] * self.count
         for lang, known in self.numbers.items():
-            local, words = np.fromiter(known.values(), np.int32, len(known)), list(known)
-            for lo in range(0, len(words), 50_000):
-                part = slice(lo, lo + 50_000)
-                n = len(words[part])
+            for word, k in known.items():
+                langs[k - 1], words[k - 1] = lang, word
+        sequence = np.concatenate(self.parts)
+        body = pa.compress(sequence.tobytes(), codec="zstd", asbytes=True)
+        return pa.RecordBatch.from_arrays([
+            pa.array([self.number], pa.int64()), pa.array([self.size], pa.int64()),
+            pa.array([len(sequence).to_bytes(8, "little") + body], pa.binary()),
+            pa.array([_pack_words(langs, words)], pa.binary())], ["shard", "n_bytes", "payload", "words"])
+
+
+def _pack_words(langs: list[str], words: list[bytes]) -> bytes:
+    sink = pa.BufferOutputStream()
+    batch = pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(words, pa.binary())], ["lang", "word"])
+    with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(batch)
+    return sink.getvalue().to_pybytes()
+
+
+def _sequence(body: bytes) -> np.ndarray:
+    n = int.from_bytes(body[:8], "little")
+    return np.frombuffer(pa.decompress(body[8:], 4 * n, codec="zstd", asbytes=True), np.int32)
+
+
+def _words_of(payload: bytes, words: bytes) -> tuple[pa.RecordBatch, np.ndarray, np.ndarray]:
+    """(lang and word by number, count of each, 64-bit hash of each)."""
+    with pa.ipc.open_stream(words) as source:
+        known = source.read_next_batch()
+    count = np.bincount(_sequence(payload), minlength=known.num_rows + 1)[1:]
+    # words hold no white space, so that joined they are the words of a text
+    hashes = Words(pa.array([b" ".join(known.column(1).to_pylist())], pa.binary())).hashes()
+    lang = known.column(0).dictionary_encode()
+    of_lang = np.array([zlib.crc32(x.encode()) for x in lang.dictionary.to_pylist()], dtype=U64)
+    return known, count, mix(hashes ^ mix(of_lang)[np.asarray(lang.indices)])
+
+
+def _ask_words(shards: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                _, count, hashes = _words_of(batch.column(1)[i].as_py(), batch.column(2)[i].as_py())
+                for k, at in by_shard(hashes, shards):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([k], pa.int32()), batch.column(0).slice(i, 1),
+                         pa.array([(hashes[at] >> U64(32)).astype(np.uint32).tobytes()], pa.binary()),
+                         pa.array([count[at].astype(np.uint32).tobytes()], pa.binary())],
+                        ["hash_shard", "shard", "hashes", "counts"])
+    return run
+
+
+def _answer_words(min_count: int):
+    """A bit for each word: whether words of its hash are frequent together."""
+    def run(table: pa.Table) -> pa.Table:
+        hashes = [np.frombuffer(x, np.uint32) for x in table["hashes"].to_pylist()]
+        counts = np.concatenate([np.frombuffer(x, np.uint32) for x in table["counts"].to_pylist()])
+        _, number = np.unique(np.concatenate(hashes), return_inverse=True)
+        good = (np.bincount(number, counts) >= min_count)[number]
+        cuts = np.cumsum([0, *map(len, hashes)])
+        return pa.table({"shard": table["shard"], "hash_shard": table["hash_shard"], "body": pa.array(
+            [np.packbits(good[a:b]).tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())})
+    return run
+
+
+def _candidates(shards: int):
+    """Words of frequent hashes, and in a row without a word all words of a language."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                known, count, hashes = _words_of(batch.column(1)[i].as_py(), batch.column(2)[i].as_py())
+                bodies = {r["hash_shard"]: r["body"] for r in batch.column(3)[i].as_py()}
+                good = np.zeros(len(hashes), dtype=bool)
+                for k, at in by_shard(hashes, shards):
+                    good[at] = np.unpackbits(np.frombuffer(bodies[k], np.uint8), count=len(at)) > 0
+                lang = known.column(0).dictionary_encode()
+                totals = np.bincount(np.asarray(lang.indices), count, len(lang.dictionary)).astype(np.int64)
+                some = pa.array(np.flatnonzero(good))
+                n = len(some) + len(totals)
+                none = len(totals)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([self.number] * n, kinds[0]), pa.nulls(n, kinds[1]), pa.nulls(n, kinds[2]),
-                    pa.array(local[part]), pa.array([lang] * n, kinds[4]),
-                    pa.array(words[part], pa.binary()).cast(pa.string()), pa.array(count[local[part]])], names)
+                    pa.array(np.full(n, batch.column(0)[i].as_py())),
+                    pa.array(np.r_[np.asarray(some) + 1, np.zeros(none)].astype(np.int32)),
+                    pa.concat_arrays([known.column(0).take(some), lang.dictionary]),
+                    pa.concat_arrays([known.column(1).take(some).cast(pa.string()), pa.nulls(none, pa.string())]),
+                    pa.array(np.r_[count[np.asarray(some)], totals].astype(np.int64))],
+                    ["shard", "local", "lang", "word", "n"])
+    return run
 
 
 def _sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,19 +210,18 @@ def _sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for block in blocks(batches, "text", BLOCK_BYTES):
         shard.add(block)
         if shard.size >= SHARD_BYTES:
-            yield from shard.rows()
+            if shard.parts:
+                yield shard.row()
             shard = _Shard(shard.number + 1)
     if shard.parts:
-        yield from shard.rows()
+        yield shard.row()
 
 
 def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The index of each shard's sequence of frequent words."""
     for batch in batches:
         for i in range(batch.num_rows):
-            body = batch.column(1)[i].as_py()
-            n = int.from_bytes(body[:8], "little")
-            sequence = np.frombuffer(pa.decompress(body[8:], 4 * n, codec="zstd", asbytes=True), np.int32)
+            sequence = _sequence(batch.column(1)[i].as_py())
             known = batch.column(2).slice(i, 1).flatten()
             local, number = (np.asarray(known.field(k)) for k in ("local", "number"))
             symbol = np.zeros(max(int(sequence.max(initial=0)), int(local.max(initial=0))) + 1, dtype=np.int64)
@@ -270,20 +342,27 @@ def frequent_phrases(docs: DataFrame, scratch: Scratch, min_count: int = MIN_COU
     on, are the numbers of the phrase less its last and less its first word."""
     spark = docs.sparkSession
     source = docs.select("text", F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"))
-    written = scratch.keep(source.mapInArrow(
-        _sequences, "shard long, n_bytes long, payload binary, local int, lang string, word string, n long"), "sequences")
-    sequences = written.where("payload is not null").select("shard", "n_bytes", "payload")
-    entries = written.where("payload is null").select("shard", "local", "lang", "word", "n")
+    sequences = scratch.keep(source.mapInArrow(
+        _sequences, "shard long, n_bytes long, payload binary, words binary"), "sequences")
+    size = sequences.agg(F.sum("n_bytes")).first()[0] or 0
+    shards = max(1, -(-size // HASH_SHARD_BYTES))
+    bits = scratch.keep(sequences.select("shard", "payload", "words").mapInArrow(
+        _ask_words(shards), "hash_shard int, shard long, hashes binary, counts binary")
+        .repartition(shards, "hash_shard").groupBy("hash_shard").applyInArrow(
+        _answer_words(min_count), "shard long, hash_shard int, body binary"), "word-bits")
+    per_shard = bits.groupBy("shard").agg(F.collect_list(F.struct("hash_shard", "body")).alias("replies"))
+    written = scratch.keep(sequences.join(per_shard.hint("shuffle_hash"), "shard").select(
+        "shard", "payload", "words", "replies").mapInArrow(
+        _candidates(shards), "shard long, local int, lang string, word string, n long"), "entries")
+    entries = written.where("word is not null")
+    totals = scratch.keep(written.where("word is null").groupBy("lang").agg(F.sum("n").alias("n")), "totals")
     counted = scratch.keep(entries.groupBy("lang", "word").agg(F.sum("n").alias("a")), "words")
-    totals = counted.groupBy("lang").agg(F.sum("a").alias("n"))
     scratch.release()
     # once written, ids by partition and row are fixed; mixed they are small and pack well
     words = scratch.keep(counted.where(F.col("a") >= min_count).withColumn(
         "id", F.monotonically_increasing_id()), "frequent-words")
     parts = (words.agg(F.max(F.shiftright("id", 33))).first()[0] or 0) + 1
     words = words.withColumn("number", F.col("id").bitwiseAND((1 << 33) - 1) * parts + F.shiftright("id", 33))
-    size = sequences.agg(F.sum("n_bytes")).first()[0] or 0
-    shards = max(1, -(-size // HASH_SHARD_BYTES))
     of_shard = entries.join(words.select("lang", "word", "number"), ["lang", "word"]).groupBy("shard").agg(
         F.collect_list(F.struct("local", "number")).alias("known"))
     indexes = scratch.keep(sequences.join(of_shard.hint("shuffle_hash"), "shard").select("shard", "payload", "known").mapInArrow(
