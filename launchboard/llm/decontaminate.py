@@ -96,20 +96,24 @@ def embed_keys(words: np.ndarray, sizes: np.ndarray, r: Repetition) -> np.ndarra
     moving every other step, needs to see them all."""
     n_rows = len(words)
     places = np.sort((r.places[None, :] * 2 * sizes[:, None]).astype(np.int64), axis=1)
-    at = np.zeros(n_rows, dtype=np.int64)
     key = mix(sizes.astype(U64) + U64(r.seed))
+    if not n_rows:
+        return key
+    steps = int(places.max()) + 1
+    # the pointer moves on once a step at most, and reads 0 behind a row's words
+    width = max(steps, words.shape[1])
+    padded = np.zeros((n_rows, width), dtype=U64)
+    padded[:, :words.shape[1]] = words
+    flat, at = padded.ravel(), np.arange(n_rows) * width
+    seen = np.empty((steps, n_rows), dtype=U64)
+    salts = mix(np.arange(1, steps + 1, dtype=U64) * U64(0xD6E8FEB86659FD93) + U64(r.seed))
+    for step in range(steps):
+        word = np.take(flat, at, out=seen[step])
+        # the words are hashes: one multiplication spreads what the salt changes
+        at += (((word ^ salts[step]) * U64(0x9E3779B97F4A7C15)) >> U64(63)).astype(np.int64)
     rows = np.arange(n_rows)
-    last = int(places.max()) if n_rows else -1
-    padded = np.concatenate([words, np.zeros((n_rows, 1), U64)], axis=1)
-    with np.errstate(over="ignore"):
-        for step in range(last + 1):
-            word = padded[rows, np.minimum(at, sizes)]
-            # a place that was drawn twice writes its word twice
-            for hit in (places == step).T:
-                if hit.any():
-                    key = np.where(hit, mix(key * U64(0x9E3779B97F4A7C15) + word), key)
-            bit = mix(word + U64(r.seed) * U64(0xD6E8FEB86659FD93) + U64(step)) & U64(1)
-            at += bit.astype(np.int64)
+    for column in places.T:
+        key = mix(key * U64(0x9E3779B97F4A7C15) + seen[column, rows])
     return key
 
 
