@@ -67,28 +67,38 @@ REQUEST = "shard int, slice long, hashes binary, marks binary"
 REPLY = "slice long, level int, shard int, body binary"
 
 _BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
-_powers: dict[int, np.ndarray] = {}
+#: Places whose powers are kept; those of later ones are products of two.
+_CHUNK = 1 << 16
 
 
-def _power(base: int, n: int) -> np.ndarray:
-    table = _powers.get(base)
-    if table is None or len(table) < n:
-        size = max(n, 1 << 16, 0 if table is None else 2 * len(table))
-        table = _powers[base] = np.cumprod(np.r_[U64(1), np.full(size - 1, base, dtype=U64)], dtype=U64)
-    return table
+def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of ``base`` below ``_CHUNK``, and those at the multiples of it up to ``n``."""
+    def table(factor: int, size: int) -> np.ndarray:
+        return np.cumprod(np.r_[U64(1), np.full(size - 1, factor, dtype=U64)], dtype=U64)
+    return table(base, _CHUNK), table(pow(base, _CHUNK, 1 << 64), n // _CHUNK + 1)
 
 
 class SubstringHashes:
-    """64-bit hashes of any substrings of a byte string, from sums of its prefixes."""
+    """64-bit hashes of any substrings of a byte string, from sums of its prefixes.
+    The sums are all that is kept of a position; the rest is worked out in chunks."""
 
     def __init__(self, data: np.ndarray, base: int):
         codes = mix(np.arange(1, 257, dtype=U64) * U64(base))
+        low, high = _powers(base, len(data))
         self.sums = np.zeros(len(data) + 1, dtype=U64)
-        np.cumsum(codes[data] * _power(base, len(data))[:len(data)], dtype=U64, out=self.sums[1:])
-        self.back = _power(pow(base, -1, 1 << 64), len(data) + 1)
-
-    def of(self, start: np.ndarray, length: np.ndarray | int) -> np.ndarray:
-        return mix((self.sums[start + length] - self.sums[start]) * self.back[start])
+        for lo in range(0, len(data), _CHUNK):
+            code = codes[data[lo:lo + _CHUNK]]
+            sums = np.cumsum(code * low[:len(code)], dtype=U64) * high[lo // _CHUNK]
+            self.sums[lo + 1:lo + len(code) + 1] = sums + self.sums[lo]
+        self.low, self.high = _powers(pow(base, -1, 1 << 64), len(data))
+
+    def of(self, start: np.ndarray, length: int) -> np.ndarray:
+        out = np.empty(len(start), dtype=U64)
+        for lo in range(0, len(start), _CHUNK):
+            at = start[lo:lo + _CHUNK]
+            back = self.low[at % _CHUNK] * self.high[at // _CHUNK]
+            out[lo:lo + len(at)] = mix((self.sums[at + length] - self.sums[at]) * back)
+        return out
 
 
 def cover_for(window: int) -> tuple[int, np.ndarray]:
@@ -165,7 +175,7 @@ class SliceSuffixes:
         """For each distinct rank, the least and the greatest distance from which an open
         window of the slice reaches it; (255, 0) for none."""
         bare = np.cumsum(np.r_[np.int32(0), ~self.covered], dtype=np.int32)
-        opened = np.flatnonzero(bare[self.window:] > bare[:max(len(bare) - self.window, 0)])
+        opened = np.flatnonzero(bare[self.window:] > bare[:max(len(bare) - self.window, 0)]).astype(np.int32)
         lo, hi = self._reaching()
         some = np.flatnonzero((lo <= hi) & (self.kind != OWN))
         first, last = np.searchsorted(opened, lo[some]), np.searchsorted(opened, hi[some], side="right") - 1
@@ -186,7 +196,7 @@ class SliceSuffixes:
         change = np.zeros(len(self.data) + 1, dtype=np.int32)
         np.add.at(change, lo[some], 1)
         np.add.at(change, hi[some] + 1, -1)
-        at = np.flatnonzero(np.cumsum(change, dtype=np.int32)[:-1])
+        at = np.flatnonzero(np.cumsum(change, dtype=np.int32)[:-1]).astype(np.int32)
         return at, Distinct(self.first_hash.of(at, self.window))
 
 
@@ -194,13 +204,15 @@ class Distinct:
     """Distinct ones of some 64-bit values, in order. Shards are ranges of the values."""
 
     def __init__(self, values: np.ndarray):
-        order = np.argsort(values, kind="stable")
+        # numbers of 32 bits: a slice's values are fewer
+        order = np.argsort(values, kind="stable").astype(np.int32)
         ordered = values[order]
         new = np.r_[True, ordered[1:] != ordered[:-1]][:len(order)]
         self.values, self.first = ordered[new], order[new]
+        del ordered
         #: which distinct value each value is
-        self.number = np.empty(len(order), dtype=np.int64)
-        self.number[order] = np.cumsum(new) - 1
+        self.number = np.empty(len(order), dtype=np.int32)
+        self.number[order] = np.cumsum(new, dtype=np.int32) - 1
         head = np.flatnonzero(new)
         self.several = np.diff(np.r_[head, len(order)]) > 1
 

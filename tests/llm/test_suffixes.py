@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -96,3 +97,22 @@ def test_query(spark):
     assert found.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
     assert [t for _, t in found.dtypes] == ["bigint"] * 4 + ["string"]
     assert sorted(map(tuple, found.collect())) == sorted(expected)
+
+
+def test_hashes_hold_little_more_than_their_sums():
+    """Nothing of a slice's size stays or comes on top but 8 bytes a position; chunks agree."""
+    rng = np.random.default_rng(5)
+    half = rng.integers(0, 256, 1_000_003, dtype=np.uint8)
+    data = np.r_[half, half]  # the copy lies at other places of its chunks
+    tracemalloc.start()
+    try:
+        hashes = suffixes.SubstringHashes(data, suffixes._BASES[0])
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 10 * len(data) + (6 << 20)
+    at = np.arange(len(half) - 200)
+    found = hashes.of(at, 200)
+    assert (found == hashes.of(at + len(half), 200)).all()
+    assert len(np.unique(found)) == len(at)
+    assert (np.diff(suffixes.Distinct(found).first.astype(np.int64)[suffixes.Distinct(found).number]) == 1).all()
