@@ -55,6 +55,8 @@ MAX_REPETITIONS = 512
 #: Steps of all walks of a window: beyond, comparing the seeded items is cheaper.
 MAX_STEPS = 1 << 14
 BLOCK_ITEM_BYTES = 4 << 20
+#: Text that a task holds at a time.
+BLOCK = 2 << 20
 #: Windows that are embedded or compared together, and words of all of them.
 BATCH = 1 << 15
 BATCH_WORDS = 1 << 21
@@ -388,7 +390,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, rate: float = EDIT_RATE) -> Da
         shared = spark.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for block in blocks(batches, "text"):
+            for block in blocks(batches, "text", BLOCK):
                 found = leaks_of(block.column(1), shared.value)
                 if found:
                     text, *rest = zip(*found)
@@ -407,7 +409,7 @@ def drop_leaking(docs: DataFrame, items: DataFrame, rate: float = EDIT_RATE) ->
         shared = spark.sparkContext.broadcast(index)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for block in blocks(batches, "text"):
+            for block in blocks(batches, "text", BLOCK):
                 text = block.column(block.schema.get_field_index("text"))
                 keep = np.ones(block.num_rows, dtype=bool)
                 keep[[t for t, *_ in leaks_of(text, shared.value)]] = False

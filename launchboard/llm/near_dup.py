@@ -57,6 +57,8 @@ SIGMAS = 6.0
 #: Values of the second sketches to a hash shard, and the largest count that is told apart.
 SHARD_VALUES = 1 << 20
 MOST = (1 << 16) - 1
+#: Text that a task holds at a time, and that of a block of second sketches.
+BLOCK, SECOND_BLOCK = 1 << 20, 2 << 20
 #: Hubs of a list in the first round, and their growth from round to round.
 HUBS, GROWTH = 2.0, 16.0
 
@@ -93,7 +95,7 @@ def text_hash() -> Column:
 def sketches(docs: DataFrame, words: int, size: int = SKETCH) -> DataFrame:
     """(doc_id, text_hash, n_shingles, digest, digest2, sketch) per row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", BLOCK):
             sets = shingle_sets(block.column(1), words)
             digests = np.array([set_digest(s) for s in sets], dtype=np.int64).reshape(-1, 2)
             least = [s[:size] for s in sets]
@@ -135,7 +137,7 @@ def _second_sketches(texts: DataFrame, words: int, scratch: Scratch) -> DataFram
     """Blocks of classes with their ``SECOND`` least values, as packed arrays."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", SECOND_BLOCK):
             sets = shingle_sets(block.column(1), words)
             least = np.concatenate([s[:SECOND] for s in sets])
             yield pa.RecordBatch.from_arrays([
@@ -206,7 +208,7 @@ def _second_index(texts: DataFrame, words: int, percent: int, scratch: Scratch)
         ask, "shard int, block long, hashes binary, counts binary").repartition(shards, "shard").groupBy(
         "shard").applyInArrow(answer, "block long, shard int, df binary"), "second-counts")
     replies = answers.groupBy("block").agg(F.collect_list(F.struct("shard", "df")).alias("replies"))
-    listed = scratch.keep(sketches.join(replies, "block").select("nodes", "sizes", "least", "replies").mapInArrow(
+    listed = scratch.keep(sketches.join(replies.hint("shuffle_hash"), "block").select("nodes", "sizes", "least", "replies").mapInArrow(
         members, "value long, node long, n long, place long"), "second-index")
     df = listed.groupBy("value").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
     return listed.join(df, "value")
@@ -258,7 +260,7 @@ def _texts(docs: DataFrame, classes: DataFrame, members: DataFrame, words: int)
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # rows that repeat an id may have another text
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", BLOCK):
             nodes = block.column(0).to_pylist()
             digests = [set_digest(s)[0] for s in shingle_sets(block.column(1), words)]
             yield block.filter(pa.array([n == d for n, d in zip(nodes, digests)]))

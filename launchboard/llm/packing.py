@@ -35,6 +35,8 @@ from launchboard.llm.store import Scratch
 from launchboard.llm.words import Words, blocks
 
 SEQUENCE_TOKENS = 4096
+#: Text that a task holds at a time.
+BLOCK = 2 << 20
 END_ID = 1
 
 #: Entries of a worker's table of encoded units; a full table starts anew.
@@ -157,7 +159,7 @@ PIECE_SCHEMA = ("doc_id long, piece int, start long, length long, ids_crc32 long
 def _cut(path: str, sequence: int, end_id: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = WordEncoder.of(path)
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", BLOCK):
             ids, counts = encoder.encode(block.column(1))
             first = np.cumsum(counts + 1) - counts - 1
             closed = np.full(len(ids) + len(counts), end_id, dtype="<u4")
@@ -305,8 +307,14 @@ def pack(docs: DataFrame, tokenizer_path: str, sequence: int = SEQUENCE_TOKENS,
     written once, so the numbers hold even when a task is run again."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "packing")
-    rows = pieces(docs, tokenizer_path, sequence, end_id, with_ids)
-    rows = scratch.keep(rows.mapInArrow(_number, PIECE_SCHEMA + ", __task int, __nth long"), "pieces")
+    cut = _cut(tokenizer_path, sequence, end_id, with_ids)
+
+    def numbered_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # in one worker: two steps of a plan would hold two in each task
+        yield from _number(cut(batches))
+
+    rows = scratch.keep(docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(
+        numbered_pieces, PIECE_SCHEMA + ", __task int, __nth long"), "pieces")
     # a row per task and length; numbers of a length start where earlier tasks ended
     counts = rows.groupBy("__task", "length").agg(F.count(F.lit(1)).alias("n"))
     firsts = scratch.keep(counts.select(

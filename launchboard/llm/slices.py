@@ -18,11 +18,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from launchboard.llm.store import Scratch
+from launchboard.llm.store import ARROW_BATCH_BYTES, Scratch
 from launchboard.llm.words import U64, blocks
 
 SCHEMA = "slice long, n_bytes long, payload binary"
 
+#: Text of a slice at most: a little more than an Arrow batch, which so leaves no small rest.
+SLICE_BYTES = int(ARROW_BATCH_BYTES) * 5 // 4
 #: Bytes of text per shard.
 SHARD_BYTES = 8 << 20
 
@@ -31,7 +33,7 @@ _ZSTD = pa.ipc.IpcWriteOptions(compression="zstd")
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     number = TaskContext.get().partitionId() << 32
-    for block in blocks(batches, "text"):
+    for block in blocks(batches, "text", SLICE_BYTES):
         sink = pa.BufferOutputStream()
         # take() copies, so that the file holds the block's rows alone
         block = block.take(pa.array(np.arange(block.num_rows)))

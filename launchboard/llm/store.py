@@ -17,7 +17,7 @@ from launchboard.plans.session import checkpoint_dir, drop_at_exit
 
 
 _BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
-ARROW_BATCH_BYTES = str(8 << 20)
+ARROW_BATCH_BYTES = str(4 << 20)
 
 
 def shared_root(spark: SparkSession) -> str:

@@ -444,3 +444,19 @@ def test_empty_tables(spark, none, tmp_path):
 def test_kept_text_digest():
     # Spark's sha2 of the kept text is the contract's digest
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+def test_packing_numbers_pieces_in_the_worker_that_cuts_them(spark, monkeypatch):
+    """Each Python step of a stage's plan holds a worker of its own in every task."""
+    steps = {}
+    keep = packing.Scratch.keep
+
+    def seen(self, df, name):
+        steps[name] = df._jdf.queryExecution().executedPlan().toString().count("MapInArrow")
+        return keep(self, df, name)
+
+    monkeypatch.setattr(packing.Scratch, "keep", seen)
+    docs = spark.createDataFrame([(1, "a b c"), (2, None), (3, "d " * 9000)], "doc_id long, text string")
+    found = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json")).collect()
+    assert steps["pieces"] == 1
+    assert sorted((r.doc_id, r.piece) for r in found) == [(1, 0), (2, 0), (3, 0), (3, 1), (3, 2)]
