@@ -118,15 +118,17 @@ def key_skew(rows: DataFrame, params: RunParams) -> dict[str, Skew]:
 
 def enrich(lines: DataFrame, dims: Dims, params: RunParams, skew: dict[str, Skew],
            with_product_done: bool = False) -> DataFrame:
-    """All dimension joins; returns FACT_COLUMNS. ``skew``: see key_skew."""
-    x = lines if with_product_done else with_product(lines, dims)
-    x = x.join(dims.calendar, x.order_paid_date == dims.calendar.date_id, "left")
-    x = x.join(dims.city, "city_cn", "left")
+    """All dimension joins; returns FACT_COLUMNS. ``skew``: see key_skew. The shuffle joins
+    by member and channel id come first, while lines are narrow; the columns of product,
+    calendar and city are not shuffled with them, nor joined once for each of their branches."""
     seed = ["parent_order_id", "sku_id"]
-    x = left_join_skewed(x, F.col("crm_key"), [(dims.member, "member_key")],
+    x = left_join_skewed(lines, F.col("crm_key"), [(dims.member, "member_key")],
                          seed, skew["crm_key"], params.null_bypass_share)
     x = left_join_skewed(x, F.col("type_value"), [(dims.tmall, "kyid"), (dims.douyin, "openid")],
                          seed, skew["type_value"], params.null_bypass_share)
+    x = x if with_product_done else with_product(x, dims)
+    x = x.join(dims.calendar, x.order_paid_date == dims.calendar.date_id, "left")
+    x = x.join(dims.city, "city_cn", "left")
     return x.select(
         "source_channel", "order_paid_time", "order_paid_date", "fiscal_year",
         "fiscal_month", "fiscal_week", "member_id", "member_detail_id", "join_date",

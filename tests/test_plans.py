@@ -1,6 +1,7 @@
 """Plan shape: no pair-producing joins, pushdown into the fact scan, NULL
 keys spread over partitions, size-checked broadcast."""
 
+import dataclasses
 import re
 import tempfile
 
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from launchboard.config import ANALYST_DEFAULTS
-from launchboard.operators.fact import admitted_lines
+from launchboard.operators.fact import admitted_lines, fact_enriched
 from launchboard.operators.joins import Skew, find_skew, left_join_skewed, proven_small
 from launchboard.plans import catalog
 from launchboard.sources.tables import NAMES, Inputs
@@ -88,3 +89,21 @@ def test_hot_key_is_split_and_matches_are_unchanged(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_lines_are_joined_with_products_once_and_last(spark, sf_dir):
+    """The joins by member and channel id shuffle narrow lines: above them, not in each of
+    their branches, products are joined."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        params = dataclasses.replace(ANALYST_DEFAULTS, max_broadcast_bytes=0, null_bypass_share=0.05)
+        found = fact_enriched(Inputs.from_testdata(spark, sf_dir), params)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "Union" in plan     # keyless lines have a branch of their own
+        joins = re.findall(r"Join LeftOuter, \((\w+)#\d+L? = (\w+)#", plan)
+        assert [sorted(j) for j in joins].count(["sku_id", "sku_id"]) == 1
+        depth = {k: min(len(line) - len(line.lstrip(" :+-")) for line in plan.splitlines() if k in line)
+                 for k in ("(sku_id#", "Union")}
+        assert depth["(sku_id#"] < depth["Union"]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
