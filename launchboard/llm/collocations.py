@@ -269,16 +269,29 @@ def _name(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mix(mix(left.astype(U64)) + right.astype(U64))
 
 
+def _squeeze(values: np.ndarray) -> bytes:
+    """Whole numbers, byte by byte of all: the high ones, nearly all zero, take no room."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _spread(body: bytes, n: int, kind: type) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    planes = np.frombuffer(pa.decompress(body, n * size, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(size, n).T).view(kind).ravel()
+
+
 def _write(number: np.ndarray) -> bytes:
     """Numbers, -1 for most: a bit each, then the others."""
     some = number >= 0
-    return np.packbits(some).tobytes() + number[some].tobytes()
+    return np.packbits(some).tobytes() + _squeeze(number[some])
 
 
 def _read(body: bytes, n: int) -> np.ndarray:
     cut = -(-n // 8)
     out = np.full(n, -1, dtype=np.int64)
-    out[np.unpackbits(np.frombuffer(body[:cut], np.uint8), count=n) > 0] = np.frombuffer(body[cut:], np.int64)
+    some = np.unpackbits(np.frombuffer(body[:cut], np.uint8), count=n) > 0
+    out[some] = _spread(body[cut:], int(some.sum()), np.int64)
     return out
 
 
@@ -297,8 +310,8 @@ def _ask(level: int, shards: int):
                     parts = left[at], right[at], new.size[at].astype(np.uint32)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([k], pa.int32()), batch.column(0).slice(i, 1),
-                         *(pa.array([x.tobytes()], pa.binary()) for x in parts)],
-                        ["hash_shard", "shard", "lefts", "rights", "counts"])
+                         pa.array([len(at)], pa.int32()), *(pa.array([_squeeze(x)], pa.binary()) for x in parts)],
+                        ["hash_shard", "shard", "n", "lefts", "rights", "counts"])
     return run
 
 
@@ -307,9 +320,10 @@ def _answer(level: int, shards: int, min_count: int):
     the order of its question, and the patterns themselves."""
     def run(table: pa.Table) -> pa.Table:
         part = table["hash_shard"][0].as_py()
-        lefts, rights = ([np.frombuffer(x, np.int64) for x in table[c].to_pylist()] for c in ("lefts", "rights"))
-        left, right = np.concatenate(lefts), np.concatenate(rights)
-        count = np.concatenate([np.frombuffer(x, np.uint32) for x in table["counts"].to_pylist()]).astype(np.int64)
+        sizes = table["n"].to_pylist()
+        left, right, count = (np.concatenate([_spread(x, n, kind) for x, n in zip(table[c].to_pylist(), sizes)])
+                              for c, kind in (("lefts", np.int64), ("rights", np.int64), ("counts", np.uint32)))
+        count = count.astype(np.int64)
         order = np.lexsort((right, left))
         new = np.r_[True, (left[order][1:] != left[order][:-1]) | (right[order][1:] != right[order][:-1])]
         head = order[new]
@@ -319,8 +333,8 @@ def _answer(level: int, shards: int, min_count: int):
         number = np.where(good, (np.cumsum(good) - 1) * shards + part, -1)
         answer = np.empty(len(left), dtype=np.int64)
         answer[order] = number[np.cumsum(new) - 1]
-        cuts = np.cumsum([0, *map(len, lefts)])
-        asked, kept = len(lefts), int(good.sum())
+        cuts = np.cumsum([0, *sizes])
+        asked, kept = len(sizes), int(good.sum())
         return pa.table({
             "shard": pa.concat_arrays([table["shard"].combine_chunks(), pa.nulls(kept, pa.int64())]),
             "level": pa.array([level] * (asked + kept), pa.int32()),
@@ -375,7 +389,7 @@ def frequent_phrases(docs: DataFrame, scratch: Scratch, min_count: int = MIN_COU
     asked, replies = indexes.select("shard", "payload", "numbers", empty), None
     for level in range(2, DEPTH + 1):
         questions = asked.mapInArrow(
-            _ask(level, shards), "hash_shard int, shard long, lefts binary, rights binary, counts binary")
+            _ask(level, shards), "hash_shard int, shard long, n int, lefts binary, rights binary, counts binary")
         answers = scratch.keep(questions.repartition(shards, "hash_shard").groupBy("hash_shard").applyInArrow(
             _answer(level, shards, min_count), ANSWER), f"answers-{level}")
         of_level = answers.where("body is not null").select("shard", "level", "hash_shard", "body")

@@ -114,3 +114,19 @@ def test_query(spark):
     assert [t for _, t in found.dtypes] == ["string", "bigint", "string"] + ["bigint"] * 5
     docs = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("lang", "text").collect()]
     assert sorted(map(tuple, found.collect())) == plain(docs, 30, 2000)
+
+
+def test_numbers_travel_without_their_empty_bytes():
+    rng = np.random.default_rng(2)
+    for kind, most in ((np.int64, 1 << 20), (np.uint32, 200)):
+        values = rng.integers(0, most, 5000).astype(kind)
+        body = collocations._squeeze(values)
+        assert len(body) < 0.45 * values.nbytes
+        assert (collocations._spread(body, len(values), kind) == values).all()
+    number = np.where(rng.random(5000) < 0.5, rng.integers(0, 1 << 20, 5000), -1)
+    body = collocations._write(number)
+    assert len(body) < 0.45 * 8 * (number >= 0).sum() + 5000 // 8 + 1
+    assert (collocations._read(body, 5000) == number).all()
+    none = np.full(9, -1)
+    assert (collocations._read(collocations._write(none), 9) == none).all()
+    assert len(collocations._spread(collocations._squeeze(none[:0]), 0, np.int64)) == 0
