@@ -222,15 +222,14 @@ def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for i in range(batch.num_rows):
             sequence = _sequence(batch.column(1)[i].as_py())
-            known = batch.column(2).slice(i, 1).flatten()
-            local, number = (np.asarray(known.field(k)) for k in ("local", "number"))
-            symbol = np.zeros(max(int(sequence.max(initial=0)), int(local.max(initial=0))) + 1, dtype=np.int64)
+            local, number = (np.asarray(batch.column(c).slice(i, 1).flatten()) for c in (2, 3))
+            symbol = np.zeros(max(int(sequence.max(initial=0)), int(local.max(initial=0))) + 1, dtype=np.int32)
             symbol[local] = np.arange(1, len(local) + 1)
             text = symbol[sequence]
-            text = np.r_[0, text[(text > 0) | np.r_[True, text[:-1] > 0][:len(text)]], 0]
+            text = np.pad(text[(text > 0) | np.r_[True, text[:-1] > 0][:len(text)]], 1)
             yield pa.RecordBatch.from_arrays([
                 batch.column(0).slice(i, 1), pa.array([FMIndex.of(text).pack()], pa.binary()),
-                pa.array([number.astype(np.int64).tobytes()], pa.binary())], ["shard", "payload", "numbers"])
+                pa.array([_pack_numbers(number)], pa.binary())], ["shard", "payload", "numbers"])
 
 
 class Level:
@@ -238,7 +237,7 @@ class Level:
 
     def __init__(self, payload: bytes, numbers: bytes):
         self.index = FMIndex.unpack(payload)
-        self.patterns = self.index.symbols(np.frombuffer(numbers, np.int64))
+        self.patterns = self.index.symbols(_unpack_numbers(numbers))
         self.length = 1
 
     def extend(self) -> tuple[Patterns, np.ndarray, np.ndarray]:
@@ -281,6 +280,14 @@ def _spread(body: bytes, n: int, kind: type) -> np.ndarray:
     return np.ascontiguousarray(planes.reshape(size, n).T).view(kind).ravel()
 
 
+def _pack_numbers(number: np.ndarray) -> bytes:
+    return len(number).to_bytes(8, "little") + _squeeze(number.astype(np.int64))
+
+
+def _unpack_numbers(body: bytes) -> np.ndarray:
+    return _spread(body[8:], int.from_bytes(body[:8], "little"), np.int64)
+
+
 def _write(number: np.ndarray) -> bytes:
     """Numbers, -1 for most: a bit each, then the others."""
     some = number >= 0
@@ -357,7 +364,7 @@ def frequent_phrases(docs: DataFrame, scratch: Scratch, min_count: int = MIN_COU
     spark = docs.sparkSession
     source = docs.select("text", F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"))
     sequences = scratch.keep(source.mapInArrow(
-        _sequences, "shard long, n_bytes long, payload binary, words binary"), "sequences")
+        _sequences, "shard long, n_bytes long, payload binary, words binary"), "sequences", packed=True)
     size = sequences.agg(F.sum("n_bytes")).first()[0] or 0
     shards = max(1, -(-size // HASH_SHARD_BYTES))
     bits = scratch.keep(sequences.select("shard", "payload", "words").mapInArrow(
@@ -377,10 +384,12 @@ def frequent_phrases(docs: DataFrame, scratch: Scratch, min_count: int = MIN_COU
         "id", F.monotonically_increasing_id()), "frequent-words")
     parts = (words.agg(F.max(F.shiftright("id", 33))).first()[0] or 0) + 1
     words = words.withColumn("number", F.col("id").bitwiseAND((1 << 33) - 1) * parts + F.shiftright("id", 33))
+    # two lists of numbers take a third of the bytes of a list of pairs; a row adds to both at once
     of_shard = entries.join(words.select("lang", "word", "number"), ["lang", "word"]).groupBy("shard").agg(
-        F.collect_list(F.struct("local", "number")).alias("known"))
-    indexes = scratch.keep(sequences.join(of_shard.hint("shuffle_hash"), "shard").select("shard", "payload", "known").mapInArrow(
-        _build, "shard long, payload binary, numbers binary"), "indexes")
+        F.collect_list("local").alias("locals"), F.collect_list("number").alias("numbers"))
+    indexes = scratch.keep(sequences.join(of_shard.hint("shuffle_hash"), "shard").select(
+        "shard", "payload", "locals", "numbers").mapInArrow(
+        _build, "shard long, payload binary, numbers binary"), "indexes", packed=True)
     scratch.drop("sequences")
     scratch.release()
     found = [words.select("number", "lang", F.array("word").alias("words"), "a",

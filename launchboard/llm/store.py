@@ -35,14 +35,16 @@ class Scratch:
         self.path = f"{shared_root(spark)}/llm/{name}-{uuid.uuid4().hex[:12]}"
         drop_at_exit(self.path)  # results are read from it until then
 
-    def keep(self, df: DataFrame, name: str) -> DataFrame:
+    def keep(self, df: DataFrame, name: str, packed: bool = False) -> DataFrame:
         """Write ``df`` once and return the written table. Arrow batches are kept
-        small meanwhile: a task holds one in the JVM and one in Python."""
+        small meanwhile: a task holds one in the JVM and one in Python. ``packed``: its
+        bytes are compressed already and written as they are, as a codec needs buffers of
+        the size of a page, which holds several large values, outside the JVM's heap."""
         path = f"{self.path}/{name}"
         before = self.spark.conf.get(_BATCH)
         self.spark.conf.set(_BATCH, ARROW_BATCH_BYTES)
         try:
-            df.write.parquet(path)
+            (df.write.option("compression", "uncompressed") if packed else df.write).parquet(path)
         finally:
             self.spark.conf.set(_BATCH, before)
         return self.spark.read.schema(df.schema).parquet(path)

@@ -2,12 +2,13 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
 import pytest
 
-from launchboard.llm import collocations, queries
+from launchboard.llm import collocations, fm_index, queries
 from launchboard.llm.fm_index import FMIndex, containing
 from tests.llm.brute import LOWER
 
@@ -130,3 +131,35 @@ def test_numbers_travel_without_their_empty_bytes():
     none = np.full(9, -1)
     assert (collocations._read(collocations._write(none), 9) == none).all()
     assert len(collocations._spread(collocations._squeeze(none[:0]), 0, np.int64)) == 0
+
+
+def test_index_of_a_shard_takes_little_memory(monkeypatch):
+    """Extending the patterns of a shard takes a few bytes a word, in parts as in one go."""
+    rng = np.random.default_rng(7)
+    text = np.minimum(rng.zipf(1.3, 600_000), 30_000) * (rng.random(600_000) > 0.1)
+    text[[0, -1]] = 0
+    body = FMIndex.of(text).pack()
+    numbers = collocations._pack_numbers(np.arange(30_000))
+
+    def levels():
+        state, out = collocations.Level(body, numbers), []
+        for _ in range(3):
+            new, left, right = state.extend()
+            out.append((new, left, right))
+            new.number[:] = np.where(new.size > 1, np.arange(len(new.size)), -1)
+            state.patterns, state.length = new.take(np.flatnonzero(new.number >= 0)), state.length + 1
+        return out
+
+    tracemalloc.start()
+    try:
+        collocations.Level(body, numbers).extend()
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 60 * len(text)
+    parts = levels()
+    monkeypatch.setattr(fm_index, "CHUNK_ROWS", 1 << 40)
+    for (a, *x), (b, *y) in zip(parts, levels()):
+        for c in ("low", "reverse_low", "size", "number"):
+            assert np.array_equal(getattr(a, c), getattr(b, c))
+        assert all(map(np.array_equal, x, y))
