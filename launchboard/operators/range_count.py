@@ -8,10 +8,10 @@ every period with every occurrence and shuffles all pairs.
 
 Exact rewrite, built from windows, aggregations and one equi-join:
 
-* For each entity and counter the occurrence days are a bitmap: 64 days to a number,
+* For each entity and counter the occurrence days are a bitmap: 62 days to a number,
   or-ed together in a map-side-combined aggregation, so an entity with any number of
-  occurrences is a few numbers, and nothing is sorted. The set bits are its days in
-  order; ``prev`` is the day before (NULL for the first). An entity is present in
+  occurrences is a few numbers, and nothing is sorted. The set bits, taken out lowest
+  first, so that empty days cost nothing, are its days in order; ``prev`` is the day before (NULL for the first). An entity is present in
   [s, e] exactly when some occurrence d has s <= d <= e and prev < s (its
   first occurrence in the range), and that occurrence is unique. So the
   distinct count is a plain count of occurrences with prev < s <= d <= e.
@@ -37,25 +37,35 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 EPOCH = dt.date(1970, 1, 1)
+#: Days of a bitmap: a signed number of 64 bits stays positive, also with one taken off.
+CHUNK_DAYS = 62
 
 
 def _day_bitmaps(occurrences: DataFrame, g: list[str], entity: str, day: str, counters: list[str]) -> DataFrame:
-    """One row per entity: ``_chunks``, the numbers of 64 days each that have occurrences,
-    with a bitmap per counter."""
+    """One row per entity: ``_chunks``, the numbers of ``CHUNK_DAYS`` days each that have
+    occurrences, with a bitmap per counter."""
     days = F.datediff(F.col(day), F.lit(EPOCH))
-    bit = F.expr("shiftleft(1L, pmod(_n, 64))")
+    bit = F.expr(f"shiftleft(1L, pmod(_n, {CHUNK_DAYS}))")
     chunks = (occurrences.withColumn("_n", days)
-              .groupBy(*g, entity, F.floor(F.col("_n") / 64).cast("int").alias("_chunk"))
+              .groupBy(*g, entity, F.floor(F.col("_n") / CHUNK_DAYS).cast("int").alias("_chunk"))
               .agg(*[F.coalesce(F.bit_or(F.when(F.col(c), bit)), F.lit(0)).alias(c) for c in counters]))
     return chunks.groupBy(*g, entity).agg(
         F.collect_list(F.struct("_chunk", *counters)).alias("_chunks"))
 
 
+def _set_bits(bits: str) -> str:
+    """SQL of the days of a chunk ``k`` with one of ``bits`` set, which are not 0: the lowest
+    bit is taken off as often as there are any."""
+    return (f"aggregate(sequence(1, bit_count({bits})), "
+            f"named_struct('left', {bits}, 'days', cast(array() as array<int>)), "
+            "(s, i) -> named_struct('left', s.left & (s.left - 1), 'days', array_append("
+            f"s.days, k._chunk * {CHUNK_DAYS} + bit_count((s.left & -s.left) - 1))), s -> s.days)")
+
+
 def _day_pairs(bitmaps: DataFrame, g: list[str], counters: list[str]) -> DataFrame:
     """(g, _counter, _day, _prev): each day of each entity's counters with the day before."""
-    days = bitmaps.select(*g, *[F.expr(
-        "flatten(transform(array_sort(_chunks), k -> transform("
-        f"filter(sequence(0, 63), b -> (shiftright(k.`{c}`, b) & 1) = 1), b -> k._chunk * 64 + b)))").alias(c)
+    days = bitmaps.select(*g, F.expr("array_sort(_chunks)").alias("_chunks")).select(*g, *[F.expr(
+        f"flatten(transform(filter(_chunks, k -> k.`{c}` != 0), k -> {_set_bits(f'k.`{c}`')}))").alias(c)
         for c in counters])
 
     def of_counter(c: str) -> Column:

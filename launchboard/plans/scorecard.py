@@ -37,7 +37,8 @@ class Prepared:
 
     With ``materialize`` each shared relation (order summary, order info,
     tracked-SKU rows) is written once under the checkpoint root when first
-    needed, so a query that needs only the summary does not pay for the rest.
+    needed, so a query that needs only the summary does not pay for the rest. So are the
+    KPI state and, for the scorecard, the benchmarks.
     """
 
     def __init__(self, params: RunParams, dims: Dims, lines: DataFrame,
@@ -45,10 +46,18 @@ class Prepared:
         self.params, self.dims, self.lines = params, dims, lines
         self._keep = keep
         self.kpi_state: DataFrame | None = None     # set by share_kpi_state
+        self._shared: dict[str, DataFrame] = {}
 
     def _kept(self, df: DataFrame, name: str) -> DataFrame:
         return self._keep(df, name) if self._keep else df
 
+    def shared(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        """A relation of this name, built on first use: each table that is refreshed from it,
+        however often, reads the same rows."""
+        if name not in self._shared:
+            self._shared[name] = self._kept(build(), name)
+        return self._shared[name]
+
     @cached_property
     def summary(self) -> DataFrame:
         return self._kept(order_summary(self.lines, self.dims, self.params), "order_summary")
@@ -109,8 +118,8 @@ def _specs(params: RunParams, labels):
 def _kpi_state(p: Prepared, labels) -> DataFrame:
     if p.kpi_state is not None and labels is None:
         return p.kpi_state
-    rows = K.kpi_rows(p.lines, p.dims, p.info, p.params, _specs(p.params, labels), p.skew)
-    return p._kept(K.state(rows), f"kpi_state_{'_'.join(labels or ('all',))}")
+    return p.shared(f"kpi_state_{'_'.join(labels or ('all',))}", lambda: K.state(
+        K.kpi_rows(p.lines, p.dims, p.info, p.params, _specs(p.params, labels), p.skew)))
 
 
 def share_kpi_state(p: Prepared, run_id: str) -> Prepared:
@@ -139,7 +148,7 @@ def scorecard_8w(p: Prepared) -> DataFrame:
     """KPI per (channel, SKU) over the tracking window with the benchmark
     shares of the same channel and period: one left join on three keys."""
     kpi = kpi_launch_window(p)
-    bench = benchmark_all(p).where(F.col("launch_date").isNotNull()
+    bench = p.shared("benchmark_all", lambda: benchmark_all(p)).where(F.col("launch_date").isNotNull()
                                    & F.col("tracking_end_date").isNotNull())
     j = kpi.join(bench, ["source_channel", "launch_date", "tracking_end_date"], "left")
     return j.select(*C.SCORECARD_8W_COLUMNS)
