@@ -180,16 +180,14 @@ def rank_classes(orders: DataFrame) -> DataFrame:
                     F.col("_first").isNotNull().alias("is_first"))
 
 
-def order_rank_flags(orders: DataFrame) -> DataFrame:
-    """Per (slice, order): how many rank rows join to its lines (``n_rank``)
-    and whether any of them has rk = 1 / rk >= 2. The dashboard joins ranks
-    to lines by order only, so an order carrying two member ids gives each of
-    its lines both ranks; these three columns carry exactly that."""
-    rc = rank_classes(orders)
-    return rc.groupBy("slice", "parent_order_id").agg(
-        F.count(F.lit(1)).alias("n_rank"),
-        F.max(F.col("is_first")).alias("any_first"),
-        F.max(~F.col("is_first")).alias("any_repeat"))
+def rank_marks(orders: DataFrame) -> DataFrame:
+    """(slice, parent_order_id, _n, _first): a row with ``_n`` 1 for each rank row, and one
+    with ``_first`` 1 for each member whose first order this is. Their sums tell how many of
+    an order's rank rows have rk = 1 and how many do not, without a join of the two."""
+    ranked = orders.select("slice", "parent_order_id", F.lit(1).alias("_n"), F.lit(0).alias("_first"))
+    firsts = first_orders(orders).select("slice", F.col("first_order_id").alias("parent_order_id"),
+                                         F.lit(0).alias("_n"), F.lit(1).alias("_first"))
+    return ranked.unionByName(firsts)
 
 
 def flag_columns(slice_label: str) -> tuple[str, str, str]:
@@ -197,17 +195,19 @@ def flag_columns(slice_label: str) -> tuple[str, str, str]:
     return (f"n_rank_{slice_label}", f"any_first_{slice_label}", f"any_repeat_{slice_label}")
 
 
-def order_flags(rank_flags: DataFrame, slices: tuple[str, ...] = C.RANK_SLICES) -> DataFrame:
-    """One row per order: the rank flags of every slice side by side. Consumers join it
-    once, on parent_order_id alone, and pick the columns of their slice."""
+def order_flags(orders: DataFrame, slices: tuple[str, ...] = C.RANK_SLICES) -> DataFrame:
+    """One row per order, side by side for every slice (NULL: not in it): how many rank rows
+    join to its lines (``n_rank``) and whether any of them has rk = 1 / rk >= 2. The
+    dashboard joins ranks to lines by order only, so an order carrying two member ids gives
+    each of its lines both ranks; these three columns carry exactly that. Consumers join
+    once, on parent_order_id alone, and pick the columns of their slice. ``orders`` are
+    those of ``rank_orders``."""
     aggs = []
     for s in slices:
         n, first, repeat = flag_columns(s)
-        in_slice = F.col("slice") == s
-        aggs += [F.max(F.when(in_slice, F.col("n_rank"))).alias(n),
-                 F.max(F.when(in_slice, F.col("any_first"))).alias(first),
-                 F.max(F.when(in_slice, F.col("any_repeat"))).alias(repeat)]
-    return rank_flags.groupBy("parent_order_id").agg(*aggs)
+        rows, firsts = (F.sum(F.when(F.col("slice") == s, F.col(c))) for c in ("_n", "_first"))
+        aggs += [rows.alias(n), (firsts > 0).alias(first), (rows > firsts).alias(repeat)]
+    return rank_marks(orders).groupBy("parent_order_id").agg(*aggs)
 
 
 def order_info(tracked: DataFrame, flags: DataFrame, pieces: DataFrame) -> DataFrame:

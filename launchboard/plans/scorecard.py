@@ -73,14 +73,10 @@ class Prepared:
     def rank_orders(self) -> DataFrame:
         return RK.rank_orders_from_summary(self.summary)
 
-    @cached_property
-    def rank_flags(self) -> DataFrame:
-        return RK.order_rank_flags(self.rank_orders)
-
     @cached_property
     def flags(self) -> DataFrame:
         """Rank flags of all orders: benchmarks count them all."""
-        return self._kept(RK.order_flags(self.rank_flags), "order_flags")
+        return self._kept(RK.order_flags(self.rank_orders), "order_flags")
 
     @cached_property
     def pieces(self) -> DataFrame:

@@ -1,6 +1,9 @@
 """Lifetime ranks: exact row numbers, first-order classes, tie-break."""
 
 import datetime as dt
+import itertools
+
+from pyspark.sql import functions as F
 
 from launchboard.operators import ranks as RK
 
@@ -67,3 +70,25 @@ def test_exact_rank_with_a_hot_member(spark):
     assert got == expect
     pids = (RK.order_rank(df, partitions=8).where("member_id = 'hot'").count())
     assert pids == 1000
+
+
+def test_order_flags_without_a_join(spark):
+    """Flags of orders by any member, without ids and of one slice alone, as the rank gives
+    them; first orders are not joined back to all orders."""
+    rows = [(s, o, m, t) for s, o, m, t in itertools.product(
+        ("LCS", "OMNI"), (1, 2, 3, None), ("a", "b", None), ("2020-01-01 00:00:00", "2020-01-02 00:00:00", None))
+        if (o, m) not in ((3, "a"), (None, "b")) and (s, o) != ("LCS", 2)]
+    df = spark.createDataFrame(rows, "slice string, parent_order_id long, member_id string, t string").groupBy(
+        "slice", "parent_order_id", "member_id").agg(
+        F.max(F.when(F.coalesce("parent_order_id", F.lit(0)) % 2 == 1, F.col("t").cast("timestamp_ntz"))).alias("order_paid_time"))
+    flags = RK.order_flags(df, ("LCS", "OMNI"))
+    assert "Join" not in flags._jdf.queryExecution().optimizedPlan().toString()
+    ranked = RK.rank_classes(df).collect()
+    want = {}
+    for o in {r.parent_order_id for r in ranked}:
+        row = []
+        for s in ("LCS", "OMNI"):
+            own = [r.is_first for r in ranked if r.slice == s and r.parent_order_id == o]
+            row += [len(own), any(own), not all(own)] if own else [None] * 3
+        want[o] = tuple(row)
+    assert {r[0]: tuple(r)[1:] for r in flags.collect()} == want
